@@ -43,3 +43,188 @@ register("project_task_hours", "SELECT * FROM vw_snt_projetos_performance")(lamb
 register("project_longest_task", "SELECT * FROM project_longest_task")(lambda L: L.project_longest_task)
 register("analysis_summary", "SELECT * FROM vw_snt_analises_tributarias")(lambda L: L.analysis_summary)
 register("invoice_summary", "SELECT * FROM vw_snt_notas_fiscais")(lambda L: L.invoice_summary())
+
+# -- quality -------------------------------------------------------------------
+_TS, _DATE = oracle.AS_OF_TS, oracle.AS_OF_DATE
+_DQ_SQL = {
+    "dq_customer": f"""SELECT 'cliente' AS tabela, count_if(id_cliente IS NULL) AS nulos_id_cliente,
+        count_if(cnpj IS NULL OR NOT regexp_matches(cnpj, '^\\d{{14}}$')) AS cnpj_invalido,
+        count_if(data_cadastro IS NULL OR data_cadastro > {_DATE}) AS data_cadastro_invalida,
+        count(*) - count(DISTINCT id_cliente) AS duplicatas_id_cliente, {_TS} AS data_checagem FROM cliente""",
+    "dq_analysis": f"""SELECT 'analise_tributaria' AS tabela, count_if(id_analise IS NULL) AS nulos_id_analise,
+        count_if(id_cliente IS NULL) AS nulos_id_cliente, count_if(valor_identificado < 0) AS valores_negativos,
+        count_if(periodo_tipo NOT IN ('MES', 'TRIMESTRE', 'SEMESTRE')) AS periodo_tipo_invalido,
+        count(*) - count(DISTINCT id_analise) AS duplicatas_id_analise, {_TS} AS data_checagem FROM analise""",
+    "dq_project": f"""SELECT 'projeto' AS tabela, count_if(id_projeto IS NULL) AS nulos_id_projeto,
+        count_if(id_cliente IS NULL) AS nulos_id_cliente, count_if(data_inicio > data_prevista_fim) AS datas_invertidas,
+        count_if(valor_projeto < 0) AS valores_negativos,
+        count(*) - count(DISTINCT id_projeto) AS duplicatas_id_projeto, {_TS} AS data_checagem FROM projeto""",
+    "dq_task": f"""SELECT 'tarefa' AS tabela, count_if(id_tarefa IS NULL) AS nulos_id_tarefa,
+        count_if(id_projeto IS NULL) AS nulos_id_projeto, count_if(data_inicio > data_prevista_fim) AS datas_invertidas,
+        count_if(horas_estimadas < 0 OR horas_realizadas < 0) AS horas_negativas,
+        count(*) - count(DISTINCT id_tarefa) AS duplicatas_id_tarefa, {_TS} AS data_checagem FROM tarefa""",
+    "dq_invoice": f"""SELECT 'nota_fiscal' AS tabela, count_if(id_nota IS NULL) AS nulos_id_nota,
+        count_if(id_cliente IS NULL) AS nulos_id_cliente,
+        count_if(valor_total < 0 OR valor_servico < 0) AS valores_negativos,
+        count_if(data_emissao IS NULL OR data_emissao > {_DATE}) AS data_emissao_invalida,
+        count(*) - count(DISTINCT numero_nota) AS duplicatas_numero_nota, {_TS} AS data_checagem FROM nota_fiscal""",
+    "dq_invoice_tax": f"""SELECT 'nota_fiscal_imposto' AS tabela, count_if(id_imposto IS NULL) AS nulos_id_imposto,
+        count_if(id_nota IS NULL) AS nulos_id_nota, count_if(valor < 0) AS valores_negativos,
+        count_if(tipo_imposto NOT IN ('ISS', 'PIS', 'COFINS')) AS tipo_invalido,
+        count(*) - count(DISTINCT id_imposto) AS duplicatas_id_imposto, {_TS} AS data_checagem
+        FROM nota_fiscal_imposto""",
+    "dq_invoice_item": f"""SELECT 'nota_fiscal_item' AS tabela, count_if(id_item IS NULL) AS nulos_id_item,
+        count_if(id_nota IS NULL) AS nulos_id_nota,
+        count_if(quantidade <= 0 OR valor_unitario < 0) AS valores_invalidos,
+        count(*) - count(DISTINCT id_item) AS duplicatas_id_item, {_TS} AS data_checagem FROM nota_fiscal_item""",
+}
+for _name, _sql in _DQ_SQL.items():
+    register(_name, _sql)(lambda L, _n=_name: L.dq(_n))
+
+# -- integrity -----------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from lakefold.functions import (  # noqa: E402
+    clean_ip, digits_only, json_field, lower_trim, period_kind, period_number, period_year, safe_date,
+    safe_double, safe_long, strip_ws, surrogate_key, title_case, upper_trim,
+)
+from lakefold.operators.integrity import foreign_key_orphans, primary_key_violations  # noqa: E402
+
+PRIMARY_KEYS = [("cliente", "customer", "id_cliente"), ("analise_tributaria", "tax_analysis", "id_analise"),
+                ("projeto", "project", "id_projeto"), ("tarefa", "task", "id_tarefa"),
+                ("nota_fiscal", "invoice", "id_nota"), ("nota_fiscal_imposto", "invoice_tax", "id_imposto"),
+                ("nota_fiscal_item", "invoice_item", "id_item"), ("log_sistema", "system_log", "id_log")]
+_ORACLE_TABLE = {"customer": "cliente", "tax_analysis": "analise", "project": "projeto", "task": "tarefa",
+                 "invoice": "nota_fiscal", "invoice_tax": "nota_fiscal_imposto",
+                 "invoice_item": "nota_fiscal_item", "system_log": "log_sistema"}
+FOREIGN_KEYS = [("analise_tributaria.id_cliente", "tax_analysis", "id_cliente", "customer", "id_cliente"),
+                ("projeto.id_cliente", "project", "id_cliente", "customer", "id_cliente"),
+                ("tarefa.id_projeto", "task", "id_projeto", "project", "id_projeto"),
+                ("nota_fiscal.id_cliente", "invoice", "id_cliente", "customer", "id_cliente"),
+                ("nota_fiscal_imposto.id_nota", "invoice_tax", "id_nota", "invoice", "id_nota"),
+                ("nota_fiscal_item.id_nota", "invoice_item", "id_nota", "invoice", "id_nota")]
+
+
+def _union_all(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("check_primary_key", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{k}' AS key_column, {k} AS key_value, count(*) AS n_rows "
+    f"FROM {_ORACLE_TABLE[attr]} GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL" for t, attr, k in PRIMARY_KEYS))
+def _check_primary_key(L: Layers):
+    return _union_all([primary_key_violations(getattr(L, attr), k, t) for t, attr, k in PRIMARY_KEYS])
+
+
+@register("check_foreign_key", "\nUNION ALL\n".join(
+    f"SELECT '{rel}' AS relation, c.{fk} AS key_value, count(*) AS n_rows FROM {_ORACLE_TABLE[child]} c "
+    f"WHERE c.{fk} IS NOT NULL AND c.{fk} NOT IN (SELECT {pk} FROM {_ORACLE_TABLE[parent]} WHERE {pk} IS NOT NULL) "
+    f"GROUP BY c.{fk}" for rel, child, fk, parent, pk in FOREIGN_KEYS))
+def _check_foreign_key(L: Layers):
+    return _union_all([foreign_key_orphans(getattr(L, child), fk, getattr(L, parent), pk, rel)
+                       for rel, child, fk, parent, pk in FOREIGN_KEYS])
+
+
+# -- scalar expressions ----------------------------------------------------------
+_s, _t = oracle.strip, oracle.title
+
+
+@register("text_standardise", f"""SELECT id_cliente, upper({_s('razao_social')}) AS razao_social_std,
+    lower({_s('setor')}) AS setor_std, lower({_s('cidade')}) AS cidade_std FROM customer_raw""")
+def _text_standardise(L: Layers):
+    return L.customer_raw.select("id_cliente", upper_trim("razao_social").alias("razao_social_std"),
+                                 lower_trim("setor").alias("setor_std"), lower_trim("cidade").alias("cidade_std"))
+
+
+@register("title_case", f"""SELECT 'cliente' AS source, razao_social AS raw, {_t(_s('razao_social'))} AS titled
+    FROM customer_raw
+    UNION ALL SELECT 'analise', observacoes, {_t(_s('observacoes'))} FROM analysis_raw
+    UNION ALL SELECT 'log', acao, {_t(_s('acao'))} FROM log_raw""")
+def _title_case(L: Layers):
+    def one(df, label, col):
+        return df.select(F.lit(label).alias("source"), F.col(col).alias("raw"),
+                         title_case(strip_ws(col)).alias("titled"))
+    return _union_all([one(L.customer_raw, "cliente", "razao_social"), one(L.analysis_raw, "analise", "observacoes"),
+                       one(L.log_raw, "log", "acao")])
+
+
+@register("digits_only", """SELECT id_cliente, cnpj, regexp_replace(cnpj, '\\D', '', 'g') AS cnpj_digits,
+    length(regexp_replace(cnpj, '\\D', '', 'g')) AS n_digits FROM customer_raw""")
+def _digits_only(L: Layers):
+    d = digits_only("cnpj")
+    return L.customer_raw.select("id_cliente", "cnpj", d.alias("cnpj_digits"), F.length(d).alias("n_digits"))
+
+
+@register("clean_ip", """SELECT id_log, ip, regexp_replace(coalesce(ip, ''), '[^0-9\\\\.]+', '', 'g') AS ip_clean
+    FROM log_raw""")
+def _clean_ip(L: Layers):
+    return L.log_raw.select("id_log", "ip", clean_ip("ip").alias("ip_clean"))
+
+
+_PA = "periodo_analise"
+
+
+@register("period_parse", f"""SELECT id_analise, {_PA}, TRY_CAST(substr({_PA}, 1, 4) AS BIGINT) AS ano,
+    CASE WHEN regexp_matches({_PA}, '-Q[1-4]') THEN 'TRIMESTRE' WHEN regexp_matches({_PA}, '-S[1-2]') THEN 'SEMESTRE'
+         WHEN regexp_matches({_PA}, '-\\d{{2}}$') THEN 'MES' ELSE 'DESCONHECIDO' END AS periodo_tipo,
+    CASE WHEN regexp_matches({_PA}, '-Q[1-4]') THEN TRY_CAST(regexp_extract({_PA}, 'Q([1-4])', 1) AS BIGINT)
+         WHEN regexp_matches({_PA}, '-S[1-2]') THEN TRY_CAST(regexp_extract({_PA}, 'S([1-2])', 1) AS BIGINT)
+         WHEN regexp_matches({_PA}, '-\\d{{2}}$') THEN TRY_CAST(regexp_extract({_PA}, '-(\\d{{2}})$', 1) AS BIGINT)
+    END AS periodo_valor FROM analysis_raw""")
+def _period_parse(L: Layers):
+    p = F.col(_PA)
+    return L.analysis_raw.select("id_analise", _PA, period_year(p).alias("ano"), period_kind(p).alias("periodo_tipo"),
+                                 period_number(p).alias("periodo_valor"))
+
+
+@register("safe_cast", """SELECT 'PRJ' || CAST(o_orderkey AS VARCHAR) AS id_projeto,
+    CASE WHEN o_orderkey % 211 = 5 THEN '2024-13-45' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS data_inicio_text,
+    CASE WHEN o_orderkey % 211 = 5 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS data_inicio,
+    CASE WHEN o_orderkey % 101 = 13 THEN -o_totalprice ELSE o_totalprice END AS valor_projeto,
+    o_orderkey % 500 + 10 AS horas_totais_estimadas, TRY_CAST('abc' || CAST(o_orderkey AS VARCHAR) AS BIGINT) AS bad_long
+    FROM orders""")
+def _safe_cast(L: Layers):
+    from lakefold.sources.documents import project_elements
+    el = project_elements(L.project_docs).dropDuplicates(["id_projeto"])
+    return el.select("id_projeto", F.col("data_inicio").alias("data_inicio_text"),
+                     safe_date("data_inicio").alias("data_inicio"), safe_double("valor_projeto").alias("valor_projeto"),
+                     safe_long("horas_totais_estimadas").alias("horas_totais_estimadas"),
+                     safe_long(F.concat(F.lit("abc"), F.substring("id_projeto", 4, 30))).alias("bad_long"))
+
+
+@register("json_field", """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+    json_extract_string(props, '$.missing') AS missing FROM events""")
+def _json_field(L: Layers):
+    ev = L.table("events")
+    return ev.select("event_id", json_field("props", "$.k", "bigint").alias("k"),
+                     json_field("props", "$.missing").alias("missing"))
+
+
+@register("surrogate_key", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS doc_id,
+    0 AS pos, id_nota FROM nf_base""")
+def _surrogate_key(L: Layers):
+    return L.invoice_elements.select("doc_id", F.col("pos").cast("bigint").alias("pos"),
+                                     surrogate_key("doc_id", "pos").alias("id_nota"))
+
+
+@register("distinct_rows", "SELECT DISTINCT * FROM customer_raw")
+def _distinct_rows(L: Layers):
+    return L.customer_raw.distinct()
+
+
+_PRJ_DOCS = """(SELECT 'prj-doc-' || CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(coalesce(p.part, 0) AS VARCHAR) AS doc_id,
+      'PRJ' || CAST(o.o_orderkey AS VARCHAR) AS id_projeto, coalesce(p.n, 0) AS n_tarefas
+    FROM orders o LEFT JOIN (SELECT l_orderkey, part, count(*) AS n FROM task_parts GROUP BY l_orderkey, part) p
+      ON o.o_orderkey = p.l_orderkey)"""
+
+
+@register("json_array_rows", f"SELECT doc_id, 0 AS pos, id_projeto, n_tarefas FROM {_PRJ_DOCS}")
+def _json_array_rows(L: Layers):
+    from lakefold.sources.documents import json_array_rows
+    rows = json_array_rows(L.project_docs)
+    return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"),
+                       F.col("element")["id_projeto"].alias("id_projeto"),
+                       F.size(F.col("element")["tarefas"]).cast("bigint").alias("n_tarefas"))
