@@ -228,3 +228,203 @@ def _json_array_rows(L: Layers):
     return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"),
                        F.col("element")["id_projeto"].alias("id_projeto"),
                        F.size(F.col("element")["tarefas"]).cast("bigint").alias("n_tarefas"))
+
+# -- file sources ------------------------------------------------------------------
+from lakefold.plans import serving, sinks  # noqa: E402
+from lakefold.plans.standins import LOG_HEADINGS  # noqa: E402
+from lakefold.session import fresh_path  # noqa: E402
+from lakefold.sources import (  # noqa: E402
+    html_table, html_table_status, scan_csv, scan_documents, scan_pipe, scan_xml_records, strict_timestamp,
+    xml_to_json,
+)
+from lakefold.sources.documents import INVOICE_ELEMENT  # noqa: E402
+
+CUSTOMER_RAW_SCHEMA = ("id_cliente string, razao_social string, cnpj string, porte_empresa string, setor string, "
+                       "cidade string, estado string, data_cadastro string")
+ANALYSIS_RAW_SCHEMA = ("id_analise string, cliente_id string, tipo_tributo string, periodo_analise string, "
+                       "valor_identificado double, observacoes string")
+
+
+def _write_delimited(df, path: str, sep: str) -> None:
+    # Keep blanks and tabs at the edges of values: they are part of the raw data.
+    (df.write.mode("overwrite").option("header", True).option("sep", sep)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+@register("scan_csv", "SELECT * FROM customer_raw")
+def _scan_csv(L: Layers):
+    path = fresh_path(L.spark, "customers-csv")
+    _write_delimited(L.customer_raw, path, ",")
+    return scan_csv(L.spark, path, CUSTOMER_RAW_SCHEMA)
+
+
+@register("scan_pipe", "SELECT * FROM analysis_raw")
+def _scan_pipe(L: Layers):
+    path = fresh_path(L.spark, "analyses-txt")
+    _write_delimited(L.analysis_raw, path, "|")
+    return scan_pipe(L.spark, path, ANALYSIS_RAW_SCHEMA)
+
+
+@register("scan_documents", f"SELECT id_projeto, n_tarefas FROM {_PRJ_DOCS}")
+def _scan_documents(L: Layers):
+    path = fresh_path(L.spark, "projects-jsonl")
+    L.project_docs.select("conteudo").write.mode("overwrite").text(path)
+    docs = scan_documents(L.spark, path)
+    return docs.select(F.get_json_object("conteudo", "$.projetos[0].id_projeto").alias("id_projeto"),
+                       F.json_array_length(F.get_json_object("conteudo", "$.projetos[0].tarefas"))
+                        .cast("bigint").alias("n_tarefas"))
+
+
+_NF_DOCS = """(SELECT nf.numero_nota, nf.data_emissao, nf.id_cliente, nf.valor_servico, nf.valor_total,
+      coalesce(i.n, 0) AS n_itens, nf.id_nota
+    FROM nota_fiscal nf LEFT JOIN (SELECT id_nota, count(*) AS n FROM nota_fiscal_item GROUP BY id_nota) i
+      ON nf.id_nota = i.id_nota)"""
+
+
+@register("xml_records", f"""SELECT numero_nota, data_emissao, id_cliente, valor_servico, valor_total, n_itens
+    FROM {_NF_DOCS}""")
+def _xml_records(L: Layers):
+    from lakefold.plans.standins import invoice_nodes
+    path = fresh_path(L.spark, "invoices-xml")
+    nodes = invoice_nodes(L.table("orders"), L.table("lineitem")).select("NotaFiscal.*")
+    (nodes.write.mode("overwrite").option("rowTag", "NotaFiscal").option("rootTag", "NotasFiscais").xml(path))
+    rows = scan_xml_records(L.spark, path, "NotaFiscal", INVOICE_ELEMENT[len("struct<"):-1].replace(":", " "))
+    return rows.select(F.col("NumeroNota").alias("numero_nota"),
+                       F.to_date("DataEmissao", "yyyy-MM-dd").alias("data_emissao"),
+                       F.col("ClienteID").alias("id_cliente"),
+                       F.col("ValorServico").cast("double").alias("valor_servico"),
+                       F.col("ValorTotal").cast("double").alias("valor_total"),
+                       F.coalesce(F.size("Itens.Item"), F.lit(0)).cast("bigint").alias("n_itens"))
+
+
+@register("xml_to_json", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS doc_id,
+    'NF' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS numero_nota,
+    CAST(coalesce(i.n, 0) AS BIGINT) AS n_itens
+    FROM nf_base LEFT JOIN (SELECT id_nota AS nid, count(*) AS n FROM nota_fiscal_item GROUP BY id_nota) i
+      ON nf_base.id_nota = i.nid""")
+def _xml_to_json(L: Layers):
+    js = xml_to_json(L.invoice_docs)
+    return js.select("doc_id", F.get_json_object("conteudo", "$.NotaFiscal[0].NumeroNota").alias("numero_nota"),
+                     F.coalesce(F.json_array_length(F.get_json_object("conteudo", "$.NotaFiscal[0].Itens.Item")),
+                                F.lit(0)).cast("bigint").alias("n_itens"))
+
+
+@register("html_table", """SELECT id_log, strftime(log_time, '%Y-%m-%d %H:%M:%S.%f') AS log_time, usuario, acao,
+    entidade_afetada, resultado, ip FROM log_raw""")
+def _html_table(L: Layers):
+    return html_table(L.log_pages, LOG_HEADINGS).drop("doc_id", "row_pos")
+
+
+_LOG_PAGES = oracle._parts("log_raw", "event_day", __import__("lakefold.plans.standins", fromlist=["x"])
+                           .MAX_ROWS_PER_LOG_PAGE, ("event_id",))
+oracle.CTES["log_parts"] = _LOG_PAGES
+
+
+@register("html_table_rejects", """SELECT DISTINCT 'log-page-' || CAST(event_day AS VARCHAR) || '-' || CAST(part AS VARCHAR)
+      AS doc_id, 'ok' AS status, '' AS missing FROM log_parts
+    UNION ALL
+    SELECT 'page-' || CAST(page_id AS VARCHAR), CASE WHEN regexp_matches(html, '(?is)<table\\b.*?</table>') THEN NULL
+      ELSE 'missing_table' END, '' FROM pages""")
+def _html_table_rejects(L: Layers):
+    pages = L.table("pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("doc_id"),
+                                    F.col("html").alias("conteudo"))
+    st = html_table_status(L.log_pages.unionByName(pages), LOG_HEADINGS)
+    return st.select("doc_id", "status", F.array_join("missing", ", ").alias("missing"))
+
+
+@register("timestamp_gate", "SELECT id_log, log_time FROM log_raw")
+def _timestamp_gate(L: Layers):
+    rows = html_table(L.log_pages, LOG_HEADINGS)
+    return rows.select("id_log", strict_timestamp("log_time").alias("log_time"))
+
+
+# -- sinks -------------------------------------------------------------------------
+from pyspark.sql.types import StructType  # noqa: E402
+
+from lakefold.plans import silver  # noqa: E402
+
+
+@register("land_bronze", "SELECT * FROM customer_raw")
+def _land_bronze(L: Layers):
+    schema = StructType.fromDDL(CUSTOMER_RAW_SCHEMA)
+    return sinks.land_bronze(L.customer_raw, schema, fresh_path(L.spark, "bronze-clientes"))
+
+
+@register("refresh_table", "SELECT * FROM cliente")
+def _refresh_table(L: Layers):
+    path = fresh_path(L.spark, "silver-cliente")
+    sinks.refresh_table(L.customer.limit(0), path)  # an earlier, different state of the table
+    return sinks.refresh_table(L.customer, path)
+
+
+@register("partitioned_write", "SELECT * FROM nota_fiscal")
+def _partitioned_write(L: Layers):
+    return sinks.partitioned_write(L.invoice, fresh_path(L.spark, "silver-nota-fiscal"), "data_emissao")
+
+
+@register("clustered_write", "SELECT * FROM tarefa")
+def _clustered_write(L: Layers):
+    return sinks.clustered_write(L.task, fresh_path(L.spark, "silver-tarefa"), ["id_projeto"])
+
+
+_LOADS = [("load_raw_csv", "clientes", "SELECT count(*) FROM customer_raw"),
+          ("load_raw_txt", "analises_tributarias", "SELECT count(*) FROM analysis_raw"),
+          ("load_raw_json", "tarefas_projetos", "SELECT count(*) FROM orders"),
+          ("load_raw_xml", "notas_fiscais", "SELECT count(*) FROM nf_base"),
+          ("load_raw_html", "logs_sistema", "SELECT count(DISTINCT (event_day, part)) FROM log_parts"),
+          ("load_formated_xml", "notas_fiscais_json", "SELECT count(*) FROM nf_base"),
+          ("load_formated_html", "logs_sistema_table", "SELECT count(*) FROM log_raw"),
+          ("load_formated_html", "paginas_web_table", None)]
+
+
+def _audit_sql() -> str:
+    rows = []
+    for i, (op, table, count_sql) in enumerate(_LOADS):
+        rows.append(f"SELECT {2 * i + 1} AS seq, '{op}' AS operation, '{table}' AS table_id, 'START' AS status, "
+                    f"CAST(NULL AS BIGINT) AS n_rows")
+        if count_sql is None:
+            rows.append(f"SELECT {2 * i + 2}, '{op}', '{table}', 'ERROR', CAST(NULL AS BIGINT)")
+        else:
+            rows.append(f"SELECT {2 * i + 2}, '{op}', '{table}', 'SUCCESS', ({count_sql})")
+    return "SELECT seq, operation, table_id, status, n_rows FROM (" + "\nUNION ALL\n".join(rows) + ")"
+
+
+@register("load_audit", _audit_sql())
+def _load_audit(L: Layers):
+    """The seven bronze loads plus one that must fail (web pages hold no table)."""
+    root = fresh_path(L.spark, "bronze")
+    web = L.table("pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("doc_id"),
+                                  F.col("html").alias("conteudo"))
+    builders = {
+        "clientes": lambda: L.customer_raw,
+        "analises_tributarias": lambda: L.analysis_raw,
+        "tarefas_projetos": lambda: L.project_docs,
+        "notas_fiscais": lambda: L.invoice_docs,
+        "logs_sistema": lambda: L.log_pages,
+        "notas_fiscais_json": lambda: xml_to_json(L.invoice_docs),
+        "logs_sistema_table": lambda: L.log_raw,
+        "paginas_web_table": lambda: silver.log_table(web, LOG_HEADINGS),
+    }
+    loaders = [sinks.Loader(op, table, f"stand-in:{table}", builders[table]) for op, table, _ in _LOADS]
+    audit = sinks.run_loads(L.spark, loaders, root, f"{root}/_audit")
+    return audit.select(F.col("seq").cast("bigint").alias("seq"), "operation", "table_id", "status", "n_rows")
+
+
+# -- serving -------------------------------------------------------------------
+def _views(L: Layers):
+    return {name: (lambda n=name: L.gold_view(n)) for name in L.GOLD_VIEWS}
+
+
+@register("read_view", "SELECT * FROM vw_snt_notas_fiscais ORDER BY id_cliente LIMIT 100")
+def _read_view(L: Layers):
+    return serving.read_view(_views(L), "VW_SNT_NOTAS_FISCAIS", 100, order_by=("id_cliente",))
+
+
+@register("rows_as_json", """SELECT id_cliente, nome_cliente, qtd_notas, CAST(ultima_emissao AS VARCHAR) AS ultima_emissao
+    FROM vw_snt_notas_fiscais""")
+def _rows_as_json(L: Layers):
+    js = serving.rows_as_json(L.invoice_summary())
+    return js.select(F.get_json_object("json", "$.id_cliente").alias("id_cliente"),
+                     F.get_json_object("json", "$.nome_cliente").alias("nome_cliente"),
+                     F.get_json_object("json", "$.qtd_notas").cast("bigint").alias("qtd_notas"),
+                     F.get_json_object("json", "$.ultima_emissao").alias("ultima_emissao"))

@@ -19,7 +19,7 @@ from lakefold.functions.parsing import (
 from lakefold.functions.text import clean_ip, digits_only, lower_trim, strip_ws, title_case, upper_trim
 from lakefold.operators.reshape import unpivot_columns
 from lakefold.sources.documents import invoice_elements, project_elements, task_elements
-from lakefold.sources.gates import strict_timestamp
+from lakefold.sources.gates import gate_timestamp
 from lakefold.sources.html import html_table
 
 
@@ -129,9 +129,8 @@ def invoice_item(elements: DataFrame) -> DataFrame:
 
 def log_table(pages: DataFrame, heading_map) -> DataFrame:
     """Bronze log rows: the pages' first tables, with every timestamp valid."""
-    rows = html_table(pages, heading_map, strict=True)
-    return rows.select(*[strict_timestamp("log_time").alias("log_time") if c == "log_time" else F.col(c)
-                         for c in heading_map.values()])
+    rows = html_table(pages, heading_map, strict=True).select(*heading_map.values())
+    return gate_timestamp(rows, "log_time")
 
 
 def system_log(bronze: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -236,11 +236,8 @@ def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] =
     )
 
 
-def invoice_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """XML documents ``<NotasFiscais><NotaFiscal>...</NotaFiscal></NotasFiscais>``.
-
-    Values are escaped by ``to_xml``; an absent tax is an absent element.
-    """
+def invoice_nodes(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One ``NotaFiscal`` struct per (order, part), with its items: (doc_id, NotaFiscal)."""
     items = invoice_item_records(lineitem)
     per_part = (items.repartition("l_orderkey", "part")
                      .groupBy("l_orderkey", "part")
@@ -257,7 +254,18 @@ def invoice_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return inv.select(
         F.concat(F.lit("nf-doc-"), F.col("o_orderkey").cast("string"), F.lit("-"),
                  F.col("part").cast("string")).alias("doc_id"),
-        F.concat(F.lit("<NotasFiscais>"), F.to_xml(nota, {"rowTag": "NotaFiscal"}),
+        nota.alias("NotaFiscal"))
+
+
+def invoice_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """XML documents ``<NotasFiscais><NotaFiscal>...</NotaFiscal></NotasFiscais>``.
+
+    Values are escaped by ``to_xml``; an absent tax is an absent element.
+    """
+    nodes = invoice_nodes(orders, lineitem)
+    return nodes.select(
+        "doc_id",
+        F.concat(F.lit("<NotasFiscais>"), F.to_xml("NotaFiscal", {"rowTag": "NotaFiscal"}),
                  F.lit("</NotasFiscais>")).alias("conteudo"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakefold.functions.text import _c
@@ -18,3 +18,15 @@ def strict_timestamp(col, what: str = "log_time") -> Column:
     return F.when(parsed.isNull(), F.raise_error(F.concat(F.lit(f"invalid values in column {what}: "),
                                                          F.coalesce(_c(col), F.lit("NULL"))))
                   ).otherwise(parsed)
+
+
+def gate_timestamp(df: DataFrame, col: str) -> DataFrame:
+    """Replace ``col`` by its TIMESTAMP_NTZ value; any missing or invalid value fails the job.
+
+    The check is a filter, so it runs even when a later projection drops the
+    column.
+    """
+    parsed = F.col(col).try_cast("timestamp_ntz")
+    checked = df.where(F.when(parsed.isNull(), F.raise_error(F.concat(
+        F.lit(f"invalid values in column {col}: "), F.coalesce(F.col(col), F.lit("NULL"))))).otherwise(F.lit(True)))
+    return checked.withColumn(col, parsed)
