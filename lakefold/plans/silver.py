@@ -133,11 +133,16 @@ def log_table(pages: DataFrame, heading_map) -> DataFrame:
     return gate_timestamp(rows, "log_time")
 
 
+def _truncate_to_second(c: str) -> Column:
+    """Zone-free truncation of a TIMESTAMP_NTZ (``date_trunc`` returns a zoned TIMESTAMP)."""
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
+
+
 def system_log(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
     return (bronze.where(F.col("id_log").isNotNull())
                   .select(F.col("id_log").cast("string").alias("id_log"),
                           F.to_date("log_time").alias("data_evento"),
-                          F.date_trunc("second", "log_time").cast("timestamp_ntz").alias("log_time"),
+                          _truncate_to_second("log_time").alias("log_time"),
                           lower_trim("usuario").alias("usuario"),
                           title_case(strip_ws("acao")).alias("acao"),
                           title_case(strip_ws("entidade_afetada")).alias("entidade_afetada"),
