@@ -6,6 +6,11 @@ STRING and cast afterwards, so the tolerant/strict cast choice stays explicit.
 Each element keeps its document id and position: that pair identifies it, and
 child rows carry it through the explode instead of re-joining on a business
 number, which would multiply children of repeated numbers.
+
+Arrays produced by a parser are exploded with the ``_outer`` generator and the
+empty rows filtered afterwards: with a plain ``explode`` the optimizer infers a
+``size(array) > 0`` filter *below* the projection and evaluates the parser
+twice per document.
 """
 
 from __future__ import annotations
@@ -34,11 +39,18 @@ INVOICE_ELEMENT = ("struct<" + ",".join(f"{f}:string" for f in INVOICE_FIELDS)
 INVOICES_SCHEMA = f"NotaFiscal array<{INVOICE_ELEMENT}>"
 
 
+def explode_parsed(df: DataFrame, array_col: str, as_name: str) -> DataFrame:
+    """Rows (other columns…, pos, ``as_name``) per array element; NULL/empty arrays give none."""
+    keep = [c for c in df.columns if c != array_col]
+    return (df.select(*keep, F.posexplode_outer(array_col).alias("pos", as_name))
+              .where(F.col("pos").isNotNull()))
+
+
 def json_array_rows(docs: DataFrame, array_path: str = "projetos",
                     schema: str = PROJECTS_SCHEMA) -> DataFrame:
     """One row per element of the top-level array: (doc_id, pos, element)."""
     parsed = docs.select("doc_id", F.from_json("conteudo", schema)[array_path].alias("_arr"))
-    return parsed.select("doc_id", F.posexplode("_arr").alias("pos", "element"))
+    return explode_parsed(parsed, "_arr", "element")
 
 
 def project_elements(docs: DataFrame) -> DataFrame:
@@ -58,7 +70,7 @@ def task_elements(docs: DataFrame) -> DataFrame:
 def invoice_elements(docs: DataFrame) -> DataFrame:
     """``NotaFiscal`` elements of XML invoice documents: (doc_id, pos, fields…)."""
     parsed = docs.select("doc_id", F.from_xml("conteudo", INVOICES_SCHEMA)["NotaFiscal"].alias("_arr"))
-    el = parsed.select("doc_id", F.posexplode("_arr").alias("pos", "n"))
+    el = explode_parsed(parsed, "_arr", "n")
     return el.select("doc_id", "pos", *[F.col("n")[f].alias(f) for f in INVOICE_FIELDS],
                      *[F.col("n")["Impostos"][f].alias(f) for f in TAX_FIELDS],
                      F.col("n")["Itens"]["Item"].alias("Itens"))

@@ -79,7 +79,9 @@ def html_table(pages: DataFrame, heading_map: Mapping[str, str], strict: bool =
                                    F.array_join("missing", ", ")))))
     else:
         st = st.where(F.col("status") == "ok")
-    rows = st.select("doc_id", "columns", F.posexplode("data_rows").alias("row_pos", "_row"))
+    # _outer + filter: a plain explode would re-run the page regexes in an inferred filter.
+    rows = (st.select("doc_id", "columns", F.posexplode_outer("data_rows").alias("row_pos", "_row"))
+              .where(F.col("row_pos").isNotNull()))
     rows = rows.select("doc_id", "row_pos", "columns", _cells(F.col("_row")).alias("_cells"))
     out = [F.get(F.col("_cells"), (F.array_position("columns", F.lit(name)) - 1).cast("int")).alias(name)
            for name in heading_map.values()]
