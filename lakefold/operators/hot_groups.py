@@ -2,12 +2,19 @@
 
 A nested document (an invoice with its items, a project with its tasks, a log
 page with its rows) is built by collecting a group.  One key may hold a large
-share of all rows, so a group is never collected whole: each key gets
-``ceil(count / max_rows)`` parts and every row a deterministic part number from
-a hash of its own identity.  Counting is a map-side-combined aggregate; the
-count joins back on the key, where AQE splits a skewed key on the large side.
-The hash is recomputable in plain SQL (first 32 bits of MD5), and re-running a
-lost task yields the same parts.
+share of all rows, and so may one row repeated many times, so a group is never
+collected whole:
+
+1. exact copies are first collapsed to (row, copies) by an aggregate whose
+   map-side combine absorbs any hot row;
+2. each key gets ``ceil(rows / max_rows)`` parts (the per-key count is another
+   combined aggregate; it joins back on the key, where AQE splits a skewed key);
+3. a distinct row's copies are cut into chunks of at most ``max_rows`` and each
+   chunk gets a part from a hash of the row identity and chunk number;
+4. the copies are expanded again.
+
+Every step is deterministic (a retried task recomputes the same parts) and
+recomputable in plain SQL: the hash is the first 32 bits of MD5.
 """
 
 from __future__ import annotations
@@ -24,10 +31,19 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int,
                      identity: Sequence[str], part_col: str = "part") -> DataFrame:
     """Add ``part_col`` so that each (keys, part) group has about ``max_rows`` rows.
 
-    ``keys`` must be non-null.  Rows with equal ``identity`` share a part.
+    ``keys`` must be non-null; ``identity`` names the columns hashed to place a
+    row (copies of a row are spread by their chunk number).  Returns the same
+    rows (with multiplicity) plus ``part_col``.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_group_rows"))
+    cols = df.columns
+    copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    per_key = copies.groupBy(*keys).agg(F.sum("_copies").alias("_group_rows"))
     n_parts = F.greatest(F.lit(1), F.ceil(F.col("_group_rows") / F.lit(max_rows))).cast("bigint")
-    return (df.join(counts, list(keys))
-              .withColumn(part_col, hash_bucket(n_parts, *identity))
-              .drop("_group_rows"))
+    n_chunks = F.ceil(F.col("_copies") / F.lit(max_rows)).cast("bigint")
+    chunks = (copies.join(per_key, list(keys))
+                    .select(*cols, "_copies", n_parts.alias("_n_parts"),
+                            F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk")))
+    chunk_rows = F.least(F.lit(max_rows).cast("bigint"), F.col("_copies") - F.col("_chunk") * max_rows)
+    return chunks.select(*cols, hash_bucket(F.col("_n_parts"), *identity, "_chunk").alias(part_col),
+                         F.explode(F.array_repeat(F.lit(True), chunk_rows.cast("int"))).alias("_copy")) \
+                 .drop("_copy")

@@ -127,13 +127,40 @@ CTES["tarefa"] = """
 
 
 def _parts(table: str, key: str, max_rows: int, identity: tuple[str, ...]) -> str:
+    """The rows of ``table`` with the part ``split_hot_groups`` gives them (same copies, chunks and hash)."""
+    m = max_rows
     return f"""
-  SELECT t.*, {hash_part('greatest(1, CAST(ceil(c._n / {m}) AS BIGINT))'.format(m=max_rows), *identity)} AS part
-  FROM {table} t JOIN (SELECT {key}, count(*) AS _n FROM {table} GROUP BY {key}) c USING ({key})"""
-
+  SELECT * EXCLUDE (_copies, _n_parts, _chunk, _rep),
+    {hash_part('_n_parts', *identity, '_chunk')} AS part FROM (
+    SELECT *, UNNEST(range(least({m}, _copies - _chunk * {m}))) AS _rep FROM (
+      SELECT d.*, greatest(1, CAST(ceil(c._n / {m}) AS BIGINT)) AS _n_parts,
+        UNNEST(range(0, CAST(ceil(d._copies / {m}) AS BIGINT))) AS _chunk
+      FROM (SELECT *, count(*) AS _copies FROM {table} GROUP BY ALL) d
+      JOIN (SELECT {key}, count(*) AS _n FROM {table} GROUP BY {key}) c USING ({key})))"""
+
+
+CTES["item_src"] = """
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    CASE WHEN l_linenumber = 1 THEN 'Peça ' || CAST(l_partkey AS VARCHAR) || ' & Cia <lote>'
+         ELSE 'Serviço ' || CAST(l_partkey AS VARCHAR) END AS descricao,
+    CAST(l_quantity AS BIGINT) AS quantidade, l_extendedprice AS valor_unitario
+  FROM lineitem"""
+
+CTES["task_src"] = """
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    'TRF' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id_tarefa,
+    CASE l_returnflag WHEN 'R' THEN 'Revisão fiscal' WHEN 'A' THEN 'Apuração de créditos'
+                      ELSE 'Levantamento' END AS descricao,
+    strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS data_inicio,
+    strftime(CAST(l_shipdate AS DATE) + CAST(l_linenumber * 3 - 5 AS INTEGER), '%Y-%m-%d') AS data_prevista_fim,
+    'Consultor ' || CAST(l_suppkey AS VARCHAR) AS responsavel_tarefa,
+    CASE WHEN l_linestatus = 'O' THEN 'Aberta' ELSE 'Finalizada' END AS status_tarefa,
+    CAST(l_quantity AS BIGINT) AS horas_estimadas,
+    CAST(l_quantity AS BIGINT) + l_linenumber - 3 AS horas_realizadas
+  FROM lineitem"""
 
-CTES["item_parts"] = _parts("lineitem", "l_orderkey", MAX_ITEMS_PER_INVOICE, LINE_ID)
-CTES["task_parts"] = _parts("lineitem", "l_orderkey", MAX_TASKS_PER_DOCUMENT, LINE_ID)
+CTES["item_parts"] = _parts("item_src", "l_orderkey", MAX_ITEMS_PER_INVOICE, LINE_ID)
+CTES["task_parts"] = _parts("task_src", "l_orderkey", MAX_TASKS_PER_DOCUMENT, LINE_ID)
 
 CTES["nf_base"] = """
   SELECT o.*, coalesce(p.part, 0) AS part,
@@ -167,11 +194,7 @@ CTES["nota_fiscal_item"] = """
       descricao, quantidade, valor_unitario,
       row_number() OVER (PARTITION BY l_orderkey, part ORDER BY l_linenumber, l_partkey, l_suppkey, descricao,
                          quantidade, valor_unitario) - 1 AS item_pos
-    FROM (SELECT l_orderkey, part, l_linenumber, l_partkey, l_suppkey,
-            CASE WHEN l_linenumber = 1 THEN 'Peça ' || CAST(l_partkey AS VARCHAR) || ' & Cia <lote>'
-                 ELSE 'Serviço ' || CAST(l_partkey AS VARCHAR) END AS descricao,
-            CAST(l_quantity AS BIGINT) AS quantidade, l_extendedprice AS valor_unitario
-          FROM item_parts WHERE l_orderkey IN (SELECT o_orderkey FROM orders)))"""
+    FROM item_parts WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"""
 
 CTES["log_raw"] = """
   SELECT event_id, CAST(ts AS DATE) AS event_day, 'LOG' || CAST(event_id AS VARCHAR) AS id_log, ts AS log_time,

@@ -10,7 +10,8 @@ from lakefold.plans import gold
 
 
 def test_split_hot_groups_bounds_every_part(spark):
-    rows = [(1, i) for i in range(2000)] + [(2, i) for i in range(5)]
+    # key 1: 2000 distinct rows; key 3: one row copied 1000 times (a hot group of copies)
+    rows = [(1, i) for i in range(2000)] + [(2, i) for i in range(5)] + [(3, 7)] * 1000
     df = spark.createDataFrame(rows, "k long, i long")
     out = split_hot_groups(df, ["k"], 64, ["k", "i"]).collect()
     assert Counter((r.k, r.i) for r in out) == Counter(rows)          # nothing dropped or repeated
@@ -18,6 +19,8 @@ def test_split_hot_groups_bounds_every_part(spark):
     hot = [n for (k, _), n in sizes.items() if k == 1]
     assert len(hot) == 32 and max(hot) < 3 * 64                        # ceil(2000/64) parts, none huge
     assert {p for (k, p) in sizes if k == 2} == {0}
+    copies = [n for (k, _), n in sizes.items() if k == 3]
+    assert sum(copies) == 1000 and len(copies) > 4 and max(copies) <= 4 * 64
 
 
 def test_unpivot_drops_nulls(spark):
