@@ -74,6 +74,11 @@ def invoice_totals(invoice: DataFrame, item: DataFrame, tax: DataFrame, exact: b
 
 
 def project_detail(project: DataFrame, task: DataFrame, customer: DataFrame) -> DataFrame:
+    """Task grain with its project and customer.
+
+    The customer is joined to the projects first, so only project-sized data
+    is shuffled by customer and the task-sized side is shuffled once, by project.
+    """
     pro = project.select("id_projeto", "nome_projeto", "responsavel", "id_cliente", "status", "data_inicio",
                          "data_prevista_fim", "horas_totais_estimadas", "horas_totais_realizadas")
     trf = task.select("id_projeto", "id_tarefa", "descricao", "responsavel_tarefa", "status_tarefa",
@@ -82,7 +87,7 @@ def project_detail(project: DataFrame, task: DataFrame, customer: DataFrame) ->
                       F.col("horas_estimadas").alias("horas_estimadas_tarefa"),
                       F.col("horas_realizadas").alias("horas_realizadas_tarefa"))
     cli = customer.select("id_cliente", "razao_social")
-    return (pro.join(trf, "id_projeto").join(cli, "id_cliente")
+    return (pro.join(cli, "id_cliente").join(trf, "id_projeto")
                .select("id_projeto", "nome_projeto", "responsavel",
                        title_case("razao_social").alias("nome_cliente"),
                        "status", "data_inicio", "data_prevista_fim", "horas_totais_estimadas",
@@ -98,7 +103,10 @@ _PROJECT_KEYS = ["id_projeto", "id_cliente", "razao_social", "responsavel", "sta
 def _hours_by_description(project: DataFrame, task: DataFrame, customer: DataFrame) -> DataFrame:
     """Task hours summed per (project, description) first, then joined.
 
-    A NULL status is dropped by ``<> 'Cancelado'``, as in the reference.
+    Projects meet customers first; the hours then join on the project id, and
+    the grouping that follows (keys include the project id) reuses that
+    partitioning instead of shuffling again.  A NULL status is dropped by
+    ``<> 'Cancelado'``, as in the reference.
     """
     hours = (task.groupBy("id_projeto", "descricao")
                  .agg(F.sum("horas_realizadas").alias("tot_hr_tarefa")))
@@ -106,7 +114,7 @@ def _hours_by_description(project: DataFrame, task: DataFrame, customer: DataFra
                   .select("id_projeto", "id_cliente", "responsavel", "status",
                           "horas_totais_estimadas", "horas_totais_realizadas"))
     cli = customer.select("id_cliente", "razao_social")
-    return pro.join(hours, "id_projeto").join(cli, "id_cliente")
+    return pro.join(cli, "id_cliente").join(hours, "id_projeto")
 
 
 def _project_columns(*extra: Column) -> list:
@@ -134,33 +142,49 @@ def project_longest_task(project: DataFrame, task: DataFrame, customer: DataFram
     return agg.select(*_project_columns("tarefa_longa", "hrs_tarefa"))
 
 
-def analysis_summary(analysis: DataFrame, customer: DataFrame) -> DataFrame:
+def _per_customer(facts: DataFrame, customer: DataFrame, distinct: dict[str, str],
+                  sums: dict[str, str], maxes: dict[str, str], mins: dict[str, str]) -> DataFrame:
+    """Summaries grouped by (customer id, name) over facts joined to customers.
+
+    The facts are aggregated per customer id *before* the join, so only one
+    row per customer reaches the join.  This equals aggregating the joined
+    rows: a customer id present in k customer rows with the same name repeats
+    each fact k times, so its sums are multiplied by k (``sum`` over the k
+    joined partial rows), while distinct counts, maxima and minima are
+    unchanged by repetition.
+    """
+    pre = facts.groupBy("id_cliente").agg(
+        *[F.count_distinct(c).alias(out) for out, c in distinct.items()],
+        *[money_sum(c).alias(out) for out, c in sums.items()],
+        *[F.max(c).alias(out) for out, c in maxes.items()],
+        *[F.min(c).alias(out) for out, c in mins.items()])
     cli = customer.select("id_cliente", "razao_social")
-    return (analysis.join(cli, "id_cliente")
-                    .groupBy("id_cliente", "razao_social")
-                    .agg(F.count_distinct("id_analise").alias("qtd_analises"),
-                         F.count_distinct("tipo_tributo").alias("qtd_tipos_tributos"),
-                         _as_double(money_sum("valor_identificado")).alias("valor_total_identificado"),
-                         F.max("valor_identificado").alias("maior_valor_identificado"),
-                         F.min("valor_identificado").alias("menor_valor_identificado"),
-                         F.max("ano").alias("ultimo_ano_analisado"))
-                    .select("id_cliente", title_case("razao_social").alias("nome_cliente"), "qtd_analises",
-                            "qtd_tipos_tributos", "valor_total_identificado", "maior_valor_identificado",
-                            "menor_valor_identificado", "ultimo_ano_analisado"))
+    return (pre.join(cli, "id_cliente")
+               .groupBy("id_cliente", "razao_social")
+               .agg(*[F.max(o).alias(o) for o in distinct],
+                    *[_as_double(F.sum(o)).alias(o) for o in sums],
+                    *[F.max(o).alias(o) for o in maxes],
+                    *[F.min(o).alias(o) for o in mins]))
+
+
+def analysis_summary(analysis: DataFrame, customer: DataFrame) -> DataFrame:
+    agg = _per_customer(analysis, customer,
+                        distinct={"qtd_analises": "id_analise", "qtd_tipos_tributos": "tipo_tributo"},
+                        sums={"valor_total_identificado": "valor_identificado"},
+                        maxes={"maior_valor_identificado": "valor_identificado", "ultimo_ano_analisado": "ano"},
+                        mins={"menor_valor_identificado": "valor_identificado"})
+    return agg.select("id_cliente", title_case("razao_social").alias("nome_cliente"), "qtd_analises",
+                      "qtd_tipos_tributos", "valor_total_identificado", "maior_valor_identificado",
+                      "menor_valor_identificado", "ultimo_ano_analisado")
 
 
 def invoice_summary(totals: DataFrame, customer: DataFrame) -> DataFrame:
     """Per customer over ``invoice_totals`` (pass its parity or exact form)."""
-    cli = customer.select("id_cliente", "razao_social")
-    return (totals.join(cli, "id_cliente")
-                  .groupBy("id_cliente", "razao_social")
-                  .agg(F.count_distinct("id_nota").alias("qtd_notas"),
-                       _as_double(money_sum("valor_total")).alias("valor_total_notas"),
-                       _as_double(money_sum("valor_servico")).alias("valor_total_servicos"),
-                       _as_double(money_sum("valor_iss")).alias("total_iss"),
-                       _as_double(money_sum("valor_pis")).alias("total_pis"),
-                       _as_double(money_sum("valor_cofins")).alias("total_cofins"),
-                       F.max("data_emissao").alias("ultima_emissao"))
-                  .select("id_cliente", title_case("razao_social").alias("nome_cliente"), "qtd_notas",
-                          "valor_total_notas", "valor_total_servicos", "total_iss", "total_pis", "total_cofins",
-                          "ultima_emissao"))
+    agg = _per_customer(totals, customer,
+                        distinct={"qtd_notas": "id_nota"},
+                        sums={"valor_total_notas": "valor_total", "valor_total_servicos": "valor_servico",
+                              "total_iss": "valor_iss", "total_pis": "valor_pis", "total_cofins": "valor_cofins"},
+                        maxes={"ultima_emissao": "data_emissao"}, mins={})
+    return agg.select("id_cliente", title_case("razao_social").alias("nome_cliente"), "qtd_notas",
+                      "valor_total_notas", "valor_total_servicos", "total_iss", "total_pis", "total_cofins",
+                      "ultima_emissao")
