@@ -1,0 +1,3 @@
+"""Incremental landing with Structured Streaming (exactly-once file ingestion)."""
+
+from lakefold.streaming.landing import land_documents, land_delimited  # noqa: F401
