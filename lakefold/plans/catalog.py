@@ -187,8 +187,7 @@ def _period_parse(L: Layers):
     o_orderkey % 500 + 10 AS horas_totais_estimadas, TRY_CAST('abc' || CAST(o_orderkey AS VARCHAR) AS BIGINT) AS bad_long
     FROM orders""")
 def _safe_cast(L: Layers):
-    from lakefold.sources.documents import project_elements
-    el = project_elements(L.project_docs).dropDuplicates(["id_projeto"])
+    el = L.project_elements.dropDuplicates(["id_projeto"])
     return el.select("id_projeto", F.col("data_inicio").alias("data_inicio_text"),
                      safe_date("data_inicio").alias("data_inicio"), safe_double("valor_projeto").alias("valor_projeto"),
                      safe_long("horas_totais_estimadas").alias("horas_totais_estimadas"),

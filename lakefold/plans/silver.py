@@ -59,8 +59,9 @@ def tax_analysis(raw: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def project(docs: DataFrame) -> DataFrame:
-    """One row per distinct project object of the JSON documents."""
-    return (project_elements(docs)
+    """One row per distinct project object of the JSON documents (or of parsed elements)."""
+    elements = docs if "tarefas" in docs.columns else project_elements(docs)
+    return (elements
             .where(F.col("id_projeto").isNotNull())
             .select("id_projeto", "nome_projeto",
                     F.col("cliente_id").alias("id_cliente"),
@@ -75,7 +76,7 @@ def project(docs: DataFrame) -> DataFrame:
 
 
 def task(docs: DataFrame) -> DataFrame:
-    """One row per distinct task object nested in the projects."""
+    """One row per distinct task object nested in the projects (documents or parsed elements)."""
     return (task_elements(docs)
             .where(F.col("id_tarefa").isNotNull())
             .select("id_projeto", "id_tarefa", "descricao",

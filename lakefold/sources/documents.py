@@ -61,8 +61,11 @@ def project_elements(docs: DataFrame) -> DataFrame:
 
 
 def task_elements(docs: DataFrame) -> DataFrame:
-    """Task objects nested in projects (two-level unnest), with the project id."""
-    projects = project_elements(docs)
+    """Task objects nested in projects (two-level unnest), with the project id.
+
+    Accepts documents or already parsed project elements (``project_elements``).
+    """
+    projects = docs if "tarefas" in docs.columns else project_elements(docs)
     return projects.select(F.col("id_projeto"), F.explode("tarefas").alias("t")) \
                    .select("id_projeto", *[F.col("t")[f].alias(f) for f in TASK_FIELDS])
 
