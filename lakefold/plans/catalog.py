@@ -78,8 +78,25 @@ _DQ_SQL = {
         count_if(quantidade <= 0 OR valor_unitario < 0) AS valores_invalidos,
         count(*) - count(DISTINCT id_item) AS duplicatas_id_item, {_TS} AS data_checagem FROM nota_fiscal_item""",
 }
+
+
+def _bigint_count_if(sql: str) -> str:
+    """Wrap each ``count_if(...)`` in a BIGINT cast (DuckDB returns HUGEINT)."""
+    out, i = [], 0
+    while (j := sql.find("count_if(", i)) >= 0:
+        depth, k = 0, j + len("count_if")
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+            if depth == 0:
+                break
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+    return "".join(out) + sql[i:]
+
+
 for _name, _sql in _DQ_SQL.items():
-    register(_name, _sql)(lambda L, _n=_name: L.dq(_n))
+    register(_name, _bigint_count_if(_sql))(lambda L, _n=_name: L.dq(_n))
 
 # -- integrity -----------------------------------------------------------------
 from pyspark.sql import functions as F  # noqa: E402
@@ -155,7 +172,8 @@ def _title_case(L: Layers):
     length(regexp_replace(cnpj, '\\D', '', 'g')) AS n_digits FROM customer_raw""")
 def _digits_only(L: Layers):
     d = digits_only("cnpj")
-    return L.customer_raw.select("id_cliente", "cnpj", d.alias("cnpj_digits"), F.length(d).alias("n_digits"))
+    return L.customer_raw.select("id_cliente", "cnpj", d.alias("cnpj_digits"),
+                                 F.length(d).cast("bigint").alias("n_digits"))
 
 
 @register("clean_ip", """SELECT id_log, ip, regexp_replace(coalesce(ip, ''), '[^0-9\\\\.]+', '', 'g') AS ip_clean
@@ -203,7 +221,7 @@ def _json_field(L: Layers):
 
 
 @register("surrogate_key", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS doc_id,
-    0 AS pos, id_nota FROM nf_base""")
+    CAST(0 AS BIGINT) AS pos, id_nota FROM nf_base""")
 def _surrogate_key(L: Layers):
     return L.invoice_elements.select("doc_id", F.col("pos").cast("bigint").alias("pos"),
                                      surrogate_key("doc_id", "pos").alias("id_nota"))
@@ -220,7 +238,7 @@ _PRJ_DOCS = """(SELECT 'prj-doc-' || CAST(o.o_orderkey AS VARCHAR) || '-' || CAS
       ON o.o_orderkey = p.l_orderkey)"""
 
 
-@register("json_array_rows", f"SELECT doc_id, 0 AS pos, id_projeto, n_tarefas FROM {_PRJ_DOCS}")
+@register("json_array_rows", f"SELECT doc_id, CAST(0 AS BIGINT) AS pos, id_projeto, n_tarefas FROM {_PRJ_DOCS}")
 def _json_array_rows(L: Layers):
     from lakefold.sources.documents import json_array_rows
     rows = json_array_rows(L.project_docs)
@@ -385,7 +403,8 @@ def _audit_sql() -> str:
             rows.append(f"SELECT {2 * i + 2}, '{op}', '{table}', 'ERROR', CAST(NULL AS BIGINT)")
         else:
             rows.append(f"SELECT {2 * i + 2}, '{op}', '{table}', 'SUCCESS', ({count_sql})")
-    return "SELECT seq, operation, table_id, status, n_rows FROM (" + "\nUNION ALL\n".join(rows) + ")"
+    return ("SELECT CAST(seq AS BIGINT) AS seq, operation, table_id, status, n_rows FROM ("
+            + "\nUNION ALL\n".join(rows) + ")")
 
 
 @register("load_audit", _audit_sql())
