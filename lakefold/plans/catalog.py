@@ -326,7 +326,7 @@ def _xml_to_json(L: Layers):
                                 F.lit(0)).cast("bigint").alias("n_itens"))
 
 
-@register("html_table", """SELECT id_log, strftime(log_time, '%Y-%m-%d %H:%M:%S.%f') AS log_time, usuario, acao,
+@register("html_table", """SELECT id_log, CAST(log_time AS VARCHAR) AS log_time, usuario, acao,
     entidade_afetada, resultado, ip FROM log_raw""")
 def _html_table(L: Layers):
     return html_table(L.log_pages, LOG_HEADINGS).drop("doc_id", "row_pos")

@@ -136,7 +136,7 @@ def log_table(pages: DataFrame, heading_map) -> DataFrame:
 
 def _truncate_to_second(c: str) -> Column:
     """Zone-free truncation of a TIMESTAMP_NTZ (``date_trunc`` returns a zoned TIMESTAMP)."""
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
+    return F.substring(F.col(c).cast("string"), 1, 19).cast("timestamp_ntz")
 
 
 def system_log(bronze: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -44,7 +44,8 @@ LOG_HEADINGS = {
 
 
 def _dstr(c) -> F.Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    # ISO date text by casting (no session time zone involved, unlike date_format).
+    return F.to_date(c).cast("string")
 
 
 def _id(prefix: str, c) -> F.Column:
@@ -99,7 +100,7 @@ def analysis_records(events: DataFrame) -> DataFrame:
     period = (F.when(e % 101 == 41, F.lit(None).cast("string"))
                .when(e % 101 == 17, F.concat(year, F.lit("-Q12")))
                .when(e % 101 == 29, year)
-               .when(e % 3 == 0, F.date_format("ts", "yyyy-MM"))
+               .when(e % 3 == 0, F.substring(F.col("ts").cast("string"), 1, 7))
                .when(e % 3 == 1, F.concat(year, F.lit("-Q"), F.quarter("ts").cast("string")))
                .otherwise(F.concat(year, F.lit("-S"),
                                    F.when(F.month("ts") <= 6, F.lit("1")).otherwise(F.lit("2")))))
@@ -291,7 +292,7 @@ def log_records(events: DataFrame) -> DataFrame:
     return events.select(
         k.alias("event_id"), F.to_date("ts").alias("event_day"),
         _id("LOG", "event_id").alias("id_log"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("log_time"),
+        F.col("ts").cast("string").alias("log_time"),
         F.concat(F.lit("  User"), F.col("user_id").cast("string"), F.lit(" ")).alias("usuario"),
         action.alias("acao"),
         entity.alias("entidade_afetada"),

@@ -36,22 +36,33 @@ def _cells(row_html: Column) -> Column:
     return F.transform(F.regexp_extract_all(row_html, F.lit(_CELL), 1), _cell_text)
 
 
+def _pin(df: DataFrame, keep: list[str], **exprs: Column) -> DataFrame:
+    """Evaluate ``exprs`` once per row and expose them as plain columns.
+
+    The values come out of a one-element ``inline`` generator, so the optimizer
+    cannot substitute the expressions into later filters (predicate pushdown
+    through a projection would re-evaluate a page-wide regex per reference).
+    """
+    pinned = F.inline(F.array(F.struct(*[e.alias(k) for k, e in exprs.items()])))
+    return df.select(*keep, pinned)
+
+
 def html_table_status(pages: DataFrame, heading_map: Mapping[str, str]) -> DataFrame:
     """Per page: the first table's heading, data rows and the load verdict.
 
     ``status`` is ``ok``, ``missing_table`` or ``missing_columns``;
     ``missing`` lists absent mapped names, sorted.
     """
-    table = F.nullif(F.regexp_extract("conteudo", _TABLE, 0), F.lit(""))
-    rows = F.regexp_extract_all(F.col("_table"), F.lit(_ROW), 1)
-    staged = pages.select("doc_id", table.alias("_table")).select("doc_id", "_table", rows.alias("_rows"))
+    staged = _pin(pages, ["doc_id"], _table=F.nullif(F.regexp_extract("conteudo", _TABLE, 0), F.lit("")))
+    staged = _pin(staged, ["doc_id", "_table"], _rows=F.regexp_extract_all(F.col("_table"), F.lit(_ROW), 1))
     is_head = lambda r: r.rlike(_HEAD_ROW)
     head_html = F.get(F.filter("_rows", is_head), 0)
     headings = F.transform(_cells(head_html), lambda h: F.coalesce(h, F.lit("")))
     renamed = F.transform(headings, lambda h: F.coalesce(
         F.element_at(F.create_map(*[x for kv in heading_map.items() for x in map(F.lit, kv)]), h), h))
+    staged = _pin(staged, ["doc_id", "_table", "_rows"], columns=renamed)
     required = F.array(*[F.lit(v) for v in sorted(heading_map.values())])
-    missing = F.array_sort(F.array_except(required, F.coalesce(renamed, F.array().cast("array<string>"))))
+    missing = F.array_sort(F.array_except(required, F.coalesce("columns", F.array().cast("array<string>"))))
     status = (F.when(F.col("_table").isNull(), F.lit("missing_table"))
                .when(F.size(missing) > 0, F.lit("missing_columns"))
                .otherwise(F.lit("ok")))
@@ -59,7 +70,7 @@ def html_table_status(pages: DataFrame, heading_map: Mapping[str, str]) -> DataF
         "doc_id",
         status.alias("status"),
         F.when(F.col("_table").isNull(), F.array().cast("array<string>")).otherwise(missing).alias("missing"),
-        renamed.alias("columns"),
+        "columns",
         F.filter("_rows", lambda r: ~is_head(r)).alias("data_rows"),
     )
 
@@ -79,10 +90,11 @@ def html_table(pages: DataFrame, heading_map: Mapping[str, str], strict: bool =
                                    F.array_join("missing", ", ")))))
     else:
         st = st.where(F.col("status") == "ok")
-    # _outer + filter: a plain explode would re-run the page regexes in an inferred filter.
-    rows = (st.select("doc_id", "columns", F.posexplode_outer("data_rows").alias("row_pos", "_row"))
+    # Cells are split before the explode, so each row's cells are a generator
+    # output; _outer + filter avoids the inferred size() filter of a plain explode.
+    rows = (st.select("doc_id", "columns",
+                      F.posexplode_outer(F.transform("data_rows", _cells)).alias("row_pos", "_cells"))
               .where(F.col("row_pos").isNotNull()))
-    rows = rows.select("doc_id", "row_pos", "columns", _cells(F.col("_row")).alias("_cells"))
     out = [F.get(F.col("_cells"), (F.array_position("columns", F.lit(name)) - 1).cast("int")).alias(name)
            for name in heading_map.values()]
     return rows.select("doc_id", "row_pos", *out)
