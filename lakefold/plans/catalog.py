@@ -321,8 +321,9 @@ def _xml_records(L: Layers):
       ON nf_base.id_nota = i.nid""")
 def _xml_to_json(L: Layers):
     js = xml_to_json(L.invoice_docs)
-    return js.select("doc_id", F.get_json_object("conteudo", "$.NotaFiscal[0].NumeroNota").alias("numero_nota"),
-                     F.coalesce(F.json_array_length(F.get_json_object("conteudo", "$.NotaFiscal[0].Itens.Item")),
+    first = "$.NotasFiscais.NotaFiscal[0]"
+    return js.select("doc_id", F.get_json_object("conteudo", f"{first}.NumeroNota").alias("numero_nota"),
+                     F.coalesce(F.json_array_length(F.get_json_object("conteudo", f"{first}.Itens.Item")),
                                 F.lit(0)).cast("bigint").alias("n_itens"))
 
 

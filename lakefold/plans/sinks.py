@@ -72,12 +72,14 @@ class Loader:
     build: Callable[[], DataFrame]
 
 
-def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str, audit_path: str) -> DataFrame:
+def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str, audit_path: str,
+              audit_format: str = "parquet") -> DataFrame:
     """Run each load in turn; a failure is logged and the remaining loads continue.
 
     Each load is an independent Spark write.  Its row count is observed during
     the write itself (no second pass).  Audit rows are appended to
-    ``audit_path`` and returned.
+    ``audit_path`` (Parquet, or CSV with a header like the reference's log
+    file) and returned.
     """
     records = []
     seq = 0
@@ -95,10 +97,26 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
             df.write.mode("overwrite").parquet(f"{target_root}/{ld.table_id}")
             n = obs.get["n"]
         except Exception as exc:  # noqa: BLE001 - keep the remaining loads running
-            first = str(exc).strip().splitlines()[0] if str(exc).strip() else type(exc).__name__
-            log(ld.operation, ld.table_id, "ERROR", f"Falha ao processar {ld.source}: {first[:500]}", None)
+            text = str(exc).strip() or type(exc).__name__
+            log(ld.operation, ld.table_id, "ERROR", f"Falha ao processar {ld.source}: {text[:2000]}", None)
         else:
             log(ld.operation, ld.table_id, "SUCCESS", f"{ld.table_id} carregada com sucesso", n)
     audit = spark.createDataFrame(records, AUDIT_SCHEMA)
-    audit.write.mode("append").parquet(audit_path)
+    if audit_format == "csv":
+        (audit.select(F.date_format("logged_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+                      "operation", "table_id", "status", "message")
+              .coalesce(1).write.mode("append").option("header", True).option("escape", '"').csv(audit_path))
+    else:
+        audit.write.mode("append").parquet(audit_path)
     return audit
+
+
+AUDIT_CSV_SCHEMA = "timestamp string, operation string, table_id string, status string, message string"
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """Read an audit CSV: quoted messages may span lines and hold doubled quotes;
+    timestamps may be naive or carry an offset (both parse)."""
+    raw = (spark.read.schema(AUDIT_CSV_SCHEMA).option("header", True).option("multiLine", True)
+           .option("escape", '"').csv(path))
+    return raw.withColumn("logged_at", F.try_to_timestamp("timestamp"))

@@ -2,7 +2,7 @@
 
 from lakefold.sources.files import scan_csv, scan_documents, scan_pipe, scan_xml_records  # noqa: F401
 from lakefold.sources.documents import (  # noqa: F401
-    invoice_elements, json_array_rows, project_elements, task_elements, xml_to_json,
+    invoice_elements, invoice_elements_from_json, json_array_rows, project_elements, task_elements, xml_to_json,
 )
 from lakefold.sources.html import html_table, html_table_status  # noqa: F401
 from lakefold.sources.gates import strict_timestamp  # noqa: F401

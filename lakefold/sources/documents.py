@@ -79,6 +79,22 @@ def invoice_elements(docs: DataFrame) -> DataFrame:
                      F.col("n")["Itens"]["Item"].alias("Itens"))
 
 
-def xml_to_json(docs: DataFrame) -> DataFrame:
-    """The XML tree re-emitted as JSON text (``from_xml`` then ``to_json``)."""
-    return docs.select("doc_id", F.to_json(F.from_xml("conteudo", INVOICES_SCHEMA)).alias("conteudo"))
+def xml_to_json(docs: DataFrame, root: str = "NotasFiscais") -> DataFrame:
+    """The XML tree re-emitted as JSON text under its root element name:
+    ``{"NotasFiscais": {"NotaFiscal": [...]}}`` (``from_xml`` then ``to_json``).
+
+    Leaves stay text, as in the XML; a repeated element is always an array.
+    """
+    tree = F.struct(F.from_xml("conteudo", INVOICES_SCHEMA).alias(root))
+    return docs.select("doc_id", F.to_json(tree).alias("conteudo"))
+
+
+def invoice_elements_from_json(json_docs: DataFrame, root: str = "NotasFiscais") -> DataFrame:
+    """``NotaFiscal`` elements of invoice documents already converted to JSON
+    (the ``xml_to_json`` bronze table): same rows as ``invoice_elements``."""
+    parsed = json_docs.select("doc_id", F.from_json("conteudo", f"{root} struct<{INVOICES_SCHEMA}>")[root]
+                              ["NotaFiscal"].alias("_arr"))
+    el = explode_parsed(parsed, "_arr", "n")
+    return el.select("doc_id", "pos", *[F.col("n")[f].alias(f) for f in INVOICE_FIELDS],
+                     *[F.col("n")["Impostos"][f].alias(f) for f in TAX_FIELDS],
+                     F.col("n")["Itens"]["Item"].alias("Itens"))

@@ -35,3 +35,19 @@ def test_dynamic_partition_overwrite_keeps_other_days(spark):
     out = sinks.partitioned_write(b, path, "d")
     assert sorted((r.k, str(r.d)) for r in out.collect()) == [(1, "2024-01-01"), (3, "2024-01-02")]
     assert out.where(F.col("d") == dt.date(2024, 1, 1)).count() == 1
+
+
+def test_audit_csv_keeps_multiline_messages_and_isolates_failures(spark):
+    root = fresh_path(spark, "t-audit")
+    ok = sinks.Loader("load_raw_csv", "t_ok", "src-a", lambda: spark.range(3))
+    bad = sinks.Loader("load_raw_x", "t_bad", "src-b",
+                       lambda: spark.range(1).select(F.raise_error(F.lit('broken "quoted"\nsecond line'))))
+    after = sinks.Loader("load_raw_txt", "t_after", "src-c", lambda: spark.range(2))
+    audit = sinks.run_loads(spark, [ok, bad, after], f"{root}/bronze", f"{root}/audit.csv", audit_format="csv")
+    assert [(r.table_id, r.status, r.n_rows) for r in audit.collect()] == [
+        ("t_ok", "START", None), ("t_ok", "SUCCESS", 3), ("t_bad", "START", None), ("t_bad", "ERROR", None),
+        ("t_after", "START", None), ("t_after", "SUCCESS", 2)]
+    back = sinks.read_audit(spark, f"{root}/audit.csv").collect()
+    assert len(back) == 6 and all(r.logged_at is not None for r in back)
+    err = [r.message for r in back if r.status == "ERROR"][0]
+    assert 'broken "quoted"' in err and "second line" in err

@@ -79,6 +79,16 @@ def test_xml_invoice_singleton_item_kept_and_absent_tax_dropped(spark):
     assert len({r.id_nota for r in inv}) == 2
 
 
+def test_xml_to_json_route_gives_the_same_elements(spark):
+    from lakefold.sources import invoice_elements_from_json, xml_to_json
+    docs = spark.createDataFrame([("d", XML)], "doc_id string, conteudo string")
+    js = xml_to_json(docs)
+    assert js.first().conteudo.startswith('{"NotasFiscais":{"NotaFiscal":[{"NumeroNota":"1"')
+    a = sorted(map(tuple, invoice_elements(docs).collect()))
+    b = sorted(map(tuple, invoice_elements_from_json(js).collect()))
+    assert a == b
+
+
 def test_xml_strict_cast_fails_on_bad_amount(spark):
     docs = spark.createDataFrame([("d", XML.replace("<ValorTotal>12</ValorTotal>", "<ValorTotal>12,0</ValorTotal>"))],
                                  "doc_id string, conteudo string")
