@@ -51,3 +51,18 @@ def test_audit_csv_keeps_multiline_messages_and_isolates_failures(spark):
     assert len(back) == 6 and all(r.logged_at is not None for r in back)
     err = [r.message for r in back if r.status == "ERROR"][0]
     assert 'broken "quoted"' in err and "second line" in err
+
+
+def test_read_audit_accepts_naive_and_offset_timestamps(spark):
+    path = fresh_path(spark, "t-audit-forms")
+    import os
+    os.makedirs(path)
+    with open(f"{path}/log.csv", "w", encoding="utf-8") as fh:
+        fh.write('timestamp,operation,table_id,status,message\n'
+                 '2025-10-27T02:06:12.939658,run_ddl,t,START,ok\n'
+                 '2025-10-27T02:06:13.872785,run_ddl,t,ERROR,"Falha: Expected "")"" or "",""\n\nLocation: US\n"\n'
+                 '2025-10-27T02:09:30.886949+00:00,run_ddl,t,START,ok\n')
+    rows = sinks.read_audit(spark, path).collect()
+    assert [r.status for r in rows] == ["START", "ERROR", "START"]
+    assert all(r.logged_at is not None for r in rows)
+    assert rows[1].message.startswith('Falha: Expected ")" or ","') and "Location: US" in rows[1].message

@@ -89,6 +89,16 @@ def test_xml_to_json_route_gives_the_same_elements(spark):
     assert a == b
 
 
+def test_repeated_invoice_number_keeps_children_with_their_own_element(spark):
+    repeated = XML.replace("<NumeroNota>2</NumeroNota>", "<NumeroNota>1</NumeroNota>")
+    docs = spark.createDataFrame([("d", repeated)], "doc_id string, conteudo string")
+    el = invoice_elements(docs)
+    inv = silver.invoice(el).collect()
+    assert [r.numero_nota for r in inv] == ["1", "1"] and len({r.id_nota for r in inv}) == 2
+    items = silver.invoice_item(el).collect()
+    assert len(items) == 1                      # not multiplied by the repeated number
+
+
 def test_xml_strict_cast_fails_on_bad_amount(spark):
     docs = spark.createDataFrame([("d", XML.replace("<ValorTotal>12</ValorTotal>", "<ValorTotal>12,0</ValorTotal>"))],
                                  "doc_id string, conteudo string")
