@@ -261,12 +261,13 @@ def invoice_nodes(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def invoice_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """XML documents ``<NotasFiscais><NotaFiscal>...</NotaFiscal></NotasFiscais>``.
 
-    Values are escaped by ``to_xml``; an absent tax is an absent element.
+    Values are escaped by ``to_xml``; an absent tax is an absent element; no
+    indentation (whitespace between elements only costs parse time).
     """
     nodes = invoice_nodes(orders, lineitem)
     return nodes.select(
         "doc_id",
-        F.concat(F.lit("<NotasFiscais>"), F.to_xml("NotaFiscal", {"rowTag": "NotaFiscal"}),
+        F.concat(F.lit("<NotasFiscais>"), F.to_xml("NotaFiscal", {"rowTag": "NotaFiscal", "indent": ""}),
                  F.lit("</NotasFiscais>")).alias("conteudo"))
 
 
