@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakefold.fixed import DATE_FORMAT, PERIOD_RULES, PERIOD_UNKNOWN
 from lakefold.functions.text import _c
 
-DATE_FORMAT = "yyyy-MM-dd"
-
 
 # -- tolerant: invalid text becomes NULL ------------------------------------
 def safe_long(col) -> Column:
@@ -38,31 +37,23 @@ def strict_date(col) -> Column:
 
 
 # -- period text: 'YYYY-MM', 'YYYY-Qn', 'YYYY-Sn' -----------------------------
-# Tests are ordered as in the reference and only the month test is anchored,
-# so '2024-Q12' is a quarter.
-_QUARTER = r"-Q[1-4]"
-_HALF = r"-S[1-2]"
-_MONTH = r"-\d{2}$"
-
-
 def period_year(col) -> Column:
     return F.substring(_c(col), 1, 4).try_cast("bigint")
 
 
 def period_kind(col) -> Column:
     p = _c(col)
-    return (F.when(p.rlike(_QUARTER), F.lit("TRIMESTRE"))
-             .when(p.rlike(_HALF), F.lit("SEMESTRE"))
-             .when(p.rlike(_MONTH), F.lit("MES"))
-             .otherwise(F.lit("DESCONHECIDO")))
+    out = None
+    for test, label, _ in PERIOD_RULES:
+        out = (F.when if out is None else out.when)(p.rlike(test), F.lit(label))
+    return out.otherwise(F.lit(PERIOD_UNKNOWN))
 
 
 def period_number(col) -> Column:
+    """The number after the matched period kind (a no-match '' becomes NULL)."""
     p = _c(col)
-
-    def grab(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(p, pattern, 1), F.lit("")).try_cast("bigint")
-
-    return (F.when(p.rlike(_QUARTER), grab(r"Q([1-4])"))
-             .when(p.rlike(_HALF), grab(r"S([1-2])"))
-             .when(p.rlike(_MONTH), grab(r"-(\d{2})$")))
+    out = None
+    for test, _, number in PERIOD_RULES:
+        value = F.nullif(F.regexp_extract(p, number, 1), F.lit("")).try_cast("bigint")
+        out = (F.when if out is None else out.when)(p.rlike(test), value)
+    return out

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakefold.fixed import IP_DROP_PATTERN
+
 _EDGE_WS = r"^\s+|\s+$"
 # A run of word characters or a run of separators; concatenating the runs
 # gives back the input, so title-casing each run is safe.
@@ -49,4 +51,4 @@ def clean_ip(col) -> Column:
     The character class matches the reference's, which escapes a backslash and
     therefore also keeps it.  Letters and colons (IPv6) are dropped.
     """
-    return F.regexp_replace(F.coalesce(_c(col), F.lit("")), r"[^0-9\\.]+", "")
+    return F.regexp_replace(F.coalesce(_c(col), F.lit("")), IP_DROP_PATTERN, "")

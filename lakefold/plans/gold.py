@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.fixed import CANCELLED_STATUS
 from lakefold.functions.text import title_case
 
 MONEY = "decimal(18,4)"
@@ -110,7 +111,7 @@ def _hours_by_description(project: DataFrame, task: DataFrame, customer: DataFra
     """
     hours = (task.groupBy("id_projeto", "descricao")
                  .agg(F.sum("horas_realizadas").alias("tot_hr_tarefa")))
-    pro = (project.where(F.col("status") != "Cancelado")
+    pro = (project.where(F.col("status") != CANCELLED_STATUS)
                   .select("id_projeto", "id_cliente", "responsavel", "status",
                           "horas_totais_estimadas", "horas_totais_realizadas"))
     cli = customer.select("id_cliente", "razao_social")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.fixed import TAX_NUMBER_PATTERN, TAX_TYPES, VALID_PERIOD_KINDS
 from lakefold.operators.integrity import duplicate_excess
 from lakefold.plans.silver import stamp
 
@@ -31,7 +32,7 @@ def dq_customer(customer: DataFrame, as_of: str | None = None) -> DataFrame:
     c = F.col
     return _view(customer, "cliente", as_of,
                  _count_if(c("id_cliente").isNull()).alias("nulos_id_cliente"),
-                 _count_if(c("cnpj").isNull() | ~c("cnpj").rlike(r"^\d{14}$")).alias("cnpj_invalido"),
+                 _count_if(c("cnpj").isNull() | ~c("cnpj").rlike(TAX_NUMBER_PATTERN)).alias("cnpj_invalido"),
                  _count_if(c("data_cadastro").isNull() | (c("data_cadastro") > _today(as_of)))
                  .alias("data_cadastro_invalida"),
                  duplicate_excess("id_cliente").alias("duplicatas_id_cliente"))
@@ -43,7 +44,7 @@ def dq_analysis(analysis: DataFrame, as_of: str | None = None) -> DataFrame:
                  _count_if(c("id_analise").isNull()).alias("nulos_id_analise"),
                  _count_if(c("id_cliente").isNull()).alias("nulos_id_cliente"),
                  _count_if(c("valor_identificado") < 0).alias("valores_negativos"),
-                 _count_if(~c("periodo_tipo").isin("MES", "TRIMESTRE", "SEMESTRE")).alias("periodo_tipo_invalido"),
+                 _count_if(~c("periodo_tipo").isin(*VALID_PERIOD_KINDS)).alias("periodo_tipo_invalido"),
                  duplicate_excess("id_analise").alias("duplicatas_id_analise"))
 
 
@@ -84,7 +85,7 @@ def dq_invoice_tax(tax: DataFrame, as_of: str | None = None) -> DataFrame:
                  _count_if(c("id_imposto").isNull()).alias("nulos_id_imposto"),
                  _count_if(c("id_nota").isNull()).alias("nulos_id_nota"),
                  _count_if(c("valor") < 0).alias("valores_negativos"),
-                 _count_if(~c("tipo_imposto").isin("ISS", "PIS", "COFINS")).alias("tipo_invalido"),
+                 _count_if(~c("tipo_imposto").isin(*TAX_TYPES)).alias("tipo_invalido"),
                  duplicate_excess("id_imposto").alias("duplicatas_id_imposto"))
 
 

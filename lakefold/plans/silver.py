@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.fixed import TAX_TYPES
 from lakefold.functions.keys import surrogate_key
 from lakefold.functions.parsing import (
     period_kind, period_number, period_year, safe_date, safe_double, safe_long, strict_date,
@@ -110,9 +111,8 @@ def invoice(elements: DataFrame) -> DataFrame:
 def invoice_tax(elements: DataFrame) -> DataFrame:
     """One row per invoice and present tax (ISS, PIS, COFINS unpivoted)."""
     typed = elements.select(_invoice_key().alias("id_nota"),
-                            *[strict_double(t).alias(t) for t in ("ISS", "PIS", "COFINS")])
-    taxes = unpivot_columns(typed, ["id_nota"], {"ISS": "ISS", "PIS": "PIS", "COFINS": "COFINS"},
-                            "tipo_imposto", "valor")
+                            *[strict_double(t).alias(t) for t in TAX_TYPES])
+    taxes = unpivot_columns(typed, ["id_nota"], {t: t for t in TAX_TYPES}, "tipo_imposto", "valor")
     return taxes.select(surrogate_key("id_nota", "tipo_imposto").alias("id_imposto"),
                         "id_nota", "tipo_imposto", "valor")
 

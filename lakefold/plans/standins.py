@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.fixed import LOG_HEADINGS as FIXED_LOG_HEADINGS
 from lakefold.operators.hot_groups import split_hot_groups
 
 # Group bounds for the nested documents (rows per document part).
@@ -30,17 +31,8 @@ MAX_TASKS_PER_DOCUMENT = 64
 MAX_ITEMS_PER_INVOICE = 64
 MAX_ROWS_PER_LOG_PAGE = 256
 
-# Fixed values of the log page: its headings, in page order, and the mapping of
-# each heading to a bronze column name.
-LOG_HEADINGS = {
-    "ID Log": "id_log",
-    "Timestamp": "log_time",
-    "Usuário": "usuario",
-    "Ação": "acao",
-    "Entidade Afetada": "entidade_afetada",
-    "Resultado": "resultado",
-    "IP": "ip",
-}
+# The log page headings (a fixed value, stated in lakefold.fixed).
+LOG_HEADINGS = FIXED_LOG_HEADINGS
 
 
 def _dstr(c) -> F.Column:

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.fixed import TAX_TYPES
+
 # Declared document schemas (all leaves STRING).
 TASK_FIELDS = ["id_tarefa", "descricao", "data_inicio", "data_prevista_fim", "responsavel_tarefa",
                "status_tarefa", "horas_estimadas", "horas_realizadas"]
@@ -28,7 +30,7 @@ PROJECTS_SCHEMA = ("projetos array<struct<" + ",".join(f"{f}:string" for f in PR
                    + ",tarefas:array<struct<" + ",".join(f"{f}:string" for f in TASK_FIELDS) + ">>>>")
 
 INVOICE_FIELDS = ["NumeroNota", "DataEmissao", "ClienteID", "ValorServico", "ValorTotal"]
-TAX_FIELDS = ["ISS", "PIS", "COFINS"]
+TAX_FIELDS = list(TAX_TYPES)
 ITEM_FIELDS = ["Descricao", "Quantidade", "ValorUnitario"]
 INVOICE_ELEMENT = ("struct<" + ",".join(f"{f}:string" for f in INVOICE_FIELDS)
                    + ",Impostos:struct<" + ",".join(f"{f}:string" for f in TAX_FIELDS) + ">"
