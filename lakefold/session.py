@@ -13,11 +13,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings chosen for scale, not only for local runs: AQE re-plans joins from
-# runtime sizes (a broadcast happens only when the measured side is under the
-# threshold), splits skewed join and rebalance partitions, and coalesces small
-# shuffle partitions.
+# runtime sizes, splits skewed join and rebalance partitions, and coalesces
+# small shuffle partitions.  Broadcasts are decided only at run time, from the
+# measured size of a materialised shuffle (a proven bound), never from the
+# planner's estimate of an aggregate over a large input; explicit hints on
+# tables bounded by definition still apply.  The local shuffle reader is off so
+# that a CPU-heavy stage after a runtime broadcast keeps the shuffle's
+# parallelism instead of the (possibly tiny) number of upstream map tasks.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.localShuffleReader.enabled": "false",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
