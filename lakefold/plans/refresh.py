@@ -77,8 +77,8 @@ def refresh_all(spark: SparkSession, sf_dir: str, root: str | None = None,
     out["nota_fiscal_item"] = sinks.clustered_write(silver.invoice_item(elements), f"{root}/{s}/nota_fiscal_item",
                                                     ["id_nota"])
     log = silver.system_log(read("bronze/logs_sistema_table"), as_of)
-    out["log_sistema"] = sinks.partitioned_write(log.sortWithinPartitions("usuario", "acao"),
-                                                 f"{root}/{s}/log_sistema", "data_evento")
+    out["log_sistema"] = sinks.partitioned_write(log, f"{root}/{s}/log_sistema", "data_evento",
+                                                 cluster_by=("usuario", "acao"))
     wh.tables = out
 
     # gold and quality views ----------------------------------------------------
