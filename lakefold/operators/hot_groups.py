@@ -47,3 +47,17 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int,
     return chunks.select(*cols, hash_bucket(F.col("_n_parts"), *identity, "_chunk").alias(part_col),
                          F.explode(F.array_repeat(F.lit(True), chunk_rows.cast("int"))).alias("_copy")) \
                  .drop("_copy")
+
+
+def attach_parts(parents: DataFrame, parts: DataFrame, parent_key: str, part_key: str) -> DataFrame:
+    """Each parent with each of its parts, and a parent without parts once (part columns NULL).
+
+    Equal to a left outer join, but skew-safe: a left outer sort-merge join can
+    only be split on its left side, while here the many parts of a hot parent
+    sit on the splittable side of an inner join, and parents without parts come
+    from an anti join against the distinct part keys (one row per key).
+    """
+    with_parts = parents.join(parts, parents[parent_key] == parts[part_key], "inner")
+    keys = parts.select(F.col(part_key).alias("_parent_key")).distinct()
+    lonely = parents.join(keys, parents[parent_key] == keys["_parent_key"], "left_anti")
+    return with_parts.unionByName(lonely, allowMissingColumns=True)

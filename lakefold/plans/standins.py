@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakefold.fixed import LOG_HEADINGS as FIXED_LOG_HEADINGS
-from lakefold.operators.hot_groups import split_hot_groups
+from lakefold.operators.hot_groups import attach_parts, split_hot_groups
 
 # Group bounds for the nested documents (rows per document part).
 MAX_TASKS_PER_DOCUMENT = 64
@@ -171,7 +171,7 @@ def project_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                      .agg(F.array_sort(F.collect_list(F.struct(
                          "l_linenumber", "l_partkey", "l_suppkey", *task_fields))).alias("_tasks")))
     projects = project_records(orders)
-    docs = projects.join(per_part, projects["o_orderkey"] == per_part["l_orderkey"], "left")
+    docs = attach_parts(projects, per_part, "o_orderkey", "l_orderkey")
     project_fields = ["id_projeto", "nome_projeto", "cliente_id", "responsavel", "data_inicio",
                       "data_prevista_fim", "status", "valor_projeto", "horas_totais_estimadas",
                       "horas_totais_realizadas"]
@@ -215,7 +215,7 @@ def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] =
             .otherwise(quarter(k % 997)))
     pis = F.when(k % 7 == 0, F.lit(None).cast("double")).otherwise(quarter(F.col("o_custkey") % 300))
     cofins = F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise((k % 1999).cast("double") / F.lit(8.0))
-    joined = orders.join(parts, orders["o_orderkey"] == parts["l_orderkey"], "left")
+    joined = attach_parts(orders, parts, "o_orderkey", "l_orderkey")
     part = F.coalesce(F.col("part"), F.lit(0).cast("bigint"))
     return joined.select(
         k.alias("o_orderkey"), part.alias("part"),

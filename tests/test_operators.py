@@ -23,6 +23,14 @@ def test_split_hot_groups_bounds_every_part(spark):
     assert sum(copies) == 1000 and len(copies) > 4 and max(copies) <= 4 * 64
 
 
+def test_attach_parts_equals_left_join(spark):
+    from lakefold.operators import attach_parts
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
+    parts = spark.createDataFrame([(1, 0, 10), (1, 1, 11), (3, 0, 30)], "pk long, part long, x long")
+    got = sorted(tuple(r) for r in attach_parts(parents, parts, "k", "pk").select("k", "v", "part", "x").collect())
+    assert got == [(1, "a", 0, 10), (1, "a", 1, 11), (2, "b", None, None), (3, "c", 0, 30)]
+
+
 def test_unpivot_drops_nulls(spark):
     df = spark.createDataFrame([("a", 1.0, None, 3.0)], "id string, x double, y double, z double")
     out = unpivot_columns(df, ["id"], {"X": "x", "Y": "y", "Z": "z"}, "kind", "v").collect()
