@@ -75,7 +75,8 @@ def customer_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
                 F.substring("n_name", 1, 2).alias("estado"),
                 _dstr(signup).alias("data_cadastro"),
             ))
-    # Re-sent rows: an exact copy, or the same id with another city.
+    # Re-sent rows, added on top of every input row (nothing is dropped): for one
+    # customer in 37 a second record, an exact copy or the same id with another city.
     copies = (base.where(F.col("_k") % 37 == 0)
                   .withColumn("cidade", F.when(F.col("_k") % 74 == 0,
                                                F.concat(F.col("cidade"), F.lit("(filial)")))
