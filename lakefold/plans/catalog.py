@@ -256,10 +256,10 @@ from lakefold.sources import (  # noqa: E402
 )
 from lakefold.sources.documents import INVOICE_ELEMENT  # noqa: E402
 
-CUSTOMER_RAW_SCHEMA = ("id_cliente string, razao_social string, cnpj string, porte_empresa string, setor string, "
-                       "cidade string, estado string, data_cadastro string")
-ANALYSIS_RAW_SCHEMA = ("id_analise string, cliente_id string, tipo_tributo string, periodo_analise string, "
-                       "valor_identificado double, observacoes string")
+from lakefold.plans.schemas import BRONZE_SCHEMAS  # noqa: E402
+
+CUSTOMER_RAW_SCHEMA = BRONZE_SCHEMAS["clientes"]
+ANALYSIS_RAW_SCHEMA = BRONZE_SCHEMAS["analises_tributarias"]
 
 
 def _write_delimited(df, path: str, sep: str) -> None:
@@ -396,8 +396,10 @@ _LOADS = [("load_raw_csv", "clientes", "SELECT count(*) FROM customer_raw"),
 
 
 def _audit_sql() -> str:
-    rows = []
-    for i, (op, table, count_sql) in enumerate(_LOADS):
+    rows = ["SELECT 1 AS seq, 'run_ddl_script' AS operation, 'bronze_schemas' AS table_id, 'START' AS status, "
+            "CAST(NULL AS BIGINT) AS n_rows",
+            "SELECT 2, 'run_ddl_script', 'bronze_schemas', 'SUCCESS', CAST(NULL AS BIGINT)"]
+    for i, (op, table, count_sql) in enumerate(_LOADS, start=1):
         rows.append(f"SELECT {2 * i + 1} AS seq, '{op}' AS operation, '{table}' AS table_id, 'START' AS status, "
                     f"CAST(NULL AS BIGINT) AS n_rows")
         if count_sql is None:
@@ -410,8 +412,10 @@ def _audit_sql() -> str:
 
 @register("load_audit", _audit_sql())
 def _load_audit(L: Layers):
-    """The seven bronze loads plus one that must fail (web pages hold no table)."""
+    """Schema setup, the seven bronze loads, and one load that must fail (web
+    pages hold no table); each load conforms to its declared schema."""
     root = fresh_path(L.spark, "bronze")
+    schemas = dict(BRONZE_SCHEMAS, paginas_web_table=BRONZE_SCHEMAS["logs_sistema_table"])
     web = L.table("pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("doc_id"),
                                   F.col("html").alias("conteudo"))
     builders = {
@@ -424,8 +428,11 @@ def _load_audit(L: Layers):
         "logs_sistema_table": lambda: L.log_raw,
         "paginas_web_table": lambda: silver.log_table(web, LOG_HEADINGS),
     }
-    loaders = [sinks.Loader(op, table, f"stand-in:{table}", builders[table]) for op, table, _ in _LOADS]
-    audit = sinks.run_loads(L.spark, loaders, root, f"{root}/_audit")
+    loaders = [sinks.Loader(op, table, f"stand-in:{table}",
+                            lambda b=builders[table], sc=schemas[table]: sinks.conform(b(), sc))
+               for op, table, _ in _LOADS]
+    audit = sinks.run_loads(L.spark, loaders, root, f"{root}/_audit",
+                            setup=("bronze_schemas", lambda: sinks.setup_tables(L.spark, root, schemas)))
     return audit.select(F.col("seq").cast("bigint").alias("seq"), "operation", "table_id", "status", "n_rows")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lakefold.plans import gold, quality, silver, sinks, standins
 from lakefold.plans.layers import Layers
+from lakefold.plans.schemas import BRONZE_SCHEMAS
 from lakefold.session import fresh_path
 from lakefold.sources.documents import invoice_elements, xml_to_json
 
@@ -49,9 +50,12 @@ def refresh_all(spark: SparkSession, sf_dir: str, root: str | None = None,
                 as_of: str | None = None) -> Warehouse:
     root = root or fresh_path(spark, "warehouse")
     L = Layers(spark, sf_dir, as_of=as_of)
-    loaders = [sinks.Loader(op, name, f"stand-in:{name}", (lambda b=build: b(L)))
+    loaders = [sinks.Loader(op, name, f"stand-in:{name}",
+                            (lambda b=build, sc=BRONZE_SCHEMAS[name]: sinks.conform(b(L), sc)))
                for name, (op, build) in BRONZE.items()]
-    audit = sinks.run_loads(spark, loaders, f"{root}/bronze", f"{root}/audit")
+    audit = sinks.run_loads(spark, loaders, f"{root}/bronze", f"{root}/audit",
+                            setup=("bronze_schemas",
+                                   lambda: sinks.setup_tables(spark, f"{root}/bronze", BRONZE_SCHEMAS)))
     read = lambda p: spark.read.parquet(f"{root}/{p}")
 
     failed = {r.table_id for r in audit.where(F.col("status") == "ERROR").select("table_id").collect()}

@@ -28,6 +28,20 @@ def land_bronze(df: DataFrame, schema: StructType, path: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """The declared columns, in order, cast to their declared types (ANSI: a value
+    that does not fit fails the load)."""
+    st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
+
+
+def setup_tables(spark: SparkSession, root: str, schemas: dict[str, str]) -> None:
+    """Create or replace each table as an empty table with its declared schema
+    (the schema-setup step run before the loads)."""
+    for name, ddl in schemas.items():
+        spark.createDataFrame([], ddl).write.mode("overwrite").parquet(f"{root}/{name}")
+
+
 def refresh_table(df: DataFrame, path: str) -> DataFrame:
     """Create-or-replace: overwrite the table's folder with the query result."""
     df.write.mode("overwrite").parquet(path)
@@ -76,10 +90,19 @@ class Loader:
     build: Callable[[], DataFrame]
 
 
+class SetupFailed(RuntimeError):
+    """The schema setup failed; no load was attempted."""
+
+
 def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str, audit_path: str,
-              audit_format: str = "parquet", max_parallel: int = 4) -> DataFrame:
+              audit_format: str = "parquet", max_parallel: int = 4,
+              setup: tuple[str, Callable[[], None]] | None = None) -> DataFrame:
     """Run the loads; a failure is logged and the remaining loads continue.
 
+    ``setup`` = (name, action) runs first and is audited as ``run_ddl_script``;
+    if it fails, the failure is audited and ``SetupFailed`` is raised without
+    running any load.
+
     Each load is an independent Spark write; up to ``max_parallel`` of them run
     as concurrent jobs (small sources would otherwise leave the cluster idle).
     A load's row count is observed during the write itself (no second pass).
@@ -92,7 +115,32 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
     def now() -> dt.datetime:
         return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
+    def write_audit(records: list[tuple]) -> DataFrame:
+        audit = spark.createDataFrame(records, AUDIT_SCHEMA)
+        if audit_format == "csv":
+            (audit.select(F.date_format("logged_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+                          "operation", "table_id", "status", "message")
+                  .coalesce(1).write.mode("append").option("header", True).option("escape", '"').csv(audit_path))
+        else:
+            audit.write.mode("append").parquet(audit_path)
+        return audit
+
+    head: list[tuple] = []
+    if setup is not None:
+        name, action = setup
+        head.append((1, now(), "run_ddl_script", name, "START", f"Executando script {name}", None))
+        try:
+            action()
+        except Exception as exc:  # noqa: BLE001 - audited, then the run stops
+            head.append((2, now(), "run_ddl_script", name, "ERROR",
+                         f"Falha ao executar DDL {name}: {(str(exc).strip() or type(exc).__name__)[:2000]}", None))
+            write_audit(head)
+            raise SetupFailed(name) from exc
+        head.append((2, now(), "run_ddl_script", name, "SUCCESS", f"Script {name} executado com sucesso", None))
+    offset = len(head)
+
     def run_one(i: int, ld: Loader) -> list[tuple]:
+        i = i + offset // 2
         start = (2 * i + 1, now(), ld.operation, ld.table_id, "START", f"Lendo {ld.source}", None)
         try:
             obs = Observation(f"rows_{ld.table_id}_{i}")
@@ -109,15 +157,7 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         results = list(pool.map(lambda a: run_one(*a), enumerate(loaders)))
-    records = [r for pair in results for r in pair]
-    audit = spark.createDataFrame(records, AUDIT_SCHEMA)
-    if audit_format == "csv":
-        (audit.select(F.date_format("logged_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
-                      "operation", "table_id", "status", "message")
-              .coalesce(1).write.mode("append").option("header", True).option("escape", '"').csv(audit_path))
-    else:
-        audit.write.mode("append").parquet(audit_path)
-    return audit
+    return write_audit(head + [r for pair in results for r in pair])
 
 
 AUDIT_CSV_SCHEMA = "timestamp string, operation string, table_id string, status string, message string"

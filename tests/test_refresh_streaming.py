@@ -17,7 +17,7 @@ def bag(df):
 
 def test_refresh_all_matches_lazy_views(spark):
     wh = refresh_all(spark, SF, as_of=AS_OF)
-    assert Counter(r.status for r in wh.audit.collect()) == {"START": 7, "SUCCESS": 7}
+    assert Counter(r.status for r in wh.audit.collect()) == {"START": 8, "SUCCESS": 8}
     L = Layers(spark, SF, as_of=AS_OF)
     assert bag(wh.views["vw_snt_notas_fiscais"]) == bag(L.invoice_summary())
     assert bag(wh.views["vw_snt_projetos_performance"]) == bag(L.project_task_hours)

@@ -66,3 +66,24 @@ def test_read_audit_accepts_naive_and_offset_timestamps(spark):
     assert [r.status for r in rows] == ["START", "ERROR", "START"]
     assert all(r.logged_at is not None for r in rows)
     assert rows[1].message.startswith('Falha: Expected ")" or ","') and "Location: US" in rows[1].message
+
+
+def test_failed_schema_setup_stops_the_run(spark):
+    root = fresh_path(spark, "t-setup")
+    ran = []
+
+    def broken():
+        raise ValueError("Syntax error at [54:3]")
+
+    loader = sinks.Loader("load_raw_csv", "t", "src", lambda: ran.append(1) or spark.range(1))
+    with pytest.raises(sinks.SetupFailed):
+        sinks.run_loads(spark, [loader], f"{root}/bronze", f"{root}/audit", setup=("ddl.sql", broken))
+    audit = spark.read.parquet(f"{root}/audit").orderBy("seq").collect()
+    assert [(r.operation, r.status) for r in audit] == [("run_ddl_script", "START"), ("run_ddl_script", "ERROR")]
+    assert ran == []
+
+
+def test_conform_casts_to_declared_schema(spark):
+    df = spark.createDataFrame([("1", "2.5", "x")], "a string, b string, extra string")
+    out = sinks.conform(df, "b double, a string")
+    assert out.columns == ["b", "a"] and out.first() == (2.5, "1")
