@@ -21,6 +21,10 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _bag(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -46,6 +50,9 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    assert s_types == {d[0]: str(d[1]) for d in res.description}
     assert len(s_rows) == len(d_rows)
     assert _bag(df.columns, s_rows) == _bag(d_cols, d_rows)
 
