@@ -33,7 +33,8 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int,
 
     ``keys`` must be non-null; ``identity`` names the columns hashed to place a
     row (copies of a row are spread by their chunk number).  Returns the same
-    rows (with multiplicity) plus ``part_col``.
+    rows (with multiplicity) plus ``part_col`` and ``{part_col}_count`` (the
+    key's number of parts).
     """
     cols = df.columns
     copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
@@ -45,19 +46,34 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int,
                             F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk")))
     chunk_rows = F.least(F.lit(max_rows).cast("bigint"), F.col("_copies") - F.col("_chunk") * max_rows)
     return chunks.select(*cols, hash_bucket(F.col("_n_parts"), *identity, "_chunk").alias(part_col),
+                         F.col("_n_parts").alias(f"{part_col}_count"),
                          F.explode(F.array_repeat(F.lit(True), chunk_rows.cast("int"))).alias("_copy")) \
                  .drop("_copy")
 
 
-def attach_parts(parents: DataFrame, parts: DataFrame, parent_key: str, part_key: str) -> DataFrame:
-    """Each parent with each of its parts, and a parent without parts once (part columns NULL).
+def attach_parts(parents: DataFrame, parent_key: str, parts: DataFrame, part_key: str,
+                 part_col: str = "part") -> DataFrame:
+    """Each parent with each of its parts, and a parent without parts once
+    (part columns NULL): a left outer join of parents to their parts, made of
+    joins that are one-to-one, so no key can be skewed.
 
-    Equal to a left outer join, but skew-safe: a left outer sort-merge join can
-    only be split on its left side, while here the many parts of a hot parent
-    sit on the splittable side of an inner join, and parents without parts come
-    from an anti join against the distinct part keys (one row per key).
+    ``parts`` has one row per (``part_key``, ``part_col``) and a
+    ``{part_col}_count`` column (see ``split_hot_groups``).  Each parent is
+    expanded to its candidate part numbers (from a one-row-per-key count) and
+    matched on (key, part); candidates of a parent that has parts but no rows
+    in that part are dropped.  The bulky part rows are never re-shuffled by the
+    parent key alone, where a parent with many parts would land in one task.
     """
-    with_parts = parents.join(parts, parents[parent_key] == parts[part_key], "inner")
-    keys = parts.select(F.col(part_key).alias("_parent_key")).distinct()
-    lonely = parents.join(keys, parents[parent_key] == keys["_parent_key"], "left_anti")
-    return with_parts.unionByName(lonely, allowMissingColumns=True)
+    count_col = f"{part_col}_count"
+    n = parts.groupBy(F.col(part_key).alias("_pk")).agg(F.max(count_col).alias("_n"))
+    cand = (parents.join(n, parents[parent_key] == n["_pk"], "left")
+                   .select(*[parents[c] for c in parents.columns], F.col("_n"),
+                           F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                F.coalesce(F.col("_n"), F.lit(1)).cast("bigint") - 1))
+                            .alias("_cand")))
+    # Fresh names on the part side: both join inputs derive from ``parts``.
+    body = parts.select(*[F.col(c).alias(f"_b_{c}") for c in parts.columns if c != count_col])
+    joined = cand.join(body, (F.col(parent_key) == F.col(f"_b_{part_key}")) & (F.col("_cand") == F.col(f"_b_{part_col}")),
+                       "left")
+    kept = joined.where(F.col(f"_b_{part_col}").isNotNull() | F.col("_n").isNull())
+    return kept.select(*parents.columns, *[F.col(f"_b_{c}").alias(c) for c in parts.columns if c != count_col])

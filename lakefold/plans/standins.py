@@ -170,9 +170,10 @@ def project_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     per_part = (tasks.repartition("l_orderkey", "part")
                      .groupBy("l_orderkey", "part")
                      .agg(F.array_sort(F.collect_list(F.struct(
-                         "l_linenumber", "l_partkey", "l_suppkey", *task_fields))).alias("_tasks")))
+                         "l_linenumber", "l_partkey", "l_suppkey", *task_fields))).alias("_tasks"),
+                          F.max("part_count").alias("part_count")))
     projects = project_records(orders)
-    docs = attach_parts(projects, per_part, "o_orderkey", "l_orderkey")
+    docs = attach_parts(projects, "o_orderkey", per_part, "l_orderkey")
     project_fields = ["id_projeto", "nome_projeto", "cliente_id", "responsavel", "data_inicio",
                       "data_prevista_fim", "status", "valor_projeto", "horas_totais_estimadas",
                       "horas_totais_realizadas"]
@@ -216,7 +217,7 @@ def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] =
             .otherwise(quarter(k % 997)))
     pis = F.when(k % 7 == 0, F.lit(None).cast("double")).otherwise(quarter(F.col("o_custkey") % 300))
     cofins = F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise((k % 1999).cast("double") / F.lit(8.0))
-    joined = attach_parts(orders, parts, "o_orderkey", "l_orderkey")
+    joined = attach_parts(orders, "o_orderkey", parts, "l_orderkey")
     part = F.coalesce(F.col("part"), F.lit(0).cast("bigint"))
     return joined.select(
         k.alias("o_orderkey"), part.alias("part"),
@@ -237,7 +238,8 @@ def invoice_nodes(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                      .groupBy("l_orderkey", "part")
                      .agg(F.array_sort(F.collect_list(F.struct(
                          "l_linenumber", "l_partkey", "l_suppkey", "Descricao", "Quantidade",
-                         "ValorUnitario"))).alias("_items")))
+                         "ValorUnitario"))).alias("_items"),
+                          F.max("part_count").alias("part_count")))
     inv = invoice_records(orders, per_part, keep=("_items",))
     item_list = F.transform("_items", lambda t: F.struct(t["Descricao"].alias("Descricao"),
                                                          t["Quantidade"].alias("Quantidade"),

@@ -26,9 +26,11 @@ def test_split_hot_groups_bounds_every_part(spark):
 def test_attach_parts_equals_left_join(spark):
     from lakefold.operators import attach_parts
     parents = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
-    parts = spark.createDataFrame([(1, 0, 10), (1, 1, 11), (3, 0, 30)], "pk long, part long, x long")
-    got = sorted(tuple(r) for r in attach_parts(parents, parts, "k", "pk").select("k", "v", "part", "x").collect())
-    assert got == [(1, "a", 0, 10), (1, "a", 1, 11), (2, "b", None, None), (3, "c", 0, 30)]
+    # parent 3 has two parts but only part 1 holds rows: part 0 is not invented
+    parts = spark.createDataFrame([(1, 0, 10, 2), (1, 1, 11, 2), (3, 1, 30, 2)],
+                                  "pk long, part long, x long, part_count long")
+    got = sorted(tuple(r) for r in attach_parts(parents, "k", parts, "pk").select("k", "v", "part", "x").collect())
+    assert got == [(1, "a", 0, 10), (1, "a", 1, 11), (2, "b", None, None), (3, "c", 1, 30)]
 
 
 def test_unpivot_drops_nulls(spark):
