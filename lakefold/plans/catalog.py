@@ -248,7 +248,7 @@ def _json_array_rows(L: Layers):
 
 # -- file sources ------------------------------------------------------------------
 from lakefold.plans import serving, sinks  # noqa: E402
-from lakefold.plans.standins import LOG_HEADINGS  # noqa: E402
+from lakefold.plans.standins import LOG_HEADINGS, MAX_ROWS_PER_LOG_PAGE  # noqa: E402
 from lakefold.session import fresh_path  # noqa: E402
 from lakefold.sources import (  # noqa: E402
     html_table, html_table_status, scan_csv, scan_documents, scan_pipe, scan_xml_records, strict_timestamp,
@@ -333,9 +333,7 @@ def _html_table(L: Layers):
     return html_table(L.log_pages, LOG_HEADINGS).drop("doc_id", "row_pos")
 
 
-_LOG_PAGES = oracle._parts("log_raw", "event_day", __import__("lakefold.plans.standins", fromlist=["x"])
-                           .MAX_ROWS_PER_LOG_PAGE, ("event_id",))
-oracle.CTES["log_parts"] = _LOG_PAGES
+oracle.CTES["log_parts"] = oracle._parts("log_raw", "event_day", MAX_ROWS_PER_LOG_PAGE, ("event_id",))
 
 
 @register("html_table_rejects", """SELECT DISTINCT 'log-page-' || CAST(event_day AS VARCHAR) || '-' || CAST(part AS VARCHAR)
