@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 100
@@ -38,12 +38,16 @@ def list_views(views: Mapping[str, object]) -> list[str]:
     return sorted(views)
 
 
-def rows_as_json(df: DataFrame) -> DataFrame:
-    """One JSON object per row; dates as ISO text, decimals as numbers.
+def _json_number(c) -> Column:
+    """A decimal as a JSON number: integral values as integers, others as floats
+    (a VARIANT keeps the per-value choice inside one column)."""
+    text = F.when(c == F.floor(c), c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("double").cast("string"))
+    return F.parse_json(text)
 
-    Decimals are cast to DOUBLE first (``to_json`` would print ``3.00``);
-    integral values stay integers because integer columns stay integers.
-    """
-    cols = [F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+
+def rows_as_json(df: DataFrame) -> DataFrame:
+    """One JSON object per row; dates as ISO text; decimals as numbers, integral
+    ones as integers (``3``), others as floats (``3.5``)."""
+    cols = [_json_number(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
             for f in df.schema.fields]
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))

@@ -21,10 +21,10 @@ def test_read_view_validates_name_and_limit(spark):
 
 
 def test_rows_as_json_dates_and_decimals(spark):
-    df = spark.createDataFrame([(dt.date(2024, 1, 2), 3, None)], "d date, n int, s string") \
-              .withColumn("m", F.lit("3.00").cast("decimal(10,2)"))
-    js = serving.rows_as_json(df).first().json
-    assert js == '{"d":"2024-01-02","n":3,"s":null,"m":3.0}'
+    df = spark.createDataFrame([(dt.date(2024, 1, 2), 3, None, "3.00"), (dt.date(2024, 1, 3), 4, "x", "3.50")],
+                               "d date, n int, s string, m string").withColumn("m", F.col("m").cast("decimal(10,2)"))
+    js = [r.json for r in serving.rows_as_json(df).orderBy("json").collect()]
+    assert js == ['{"d":"2024-01-02","n":3,"s":null,"m":3}', '{"d":"2024-01-03","n":4,"s":"x","m":3.5}']
 
 
 def test_dynamic_partition_overwrite_keeps_other_days(spark):
