@@ -10,6 +10,21 @@ from lakefold.functions.text import _c
 
 
 # -- tolerant: invalid text becomes NULL ------------------------------------
+# Date-first layouts accepted besides ISO text ('2024-01-02 03:04:05[.ffffff]',
+# '2024-01-02T03:04:05', '2024-01-02'): slashes, and month/day/year as the
+# pandas reader of the source assumed for ambiguous dates.
+_TS_REWRITES = [(r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+                (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")]
+
+
+def safe_timestamp(col) -> Column:
+    """TIMESTAMP_NTZ from text, without any session time zone; NULL if invalid."""
+    text = F.trim(_c(col))
+    for pattern, repl in _TS_REWRITES:
+        text = F.regexp_replace(text, pattern, repl)
+    return text.try_cast("timestamp_ntz")
+
+
 def safe_long(col) -> Column:
     return _c(col).try_cast("bigint")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakefold.functions.parsing import safe_timestamp
 from lakefold.functions.text import _c
 
 
@@ -14,7 +15,7 @@ def strict_timestamp(col, what: str = "log_time") -> Column:
     The check rides along with the projection (no extra pass over the data):
     the first bad row raises in its task.
     """
-    parsed = _c(col).try_cast("timestamp_ntz")
+    parsed = safe_timestamp(col)
     return F.when(parsed.isNull(), F.raise_error(F.concat(F.lit(f"invalid values in column {what}: "),
                                                          F.coalesce(_c(col), F.lit("NULL"))))
                   ).otherwise(parsed)
@@ -26,7 +27,7 @@ def gate_timestamp(df: DataFrame, col: str) -> DataFrame:
     The check is a filter, so it runs even when a later projection drops the
     column.
     """
-    parsed = F.col(col).try_cast("timestamp_ntz")
+    parsed = safe_timestamp(col)
     checked = df.where(F.when(parsed.isNull(), F.raise_error(F.concat(
         F.lit(f"invalid values in column {col}: "), F.coalesce(F.col(col), F.lit("NULL"))))).otherwise(F.lit(True)))
     return checked.withColumn(col, parsed)

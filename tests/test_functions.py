@@ -74,3 +74,12 @@ def test_hash_bucket_matches_md5_prefix(spark):
     got = df.select(hash_bucket(F.col("n"), "a", "b")).first()[0]
     want = int(hashlib.md5(b"12|3").hexdigest()[:8], 16) % 7
     assert got == want
+
+
+def test_safe_timestamp_formats(spark):
+    from lakefold.functions import safe_timestamp
+    got = one_col(spark, ["2024-01-02 03:04:05.5", "2024-01-02T03:04:05", "2024/1/2 03:04", "01/02/2024 03:04:05",
+                          " 2024-01-02 ", "yesterday", None], safe_timestamp)
+    assert [str(v) if v else None for v in got] == [
+        "2024-01-02 03:04:05.500000", "2024-01-02 03:04:05", "2024-01-02 03:04:00", "2024-01-02 03:04:05",
+        "2024-01-02 00:00:00", None, None]
