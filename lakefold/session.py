@@ -70,6 +70,29 @@ def scratch_dir(spark: SparkSession) -> str:
     return local
 
 
+_CREATED: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the scratch location for one write."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _CREATED.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A marker for ``drop_scratch``: folders handed out after it can be dropped."""
+    return len(_CREATED)
+
+
+def drop_scratch(spark: SparkSession, mark: int) -> None:
+    """Delete the scratch folders handed out since ``mark`` (through the Hadoop
+    file system of each path, so it works for shared cluster storage too).
+
+    Only for callers that know every DataFrame reading them is finished, such
+    as a benchmark after each measured query.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_CREATED) > mark:
+        path = jvm.org.apache.hadoop.fs.Path(_CREATED.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -87,3 +87,15 @@ def test_conform_casts_to_declared_schema(spark):
     df = spark.createDataFrame([("1", "2.5", "x")], "a string, b string, extra string")
     out = sinks.conform(df, "b double, a string")
     assert out.columns == ["b", "a"] and out.first() == (2.5, "1")
+
+
+def test_drop_scratch_removes_only_newer_folders(spark):
+    import os
+    from lakefold.session import drop_scratch, scratch_mark
+    keep = fresh_path(spark, "t-keep")
+    spark.range(1).write.parquet(keep)
+    mark = scratch_mark()
+    gone = fresh_path(spark, "t-gone")
+    spark.range(1).write.parquet(gone)
+    drop_scratch(spark, mark)
+    assert os.path.isdir(keep.replace("file:", "")) and not os.path.exists(gone.replace("file:", ""))
