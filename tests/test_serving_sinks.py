@@ -99,3 +99,11 @@ def test_drop_scratch_removes_only_newer_folders(spark):
     spark.range(1).write.parquet(gone)
     drop_scratch(spark, mark)
     assert os.path.isdir(keep.replace("file:", "")) and not os.path.exists(gone.replace("file:", ""))
+
+
+def test_cli_lists_views(capsys):
+    from lakefold.__main__ import main
+    assert main(["views"]) == 0
+    assert capsys.readouterr().out.split() == sorted(
+        ["vw_anl_analise_tributaria", "vw_anl_nota_fiscal", "vw_anl_projetos", "vw_snt_projetos_performance",
+         "vw_snt_analises_tributarias", "vw_snt_notas_fiscais"])
