@@ -6,9 +6,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lakefold.plans import oracle
+from lakefold.functions import (
+    clean_ip, digits_only, json_field, lower_trim, period_kind, period_number, period_year, safe_date,
+    safe_double, safe_long, strip_ws, surrogate_key, title_case, upper_trim,
+)
+from lakefold.operators.integrity import foreign_key_orphans, primary_key_violations
+from lakefold.plans import oracle, serving, silver, sinks
 from lakefold.plans.layers import Layers
+from lakefold.plans.schemas import BRONZE_SCHEMAS
+from lakefold.plans.standins import LOG_HEADINGS, MAX_ROWS_PER_LOG_PAGE
+from lakefold.session import fresh_path
+from lakefold.sources import (
+    html_table, html_table_status, scan_csv, scan_documents, scan_pipe, scan_xml_records, strict_timestamp,
+    xml_to_json,
+)
+from lakefold.sources.documents import INVOICE_ELEMENT
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,13 +114,7 @@ for _name, _sql in _DQ_SQL.items():
     register(_name, _bigint_count_if(_sql))(lambda L, _n=_name: L.dq(_n))
 
 # -- integrity -----------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from lakefold.functions import (  # noqa: E402
-    clean_ip, digits_only, json_field, lower_trim, period_kind, period_number, period_year, safe_date,
-    safe_double, safe_long, strip_ws, surrogate_key, title_case, upper_trim,
-)
-from lakefold.operators.integrity import foreign_key_orphans, primary_key_violations  # noqa: E402
 
 PRIMARY_KEYS = [("cliente", "customer", "id_cliente"), ("analise_tributaria", "tax_analysis", "id_analise"),
                 ("projeto", "project", "id_projeto"), ("tarefa", "task", "id_tarefa"),
@@ -247,16 +256,7 @@ def _json_array_rows(L: Layers):
                        F.size(F.col("element")["tarefas"]).cast("bigint").alias("n_tarefas"))
 
 # -- file sources ------------------------------------------------------------------
-from lakefold.plans import serving, sinks  # noqa: E402
-from lakefold.plans.standins import LOG_HEADINGS, MAX_ROWS_PER_LOG_PAGE  # noqa: E402
-from lakefold.session import fresh_path  # noqa: E402
-from lakefold.sources import (  # noqa: E402
-    html_table, html_table_status, scan_csv, scan_documents, scan_pipe, scan_xml_records, strict_timestamp,
-    xml_to_json,
-)
-from lakefold.sources.documents import INVOICE_ELEMENT  # noqa: E402
 
-from lakefold.plans.schemas import BRONZE_SCHEMAS  # noqa: E402
 
 CUSTOMER_RAW_SCHEMA = BRONZE_SCHEMAS["clientes"]
 ANALYSIS_RAW_SCHEMA = BRONZE_SCHEMAS["analises_tributarias"]
@@ -355,9 +355,6 @@ def _timestamp_gate(L: Layers):
 
 
 # -- sinks -------------------------------------------------------------------------
-from pyspark.sql.types import StructType  # noqa: E402
-
-from lakefold.plans import silver  # noqa: E402
 
 
 @register("land_bronze", "SELECT * FROM customer_raw")
