@@ -45,9 +45,24 @@ def _json_number(c) -> Column:
     return F.parse_json(text)
 
 
+def _coerced(c: Column, dtype) -> Column:
+    """``c`` with every decimal inside it (at any depth) turned into a JSON number."""
+    from pyspark.sql.types import ArrayType, DecimalType, MapType, StructType
+    if isinstance(dtype, DecimalType):
+        return _json_number(c)
+    if isinstance(dtype, StructType):
+        return F.when(c.isNull(), F.lit(None)).otherwise(
+            F.struct(*[_coerced(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+    if isinstance(dtype, ArrayType):
+        return F.transform(c, lambda x: _coerced(x, dtype.elementType))
+    if isinstance(dtype, MapType):
+        return F.transform_values(c, lambda _, v: _coerced(v, dtype.valueType))
+    return c
+
+
 def rows_as_json(df: DataFrame) -> DataFrame:
     """One JSON object per row; dates as ISO text; decimals as numbers, integral
-    ones as integers (``3``), others as floats (``3.5``)."""
-    cols = [_json_number(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
-            for f in df.schema.fields]
+    ones as integers (``3``), others as floats (``3.5``), also inside nested
+    structs, arrays and maps."""
+    cols = [_coerced(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))

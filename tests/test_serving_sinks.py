@@ -107,3 +107,8 @@ def test_cli_lists_views(capsys):
     assert capsys.readouterr().out.split() == sorted(
         ["vw_anl_analise_tributaria", "vw_anl_nota_fiscal", "vw_anl_projetos", "vw_snt_projetos_performance",
          "vw_snt_analises_tributarias", "vw_snt_notas_fiscais"])
+
+
+def test_rows_as_json_nested_decimals(spark):
+    df = spark.sql("SELECT named_struct('a', CAST(2 AS DECIMAL(5,1)), 'b', array(CAST(1.5 AS DECIMAL(5,2)))) AS s")
+    assert serving.rows_as_json(df).first().json == '{"s":{"a":2,"b":[1.5]}}'
