@@ -10,7 +10,7 @@ on both sides; integer sums are cast back to BIGINT.
 from __future__ import annotations
 
 from lakefold.plans.layers import AS_OF
-from lakefold.plans.standins import MAX_ITEMS_PER_INVOICE, MAX_ROWS_PER_LOG_PAGE, MAX_TASKS_PER_DOCUMENT
+from lakefold.plans.standins import MAX_ITEMS_PER_INVOICE, MAX_TASKS_PER_DOCUMENT
 
 
 def strip(x: str) -> str:

@@ -1,7 +1,6 @@
 """Sources: HTML tables, gates, document round trips and file scans."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakefold.plans.standins import LOG_HEADINGS
 from lakefold.session import fresh_path
