@@ -45,7 +45,12 @@ class Layers:
         return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The driver table ``name``; one DataFrame per table, so repeated reads
+        share a scan node (and its file listing) within a plan."""
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return cache[name]
 
     # -- bronze stand-ins -------------------------------------------------
     @cached_property
