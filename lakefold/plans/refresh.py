@@ -25,7 +25,7 @@ from lakefold.plans import gold, quality, silver, sinks, standins
 from lakefold.plans.layers import Layers
 from lakefold.plans.schemas import BRONZE_SCHEMAS
 from lakefold.session import fresh_path
-from lakefold.sources.documents import invoice_elements, xml_to_json
+from lakefold.sources.documents import invoice_elements, project_elements, xml_to_json
 
 BRONZE = {
     "clientes": ("load_raw_csv", lambda L: L.customer_raw),
@@ -38,6 +38,14 @@ BRONZE = {
 }
 
 
+def _concurrently(jobs: dict, max_parallel: int = 4) -> dict:
+    """Run independent write jobs side by side; results keep the keys of ``jobs``."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class Warehouse:
     root: str
@@ -64,25 +72,34 @@ def refresh_all(spark: SparkSession, sf_dir: str, root: str | None = None,
         return wh  # silver would read stale or missing bronze tables
 
     # silver ------------------------------------------------------------------
+    # Parse each document set once into a staging table; several silver tables
+    # derive from each.  Independent writes run as concurrent jobs.
     s = "silver"
-    out = {
-        "cliente": sinks.refresh_table(silver.customer(read("bronze/clientes"), as_of), f"{root}/{s}/cliente"),
-        "analise_tributaria": sinks.refresh_table(silver.tax_analysis(read("bronze/analises_tributarias"), as_of),
-                                                  f"{root}/{s}/analise_tributaria"),
-        "projeto": sinks.refresh_table(silver.project(read("bronze/tarefas_projetos")), f"{root}/{s}/projeto"),
-        "tarefa": sinks.clustered_write(silver.task(read("bronze/tarefas_projetos")), f"{root}/{s}/tarefa",
-                                        ["id_projeto"]),
-    }
-    # Parse the invoice documents once; three tables derive from the staged elements.
-    elements = sinks.refresh_table(invoice_elements(read("bronze/notas_fiscais")), f"{root}/_staging/nf_elements")
-    out["nota_fiscal"] = sinks.partitioned_write(silver.invoice(elements), f"{root}/{s}/nota_fiscal", "data_emissao")
-    out["nota_fiscal_imposto"] = sinks.clustered_write(silver.invoice_tax(elements),
-                                                       f"{root}/{s}/nota_fiscal_imposto", ["id_nota", "tipo_imposto"])
-    out["nota_fiscal_item"] = sinks.clustered_write(silver.invoice_item(elements), f"{root}/{s}/nota_fiscal_item",
-                                                    ["id_nota"])
-    log = silver.system_log(read("bronze/logs_sistema_table"), as_of)
-    out["log_sistema"] = sinks.partitioned_write(log, f"{root}/{s}/log_sistema", "data_evento",
-                                                 cluster_by=("usuario", "acao"))
+    staged = _concurrently({
+        "nf": lambda: sinks.refresh_table(invoice_elements(read("bronze/notas_fiscais")),
+                                          f"{root}/_staging/nf_elements"),
+        "prj": lambda: sinks.refresh_table(project_elements(read("bronze/tarefas_projetos")),
+                                           f"{root}/_staging/prj_elements"),
+    })
+    nf_el, prj_el = staged["nf"], staged["prj"]
+    out = _concurrently({
+        "cliente": lambda: sinks.refresh_table(silver.customer(read("bronze/clientes"), as_of),
+                                               f"{root}/{s}/cliente"),
+        "analise_tributaria": lambda: sinks.refresh_table(
+            silver.tax_analysis(read("bronze/analises_tributarias"), as_of), f"{root}/{s}/analise_tributaria"),
+        "projeto": lambda: sinks.refresh_table(silver.project(prj_el), f"{root}/{s}/projeto"),
+        "tarefa": lambda: sinks.clustered_write(silver.task(prj_el), f"{root}/{s}/tarefa", ["id_projeto"]),
+        "nota_fiscal": lambda: sinks.partitioned_write(silver.invoice(nf_el), f"{root}/{s}/nota_fiscal",
+                                                       "data_emissao"),
+        "nota_fiscal_imposto": lambda: sinks.clustered_write(silver.invoice_tax(nf_el),
+                                                             f"{root}/{s}/nota_fiscal_imposto",
+                                                             ["id_nota", "tipo_imposto"]),
+        "nota_fiscal_item": lambda: sinks.clustered_write(silver.invoice_item(nf_el),
+                                                          f"{root}/{s}/nota_fiscal_item", ["id_nota"]),
+        "log_sistema": lambda: sinks.partitioned_write(silver.system_log(read("bronze/logs_sistema_table"), as_of),
+                                                       f"{root}/{s}/log_sistema", "data_evento",
+                                                       cluster_by=("usuario", "acao")),
+    })
     wh.tables = out
 
     # gold and quality views ----------------------------------------------------
