@@ -59,7 +59,7 @@ def html_table_status(pages: DataFrame, heading_map: Mapping[str, str]) -> DataF
     head_html = F.get(F.filter("_rows", is_head), 0)
     headings = F.transform(_cells(head_html), lambda h: F.coalesce(h, F.lit("")))
     renamed = F.transform(headings, lambda h: F.coalesce(
-        F.element_at(F.create_map(*[x for kv in heading_map.items() for x in map(F.lit, kv)]), h), h))
+        F.try_element_at(F.create_map(*[x for kv in heading_map.items() for x in map(F.lit, kv)]), h), h))
     staged = _pin(staged, ["doc_id", "_table", "_rows"], columns=renamed)
     required = F.array(*[F.lit(v) for v in sorted(heading_map.values())])
     missing = F.array_sort(F.array_except(required, F.coalesce("columns", F.array().cast("array<string>"))))
