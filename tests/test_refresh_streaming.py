@@ -44,3 +44,16 @@ def test_document_landing_one_row_per_file(spark):
     land_documents(spark, src, out, ckpt).awaitTermination()
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and rows[0].conteudo.splitlines() == ["<a>1</a>", "<a>2</a>"]
+
+
+def test_refresh_stops_before_silver_when_a_source_fails(spark, monkeypatch):
+    from lakefold.plans import refresh
+
+    def broken(L):
+        raise ValueError("Nenhuma tabela encontrada")
+
+    monkeypatch.setitem(refresh.BRONZE, "logs_sistema_table", ("load_formated_html", broken))
+    wh = refresh_all(spark, SF, as_of=AS_OF)
+    statuses = {(r.table_id, r.status) for r in wh.audit.collect()}
+    assert ("logs_sistema_table", "ERROR") in statuses and ("clientes", "SUCCESS") in statuses
+    assert wh.views == {} and wh.tables == {}
