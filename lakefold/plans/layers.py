@@ -61,13 +61,17 @@ class Layers:
     def analysis_raw(self) -> DataFrame:
         return standins.analysis_records(self.table("events"))
 
+    @cached_property
+    def line_parts(self) -> DataFrame:
+        return standins.line_parts(self.table("lineitem"))
+
     @cached_property
     def project_docs(self) -> DataFrame:
-        return standins.project_documents(self.table("orders"), self.table("lineitem"))
+        return standins.project_documents(self.table("orders"), self.table("lineitem"), self.line_parts)
 
     @cached_property
     def invoice_docs(self) -> DataFrame:
-        return standins.invoice_documents(self.table("orders"), self.table("lineitem"))
+        return standins.invoice_documents(self.table("orders"), self.table("lineitem"), self.line_parts)
 
     @cached_property
     def log_pages(self) -> DataFrame:

@@ -10,7 +10,7 @@ on both sides; integer sums are cast back to BIGINT.
 from __future__ import annotations
 
 from lakefold.plans.layers import AS_OF
-from lakefold.plans.standins import MAX_ITEMS_PER_INVOICE, MAX_TASKS_PER_DOCUMENT
+from lakefold.plans.standins import MAX_LINES_PER_DOCUMENT
 
 
 def strip(x: str) -> str:
@@ -139,28 +139,21 @@ def _parts(table: str, key: str, max_rows: int, identity: tuple[str, ...]) -> st
       JOIN (SELECT {key}, count(*) AS _n FROM {table} GROUP BY {key}) c USING ({key})))"""
 
 
-CTES["item_src"] = """
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE WHEN l_linenumber = 1 THEN 'Peça ' || CAST(l_partkey AS VARCHAR) || ' & Cia <lote>'
-         ELSE 'Serviço ' || CAST(l_partkey AS VARCHAR) END AS descricao,
-    CAST(l_quantity AS BIGINT) AS quantidade, l_extendedprice AS valor_unitario
+CTES["line_src"] = """
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus,
+    l_shipdate
   FROM lineitem"""
 
-CTES["task_src"] = """
+CTES["line_parts"] = _parts("line_src", "l_orderkey", MAX_LINES_PER_DOCUMENT, LINE_ID)
+
+CTES["item_parts"] = """
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    'TRF' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id_tarefa,
-    CASE l_returnflag WHEN 'R' THEN 'Revisão fiscal' WHEN 'A' THEN 'Apuração de créditos'
-                      ELSE 'Levantamento' END AS descricao,
-    strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS data_inicio,
-    strftime(CAST(l_shipdate AS DATE) + CAST(l_linenumber * 3 - 5 AS INTEGER), '%Y-%m-%d') AS data_prevista_fim,
-    'Consultor ' || CAST(l_suppkey AS VARCHAR) AS responsavel_tarefa,
-    CASE WHEN l_linestatus = 'O' THEN 'Aberta' ELSE 'Finalizada' END AS status_tarefa,
-    CAST(l_quantity AS BIGINT) AS horas_estimadas,
-    CAST(l_quantity AS BIGINT) + l_linenumber - 3 AS horas_realizadas
-  FROM lineitem"""
+    CASE WHEN l_linenumber = 1 THEN 'Peça ' || CAST(l_partkey AS VARCHAR) || ' & Cia <lote>'
+         ELSE 'Serviço ' || CAST(l_partkey AS VARCHAR) END AS descricao,
+    CAST(l_quantity AS BIGINT) AS quantidade, l_extendedprice AS valor_unitario, part
+  FROM line_parts"""
 
-CTES["item_parts"] = _parts("item_src", "l_orderkey", MAX_ITEMS_PER_INVOICE, LINE_ID)
-CTES["task_parts"] = _parts("task_src", "l_orderkey", MAX_TASKS_PER_DOCUMENT, LINE_ID)
+CTES["task_parts"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, part FROM line_parts"
 
 CTES["nf_base"] = """
   SELECT o.*, coalesce(p.part, 0) AS part,

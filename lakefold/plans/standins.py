@@ -27,8 +27,8 @@ from lakefold.fixed import LOG_HEADINGS as FIXED_LOG_HEADINGS
 from lakefold.operators.hot_groups import attach_parts, split_hot_groups
 
 # Group bounds for the nested documents (rows per document part).
-MAX_TASKS_PER_DOCUMENT = 64
-MAX_ITEMS_PER_INVOICE = 64
+MAX_LINES_PER_DOCUMENT = 64          # tasks per project document, items per invoice
+MAX_TASKS_PER_DOCUMENT = MAX_ITEMS_PER_INVOICE = MAX_LINES_PER_DOCUMENT
 MAX_ROWS_PER_LOG_PAGE = 256
 
 # The log page headings (a fixed value, stated in lakefold.fixed).
@@ -135,7 +135,22 @@ def project_records(orders: DataFrame) -> DataFrame:
     )
 
 
-def task_records(lineitem: DataFrame) -> DataFrame:
+_LINE_IDENTITY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_LINE_COLUMNS = [*_LINE_IDENTITY, "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def line_parts(lineitem: DataFrame) -> DataFrame:
+    """Order lines with the document part they go to.
+
+    Project documents (tasks) and invoice documents (items) are both built from
+    order lines split by order, so one split serves both: in a plan that needs
+    both, the split is a shared subtree and Spark reuses its exchanges.
+    """
+    return split_hot_groups(lineitem.select(*_LINE_COLUMNS), ["l_orderkey"], MAX_LINES_PER_DOCUMENT,
+                            _LINE_IDENTITY)
+
+
+def task_records(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint")
     ship = F.to_date("l_shipdate")
     return lineitem.select(
@@ -151,20 +166,19 @@ def task_records(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", F.lit("Aberta")).otherwise(F.lit("Finalizada")).alias("status_tarefa"),
         qty.alias("horas_estimadas"),
         (qty + F.col("l_linenumber") - 3).alias("horas_realizadas"),
+        *keep,
     )
 
 
-_LINE_IDENTITY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
-
-def project_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def project_documents(orders: DataFrame, lineitem: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """JSON documents ``{"projetos": [{..., "tarefas": [...]}]}``.
 
     One document per (project, part): a project with many tasks is repeated in
     several documents, each holding a bounded share of its tasks; the silver
     DISTINCT folds the repeats back into one project row.
     """
-    tasks = split_hot_groups(task_records(lineitem), ["l_orderkey"], MAX_TASKS_PER_DOCUMENT, _LINE_IDENTITY)
+    lines = line_parts(lineitem) if lines is None else lines
+    tasks = task_records(lines, keep=("part", "part_count"))
     task_fields = ["id_tarefa", "descricao", "data_inicio", "data_prevista_fim", "responsavel_tarefa",
                    "status_tarefa", "horas_estimadas", "horas_realizadas"]
     per_part = (tasks.repartition("l_orderkey", "part")
@@ -191,17 +205,17 @@ def project_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # invoices (XML documents)
 # ---------------------------------------------------------------------------
-def invoice_item_records(lineitem: DataFrame) -> DataFrame:
-    """Invoice items with the part of their order they are billed on."""
-    items = lineitem.select(
+def invoice_item_records(lines: DataFrame) -> DataFrame:
+    """Invoice items (from ``line_parts``) with the part of their order they are billed on."""
+    return lines.select(
         *_LINE_IDENTITY,
         (F.when(F.col("l_linenumber") == 1,
                 F.concat(F.lit("Peça "), F.col("l_partkey").cast("string"), F.lit(" & Cia <lote>")))
           .otherwise(F.concat(F.lit("Serviço "), F.col("l_partkey").cast("string")))).alias("Descricao"),
         F.col("l_quantity").cast("bigint").alias("Quantidade"),
         F.col("l_extendedprice").alias("ValorUnitario"),
+        "part", "part_count",
     )
-    return split_hot_groups(items, ["l_orderkey"], MAX_ITEMS_PER_INVOICE, _LINE_IDENTITY)
 
 
 def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -231,9 +245,9 @@ def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] =
     )
 
 
-def invoice_nodes(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def invoice_nodes(orders: DataFrame, lineitem: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """One ``NotaFiscal`` struct per (order, part), with its items: (doc_id, NotaFiscal)."""
-    items = invoice_item_records(lineitem)
+    items = invoice_item_records(line_parts(lineitem) if lines is None else lines)
     per_part = (items.repartition("l_orderkey", "part")
                      .groupBy("l_orderkey", "part")
                      .agg(F.array_sort(F.collect_list(F.struct(
@@ -253,13 +267,13 @@ def invoice_nodes(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         nota.alias("NotaFiscal"))
 
 
-def invoice_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def invoice_documents(orders: DataFrame, lineitem: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """XML documents ``<NotasFiscais><NotaFiscal>...</NotaFiscal></NotasFiscais>``.
 
     Values are escaped by ``to_xml``; an absent tax is an absent element; no
     indentation (whitespace between elements only costs parse time).
     """
-    nodes = invoice_nodes(orders, lineitem)
+    nodes = invoice_nodes(orders, lineitem, lines)
     return nodes.select(
         "doc_id",
         F.concat(F.lit("<NotasFiscais>"), F.to_xml("NotaFiscal", {"rowTag": "NotaFiscal", "indent": ""}),
