@@ -3,10 +3,12 @@
 The counterpart of the reference's run (load script, then the silver and view
 scripts), as Spark jobs over a warehouse folder:
 
-* bronze: seven independent loads with an audit trail; a failing source is
+* bronze: a schema-setup step (stops the run if it fails), then seven
+  independent, concurrent loads with an audit trail; a failing source is
   logged and the others continue;
-* silver: the invoice documents are parsed once into a staging table, from
-  which invoices, taxes and items are derived; tables are written with the
+* silver: the invoice and project documents are each parsed once into a
+  staging table, from which invoices, taxes and items (and projects and
+  tasks) are derived; the eight tables are written concurrently with the
   reference's layout (date partitions, clustering);
 * gold and quality: temporary views over the written silver tables, so every
   read prunes columns and partitions at the Parquet scan.
