@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, oracle, quality
+from lakefold.llm import bpe, mixing, oracle, quality, secrets
 from lakefold.llm.common import table
 
 
@@ -12,15 +12,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_entropy_mix": op5_entropy_mix,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {
