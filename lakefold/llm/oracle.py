@@ -44,3 +44,13 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        (failed & 3) <> 0 AS base_failed, failed = 0 AS kept
 FROM judged
 """
+
+WARC = """
+WITH rows AS (SELECT page_id, url, sha1(coalesce(html, '')) AS payload_digest,
+                     CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+     held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM rows)
+SELECT page_id, payload_bytes, payload_digest, nullif(url, '') AS url,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to
+FROM held
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, mixing, oracle, quality, secrets
+from lakefold.llm import bpe, mixing, oracle, quality, secrets, warc
 from lakefold.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe.round_trip(table(spark, sf_dir, "documents"),
@@ -29,10 +33,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_entropy_mix": op5_entropy_mix,
+    "op7_warc": op7_warc,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {
     "op3_quality_rules": oracle.QUALITY,
+    "op7_warc": oracle.WARC,
 }
