@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
 def quality_measures(docs: str) -> str:
@@ -10,7 +10,7 @@ def quality_measures(docs: str) -> str:
     return rf"""
     rows AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body, {_WORDS} AS words,
                     list_filter(string_split(coalesce(text, ''), chr(10)),
-                                l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+                                lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
              FROM {docs}),
     windows AS (SELECT r, i, array_to_string(words[i:i + 4], ' ') AS w
                 FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM rows)),

@@ -50,7 +50,7 @@ def measure(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     sorted with their positions, and those equal to a neighbour are repeats
     (n log n in the text's length).  Texts without an equal pair skip the sort.
     """
-    blank = r"translate(body, ' \t\n\u000B\f\r', '')"
+    blank = r"translate(body, ' \t\n\u000B\u000C\r', '')"
     df = docs.select(key, "text", F.coalesce("text", F.lit("")).alias("body"))
     df = df.select(
         key, "text",

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, mixing, oracle, quality, secrets, warc
+from lakefold.llm import bpe, fingerprint, mixing, oracle, quality, secrets, warc
 from lakefold.llm.common import table
 
 
+def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_scaled_sketch": op2_scaled_sketch,
     "op3_quality_rules": op3_quality_rules,
     "op5_entropy_mix": op5_entropy_mix,
     "op7_warc": op7_warc,
