@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -60,10 +62,21 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
         col = batch.column(batch.schema.get_field_index(column))
         ends = col.buffers()[1]
         wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
-        import numpy as np
         off = np.frombuffer(ends, dtype=np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1]
         at = 0
         while at < len(col):
             to = max(at + 1, int(np.searchsorted(off, int(off[at]) + limit, side="right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+
+
+def release(spark: SparkSession, *done: DataFrame) -> None:
+    """Free what finished steps left: the folders of `done` (from `staged`), and the shuffle files of
+    plans nobody holds any more, which Spark deletes once the driver has collected them as garbage."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for df in done:
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+    gc.collect()
+    jvm.System.gc()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, mixing, oracle, quality, secrets, warc
+from lakefold.llm import bpe, fingerprint, jaccard, mixing, oracle, quality, secrets, warc
 from lakefold.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op5_entropy_mix": op5_entropy_mix,
     "op7_warc": op7_warc,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_secret_scan": op10_secret_scan,
 }
 
