@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, jaccard, mixing, oracle, quality, secrets, warc
+from lakefold.llm import bpe, fingerprint, jaccard, langid, mixing, oracle, quality, secrets, warc
 from lakefold.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op2_scaled_sketch": op2_scaled_sketch,
     "op3_quality_rules": op3_quality_rules,
     "op5_entropy_mix": op5_entropy_mix,
+    "op6_crf_language": op6_crf_language,
     "op7_warc": op7_warc,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_ngram_jaccard": op9_ngram_jaccard,
