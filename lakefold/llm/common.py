@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,6 +16,9 @@ from lakefold.session import fresh_path
 #: Bytes of text that a Python helper works on at a time; the arrays it makes are a small multiple.
 BLOCK_BYTES = 2 << 20
 
+#: Bits of a broadcast id filter (1 MB), whatever the number of ids.
+FILTER_BITS = 1 << 23
+
 WORD_SPLIT = r"[\x20\x09-\x0D]+"  # what separates words everywhere in this package
 
 
@@ -80,3 +83,23 @@ def release(spark: SparkSession, *done: DataFrame) -> None:
             folder.getFileSystem(conf).delete(folder, True)
     gc.collect()
     jvm.System.gc()
+
+
+def filter_bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """A bit set with the bits of all ids.  It spares a shuffle of rows that have no
+    partner; what it lets through wrongly has to be removed by a join afterwards."""
+    words = ids.select(filter_bit(column).alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("w")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("bits"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for w, bits in words.collect():  # at most FILTER_BITS / 64 rows
+        out[w] = bits
+    return out
+
+
+def in_filter(bits: np.ndarray, numbers: pa.Array) -> pa.Array:
+    at = numbers.to_numpy()
+    return pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1)

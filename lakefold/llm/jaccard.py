@@ -7,8 +7,9 @@ Two documents link when 100 * |A n B| >= 75 * |A u B|.
 1. Documents with equal sets form a class; all further work is on classes.
 2. First order: frequent shingles last, the rest by hash.  Linked classes share
    one of their first n - ceil(0.75 n) + 1 shingles.  Those are dealt out by
-   shingle; pairs that meet are counted, and the count and the last common
-   place bound the overlap from above (positional filter).
+   shingle, and the meetings of each pair are counted.  Common shingles that
+   were not counted lie behind the prefix that ends first, so the count and the
+   rest of that set bound the overlap from above.
 3. Second order: by another hash, frequent shingles last again.  Pairs that
    pass must also meet, under the same bound, in their prefixes of this order.
 4. What is left is verified on the whole sets.
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import blocks, release, shuffle_width, staged
+from lakefold.llm.common import blocks, filter_bit, id_filter, in_filter, release, shuffle_width, staged
 from lakefold.llm.graph import components
 from lakefold.llm.words import Words, mix
 
@@ -47,7 +48,6 @@ FREQUENT = 32          # counted occurrences from which a shingle is ordered las
 MOST_FREQUENT = 1 << 20  # bound of the broadcast list of frequent shingles (8 MB)
 PIVOTS = 8
 SEARCH_BLOCK = 256     # classes on each side of a block of the cluster search
-FILTER_BITS = 1 << 23  # bits of the broadcast filter of candidate classes (1 MB)
 COUNT_BYTES = 4 << 20  # text in which a shingle's repeats are counted locally
 
 
@@ -77,13 +77,28 @@ def class_key(tokens: np.ndarray) -> int:
         return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def order_value(tokens: np.ndarray, frequent: np.ndarray, seed: int) -> np.ndarray:
+    """31-bit places in a global order; frequent shingles have the last one."""
+    value = (mix(tokens ^ np.uint64(seed)) >> np.uint64(33)).astype(np.int32)
+    return np.where(_is_in(tokens, frequent), np.int32(2**31 - 1), value)
+
+
+def _is_in(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(tokens), bool)
+    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+    return frequent[at] == tokens
+
+
+def most_overlap(common, na, nb, end_a, end_b):
+    """Bound of the overlap of two sets with `common` shingles in both prefixes, which end at these places of the order."""
+    rest_a, rest_b = na - prefix_length(na), nb - prefix_length(nb)
+    return common + np.where(end_a < end_b, rest_a, np.where(end_b < end_a, rest_b, np.maximum(rest_a, rest_b)))
+
+
 def ordered(tokens: np.ndarray, frequent: np.ndarray, seed: int) -> np.ndarray:
     """A set in one of the global orders: frequent shingles last, then by mixed hash."""
-    last = np.zeros(len(tokens), bool)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        last = frequent[at] == tokens
-    return tokens[np.lexsort((mix(tokens ^ np.uint64(seed)), last))]
+    return tokens[np.lexsort((mix(tokens ^ np.uint64(seed)), _is_in(tokens, frequent)))]
 
 
 SEEDS = (0x51ED270B7F3C1A95, 0xC2B2AE3D27D4EB4F)
@@ -114,7 +129,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(frequent):
-    """Rows (shingle, key, n, place) of each class's first prefix; place is negative where the shingle is frequent."""
+    """Rows (shingle, key, n, end) of each class's first prefix, with the place in the order where the
+    prefix ends; n is negative where the shingle is frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, met = frequent.value, set()
         for block in blocks(batches, "text"):
@@ -127,21 +143,19 @@ def _postings(frequent):
                 met.add(key)
                 p = prefix_length(n)
                 first = ordered(tokens, known, SEEDS[0])[:p]
-                place = np.arange(p, dtype=np.int32)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, first), len(known) - 1)
-                    place = np.where(known[at] == first, -1 - place, place)
-                for column, values in zip(columns, (first.view(np.int64), np.full(p, key), np.full(p, n, np.int32), place)):
+                end = int(order_value(first[-1:], known, SEEDS[0])[0])
+                signed = np.where(_is_in(first, known), -n, n)
+                for column, values in zip(columns, (first.view(np.int64), np.full(p, key), signed, np.full(p, end))):
                     column.append(values)
             if columns[0]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.int32, np.int32))],
-                    names=["token", "key", "n", "place"])
+                    names=["token", "key", "n", "end"])
     return run
 
 
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int32()), ("nb", pa.int32()),
-                  ("pa", pa.int32()), ("pb", pa.int32())])
+                  ("ea", pa.int32()), ("eb", pa.int32())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +171,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def work(rows: np.ndarray, last: bool):
         nonlocal rest, open_large
         out = []
-        hot = rows[3] < 0
+        hot = rows[2] < 0
         if hot.any():
             out.append(large(rows[0][hot], rows[1][hot]))
             rows = rows[:, ~hot]
@@ -209,17 +223,6 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from work(rest, True)
 
 
-def _filter_of(keys: DataFrame, column: str) -> np.ndarray:
-    """A bit set of FILTER_BITS bits with those of all ids; its size does not depend on their number."""
-    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    words = keys.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("bits"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for w, bits in words.collect():  # at most FILTER_BITS / 64 rows
-        out[w] = bits
-    return out
-
-
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, tokens) of the classes in `wanted` (key, rep), taken from their representative's text.
 
@@ -227,13 +230,12 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     it lets through beyond that is removed by the join with `wanted`.
     """
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_filter_of(wanted.select("rep"), "rep"))
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = spark.sparkContext.broadcast(id_filter(wanted, "rep"))
+    bit = filter_bit("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((bits.value[at >> 6] >> (at & 63)) & 1 == 1))
+            batch = batch.filter(in_filter(bits.value, batch.column(2)))
             for block in blocks([batch.select([0, 1])], "text"):
                 sets = sets_of(block.column(1))
                 yield pa.RecordBatch.from_arrays(
@@ -243,31 +245,29 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", bit.alias("bit")).mapInArrow(run, "key bigint, tokens binary").filter("octet_length(tokens) > 0")
 
 
-def _numbers(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+def _numbers(column: pa.Array, kind=np.uint64) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
-def _second_order(frequent):
-    """Of (a, b, ta, tb) with prefixes of the second order, the pairs that meet there under the positional bound."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            for i, (x, y) in enumerate(zip(_numbers(batch.column(4)), _numbers(batch.column(5)))):
-                _, px, py = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                keep.append(len(px) and len(px) + min(na[i] - px.max(), nb[i] - py.max()) - 1 >= least_overlap(na[i], nb[i]))
-            yield batch.select([0, 1]).filter(pa.array(np.array(keep, bool)))
-    return run
+def _meet_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, na, nb, fa, fb, ea, eb) with prefixes of the second order, the pairs that meet there under the bound."""
+    for batch in batches:
+        na, nb, ea, eb = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3, 6, 7))
+        common = np.array([np.isin(x, y).sum() for x, y in zip(_numbers(batch.column(4), np.uint32), _numbers(batch.column(5), np.uint32))], np.int64)
+        keep = (common > 0) & (most_overlap(common, na, nb, ea, eb) >= least_overlap(na, nb))
+        yield batch.select([0, 1]).filter(pa.array(keep))
 
 
 def _prefixes(sets: DataFrame, frequent) -> DataFrame:
+    """(key, first, end): each set's prefix in the second order, as 32-bit numbers (equal shingles stay
+    equal, so chance equalities only let more pairs through to the verification)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = _numbers(batch.column(1))
-            first = [ordered(t, frequent.value, SEEDS[1])[:prefix_length(len(t))].tobytes() for t in tokens]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in tokens], pa.int32()), pa.array(first, pa.binary())],
-                                             names=["key", "n", "first"])
-    return sets.mapInArrow(run, "key bigint, n int, first binary")
+            first = [ordered(t, frequent.value, SEEDS[1])[:prefix_length(len(t))] for t in _numbers(batch.column(1))]
+            end = np.array([order_value(f[-1:], frequent.value, SEEDS[1])[0] for f in first], np.int32)
+            short = [(f >> np.uint64(16)).astype(np.uint32).tobytes() for f in first]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary()), pa.array(end)], names=["key", "first", "end"])
+    return sets.mapInArrow(run, "key bigint, first binary, end int")
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,15 +349,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                .orderBy("n", "key").limit(MOST_FREQUENT).select("key").collect())  # bounded list; it only shapes the order
     frequent = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in counted], np.int64).view(np.uint64)))
 
-    salt = F.when(F.col("place") < 0, F.pmod("key", F.lit(1 << 20))).otherwise(F.lit(0))
+    salt = F.when(F.col("n") < 0, F.pmod("key", F.lit(1 << 20))).otherwise(F.lit(0))
     postings = docs.select("text").select(F.lit(None).cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _postings(frequent), "token bigint, key bigint, n int, place int")
+        _postings(frequent), "token bigint, key bigint, n int, end int")
     met = (postings.repartition(shuffle_width(spark), "token", salt).sortWithinPartitions("token", "key")
-           .mapInArrow(_meet, "a bigint, b bigint, na int, nb int, pa int, pb int"))
-    bound = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    total = F.col("na") + F.col("nb")
-    first = staged(met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-                   .filter((F.col("na") == 0) | (bound * (100 + PERCENT) >= PERCENT * total)).select("a", "b", "na", "nb"), "met")
+           .mapInArrow(_meet, "a bigint, b bigint, na int, nb int, ea int, eb int"))
+    rest = lambda n: F.expr(f"ceil({PERCENT} * {n} / 100) - 1")  # noqa: E731  behind the prefix
+    bound = F.col("c") + F.when(F.col("ea") < F.col("eb"), rest("na")).when(F.col("eb") < F.col("ea"), rest("nb")).otherwise(F.greatest(rest("na"), rest("nb")))
+    first = staged(met.groupBy("a", "b", "na", "nb", "ea", "eb").agg(F.count(F.lit(1)).alias("c"))
+                   .filter((F.col("na") == 0) | (bound * (100 + PERCENT) >= PERCENT * (F.col("na") + F.col("nb"))))
+                   .select("a", "b", "na", "nb"), "met")
     release(spark)
     pairs = first.filter("na > 0")
     large = first.filter("na = 0").select(F.col("a").alias("token"), F.col("b").alias("key"))
@@ -366,10 +367,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .unionByName(large.select("key")).distinct())
     sets = staged(_sets(docs, wanted.join(classes, "key")).dropDuplicates(["key"]), "sets")
     heads = _prefixes(sets, frequent)
-    left = heads.select(F.col("key").alias("a"), F.col("first").alias("fa"))
-    right = heads.select(F.col("key").alias("b"), F.col("first").alias("fb"))
-    second = staged(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "fa", "fb")
-                    .mapInArrow(_second_order(frequent), "a bigint, b bigint"), "met-twice")
+    left = heads.select(F.col("key").alias("a"), F.col("first").alias("fa"), F.col("end").alias("ea"))
+    right = heads.select(F.col("key").alias("b"), F.col("first").alias("fb"), F.col("end").alias("eb"))
+    second = staged(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "fa", "fb", "ea", "eb")
+                    .mapInArrow(_meet_again, "a bigint, b bigint"), "met-twice")
     release(spark)
     links = staged(_links(second, sets), "links")
     release(spark)
