@@ -54,3 +54,33 @@ SELECT page_id, payload_bytes, payload_digest, nullif(url, '') AS url,
        CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to
 FROM held
 """
+
+
+def left_lines(docs: str) -> str:
+    """CTEs `parts` (line by line, with `goes` and `near`) over a relation with doc_id and text."""
+    return rf"""
+    split AS (SELECT DISTINCT doc_id, text, unnest(string_split(text, chr(10))) AS raw,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS no FROM {docs}),
+    trimmed AS (SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM split),
+    firsts AS (SELECT line, min((doc_id, no)) AS spot FROM trimmed WHERE line <> '' GROUP BY line),
+    long AS (SELECT line, spot, length(line) AS n FROM firsts WHERE length(line) >= 16),
+    close AS (SELECT DISTINCT a.line FROM long a JOIN
+                (SELECT line, spot, n + d AS n FROM long, (VALUES (-1), (0), (1)) t(d)) b ON a.n = b.n AND b.spot < a.spot
+              WHERE (substr(a.line, 1, CAST(a.n // 2 - 1 AS INT)) = substr(b.line, 1, CAST(a.n // 2 - 1 AS INT))
+                     OR right(a.line, CAST(a.n // 2 - 1 AS INT)) = right(b.line, CAST(a.n // 2 - 1 AS INT)))
+                    AND levenshtein(a.line, b.line) <= 1),
+    parts AS (SELECT t.*, coalesce(t.line <> '' AND ((t.doc_id, t.no) <> f.spot OR c.line IS NOT NULL), false) AS goes,
+                     coalesce((t.doc_id, t.no) = f.spot AND c.line IS NOT NULL, false) AS near
+              FROM trimmed t LEFT JOIN firsts f USING (line) LEFT JOIN close c USING (line))"""
+
+
+LINES = rf"""
+WITH {left_lines('documents')},
+     texts AS (SELECT doc_id, text, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (goes) AS n_dropped,
+                      count(*) FILTER (near) AS n_near,
+                      coalesce(string_agg(raw, chr(10) ORDER BY no) FILTER (NOT goes), '') AS left_text
+               FROM parts GROUP BY doc_id, text)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(n_near, 0) AS n_near,
+       length(coalesce(left_text, '')) AS n_chars_left, sha256(coalesce(left_text, '')) AS left_sha256
+FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id AND d.text = t.text
+"""

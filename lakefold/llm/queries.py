@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, jaccard, langid, mixing, oracle, quality, secrets, warc
+from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, secrets, warc
 from lakefold.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_scaled_sketch": op2_scaled_sketch,
     "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op5_entropy_mix": op5_entropy_mix,
     "op6_crf_language": op6_crf_language,
     "op7_warc": op7_warc,
@@ -55,5 +60,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_quality_rules": oracle.QUALITY,
+    "op4_line_dedup": oracle.LINES,
     "op7_warc": oracle.WARC,
 }
