@@ -328,11 +328,11 @@ LABELS = "doc_id bigint, lang_pred string, score double, runs array<struct<lang:
 
 def label(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, and `runs`: the stretches of words (first to last, from 0) of one language."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by BUCKETS and LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model and vars(model))  # its size is fixed by BUCKETS and LANGUAGES
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(**shared.value) if shared.value else None
         for block in blocks(batches, "text", BLOCK_TEXT):
             langs, scores, runs = [], [], []
             if m is not None:

@@ -18,7 +18,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[int, np.ndarray] = {}
+
+
+class ProcessCache(dict):
+    """Kept by a process; what travels to tasks is empty."""
+
+    def __reduce__(self):
+        return ProcessCache, ()
+
+
+_POWERS = ProcessCache()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
