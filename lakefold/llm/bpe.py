@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from lakefold.llm.common import blocks
 from lakefold.llm.words import ProcessCache
 
-BLOCK_TEXT = 16 << 20  # bytes of text whose distinct pretokens are replayed together
+BLOCK_TEXT = 8 << 20  # bytes of text whose distinct pretokens are replayed together
 NONE = np.int32(2**31 - 1)
 _LOADED = ProcessCache()
 
