@@ -15,11 +15,13 @@ Two documents link when 100 * |A n B| >= 75 * |A u B|.
 4. What is left is verified on the whole sets.
 
 Which shingles are frequent is counted over all texts; it only shapes the
-order, so results do not depend on it.  A shingle in more than GROUP prefixes
-makes no pairs.  Classes that share such shingles form clusters: every member
-is compared with a few pivots, and what is then not in the cluster's largest
-component is searched against the whole cluster, block by block, so no link
-between components is lost.
+order, so results do not depend on it.  A shingle that still turns out to be in
+more than GROUP prefixes is counted as frequent in another pass.  Classes that
+have frequent shingles in their prefix, because they hold little else, form
+clusters with those that share them: every member is compared with a few
+pivots, and what is then not in the cluster's largest component is searched
+against the whole cluster, block by block, so no link between components is
+lost.
 
 Defined results: null or empty texts have no set, link with nothing and are
 their own component (component_id = doc_id); repeated rows and equal texts are
@@ -43,12 +45,13 @@ from lakefold.llm.words import Words, mix
 
 SHINGLE = 5
 PERCENT = 75
-GROUP = 64             # a shingle in more prefixes than this goes to the clusters
+GROUP = 256            # a shingle in more prefixes than this makes no pairs
 FREQUENT = 32          # counted occurrences from which a shingle is ordered last
 MOST_FREQUENT = 1 << 20  # bound of the broadcast list of frequent shingles (8 MB)
 PIVOTS = 8
 SEARCH_BLOCK = 256     # classes on each side of a block of the cluster search
-COUNT_BYTES = 4 << 20  # text in which a shingle's repeats are counted locally
+COUNT_BYTES = 32 << 20  # text in which a shingle's repeats are counted locally
+PASSES = 3             # over the first order at most, while shingles turn out to be frequent
 
 
 def prefix_length(n):
@@ -106,24 +109,24 @@ SEEDS = (0x51ED270B7F3C1A95, 0xC2B2AE3D27D4EB4F)
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, key, n) of documents, and rows (null, shingle, -count) of shingles that repeat in a stretch of texts."""
-    held, size = [], 0
+    held, size = {}, 0
 
     def repeats():
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+        tokens, counts = np.unique(np.concatenate(list(held.values())), return_counts=True)
         use = counts > 1
         return pa.RecordBatch.from_arrays([pa.nulls(int(use.sum()), pa.int64()), pa.array(tokens[use].view(np.int64)),
                                            pa.array(-counts[use].astype(np.int64))], names=["doc_id", "key", "n"])
 
     for block in blocks(batches, "text"):
         sets = sets_of(block.column(1))
-        yield pa.RecordBatch.from_arrays(
-            [block.column(0), pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "key", "n"])
-        held += {class_key(s): s for s in sets if len(s)}.values()
+        keys = [class_key(s) if len(s) else None for s in sets]
+        yield pa.RecordBatch.from_arrays([block.column(0), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
+                                         names=["doc_id", "key", "n"])
+        held.update((k, s) for k, s in zip(keys, sets) if k is not None)
         size += block.column(1).nbytes
         if size >= COUNT_BYTES and held:
             yield repeats()
-            held, size = [], 0
+            held, size = {}, 0
     if held:
         yield repeats()
 
@@ -159,21 +162,21 @@ _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int32()), ("nb
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings sorted by shingle to pairs that meet (a < b, sizes fit); rows (shingle, key, 0, 0, 0, 0)
-    for shingles that are frequent or turn out to be in more than GROUP prefixes."""
+    """Postings sorted by shingle to pairs that meet (a < b, sizes fit); rows (shingle, key, 0, known, 0, 0)
+    for shingles that are frequent (known: 1) or turn out to be in more than GROUP prefixes (0)."""
     rest = np.zeros((4, 0), np.int64)
     open_large = None  # the shingle of a large group that may go on
 
-    def large(token, key):
+    def large(token, key, known=0):
         zero = np.zeros(len(token), np.int64)
-        return np.stack([token, key, zero, zero, zero, zero])
+        return np.stack([token, key, zero, zero + known, zero, zero])
 
     def work(rows: np.ndarray, last: bool):
         nonlocal rest, open_large
         out = []
         hot = rows[2] < 0
         if hot.any():
-            out.append(large(rows[0][hot], rows[1][hot]))
+            out.append(large(rows[0][hot], rows[1][hot], 1))
             rows = rows[:, ~hot]
         if open_large is not None and rows.shape[1]:
             more = rows[0] == open_large
@@ -338,6 +341,20 @@ def _cluster_links(large: DataFrame, links: DataFrame, sets: DataFrame) -> DataF
     return found.unionByName(more)
 
 
+def _first_order(docs: DataFrame, frequent) -> DataFrame:
+    """Pairs (a, b, na, nb) that meet in the first order under the bound, and the rows of `_meet` for frequent shingles."""
+    salt = F.when(F.col("n") < 0, F.pmod("key", F.lit(1 << 20))).otherwise(F.lit(0))
+    postings = docs.select(F.lit(None).cast("bigint").alias("doc_id"), "text").mapInArrow(
+        _postings(frequent), "token bigint, key bigint, n int, end int")
+    met = (postings.repartition(shuffle_width(docs.sparkSession), "token", salt).sortWithinPartitions("token", "key")
+           .mapInArrow(_meet, "a bigint, b bigint, na int, nb int, ea int, eb int"))
+    rest = lambda n: F.expr(f"ceil({PERCENT} * {n} / 100) - 1")  # noqa: E731  behind the prefix
+    bound = F.col("c") + F.when(F.col("ea") < F.col("eb"), rest("na")).when(F.col("eb") < F.col("ea"), rest("nb")).otherwise(F.greatest(rest("na"), rest("nb")))
+    return (met.groupBy("a", "b", "na", "nb", "ea", "eb").agg(F.count(F.lit(1)).alias("c"))
+            .filter((F.col("na") == 0) | (bound * (100 + PERCENT) >= PERCENT * (F.col("na") + F.col("nb"))))
+            .select("a", "b", "na", "nb"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id per row of `docs`."""
     spark = docs.sparkSession
@@ -345,23 +362,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     survey = staged(docs.mapInArrow(_survey, "doc_id bigint, key bigint, n bigint"), "survey")
     rows = survey.filter("n >= 0")
     classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    counted = (survey.filter("n < 0").groupBy("key").agg(F.sum("n").alias("n")).filter(f"n <= -{FREQUENT}")
-               .orderBy("n", "key").limit(MOST_FREQUENT).select("key").collect())  # bounded list; it only shapes the order
-    frequent = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in counted], np.int64).view(np.uint64)))
-
-    salt = F.when(F.col("n") < 0, F.pmod("key", F.lit(1 << 20))).otherwise(F.lit(0))
-    postings = docs.select("text").select(F.lit(None).cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _postings(frequent), "token bigint, key bigint, n int, end int")
-    met = (postings.repartition(shuffle_width(spark), "token", salt).sortWithinPartitions("token", "key")
-           .mapInArrow(_meet, "a bigint, b bigint, na int, nb int, ea int, eb int"))
-    rest = lambda n: F.expr(f"ceil({PERCENT} * {n} / 100) - 1")  # noqa: E731  behind the prefix
-    bound = F.col("c") + F.when(F.col("ea") < F.col("eb"), rest("na")).when(F.col("eb") < F.col("ea"), rest("nb")).otherwise(F.greatest(rest("na"), rest("nb")))
-    first = staged(met.groupBy("a", "b", "na", "nb", "ea", "eb").agg(F.count(F.lit(1)).alias("c"))
-                   .filter((F.col("na") == 0) | (bound * (100 + PERCENT) >= PERCENT * (F.col("na") + F.col("nb"))))
-                   .select("a", "b", "na", "nb"), "met")
-    release(spark)
+    found = (survey.filter("n < 0").groupBy(F.col("key").alias("token")).agg(F.sum("n").alias("n")).filter(f"n <= -{FREQUENT}"))
+    known = np.zeros(0, np.uint64)
+    for _ in range(PASSES):
+        counted = found.orderBy("n", "token").limit(MOST_FREQUENT - len(known)).select("token").collect()  # bounded; it only shapes the order
+        if not counted and len(known):
+            break
+        known = np.union1d(known, np.array([r[0] for r in counted], np.int64).view(np.uint64))
+        frequent = spark.sparkContext.broadcast(known)
+        first = staged(_first_order(docs, frequent), "met")
+        release(spark)
+        found = first.filter("na = 0 AND nb = 0").groupBy(F.col("a").alias("token")).agg((-F.count(F.lit(1))).alias("n"))
+        if len(known) >= MOST_FREQUENT or found.isEmpty():
+            break
     pairs = first.filter("na > 0")
     large = first.filter("na = 0").select(F.col("a").alias("token"), F.col("b").alias("key"))
+    several = large.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("token")
+    large = staged(large.join(several, "token").distinct(), "large")
 
     wanted = (pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
               .unionByName(large.select("key")).distinct())
@@ -386,8 +403,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay: the one with the smallest doc_id of each component, once."""
-    names = docs.columns
-    heads = (near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("_head")).distinct())
-    return docs.dropDuplicates(["doc_id"]).join(heads, F.col("doc_id").eqNullSafe(F.col("_head")), "left_semi").select(*names)
+    """The rows of `docs` that stay: the one with the smallest doc_id of each component, once.
+    Rows with a null id cannot be told apart and stay."""
+    heads = (near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct())
+    named = docs.filter("doc_id IS NOT NULL")
+    return named.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))

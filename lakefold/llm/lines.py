@@ -165,26 +165,29 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return marked.filter("near OR at <> first").select("at.*", (F.col("at") == F.col("first")).alias("near")).distinct()
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """`docs` with the text that is left, and n_lines (with a word), n_dropped and n_near."""
-    names = docs.columns
+def _with_rest(docs: DataFrame) -> DataFrame:
+    """`docs` with struct `_rest`: the text that is left, n_lines (with a word), n_dropped, n_near."""
     gone = (repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
-            .agg(F.collect_list("line_no").alias("_gone"), F.count(F.when(F.col("near"), 1)).alias("n_near")))  # of one document
+            .agg(F.collect_list("line_no").alias("_gone"), F.count(F.when(F.col("near"), 1)).alias("_near")))  # of one document
     joined = docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
-    lines = F.split("text", "\n")
-    left = F.expr(r"""array_join(transform(array_except(sequence(0, size(split(text, '\n')) - 1), _gone), i -> get(_lines, i)), '\n')""")
-    packed = joined.withColumn("_lines", lines)
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
+    packed = joined.withColumn("_lines", F.split("text", "\n"))
+    left = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _gone), i -> get(_lines, i)), '\\n')")
     n_lines = F.expr(r"size(filter(_lines, l -> l rlike '[^\\x20\\x09-\\x0D]'))")
-    return packed.select(*[text.alias(c) if c == "text" else F.col(c) for c in names],
-                         F.greatest(n_lines, F.lit(0)).cast("bigint").alias("n_lines"),
-                         F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
-                         F.coalesce("n_near", F.lit(0)).alias("n_near"))
+    rest = F.struct(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text"),
+                    F.greatest(n_lines, F.lit(0)).cast("bigint").alias("n_lines"),
+                    F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
+                    F.coalesce("_near", F.lit(0)).alias("n_near"))
+    return packed.select(*docs.columns, rest.alias("_rest"))
+
+
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+    """`docs` with the text that is left."""
+    return _with_rest(docs).select(*[F.col("_rest.text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """Per document: its lines, how many go, and the text that is left, by length and digest."""
-    left = drop_repeated_lines(docs.select("doc_id", "text"))
+    left = _with_rest(docs.select("doc_id", "text")).select("doc_id", "_rest.*")
     body = F.coalesce("text", F.lit(""))
     return left.select("doc_id", "n_lines", "n_dropped", "n_near", F.length(body).cast("bigint").alias("n_chars_left"),
                        F.sha2(body, 256).alias("left_sha256"))
