@@ -53,7 +53,7 @@ PLACE, CUT, OWN = 0, 1, 2  # what a key is to a line: (variant, place); its vari
 def _lines(docs: DataFrame) -> DataFrame:
     """AT and `line` of every line with a word."""
     split = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return split.withColumn("line", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")).filter("line <> ''")
+    return split.withColumn("line", F.btrim("line", F.lit(_SPACE))).filter("line <> ''")
 
 
 def _hashes() -> list[Column]:
