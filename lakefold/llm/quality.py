@@ -44,16 +44,16 @@ def policy_mask(version: str) -> int:
 
 
 def measure(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """`key`, `text` and the measurements of each document.
+    """`key` and the measurements of each document.
 
     Words in repeated windows are found inside the row: window hashes are
     sorted with their positions, and those equal to a neighbour are repeats
     (n log n in the text's length).  Texts without an equal pair skip the sort.
     """
     blank = r"translate(body, ' \t\n\u000B\u000C\r', '')"
-    df = docs.select(key, "text", F.coalesce("text", F.lit("")).alias("body"))
+    df = docs.select(key, F.coalesce("text", F.lit("")).alias("body"))
     df = df.select(
-        key, "text",
+        key,
         F.expr(r"filter(split(body, '[\\x20\\x09-\\x0D]+'), w -> w <> '')").alias("words"),
         F.expr(r"filter(split(body, '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')").alias("lines"),
         F.expr(f"CAST(length({blank}) AS BIGINT)").alias("word_chars"),
@@ -71,15 +71,14 @@ def measure(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     df = df.select("*", F.expr(
         "sort_array(transform(filter(ordered, (x, j) -> (j > 0 AND get(ordered, j - 1).h = x.h) "
         "OR (j < size(ordered) - 1 AND get(ordered, j + 1).h = x.h)), x -> x.i))").alias("repeats"))
-    return df.select(
-        key, "text",
+    return df.select(key, F.inline_outer(F.array(F.struct(
         F.size("words").cast("bigint").alias("n_words"), "word_chars", "n_symbols",
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.expr(f"aggregate(repeats, named_struct('n', 0L, 'last', -{WINDOW}), "
                f"(a, p) -> named_struct('n', a.n + least({WINDOW}, p - a.last), 'last', p), a -> a.n)")
         .alias("n_repeat_words"),
-        "n_letters", "n_upper")
+        "n_letters", "n_upper"))))
 
 
 def failure_bits() -> Column:
@@ -93,7 +92,7 @@ def failure_bits() -> Column:
 
 def ledger(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """`key`, the measurements and `failed` (bits) of each document."""
-    return measure(docs, key).drop("text").withColumn("failed", failure_bits())
+    return measure(docs, key).withColumn("failed", failure_bits())
 
 
 def kept(version: str = CURRENT) -> Column:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, secrets, warc
+from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, secrets, suffixes, warc
 from lakefold.llm.common import table
 
 
+def op1_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sparse_suffixes": op1_sparse_suffixes,
     "op2_scaled_sketch": op2_scaled_sketch,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
