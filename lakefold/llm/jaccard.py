@@ -50,7 +50,7 @@ FREQUENT = 32          # counted occurrences from which a shingle is ordered las
 MOST_FREQUENT = 1 << 20  # bound of the broadcast list of frequent shingles (8 MB)
 PIVOTS = 8
 SEARCH_BLOCK = 256     # classes on each side of a block of the cluster search
-COUNT_BYTES = 32 << 20  # text in which a shingle's repeats are counted locally
+COUNT_BYTES = 16 << 20  # text in which a shingle's repeats are counted locally
 PASSES = 3             # over the first order at most, while shingles turn out to be frequent
 
 
@@ -316,7 +316,7 @@ def _cluster_links(large: DataFrame, links: DataFrame, sets: DataFrame) -> DataF
     spark = large.sparkSession
     pivots = large.groupBy("token").agg(*[F.min(F.struct(F.xxhash64("key", F.lit(r)).alias("h"), "key"))["key"].alias(f"p{r}")
                                           for r in range(PIVOTS)])
-    own = large.groupBy("key").agg(F.min(F.struct(F.xxhash64("token").alias("h"), "token"))["token"].alias("token"))
+    own = large.groupBy("key").agg(F.min(F.struct(F.xxhash64("token", "key").alias("h"), "token"))["token"].alias("token"))  # spread over tokens
     star = (own.join(pivots, "token").select("key", F.explode(F.array(*[f"p{r}" for r in range(PIVOTS)])).alias("pivot"))
             .filter("key <> pivot").select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b")).distinct())
     found = staged(_links(star, sets), "star-links")
