@@ -166,28 +166,29 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def _with_rest(docs: DataFrame) -> DataFrame:
-    """`docs` with struct `_rest`: the text that is left, n_lines (with a word), n_dropped, n_near."""
+    """(row, rest): each row of `docs`, and the text that is left, n_lines (with a word), n_dropped, n_near."""
     gone = (repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
-            .agg(F.collect_list("line_no").alias("_gone"), F.count(F.when(F.col("near"), 1)).alias("_near")))  # of one document
-    joined = docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
-    packed = joined.withColumn("_lines", F.split("text", "\n"))
-    left = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _gone), i -> get(_lines, i)), '\\n')")
-    n_lines = F.expr(r"size(filter(_lines, l -> l rlike '[^\\x20\\x09-\\x0D]'))")
-    rest = F.struct(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text"),
-                    F.greatest(n_lines, F.lit(0)).cast("bigint").alias("n_lines"),
-                    F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
-                    F.coalesce("_near", F.lit(0)).alias("n_near"))
-    return packed.select(*docs.columns, rest.alias("_rest"))
+            .agg(F.collect_list("line_no").alias("gone"), F.count(F.when(F.col("near"), 1)).alias("near")))  # of one document
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.col("text"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
+    packed = joined.withColumn("lines", F.split("text", "\n"))
+    left = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), gone), i -> get(lines, i)), '\\n')")
+    n_lines = F.expr(r"size(filter(lines, l -> l rlike '[^\\x20\\x09-\\x0D]'))")
+    return packed.select("row", F.struct(
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"),
+        F.greatest(n_lines, F.lit(0)).cast("bigint").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("n_dropped"),
+        F.coalesce("near", F.lit(0)).alias("n_near")).alias("rest"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the text that is left."""
-    return _with_rest(docs).select(*[F.col("_rest.text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return _with_rest(docs).select(*[(F.col("rest.text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """Per document: its lines, how many go, and the text that is left, by length and digest."""
-    left = _with_rest(docs.select("doc_id", "text")).select("doc_id", "_rest.*")
+    left = _with_rest(docs.select("doc_id", "text")).select("row.doc_id", "rest.*")
     body = F.coalesce("text", F.lit(""))
     return left.select("doc_id", "n_lines", "n_dropped", "n_near", F.length(body).cast("bigint").alias("n_chars_left"),
                        F.sha2(body, 256).alias("left_sha256"))

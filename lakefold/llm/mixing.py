@@ -75,8 +75,8 @@ def balance(goals: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken per row of `docs`."""
-    sized = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    """doc_id, th (hash of the text), source, size, source_size, target, rate, copies, taken per row of `docs`."""
+    sized = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th")), "sizes")
     sources = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")),
                      "sources")
     rates = balance(targets(sources)).withColumnRenamed("source", "_s")
@@ -113,7 +113,10 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` as the mix takes them: none, one or two copies of each."""
-    chosen = mix(docs).groupBy(F.col("doc_id").alias("_d")).agg(F.max("copies").alias("_copies"))
-    taken = docs.join(chosen.filter("_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_d")))
-    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The rows of `docs` as the mix takes them: none, one or two copies of each.  Rows with equal
+    id and text are taken alike, as often as the one that is taken most."""
+    chosen = mix(docs).groupBy("doc_id", "th").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    taken = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    return (taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

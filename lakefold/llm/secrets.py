@@ -20,6 +20,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -65,30 +66,26 @@ def _as_text(data: bytes) -> str | None:
     return text if odd * 10 <= min(len(text), 4096) else None
 
 
-def _inflated(data: bytes) -> Iterator[bytes]:
-    """The pieces of a gzip, zlib or bzip2 stream, at most LAYER_BYTES each; nothing if it is none."""
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        stream = zlib.decompressobj(47)
-        try:
-            while data and not stream.eof:
-                piece = stream.decompress(data, LAYER_BYTES)
-                data = stream.unconsumed_tail
-                if piece:
-                    yield piece
-        except zlib.error:
-            return
-    elif data[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
-        try:
+def _inflated(pieces: Iterator[bytes], first: bytes) -> Iterator[bytes]:
+    """What a gzip, zlib or bzip2 stream holds, at most LAYER_BYTES at a time; nothing if it is none.
+    `first` begins the stream, `pieces` has the rest."""
+    if first[:3] == b"BZh":
+        stream, errors = bz2.BZ2Decompressor(), (OSError, ValueError)
+    elif first[:2] == b"\x1f\x8b" or first[:1] == b"\x78" and len(first) > 2 and int.from_bytes(first[:2], "big") % 31 == 0:
+        stream, errors = zlib.decompressobj(47), (zlib.error,)
+    else:
+        return
+    try:
+        for data in itertools.chain([first], pieces):
             while not stream.eof:
                 piece = stream.decompress(data, LAYER_BYTES)
-                data = b""
-                if not piece and stream.needs_input:
-                    return
                 if piece:
                     yield piece
-        except (OSError, ValueError):
-            return
+                data = getattr(stream, "unconsumed_tail", b"")  # bzip2 keeps its own
+                if not data and (len(piece) < LAYER_BYTES or getattr(stream, "needs_input", False)):
+                    break
+    except errors:
+        return
 
 
 def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -192,18 +189,25 @@ def _base64(layer: Layer) -> Iterator[Layer]:
                 spans = [layer.origin(a, max(b, a + 1)) for a, b in zip(first.tolist(), last.tolist())]
                 yield Layer(text, np.array([a for a, _ in spans], np.int64), np.array([b for _, b in spans], np.int64))
         else:
-            yield from _unpacked(data, *layer.origin(m.start(), m.end()))
-
-
-def _unpacked(data: bytes, a: int, b: int) -> Iterator[Layer]:
-    """Layers of a compressed stream: all their characters stand for the whole run.
-    A stream inside a stream is opened as well (streams shrink or end, so this ends)."""
-    for window in _windows(_inflated(data)):
-        text = window.decode("utf-8", "ignore")
-        if _as_text(text.encode()) is not None and len(text) * 2 >= len(window):
-            yield Layer(text, np.full(len(text), a), np.full(len(text), b))
-        elif window[:2] != data[:2] or window != data:
-            yield from _unpacked(window, a, b)
+            yield from _unpacked(iter([data]), *layer.origin(m.start(), m.end()))
+
+
+def _unpacked(pieces: Iterator[bytes], a: int, b: int, met: frozenset = frozenset()) -> Iterator[Layer]:
+    """Layers of a compressed stream, and of streams inside it: all their characters stand for the
+    whole run.  A stream that begins like one around it is not opened again."""
+    first = next(pieces, None)
+    if first is None:
+        return
+    mark = hashlib.sha256(first).digest()
+    inside = _inflated(pieces, first)
+    held = None if mark in met else next(inside, None)
+    if held is not None:
+        yield from _unpacked(itertools.chain([held], inside), a, b, met | {mark})
+    elif met:
+        for window in _windows(itertools.chain([first], pieces)):
+            text = window.decode("utf-8", "ignore")
+            if _as_text(text.encode()) is not None and len(text) * 2 >= len(window):
+                yield Layer(text, np.full(len(text), a), np.full(len(text), b))
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -9,16 +9,19 @@ GRAM + WINDOW - 1 = 25 words holds a kept start, hence in a passage of LEAST =
 
 1. Kept suffixes are counted by the hash of their first ROOT words; the others
    can be part of no passage.
-2. Suffixes whose root occurs in two documents are sorted by range (root, next
-   words, words before), each is compared with its neighbours, and matches are
-   extended right and left.  A match of LEAST words or more is a passage.
-3. A suffix whose neighbours don't reach LEAST words, while others share its
-   root, may still match one farther off, with more of its words to the left.
-   Those are settled by the hashes of all stretches of LEAST words around them.
+2. Suffixes whose root occurs in two documents are sorted by range, once by
+   (root, next words) and once by (root, words before, nearest first).  Each is
+   compared with its neighbours there, and matches are extended right and left.
+   A match of LEAST words or more is a passage.  No suffix agrees farther to the
+   right than a neighbour in the first order, or to the left than one in the
+   second, so where such a neighbour's match is a passage, that end is final.
+3. Where it is not, another suffix farther off may still match (shorter on one
+   side, longer on the other).  Unless both limits together are under LEAST
+   words, that is settled by the hashes of all stretches of LEAST words around.
 4. Matches of a document are merged.
 
 Documents with the same word sequence are one text throughout, and such copies
-are passages as a whole.  Neighbours across range borders go to step 3, so
+are passages as a whole.  Suffixes at the ends of ranges go to step 3, so
 nothing hangs on where ranges end; no root is gathered in one task.
 
 Defined results: texts under LEAST words, empty and null texts have no passage;
@@ -147,35 +150,41 @@ def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 _MATCH = pa.schema([("root", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted entries to matches (root, th, at, start, end), and rows with end = -1 for those to be settled."""
-    held, held_found, held_near = None, False, True  # the last entry; matched, and next to its root, on its left
-
+def _neighbours(to_right: bool):
+    """Sorted entries to matches (root, th, at, start, end), and, for entries whose end on this side is
+    not final, rows with start = -1 and as end the number of words that any match has on this side at most."""
     def rows(root, th, at, start, end):
         if len(root):
             yield pa.RecordBatch.from_arrays([pa.array(root), pa.array(th), *(pa.array(np.asarray(c).astype(np.int32)) for c in (at, start, end))], schema=_MATCH)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-        batch = table.to_batches()[0]
-        root, th, at, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 3, 4, 5))
-        after, before = _unpacked(batch.column(1)), _unpacked(batch.column(2))
-        same = root[:-1] == root[1:]
-        right = ROOT + np.minimum(_agree(after[:-1], after[1:]), np.minimum(n[:-1] - at[:-1], n[1:] - at[1:]) - ROOT)
-        left = np.minimum(_agree(before[:-1], before[1:]), np.minimum(at[:-1], at[1:]))
-        match = same & (th[:-1] != th[1:]) & (left + right >= LEAST)
-        for i in (0, 1):
-            k = np.flatnonzero(match) + i
-            yield from rows(root[k], th[k], at[k], at[k] - left[match], at[k] + right[match])
-        found = np.concatenate([[held_found], match]) | np.concatenate([match, [False]])
-        near = np.concatenate([[held_near], same]) | np.concatenate([same, [False]])
-        k = np.flatnonzero(near[:-1] & ~found[:-1])
-        yield from rows(root[k], th[k], at[k], np.zeros(len(k)), np.full(len(k), -1))
-        held, held_found, held_near = batch.slice(batch.num_rows - 1), bool(found[-1]), bool(near[-1])
-    if held is not None and not held_found:
-        yield from rows(held.column(0).to_numpy(), held.column(3).to_numpy(), held.column(4).to_numpy(), [0], [-1])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unknown = LEAST if to_right else SIDE
+        held, reach, final = None, unknown, False  # the last entry, and what its left neighbour says; the first has none here
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            batch = table.to_batches()[0]
+            root, th, at, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 3, 4, 5))
+            after, before = _unpacked(batch.column(1)), _unpacked(batch.column(2))
+            right = ROOT + np.minimum(_agree(after[:-1], after[1:]), np.minimum(n[:-1] - at[:-1], n[1:] - at[1:]) - ROOT)
+            left = np.minimum(_agree(before[:-1], before[1:]), np.minimum(at[:-1], at[1:]))
+            same = root[:-1] == root[1:]
+            match = same & (th[:-1] != th[1:]) & (left + right >= LEAST)
+            for i in (0, 1):
+                k = np.flatnonzero(match) + i
+                yield from rows(root[k], th[k], at[k], at[k] - left[match], at[k] + right[match])
+            agree = np.where(same, right if to_right else left, -1)
+            on_left, on_right = np.r_[reach, agree], np.r_[agree, -1]
+            good_left, good_right = np.r_[final, match], np.r_[match, False]
+            most = np.maximum(on_left, on_right)
+            done = (good_left & (on_left == most)) | (good_right & (on_right == most)) | (most < 0)
+            k = np.flatnonzero(~done[:-1])
+            yield from rows(root[k], th[k], at[k], np.full(len(k), -1), most[k])
+            held, reach, final = batch.slice(batch.num_rows - 1), int(on_left[-1]), bool(good_left[-1])
+        if held is not None:  # its right neighbour is in another range
+            yield from rows(held.column(0).to_numpy(), held.column(3).to_numpy(), held.column(4).to_numpy(), [-1], [unknown])
+    return run
 
 
 _STRETCH = pa.schema([("stretch", pa.int64()), ("th", pa.int64()), ("root", pa.int64()), ("at", pa.int32()), ("start", pa.int32()), ("open", pa.bool_())])
@@ -230,11 +239,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     release(spark)
     entry = "root bigint, after binary, before binary, th bigint, at int, n int"
     entries = staged(docs.select("text").mapInArrow(_entries(bits), entry), "suffixes")
-    order = ["root", "after", "before", "th", "at"]
-    found = staged(entries.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
-                   .mapInArrow(_neighbours, "root bigint, th bigint, at int, start int, end int"), "matches")
-    release(spark)
-    unsettled = found.filter("end < 0").select("root", "th", "at").distinct()
+    found = []
+    for to_right in (True, False):
+        order = ["root", "after", "before", "th", "at"] if to_right else ["root", "before", "after", "th", "at"]
+        found.append(staged(entries.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
+                            .mapInArrow(_neighbours(to_right), "root bigint, th bigint, at int, start int, end int"), "matches"))
+        release(spark)
+    most = [f.filter("start < 0").select("root", "th", "at", *[(F.col("end") if i == k else F.lit(None).cast("int")).alias(c)
+                                                             for i, c in enumerate(("right", "left"))]) for k, f in enumerate(found)]
+    unsettled = (most[0].unionByName(most[1]).groupBy("root", "th", "at").agg(F.max("right").alias("right"), F.max("left").alias("left"))
+                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}").select("root", "th", "at"))
+    unsettled = staged(unsettled, "unsettled")
+    found = found[0].unionByName(found[1])
     ask = (entries.join(unsettled.select("root").distinct(), "root")
            .join(unsettled.withColumn("open", F.lit(True)), ["root", "th", "at"], "left")
            .select("root", "after", "before", "th", "at", "n", F.coalesce("open", F.lit(False)).alias("open")))
@@ -245,7 +261,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     copies = rows.groupBy("th").agg(F.min("doc_id").alias("first_copy"), F.count(F.lit(1)).alias("n_copies"), F.first("n_words").alias("n"))
     copies = staged(copies.filter("n_copies > 1"), "copies")
     whole = copies.select("th", F.lit(0).alias("start"), F.col("n").cast("int").alias("end"))
-    spans = found.filter("end > 0").select("th", "start", "end").unionByName(settled).unionByName(whole).distinct()
+    spans = found.filter("start >= 0").select("th", "start", "end").unionByName(settled).unionByName(whole).distinct()
     merged = (spans.groupBy("th").agg(F.collect_list(F.struct("start", "end")).alias("pairs"))  # of one text
               .mapInArrow(_merge, "th bigint, n_repeated bigint, spans string"))
     return (rows.join(merged, "th").join(copies.select("th", "first_copy"), "th", "left")
