@@ -19,6 +19,7 @@ empty table; other columns than the key and the text are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 
@@ -184,46 +185,52 @@ class _Numbered(dict):
         return number
 
 
+def encode_texts(merges: Merges, split, texts: pa.Array) -> list[np.ndarray]:
+    """Ids of each text of a block; `split` finds the pretokens of a text."""
+    numbers = _Numbered()
+    number = numbers.__getitem__
+    words = [np.fromiter(map(number, split(t)), np.int32) if (t := x.as_py()) else np.zeros(0, np.int32) for x in texts]
+    ids, bounds = merges.encode_pieces([w.encode() for w in numbers])
+    size, start = np.diff(bounds).astype(np.int32), bounds[:-1].astype(np.int32)
+    out = []
+    for w in words:
+        n = size[w]
+        ends = np.cumsum(n, dtype=np.int32)
+        total = int(ends[-1]) if len(n) else 0
+        out.append(ids[np.repeat(start[w] - ends + n, n) + np.arange(total, dtype=np.int32)].astype("<u4"))
+    return out
+
+
+def decode_ids(merges: Merges, ids: np.ndarray) -> bytes:
+    return b"".join(map(merges.tokens.__getitem__, ids.tolist()))
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, `n_tokens` and `ids` (little-endian unsigned 32-bit integers, one after another)."""
-    spark = docs.sparkSession
-    data = spark.sparkContext.broadcast(read_ranks(ranks_path))  # size fixed by the vocabulary
+    data = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))  # size fixed by the vocabulary
     df = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, split = merges_of(data.value), regex.compile(pattern).findall
         for block in blocks(batches, "text", BLOCK_TEXT):
-            numbers = _Numbered()
-            number = numbers.__getitem__
-            words = [np.fromiter(map(number, split(t)), np.int32) if (t := x.as_py()) else np.zeros(0, np.int32)
-                     for x in block.column(1)]
-            ids, bounds = merges.encode_pieces([w.encode() for w in numbers])
-            del numbers, number
-            size, start = np.diff(bounds), bounds[:-1]
-            counts, out = [], []
-            for w in words:
-                n = size[w]
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if len(n) else 0
-                counts.append(total)
-                out.append(ids[np.repeat(start[w] - ends + n, n) + np.arange(total)].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(counts, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["key", "n_tokens", "ids"])
+            ids = encode_texts(merges, split, block.column(1))
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array([len(x) for x in ids], pa.int64()),
+                                              pa.array([x.tobytes() for x in ids], pa.binary())], names=["key", "n_tokens", "ids"])
 
     kind = df.schema["key"].dataType.simpleString()
     return df.mapInArrow(run, f"key {kind}, n_tokens bigint, ids binary").withColumnRenamed("key", key)
 
 
-def decode(encoded: DataFrame, ranks_path: str, key: str = "doc_id") -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """All columns of `encoded`, and `decoded`, the bytes that `ids` stand for."""
     data = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = merges_of(data.value).tokens.__getitem__
+        merges = merges_of(data.value)
         for block in blocks(batches, "ids", BLOCK_TEXT):
             ids = block.column(block.schema.get_field_index("ids"))
-            out = [b"".join(map(token, np.frombuffer(x.as_buffer(), "<u4").tolist())) if x.is_valid else None for x in ids]
+            out = [decode_ids(merges, np.frombuffer(x.as_buffer(), "<u4")) if x.is_valid else None for x in ids]
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
@@ -231,7 +238,17 @@ def decode(encoded: DataFrame, ranks_path: str, key: str = "doc_id") -> DataFram
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Per document: its number of tokens and the digests of its ids and of the decoded bytes."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Per document: its number of tokens and the digests of its ids and of the bytes decoded from them.
+    Encoding and decoding share a task, so ids and bytes are digested where they are made."""
+    data = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges, split = merges_of(data.value), regex.compile(pattern).findall
+        for block in blocks(batches, "text", BLOCK_TEXT):
+            ids = encode_texts(merges, split, block.column(1))
+            digests = [[hashlib.sha256(x).hexdigest() for x in ids], [hashlib.sha256(decode_ids(merges, x)).hexdigest() for x in ids]]
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array([len(x) for x in ids], pa.int64()), *(pa.array(d, pa.string()) for d in digests)],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    df = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return df.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakefold.session import fresh_path
 
 #: Bytes of text that a Python helper works on at a time; the arrays it makes are a small multiple.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 #: Bits of a broadcast id filter (1 MB), whatever the number of ids.
 FILTER_BITS = 1 << 23
@@ -71,6 +71,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             to = max(at + 1, int(np.searchsorted(off, int(off[at]) + limit, side="right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+        del batch, col, ends, off
+    pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
 
 
 def release(spark: SparkSession, *done: DataFrame) -> None:

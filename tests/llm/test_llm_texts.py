@@ -263,6 +263,12 @@ def test_bpe(edge, documents, encoding):
         assert bag(bpe.round_trip(df, RANKS, PATTERN), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == expected
 
 
+def test_encode_and_decode(edge):
+    encoded = bpe.encode(edge, RANKS, PATTERN)
+    both = bpe.decode(encoded, RANKS).join(edge.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").filter("doc_id <> 14").collect()
+    assert both and all(bytes(r.decoded) == (r.text or "").encode() and len(r.ids) == 4 * r.n_tokens for r in both)
+
+
 def test_bpe_of_odd_texts(encoding):
     merges = bpe.merges_of(bpe.read_ranks(RANKS))
     draw = random.Random(9)
