@@ -96,16 +96,18 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                   pa.array(np.ones(len(total), np.int8))], names=["doc_id", "th", "v", "kind"])
 
 
-_ENTRY = pa.schema([("root", pa.int64()), ("after", pa.binary()), ("before", pa.binary()), ("th", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
+_ENTRY = pa.schema([("root", pa.int64()), ("after", pa.binary()), ("before", pa.binary()), ("th", pa.int64()), ("at", pa.int32()), ("n", pa.int32()),
+                    ("ats", pa.binary())])
 
 
 def _entries(bits):
     """Rows of the kept suffixes whose root is in the filter: the SIDE words behind the root and the SIDE
-    words before the start (nearest first), as 32-bit numbers."""
+    words before the start (nearest first), as 32-bit numbers.  Suffixes of a text that agree in all of
+    that are one row, with the first start and all starts (`ats`)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, met = bits.value, set()
         for block in blocks(batches, "text"):
-            out = [[] for _ in range(6)]
+            out, places = [[] for _ in range(6)], []
             for _, th, hashes in _texts(block, 0):
                 if th in met:
                     continue
@@ -120,12 +122,21 @@ def _entries(bits):
                 padded = np.concatenate([np.zeros(SIDE, ">u4"), short, np.zeros(SIDE, ">u4")])
                 after = padded[(starts + ROOT + SIDE)[:, None] + np.arange(SIDE)]
                 before = padded[(starts + SIDE - 1)[:, None] - np.arange(SIDE)]
+                room = np.stack([np.minimum(starts, SIDE), np.minimum(len(hashes) - ROOT - starts, SIDE)], axis=1).astype(">u4")
+                whole = np.concatenate([roots.view(">u4").reshape(-1, 2), after, before, room], axis=1)
+                digest = run_hashes(whole.ravel().astype(np.uint64) + np.uint64(1), np.arange(len(whole)) * whole.shape[1],
+                                    np.arange(1, len(whole) + 1) * whole.shape[1])
+                _, first, group = np.unique(digest, return_index=True, return_inverse=True)
+                order = np.argsort(group, kind="stable")
+                places += [p.astype(np.int32).tobytes() for p in np.split(starts[order], np.cumsum(np.bincount(group))[:-1])]
+                starts, roots, after, before = starts[first], roots[first], after[first], before[first]
                 for column, values in zip(out, (roots, after, before, np.full(len(starts), th), starts, np.full(len(starts), len(hashes)))):
                     column.append(values)
             if out[0]:
                 root, after, before, th, at, n = map(np.concatenate, out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(root), _binary(after), _binary(before), pa.array(th), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], schema=_ENTRY)
+                    [pa.array(root), _binary(after), _binary(before), pa.array(th), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
+                     pa.array(places, pa.binary())], schema=_ENTRY)
     return run
 
 
@@ -141,6 +152,15 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], ">u4", offset=int(off[0]), count=len(column) * SIDE).reshape(-1, SIDE)
 
 
+def _all_starts(column: pa.Array, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, start) for every start of the rows k."""
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) // 4
+    starts = np.frombuffer(column.buffers()[2], np.int32)
+    size = off[k + 1] - off[k]
+    at = np.repeat(off[k] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    return np.repeat(np.arange(len(k)), size), starts[at]
+
+
 def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Number of equal words from the left, per row."""
     differ = np.concatenate([x != y, np.ones((len(x), 1), bool)], axis=1)
@@ -173,7 +193,12 @@ def _neighbours(to_right: bool):
             match = same & (th[:-1] != th[1:]) & (left + right >= LEAST)
             for i in (0, 1):
                 k = np.flatnonzero(match) + i
-                yield from rows(root[k], th[k], at[k], at[k] - left[match], at[k] + right[match])
+                row, start = _all_starts(batch.column(6), k)
+                # starts of a row whose matches overlap are one stretch
+                begins = np.r_[True, (row[1:] != row[:-1]) | (np.diff(start) > (left + right)[match][row[1:]])] if len(row) else np.zeros(0, bool)
+                ends = np.r_[begins[1:], True] if len(row) else begins
+                own = row[begins]
+                yield from rows(root[k][own], th[k][own], at[k][own], start[begins] - left[match][own], start[ends] + right[match][own])
             agree = np.where(same, right if to_right else left, -1)
             on_left, on_right = np.r_[reach, agree], np.r_[agree, -1]
             good_left, good_right = np.r_[final, match], np.r_[match, False]
@@ -193,8 +218,14 @@ _STRETCH = pa.schema([("stretch", pa.int64()), ("th", pa.int64()), ("root", pa.i
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the stretches of LEAST words around entries: l words before the start, LEAST - l from it on."""
     for batch in batches:
+        open_ = batch.column(7).to_numpy(zero_copy_only=False)
         root, th, at, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 3, 4, 5))
-        open_ = batch.column(6).to_numpy(zero_copy_only=False)
+        row, start = _all_starts(batch.column(6), np.arange(batch.num_rows))  # of open entries all, of others the first
+        keep = open_[row] | (start == at[row])
+        row, start = row[keep], start[keep]
+        batch = batch.take(pa.array(row))
+        root, th, n, at, open_ = root[row], th[row], n[row], start.astype(np.int64), open_[row]
+        first = batch.column(4).to_numpy()
         after, before = _unpacked(batch.column(1)).astype(np.uint64), _unpacked(batch.column(2)).astype(np.uint64)
         step = np.uint64(0x9E3779B97F4A7C15)
         rights, lefts = [root.view(np.uint64)], [np.zeros(len(root), np.uint64)]
@@ -205,7 +236,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             use = (at >= l) & (at + LEAST - l <= n)
             key = mix(rights[SIDE - l] ^ lefts[l] * np.uint64(2 * l + 1)).view(np.int64)
             if use.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(th[use]), pa.array(root[use]), pa.array(at[use].astype(np.int32)),
+                yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(th[use]), pa.array(root[use]), pa.array(first[use]),
                                                   pa.array((at[use] - l).astype(np.int32)), pa.array(open_[use])], schema=_STRETCH)
 
 
@@ -237,12 +268,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
               .filter("lo <> hi").select("root"))
     bits = spark.sparkContext.broadcast(id_filter(shared, "root", hashed=True))
     release(spark)
-    entry = "root bigint, after binary, before binary, th bigint, at int, n int"
+    entry = "root bigint, after binary, before binary, th bigint, at int, n int, ats binary"
     entries = staged(docs.select("text").mapInArrow(_entries(bits), entry), "suffixes")
     found = []
     for to_right in (True, False):
         order = ["root", "after", "before", "th", "at"] if to_right else ["root", "before", "after", "th", "at"]
-        found.append(staged(entries.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
+        found.append(staged(entries.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order).select(*_ENTRY.names)
                             .mapInArrow(_neighbours(to_right), "root bigint, th bigint, at int, start int, end int"), "matches"))
         release(spark)
     most = [f.filter("start < 0").select("root", "th", "at", *[(F.col("end") if i == k else F.lit(None).cast("int")).alias(c)
@@ -253,7 +284,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     found = found[0].unionByName(found[1])
     ask = (entries.join(unsettled.select("root").distinct(), "root")
            .join(unsettled.withColumn("open", F.lit(True)), ["root", "th", "at"], "left")
-           .select("root", "after", "before", "th", "at", "n", F.coalesce("open", F.lit(False)).alias("open")))
+           .select("root", "after", "before", "th", "at", "n", "ats", F.coalesce("open", F.lit(False)).alias("open")))
     stretches = ask.mapInArrow(_stretches, "stretch bigint, th bigint, root bigint, at int, start int, open boolean")
     twice = (stretches.groupBy("stretch").agg(F.min("th").alias("lo"), F.max("th").alias("hi"), F.max("open").alias("any"))
              .filter("lo <> hi AND any").select("stretch"))

@@ -225,3 +225,10 @@ def test_empty_tables(empty):
     assert fingerprint.fingerprints(empty).count() == 0
     assert jaccard.near_duplicates(empty).count() == 0
     assert jaccard.representatives(empty).count() == 0
+
+
+def test_passages_that_repeat_themselves(spark):
+    rows = [(k, " ".join(["of"] * (60 + 7 * k) + [f"w{k}x{j}" for j in range(k)])) for k in range(12)]
+    rows += [(100 + k, " ".join((["a", "b", "c"] * 40)[k:k + 70 + k])) for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert found_passages(df) == passages(rows)
