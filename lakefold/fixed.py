@@ -5,8 +5,8 @@ These must equal the source pipeline's values for the results to be the same
 stated here once, in their natural order; the code refers to them by name.
 """
 
-# Text format of dates in the sources.
-DATE_FORMAT = "yyyy-MM-dd"
+# Text format of dates in the sources (one-digit months and days are dates as well).
+DATE_FORMAT = "yyyy-M-d"
 
 # Period text: the tests in the order they are applied, each with its label and
 # the pattern whose first group is the period number.  Only the month test is

@@ -34,7 +34,7 @@ def safe_double(col) -> Column:
 
 
 def safe_date(col) -> Column:
-    """Only full ``yyyy-MM-dd`` dates; ``'2024'`` is NULL, not January 1st."""
+    """Only full dates, year-month-day; ``'2024'`` is NULL, not January 1st."""
     return F.try_to_date(_c(col), DATE_FORMAT)
 
 

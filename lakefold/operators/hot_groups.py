@@ -10,45 +10,65 @@ collected whole:
 2. each key gets ``ceil(rows / max_rows)`` parts (the per-key count is another
    combined aggregate; it joins back on the key, where AQE splits a skewed key);
 3. a distinct row's copies are cut into chunks of at most ``max_rows`` and each
-   chunk gets a part from a hash of the row identity and chunk number;
-4. the copies are expanded again.
+   chunk gets a part from a hash of the whole row and the chunk number;
+4. chunks are dealt out by key and part, and only there expanded to copies.
 
-Every step is deterministic (a retried task recomputes the same parts) and
-recomputable in plain SQL: the hash is the first 32 bits of MD5.
+Every step is deterministic: a retried task recomputes the same parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakefold.functions.keys import hash_bucket
 
+RANGE_BLOCK = 4096
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int,
-                     identity: Sequence[str], part_col: str = "part") -> DataFrame:
+
+def document_of(doc_id: str = "doc_id") -> Column:
+    """The document a row of documents belongs to: a large document is stored as
+    several rows, whose ids are its own id, ``#`` and a part number."""
+    return F.substring_index(F.col(doc_id), "#", 1)
+
+
+def part_of(doc_id: str = "doc_id") -> Column:
+    return F.when(F.col(doc_id).contains("#"), F.substring_index(F.col(doc_id), "#", -1)).otherwise(F.lit("0"))
+
+
+def explode_range(df: DataFrame, n: Column, name: str) -> DataFrame:
+    """A row for each number 0 .. n - 1 in ``name``, made in blocks, so that no row
+    ever holds more than ``RANGE_BLOCK`` numbers."""
+    blocks = df.withColumn("_end", n.cast("bigint")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil((F.col("_end") - 1) / RANGE_BLOCK).cast("bigint"))))
+    blocks = blocks.where(F.col("_block") * RANGE_BLOCK < F.col("_end"))
+    first = F.col("_block") * RANGE_BLOCK
+    last = F.least(first + RANGE_BLOCK, F.col("_end")) - 1
+    return blocks.withColumn(name, F.explode(F.sequence(first, last))).drop("_end", "_block")
+
+
+def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int, part_col: str = "part") -> DataFrame:
     """Add ``part_col`` so that each (keys, part) group has about ``max_rows`` rows.
 
-    ``keys`` must be non-null; ``identity`` names the columns hashed to place a
-    row (copies of a row are spread by their chunk number).  Returns the same
-    rows (with multiplicity) plus ``part_col`` and ``{part_col}_count`` (the
-    key's number of parts).
+    Returns the same rows (with multiplicity, rows with a null key included)
+    plus ``part_col`` and ``{part_col}_count`` (the key's number of parts),
+    dealt out by key and part.
     """
     cols = df.columns
     copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    per_key = copies.groupBy(*keys).agg(F.sum("_copies").alias("_group_rows"))
+    per_key = (copies.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("_copies").alias("_group_rows")))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     n_parts = F.greatest(F.lit(1), F.ceil(F.col("_group_rows") / F.lit(max_rows))).cast("bigint")
-    n_chunks = F.ceil(F.col("_copies") / F.lit(max_rows)).cast("bigint")
-    chunks = (copies.join(per_key, list(keys))
-                    .select(*cols, "_copies", n_parts.alias("_n_parts"),
-                            F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk")))
+    sized = copies.join(per_key, same).select(*cols, "_copies", n_parts.alias("_n_parts"))
+    chunks = explode_range(sized, F.ceil(F.col("_copies") / F.lit(max_rows)), "_chunk")
+    row = F.sha2(F.to_json(F.struct(*cols)), 256)
     chunk_rows = F.least(F.lit(max_rows).cast("bigint"), F.col("_copies") - F.col("_chunk") * max_rows)
-    return chunks.select(*cols, hash_bucket(F.col("_n_parts"), *identity, "_chunk").alias(part_col),
-                         F.col("_n_parts").alias(f"{part_col}_count"),
-                         F.explode(F.array_repeat(F.lit(True), chunk_rows.cast("int"))).alias("_copy")) \
-                 .drop("_copy")
+    dealt = chunks.select(*cols, hash_bucket(F.col("_n_parts"), row, "_chunk").alias(part_col),
+                          F.col("_n_parts").alias(f"{part_col}_count"), chunk_rows.cast("int").alias("_rows"))
+    return (dealt.repartition(*keys, part_col)
+            .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("_rows")))).drop("_copy", "_rows"))
 
 
 def attach_parts(parents: DataFrame, parent_key: str, parts: DataFrame, part_key: str,
@@ -66,11 +86,8 @@ def attach_parts(parents: DataFrame, parent_key: str, parts: DataFrame, part_key
     """
     count_col = f"{part_col}_count"
     n = parts.groupBy(F.col(part_key).alias("_pk")).agg(F.max(count_col).alias("_n"))
-    cand = (parents.join(n, parents[parent_key] == n["_pk"], "left")
-                   .select(*[parents[c] for c in parents.columns], F.col("_n"),
-                           F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                F.coalesce(F.col("_n"), F.lit(1)).cast("bigint") - 1))
-                            .alias("_cand")))
+    known = parents.join(n, parents[parent_key] == n["_pk"], "left").select(*[parents[c] for c in parents.columns], "_n")
+    cand = explode_range(known, F.coalesce(F.col("_n"), F.lit(1)), "_cand")
     # Fresh names on the part side: both join inputs derive from ``parts``.
     body = parts.select(*[F.col(c).alias(f"_b_{c}") for c in parts.columns if c != count_col])
     joined = cand.join(body, (F.col(parent_key) == F.col(f"_b_{part_key}")) & (F.col("_cand") == F.col(f"_b_{part_col}")),

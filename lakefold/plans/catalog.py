@@ -13,11 +13,12 @@ from lakefold.functions import (
     clean_ip, digits_only, json_field, lower_trim, period_kind, period_number, period_year, safe_date,
     safe_double, safe_long, strip_ws, surrogate_key, title_case, upper_trim,
 )
+from lakefold.operators.hot_groups import document_of
 from lakefold.operators.integrity import foreign_key_orphans, primary_key_violations
 from lakefold.plans import oracle, serving, silver, sinks
 from lakefold.plans.layers import Layers
-from lakefold.plans.schemas import BRONZE_SCHEMAS
-from lakefold.plans.standins import LOG_HEADINGS, MAX_ROWS_PER_LOG_PAGE
+from lakefold.plans.schemas import BRONZE_SCHEMAS, DOCUMENT
+from lakefold.plans.standins import LOG_HEADINGS
 from lakefold.session import fresh_path
 from lakefold.sources import (
     html_table, html_table_status, scan_csv, scan_documents, scan_pipe, scan_xml_records, strict_timestamp,
@@ -229,11 +230,11 @@ def _json_field(L: Layers):
                      json_field("props", "$.missing").alias("missing"))
 
 
-@register("surrogate_key", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS doc_id,
+@register("surrogate_key", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) AS document,
     CAST(0 AS BIGINT) AS pos, id_nota FROM nf_base""")
 def _surrogate_key(L: Layers):
-    return L.invoice_elements.select("doc_id", F.col("pos").cast("bigint").alias("pos"),
-                                     surrogate_key("doc_id", "pos").alias("id_nota"))
+    return L.invoice_elements.select(document_of().alias("document"), F.col("pos").cast("bigint").alias("pos"),
+                                     silver.invoice_key().alias("id_nota")).distinct()
 
 
 @register("distinct_rows", "SELECT DISTINCT * FROM customer_raw")
@@ -241,19 +242,19 @@ def _distinct_rows(L: Layers):
     return L.customer_raw.distinct()
 
 
-_PRJ_DOCS = """(SELECT 'prj-doc-' || CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(coalesce(p.part, 0) AS VARCHAR) AS doc_id,
-      'PRJ' || CAST(o.o_orderkey AS VARCHAR) AS id_projeto, coalesce(p.n, 0) AS n_tarefas
-    FROM orders o LEFT JOIN (SELECT l_orderkey, part, count(*) AS n FROM task_parts GROUP BY l_orderkey, part) p
+_PRJ_DOCS = """(SELECT 'prj-doc-' || CAST(o.o_orderkey AS VARCHAR) AS document,
+      'PRJ' || CAST(o.o_orderkey AS VARCHAR) AS id_projeto, CAST(coalesce(p.n, 0) AS BIGINT) AS n_tarefas
+    FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) p
       ON o.o_orderkey = p.l_orderkey)"""
 
 
-@register("json_array_rows", f"SELECT doc_id, CAST(0 AS BIGINT) AS pos, id_projeto, n_tarefas FROM {_PRJ_DOCS}")
+@register("json_array_rows", f"SELECT document, CAST(0 AS BIGINT) AS pos, id_projeto, n_tarefas FROM {_PRJ_DOCS}")
 def _json_array_rows(L: Layers):
     from lakefold.sources.documents import json_array_rows
     rows = json_array_rows(L.project_docs)
-    return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"),
-                       F.col("element")["id_projeto"].alias("id_projeto"),
-                       F.size(F.col("element")["tarefas"]).cast("bigint").alias("n_tarefas"))
+    return (rows.groupBy(document_of().alias("document"), F.col("pos").cast("bigint").alias("pos"),
+                         F.col("element")["id_projeto"].alias("id_projeto"))
+                .agg(F.sum(F.size(F.col("element")["tarefas"])).alias("n_tarefas")))
 
 # -- file sources ------------------------------------------------------------------
 
@@ -286,10 +287,10 @@ def _scan_pipe(L: Layers):
 def _scan_documents(L: Layers):
     path = fresh_path(L.spark, "projects-jsonl")
     L.project_docs.select("conteudo").write.mode("overwrite").text(path)
-    docs = scan_documents(L.spark, path)
-    return docs.select(F.get_json_object("conteudo", "$.projetos[0].id_projeto").alias("id_projeto"),
-                       F.json_array_length(F.get_json_object("conteudo", "$.projetos[0].tarefas"))
-                        .cast("bigint").alias("n_tarefas"))
+    docs = scan_documents(L.spark, path, by_line=True)
+    return (docs.groupBy(F.get_json_object("conteudo", "$.projetos[0].id_projeto").alias("id_projeto"))
+                .agg(F.sum(F.json_array_length(F.get_json_object("conteudo", "$.projetos[0].tarefas")))
+                      .alias("n_tarefas")))
 
 
 _NF_DOCS = """(SELECT nf.numero_nota, nf.data_emissao, nf.id_cliente, nf.valor_servico, nf.valor_total,
@@ -306,25 +307,24 @@ def _xml_records(L: Layers):
     nodes = invoice_nodes(L.table("orders"), L.table("lineitem")).select("NotaFiscal.*")
     (nodes.write.mode("overwrite").option("rowTag", "NotaFiscal").option("rootTag", "NotasFiscais").xml(path))
     rows = scan_xml_records(L.spark, path, "NotaFiscal", INVOICE_ELEMENT[len("struct<"):-1].replace(":", " "))
-    return rows.select(F.col("NumeroNota").alias("numero_nota"),
-                       F.to_date("DataEmissao", "yyyy-MM-dd").alias("data_emissao"),
-                       F.col("ClienteID").alias("id_cliente"),
-                       F.col("ValorServico").cast("double").alias("valor_servico"),
-                       F.col("ValorTotal").cast("double").alias("valor_total"),
-                       F.coalesce(F.size("Itens.Item"), F.lit(0)).cast("bigint").alias("n_itens"))
+    return (rows.groupBy(F.col("NumeroNota").alias("numero_nota"),
+                         F.to_date("DataEmissao", "yyyy-MM-dd").alias("data_emissao"),
+                         F.col("ClienteID").alias("id_cliente"),
+                         F.col("ValorServico").cast("double").alias("valor_servico"),
+                         F.col("ValorTotal").cast("double").alias("valor_total"))
+                .agg(F.sum(F.coalesce(F.size("Itens.Item"), F.lit(0))).alias("n_itens")))
 
 
-@register("xml_to_json", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS doc_id,
-    'NF' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS numero_nota,
+@register("xml_to_json", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) AS document, 'NF' || CAST(o_orderkey AS VARCHAR) AS numero_nota,
     CAST(coalesce(i.n, 0) AS BIGINT) AS n_itens
     FROM nf_base LEFT JOIN (SELECT id_nota AS nid, count(*) AS n FROM nota_fiscal_item GROUP BY id_nota) i
       ON nf_base.id_nota = i.nid""")
 def _xml_to_json(L: Layers):
     js = xml_to_json(L.invoice_docs)
     first = "$.NotasFiscais.NotaFiscal[0]"
-    return js.select("doc_id", F.get_json_object("conteudo", f"{first}.NumeroNota").alias("numero_nota"),
-                     F.coalesce(F.json_array_length(F.get_json_object("conteudo", f"{first}.Itens.Item")),
-                                F.lit(0)).cast("bigint").alias("n_itens"))
+    n_items = F.coalesce(F.json_array_length(F.get_json_object("conteudo", f"{first}.Itens.Item")), F.lit(0))
+    return (js.groupBy(document_of().alias("document"), F.get_json_object("conteudo", f"{first}.NumeroNota").alias("numero_nota"))
+              .agg(F.sum(n_items).alias("n_itens")))
 
 
 @register("html_table", """SELECT id_log, CAST(log_time AS VARCHAR) AS log_time, usuario, acao,
@@ -333,19 +333,20 @@ def _html_table(L: Layers):
     return html_table(L.log_pages, LOG_HEADINGS).drop("doc_id", "row_pos")
 
 
-oracle.CTES["log_parts"] = oracle._parts("log_raw", "event_day", MAX_ROWS_PER_LOG_PAGE, ("event_id",))
-
-
-@register("html_table_rejects", """SELECT DISTINCT 'log-page-' || CAST(event_day AS VARCHAR) || '-' || CAST(part AS VARCHAR)
-      AS doc_id, 'ok' AS status, '' AS missing FROM log_parts
+@register("html_table_rejects", """SELECT DISTINCT 'log-page-' || CAST(event_day AS VARCHAR) AS document,
+      CASE WHEN extract('day' FROM event_day) = 7 THEN 'missing_columns' ELSE 'ok' END AS status,
+      CASE WHEN extract('day' FROM event_day) = 7 THEN 'log_time' ELSE '' END AS missing FROM log_raw
     UNION ALL
     SELECT 'page-' || CAST(page_id AS VARCHAR), CASE WHEN regexp_matches(html, '(?is)<table\\b.*?</table>') THEN NULL
       ELSE 'missing_table' END, '' FROM pages""")
 def _html_table_rejects(L: Layers):
     pages = L.table("pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("doc_id"),
                                     F.col("html").alias("conteudo"))
-    st = html_table_status(L.log_pages.unionByName(pages), LOG_HEADINGS)
-    return st.select("doc_id", "status", F.array_join("missing", ", ").alias("missing"))
+    # the pages of every 7th of a month come without the heading of the time column
+    renamed = F.when(F.col("doc_id").rlike("-07#"), F.replace("conteudo", F.lit("<th>Timestamp</th>"), F.lit("<th>Hora</th>")))
+    logs = L.log_pages.withColumn("conteudo", F.coalesce(renamed, F.col("conteudo")))
+    st = html_table_status(logs.unionByName(pages), LOG_HEADINGS)
+    return st.select(document_of().alias("document"), "status", F.array_join("missing", ", ").alias("missing")).distinct()
 
 
 @register("timestamp_gate", "SELECT id_log, log_time FROM log_raw")
@@ -372,7 +373,11 @@ def _refresh_table(L: Layers):
 
 @register("partitioned_write", "SELECT * FROM nota_fiscal")
 def _partitioned_write(L: Layers):
-    return sinks.partitioned_write(L.invoice, fresh_path(L.spark, "silver-nota-fiscal"), "data_emissao")
+    path = fresh_path(L.spark, "silver-nota-fiscal")
+    earlier = (L.invoice.where(F.month("data_emissao") == 1)
+               .withColumn("data_emissao", F.date_add("data_emissao", 20000)))  # dates that are gone later
+    sinks.partitioned_write(earlier, path, "data_emissao")
+    return sinks.partitioned_write(L.invoice, path, "data_emissao")
 
 
 @register("clustered_write", "SELECT * FROM tarefa")
@@ -384,7 +389,7 @@ _LOADS = [("load_raw_csv", "clientes", "SELECT count(*) FROM customer_raw"),
           ("load_raw_txt", "analises_tributarias", "SELECT count(*) FROM analysis_raw"),
           ("load_raw_json", "tarefas_projetos", "SELECT count(*) FROM orders"),
           ("load_raw_xml", "notas_fiscais", "SELECT count(*) FROM nf_base"),
-          ("load_raw_html", "logs_sistema", "SELECT count(DISTINCT (event_day, part)) FROM log_parts"),
+          ("load_raw_html", "logs_sistema", "SELECT count(DISTINCT event_day) FROM log_raw"),
           ("load_formated_xml", "notas_fiscais_json", "SELECT count(*) FROM nf_base"),
           ("load_formated_html", "logs_sistema_table", "SELECT count(*) FROM log_raw"),
           ("load_formated_html", "paginas_web_table", None)]
@@ -426,9 +431,16 @@ def _load_audit(L: Layers):
     loaders = [sinks.Loader(op, table, f"stand-in:{table}",
                             lambda b=builders[table], sc=schemas[table]: sinks.conform(b(), sc))
                for op, table, _ in _LOADS]
-    audit = sinks.run_loads(L.spark, loaders, root, f"{root}/_audit",
-                            setup=("bronze_schemas", lambda: sinks.setup_tables(L.spark, root, schemas)))
-    return audit.select(F.col("seq").cast("bigint").alias("seq"), "operation", "table_id", "status", "n_rows")
+    sinks.run_loads(L.spark, loaders, root, f"{root}/_audit",
+                    setup=("bronze_schemas", lambda: sinks.setup_tables(L.spark, root, schemas)))
+    audit = L.spark.read.schema(sinks.AUDIT_SCHEMA).parquet(f"{root}/_audit")
+    # a large document is stored in several rows: documents are counted, not rows
+    landed = _union_all([L.spark.read.parquet(f"{root}/{t}").select(F.lit(t).alias("_t"), document_of().alias("document"))
+                         for t, ddl in BRONZE_SCHEMAS.items() if ddl == DOCUMENT])
+    documents = landed.groupBy("_t").agg(F.countDistinct("document").alias("_n"))
+    whole = audit.join(documents, F.col("table_id") == F.col("_t"), "left")
+    return whole.select(F.col("seq").cast("bigint").alias("seq"), "operation", "table_id", "status",
+                        F.when(F.col("n_rows").isNotNull(), F.coalesce("_n", "n_rows")).alias("n_rows"))
 
 
 # -- serving -------------------------------------------------------------------
@@ -441,11 +453,37 @@ def _read_view(L: Layers):
     return serving.read_view(_views(L), "VW_SNT_NOTAS_FISCAIS", 100, order_by=("id_cliente",))
 
 
-@register("rows_as_json", """SELECT id_cliente, nome_cliente, qtd_notas, CAST(ultima_emissao AS VARCHAR) AS ultima_emissao
-    FROM vw_snt_notas_fiscais""")
+@register("document_rejects", """SELECT 'prj-doc-' || CAST(o_orderkey AS VARCHAR) AS document, 'malformed' AS reason
+    FROM orders WHERE o_orderkey % 97 = 3
+    UNION ALL SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR), 'malformed' FROM orders WHERE o_orderkey % 89 = 5""")
+def _document_rejects(L: Layers):
+    """Documents whose last characters are lost are reported, and no others."""
+    from lakefold.sources.documents import document_rejects
+
+    def cut(docs, rest, of):
+        number = F.regexp_extract(document_of(), r"(\d+)$", 1).cast("bigint")
+        return docs.withColumn("conteudo", F.when(number % of == rest, F.expr("left(conteudo, length(conteudo) - 12)"))
+                               .otherwise(F.col("conteudo")))
+    found = document_rejects(cut(L.project_docs, 3, 97), "json").unionByName(document_rejects(cut(L.invoice_docs, 5, 89), "xml"))
+    return found.select(document_of().alias("document"), "reason").distinct()
+
+
+@register("html_row_headers", """SELECT id_log, CAST(log_time AS VARCHAR) AS log_time, usuario, acao,
+    entidade_afetada, resultado, ip FROM log_raw""")
+def _html_row_headers(L: Layers):
+    """Rows that start with a row header are data, and a table in a comment is none."""
+    first = F.regexp_replace("conteudo", r"<tr><td>([^<]*)</td>", "<tr><th>$1</th>")
+    hidden = F.replace(first, F.lit("<body>"), F.lit("<body><!-- <table><tr><th>x</th></tr></table> -->"))
+    return html_table(L.log_pages.withColumn("conteudo", hidden), LOG_HEADINGS).drop("doc_id", "row_pos")
+
+
+@register("rows_as_json", """SELECT id_cliente, nome_cliente, qtd_notas, CAST(ultima_emissao AS VARCHAR) AS ultima_emissao,
+    valor_total_notas, valor_total_servicos, total_iss, total_pis, total_cofins FROM vw_snt_notas_fiscais""")
 def _rows_as_json(L: Layers):
     js = serving.rows_as_json(L.invoice_summary())
     return js.select(F.get_json_object("json", "$.id_cliente").alias("id_cliente"),
                      F.get_json_object("json", "$.nome_cliente").alias("nome_cliente"),
                      F.get_json_object("json", "$.qtd_notas").cast("bigint").alias("qtd_notas"),
-                     F.get_json_object("json", "$.ultima_emissao").alias("ultima_emissao"))
+                     F.get_json_object("json", "$.ultima_emissao").alias("ultima_emissao"),
+                     *[F.get_json_object("json", f"$.{c}").cast("double").alias(c)
+                       for c in ("valor_total_notas", "valor_total_servicos", "total_iss", "total_pis", "total_cofins")])

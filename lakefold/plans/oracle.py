@@ -10,7 +10,6 @@ on both sides; integer sums are cast back to BIGINT.
 from __future__ import annotations
 
 from lakefold.plans.layers import AS_OF
-from lakefold.plans.standins import MAX_LINES_PER_DOCUMENT
 
 
 def strip(x: str) -> str:
@@ -22,13 +21,8 @@ def title(x: str) -> str:
             rf"lambda t: upper(t[1]) || lower(t[2:])), '')")
 
 
-def hash_part(n_parts: str, *cols: str) -> str:
-    return f"(('0x' || substr(md5(concat_ws('|', {', '.join(cols)})), 1, 8))::BIGINT % {n_parts})"
-
-
 AS_OF_TS = f"TIMESTAMP '{AS_OF}'"
 AS_OF_DATE = f"CAST({AS_OF_TS} AS DATE)"
-LINE_ID = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 # Every derived relation as a CTE; a query references the ones it needs.
 CTES: dict[str, str] = {}
@@ -126,43 +120,11 @@ CTES["tarefa"] = """
   FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)"""
 
 
-def _parts(table: str, key: str, max_rows: int, identity: tuple[str, ...]) -> str:
-    """The rows of ``table`` with the part ``split_hot_groups`` gives them (same copies, chunks and hash)."""
-    m = max_rows
-    return f"""
-  SELECT * EXCLUDE (_copies, _n_parts, _chunk, _rep),
-    {hash_part('_n_parts', *identity, '_chunk')} AS part FROM (
-    SELECT *, UNNEST(range(least({m}, _copies - _chunk * {m}))) AS _rep FROM (
-      SELECT d.*, greatest(1, CAST(ceil(c._n / {m}) AS BIGINT)) AS _n_parts,
-        UNNEST(range(0, CAST(ceil(d._copies / {m}) AS BIGINT))) AS _chunk
-      FROM (SELECT *, count(*) AS _copies FROM {table} GROUP BY ALL) d
-      JOIN (SELECT {key}, count(*) AS _n FROM {table} GROUP BY {key}) c USING ({key})))"""
-
-
-CTES["line_src"] = """
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus,
-    l_shipdate
-  FROM lineitem"""
-
-CTES["line_parts"] = _parts("line_src", "l_orderkey", MAX_LINES_PER_DOCUMENT, LINE_ID)
-
-CTES["item_parts"] = """
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE WHEN l_linenumber = 1 THEN 'Peça ' || CAST(l_partkey AS VARCHAR) || ' & Cia <lote>'
-         ELSE 'Serviço ' || CAST(l_partkey AS VARCHAR) END AS descricao,
-    CAST(l_quantity AS BIGINT) AS quantidade, l_extendedprice AS valor_unitario, part
-  FROM line_parts"""
-
-CTES["task_parts"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, part FROM line_parts"
-
 CTES["nf_base"] = """
-  SELECT o.*, coalesce(p.part, 0) AS part,
-    sha256('nf-doc-' || CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(coalesce(p.part, 0) AS VARCHAR) || '|0')
-      AS id_nota
-  FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, part FROM item_parts) p ON o.o_orderkey = p.l_orderkey"""
+  SELECT o.*, sha256('nf-doc-' || CAST(o.o_orderkey AS VARCHAR) || '|0') AS id_nota FROM orders o"""
 
 CTES["nota_fiscal"] = """
-  SELECT id_nota, 'NF' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) AS numero_nota,
+  SELECT id_nota, 'NF' || CAST(o_orderkey AS VARCHAR) AS numero_nota,
     CAST(o_orderdate AS DATE) AS data_emissao, 'CLI' || CAST(o_custkey AS VARCHAR) AS id_cliente,
     o_totalprice - o_orderkey % 100 AS valor_servico, o_totalprice AS valor_total
   FROM nf_base"""
@@ -181,13 +143,15 @@ CTES["nota_fiscal_imposto"] = """
     FROM nf_base) WHERE valor IS NOT NULL"""
 
 CTES["nota_fiscal_item"] = """
-  SELECT sha256(id_nota || '|' || CAST(item_pos AS VARCHAR)) AS id_item, id_nota, descricao, quantidade,
+  SELECT sha256(id_nota || '|0|' || CAST(item_pos AS VARCHAR)) AS id_item, id_nota, descricao, quantidade,
          valor_unitario FROM (
-    SELECT sha256('nf-doc-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(part AS VARCHAR) || '|0') AS id_nota,
-      descricao, quantidade, valor_unitario,
-      row_number() OVER (PARTITION BY l_orderkey, part ORDER BY l_linenumber, l_partkey, l_suppkey, descricao,
+    SELECT sha256('nf-doc-' || CAST(l_orderkey AS VARCHAR) || '|0') AS id_nota, descricao, quantidade, valor_unitario,
+      row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, descricao,
                          quantidade, valor_unitario) - 1 AS item_pos
-    FROM item_parts WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"""
+    FROM (SELECT *, CASE WHEN l_linenumber = 1 THEN 'Peça ' || CAST(l_partkey AS VARCHAR) || ' & Cia <lote>'
+                         ELSE 'Serviço ' || CAST(l_partkey AS VARCHAR) END AS descricao,
+            CAST(l_quantity AS BIGINT) AS quantidade, l_extendedprice AS valor_unitario FROM lineitem)
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"""
 
 CTES["log_raw"] = """
   SELECT event_id, CAST(ts AS DATE) AS event_day, 'LOG' || CAST(event_id AS VARCHAR) AS id_log, ts AS log_time,

@@ -47,7 +47,10 @@ def _json_number(c) -> Column:
 
 def _coerced(c: Column, dtype) -> Column:
     """``c`` with every decimal inside it (at any depth) turned into a JSON number."""
-    from pyspark.sql.types import ArrayType, DecimalType, MapType, StructType
+    from pyspark.sql.types import ArrayType, DecimalType, MapType, StructType, TimestampNTZType, TimestampType
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):  # ISO text, with a fraction only where there is one
+        whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        return F.when(F.extract(F.lit("SECOND"), c) == F.second(c), whole).otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     if isinstance(dtype, DecimalType):
         return _json_number(c)
     if isinstance(dtype, StructType):

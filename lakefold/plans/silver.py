@@ -18,8 +18,9 @@ from lakefold.functions.parsing import (
     strict_double, strict_long,
 )
 from lakefold.functions.text import clean_ip, digits_only, lower_trim, strip_ws, title_case, upper_trim
+from lakefold.operators.hot_groups import document_of, part_of
 from lakefold.operators.reshape import unpivot_columns
-from lakefold.sources.documents import invoice_elements, project_elements, task_elements
+from lakefold.sources.documents import project_elements, task_elements
 from lakefold.sources.gates import gate_timestamp
 from lakefold.sources.html import html_table
 
@@ -89,39 +90,38 @@ def task(docs: DataFrame) -> DataFrame:
             .distinct())
 
 
-def _invoice_key() -> Column:
-    return surrogate_key("doc_id", "pos")
+def invoice_key() -> Column:
+    """Key of an invoice element; the parts of a large document share it."""
+    return surrogate_key(document_of(), "pos")
 
 
 def invoice(elements: DataFrame) -> DataFrame:
-    """One row per ``NotaFiscal`` element; strict casts fail the refresh.
-
-    The generated key is unique per element, so the reference's DISTINCT is a
-    no-op and is not planned (no shuffle).
-    """
+    """One row per invoice; strict casts fail the refresh.  DISTINCT folds the parts
+    of an invoice that is stored in several."""
     return elements.select(
-        _invoice_key().alias("id_nota"),
+        invoice_key().alias("id_nota"),
         F.col("NumeroNota").alias("numero_nota"),
         strict_date("DataEmissao").alias("data_emissao"),
         F.col("ClienteID").alias("id_cliente"),
         strict_double("ValorServico").alias("valor_servico"),
-        strict_double("ValorTotal").alias("valor_total"))
+        strict_double("ValorTotal").alias("valor_total")).distinct()
 
 
 def invoice_tax(elements: DataFrame) -> DataFrame:
     """One row per invoice and present tax (ISS, PIS, COFINS unpivoted)."""
-    typed = elements.select(_invoice_key().alias("id_nota"),
-                            *[strict_double(t).alias(t) for t in TAX_TYPES])
+    typed = elements.select(invoice_key().alias("id_nota"),
+                            *[strict_double(t).alias(t) for t in TAX_TYPES]).distinct()
     taxes = unpivot_columns(typed, ["id_nota"], {t: t for t in TAX_TYPES}, "tipo_imposto", "valor")
     return taxes.select(surrogate_key("id_nota", "tipo_imposto").alias("id_imposto"),
                         "id_nota", "tipo_imposto", "valor")
 
 
 def invoice_item(elements: DataFrame) -> DataFrame:
-    """One row per item of each invoice element (children carry the parent key)."""
-    items = elements.select(_invoice_key().alias("id_nota"),
+    """One row per item of each invoice element.  Children carry the parent key; their
+    own key is made of it, the part they are stored in, and their place there."""
+    items = elements.select(invoice_key().alias("id_nota"), part_of().alias("part"),
                             F.posexplode("Itens").alias("item_pos", "it"))
-    return items.select(surrogate_key("id_nota", "item_pos").alias("id_item"),
+    return items.select(surrogate_key("id_nota", "part", "item_pos").alias("id_item"),
                         "id_nota",
                         F.col("it")["Descricao"].alias("descricao"),
                         strict_long(F.col("it")["Quantidade"]).alias("quantidade"),
@@ -154,4 +154,4 @@ def system_log(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 __all__ = ["customer", "tax_analysis", "project", "task", "invoice", "invoice_tax", "invoice_item",
-           "log_table", "system_log", "invoice_elements", "stamp"]
+           "log_table", "system_log", "invoice_key", "stamp"]

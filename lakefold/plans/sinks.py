@@ -42,39 +42,69 @@ def setup_tables(spark: SparkSession, root: str, schemas: dict[str, str]) -> Non
         spark.createDataFrame([], ddl).write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write a table's new version beside it and put it in its place when it is
+    complete; until then readers see the old one.  A run that fails on the way
+    leaves the old version, or, between the two renames, its ``.old`` copy."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = folder(path).getFileSystem(conf)
+    new, old = f"{path}.new", f"{path}.old"
+    if fs.exists(folder(old)) and not fs.exists(folder(path)):
+        fs.rename(folder(old), folder(path))
+    fs.delete(folder(new), True)
+    fs.delete(folder(old), True)
+    write(new)
+    fs.mkdirs(folder(path).getParent())
+    if fs.exists(folder(path)):
+        fs.rename(folder(path), folder(old))
+    if not fs.rename(folder(new), folder(path)):
+        raise RuntimeError(f"could not put the new version in place: {path}")
+    fs.delete(folder(old), True)
+
+
 def refresh_table(df: DataFrame, path: str) -> DataFrame:
-    """Create-or-replace: overwrite the table's folder with the query result."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Create-or-replace: the table's folder gets the query result, whole or not at all."""
+    _replace(df.sparkSession, path, lambda new: df.write.parquet(new))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _by_date(df: DataFrame, by: str, cluster_by: Sequence[str]) -> DataFrame:
+    out = df.hint("rebalance", by)
+    return out.sortWithinPartitions(by, *cluster_by) if cluster_by else out
 
 
 def partitioned_write(df: DataFrame, path: str, by: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Write partitioned by a date column, replacing only the partitions present.
+    """Create-or-replace of a table partitioned by a date column; dates that are not
+    in ``df`` are gone afterwards.
 
     ``rebalance`` on the partition column gives each date few files, and AQE
     splits a date that holds a large share of the rows over several tasks.
     ``cluster_by`` sorts rows within each file (after the rebalance, so the
     order survives) for row-group skipping on those columns.
     """
-    out = df.hint("rebalance", by)
-    if cluster_by:
-        out = out.sortWithinPartitions(by, *cluster_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by).parquet(path))
-    return df.sparkSession.read.parquet(path)
+    _replace(df.sparkSession, path, lambda new: _by_date(df, by, cluster_by).write.partitionBy(by).parquet(new))
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def replace_dates(df: DataFrame, path: str, by: str, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Replace only the dates that ``df`` holds, and keep the others."""
+    (_by_date(df, by, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by).parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def clustered_write(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
-    """Write with rows clustered by ``by``: co-located and sorted within files.
+    """Create-or-replace of a table dealt out by ranges of ``by`` and sorted within files.
 
-    Sorted files give Parquet row groups narrow min/max ranges, so filters on
-    the clustering columns skip row groups.  A rebalance (hash, with AQE skew
-    splitting) is used instead of a range partitioning, which cannot split a
-    single hot key.
+    A file then spans a narrow range of the clustering columns, so a filter on
+    them opens few files and skips row groups.  A hash of the row breaks ties,
+    which splits a hot key over several ranges.
     """
-    (df.hint("rebalance", *by).sortWithinPartitions(*by)
-       .write.mode("overwrite").parquet(path))
-    return df.sparkSession.read.parquet(path)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tie = F.xxhash64(*df.columns)
+    _replace(df.sparkSession, path, lambda new: df.repartitionByRange(n, *by, tie).sortWithinPartitions(*by).write.parquet(new))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # -- load audit -----------------------------------------------------------------
@@ -133,7 +163,7 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
             action()
         except Exception as exc:  # noqa: BLE001 - audited, then the run stops
             head.append((2, now(), "run_ddl_script", name, "ERROR",
-                         f"Falha ao executar DDL {name}: {(str(exc).strip() or type(exc).__name__)[:2000]}", None))
+                         f"Falha ao executar DDL {name}: {str(exc).strip() or type(exc).__name__}", None))
             write_audit(head)
             raise SetupFailed(name) from exc
         head.append((2, now(), "run_ddl_script", name, "SUCCESS", f"Script {name} executado com sucesso", None))
@@ -150,7 +180,7 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
         except Exception as exc:  # noqa: BLE001 - keep the remaining loads running
             text = str(exc).strip() or type(exc).__name__
             end = (2 * i + 2, now(), ld.operation, ld.table_id, "ERROR",
-                   f"Falha ao processar {ld.source}: {text[:2000]}", None)
+                   f"Falha ao processar {ld.source}: {text}", None)
         else:
             end = (2 * i + 2, now(), ld.operation, ld.table_id, "SUCCESS", f"{ld.table_id} carregada com sucesso", n)
         return [start, end]

@@ -50,8 +50,7 @@ def _id(prefix: str, c) -> F.Column:
 def customer_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Raw customer rows, all STRING, as a comma-delimited file would hold them.
 
-    ``nation`` has 25 rows by definition of the schema, a proven bound, so it
-    is broadcast.
+    ``nation`` is small; it is broadcast if its measured size allows.
     """
     k = F.col("c_custkey")
     digits = F.when(k % 97 == 5, F.lpad(k.cast("string"), 13, "0")).otherwise(
@@ -61,7 +60,7 @@ def customer_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
                     F.substring(digits, 13, 2))
     signup = F.when(k % 89 == 11, F.date_add(F.lit("2031-01-01").cast("date"), (k % 300).cast("int"))) \
               .otherwise(F.date_add(F.lit("2023-01-01").cast("date"), ((k * 7) % 700).cast("int")))
-    base = (customer.join(F.broadcast(nation.select("n_nationkey", "n_name")),
+    base = (customer.join(nation.select("n_nationkey", "n_name"),
                           F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
                 k.alias("_k"),
@@ -146,8 +145,7 @@ def line_parts(lineitem: DataFrame) -> DataFrame:
     order lines split by order, so one split serves both: in a plan that needs
     both, the split is a shared subtree and Spark reuses its exchanges.
     """
-    return split_hot_groups(lineitem.select(*_LINE_COLUMNS), ["l_orderkey"], MAX_LINES_PER_DOCUMENT,
-                            _LINE_IDENTITY)
+    return split_hot_groups(lineitem.select(*_LINE_COLUMNS), ["l_orderkey"], MAX_LINES_PER_DOCUMENT)
 
 
 def task_records(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -181,8 +179,7 @@ def project_documents(orders: DataFrame, lineitem: DataFrame, lines: DataFrame |
     tasks = task_records(lines, keep=("part", "part_count"))
     task_fields = ["id_tarefa", "descricao", "data_inicio", "data_prevista_fim", "responsavel_tarefa",
                    "status_tarefa", "horas_estimadas", "horas_realizadas"]
-    per_part = (tasks.repartition("l_orderkey", "part")
-                     .groupBy("l_orderkey", "part")
+    per_part = (tasks.groupBy("l_orderkey", "part")
                      .agg(F.array_sort(F.collect_list(F.struct(
                          "l_linenumber", "l_partkey", "l_suppkey", *task_fields))).alias("_tasks"),
                           F.max("part_count").alias("part_count")))
@@ -198,7 +195,7 @@ def project_documents(orders: DataFrame, lineitem: DataFrame, lines: DataFrame |
     project = F.struct(*[F.col(f) for f in project_fields], tarefas.alias("tarefas"))
     part = F.coalesce(F.col("part"), F.lit(0).cast("bigint"))
     return docs.select(
-        F.concat(F.lit("prj-doc-"), F.col("o_orderkey").cast("string"), F.lit("-"), part.cast("string")).alias("doc_id"),
+        F.concat(F.lit("prj-doc-"), F.col("o_orderkey").cast("string"), F.lit("#"), part.cast("string")).alias("doc_id"),
         F.to_json(F.struct(F.array(project).alias("projetos"))).alias("conteudo"))
 
 
@@ -219,10 +216,12 @@ def invoice_item_records(lines: DataFrame) -> DataFrame:
 
 
 def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One invoice per (order, part); ``parts`` has one row per (l_orderkey, part)
-    that holds items, plus any ``keep`` columns to carry along.
+    """The invoice of each order, once per part of its items; ``parts`` has one row
+    per (l_orderkey, part), plus any ``keep`` columns to carry along.
 
-    An order without items is billed once, as part 0.
+    Parts repeat the same invoice (number, amounts, taxes) with their own share of
+    its items, and the silver tables fold them into one.  An order without items
+    has the single part 0.
     """
     k = F.col("o_orderkey")
     quarter = lambda c: c.cast("double") / F.lit(4.0)
@@ -235,7 +234,7 @@ def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] =
     part = F.coalesce(F.col("part"), F.lit(0).cast("bigint"))
     return joined.select(
         k.alias("o_orderkey"), part.alias("part"),
-        F.concat(F.lit("NF"), k.cast("string"), F.lit("-"), part.cast("string")).alias("NumeroNota"),
+        F.concat(F.lit("NF"), k.cast("string")).alias("NumeroNota"),
         _dstr("o_orderdate").alias("DataEmissao"),
         _id("CLI", "o_custkey").alias("ClienteID"),
         (F.col("o_totalprice") - (k % 100)).alias("ValorServico"),
@@ -248,8 +247,7 @@ def invoice_records(orders: DataFrame, parts: DataFrame, keep: tuple[str, ...] =
 def invoice_nodes(orders: DataFrame, lineitem: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """One ``NotaFiscal`` struct per (order, part), with its items: (doc_id, NotaFiscal)."""
     items = invoice_item_records(line_parts(lineitem) if lines is None else lines)
-    per_part = (items.repartition("l_orderkey", "part")
-                     .groupBy("l_orderkey", "part")
+    per_part = (items.groupBy("l_orderkey", "part")
                      .agg(F.array_sort(F.collect_list(F.struct(
                          "l_linenumber", "l_partkey", "l_suppkey", "Descricao", "Quantidade",
                          "ValorUnitario"))).alias("_items"),
@@ -262,7 +260,7 @@ def invoice_nodes(orders: DataFrame, lineitem: DataFrame, lines: DataFrame | Non
                     F.struct("ISS", "PIS", "COFINS").alias("Impostos"),
                     F.struct(item_list.alias("Item")).alias("Itens"))
     return inv.select(
-        F.concat(F.lit("nf-doc-"), F.col("o_orderkey").cast("string"), F.lit("-"),
+        F.concat(F.lit("nf-doc-"), F.col("o_orderkey").cast("string"), F.lit("#"),
                  F.col("part").cast("string")).alias("doc_id"),
         nota.alias("NotaFiscal"))
 
@@ -322,7 +320,7 @@ def log_pages(events: DataFrame) -> DataFrame:
 
     Some entity cells carry inline markup, and an empty cell is a missing IP.
     """
-    logs = split_hot_groups(log_records(events), ["event_day"], MAX_ROWS_PER_LOG_PAGE, ["event_id"])
+    logs = split_hot_groups(log_records(events), ["event_day"], MAX_ROWS_PER_LOG_PAGE)
     cols = list(LOG_HEADINGS.values())
 
     def cell(name: str) -> F.Column:
@@ -333,12 +331,11 @@ def log_pages(events: DataFrame) -> DataFrame:
 
     row = F.concat(F.lit("<tr>"), *[cell(c) for c in cols], F.lit("</tr>"))
     header = "<tr>" + "".join(f"<th>{h}</th>" for h in LOG_HEADINGS) + "</tr>"
-    pages = (logs.repartition("event_day", "part")
-                 .groupBy("event_day", "part")
+    pages = (logs.groupBy("event_day", "part")
                  .agg(F.array_sort(F.collect_list(F.struct("event_id", row.alias("html")))).alias("_rows")))
     body = F.array_join(F.transform("_rows", lambda r: r["html"]), "")
     return pages.select(
-        F.concat(F.lit("log-page-"), F.col("event_day").cast("string"), F.lit("-"),
+        F.concat(F.lit("log-page-"), F.coalesce(F.col("event_day").cast("string"), F.lit("unknown")), F.lit("#"),
                  F.col("part").cast("string")).alias("doc_id"),
         F.concat(F.lit("<html><head><title>Logs do sistema</title></head><body><h1>Logs</h1>"
                        "<table class=\"logs\"><thead>" + header + "</thead><tbody>"),

@@ -17,19 +17,19 @@ from pyspark.sql import SparkSession
 # small shuffle partitions.  Broadcasts are decided only at run time, from the
 # measured size of a materialised shuffle (a proven bound), never from the
 # planner's estimate of an aggregate over a large input; explicit hints on
-# tables bounded by definition still apply.  The local shuffle reader is off so
-# that a CPU-heavy stage after a runtime broadcast keeps the shuffle's
-# parallelism instead of the (possibly tiny) number of upstream map tasks.
+# tables bounded by definition still apply.  After a runtime broadcast the local
+# shuffle reader reads the large side as its map tasks wrote it, so a hot key is
+# not left in one task.  Strict casts rely on ANSI mode.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
-    "spark.sql.adaptive.localShuffleReader.enabled": "false",
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -56,7 +56,7 @@ def scratch_dir(spark: SparkSession) -> str:
     local runs), so that ``DataFrame.checkpoint()`` works as well.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
@@ -65,6 +65,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application sub-folder; keep the parent.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="lakefold-scratch-")
     sc.setCheckpointDir(local)
     return local

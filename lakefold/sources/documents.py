@@ -26,6 +26,8 @@ TASK_FIELDS = ["id_tarefa", "descricao", "data_inicio", "data_prevista_fim", "re
 PROJECT_FIELDS = ["id_projeto", "nome_projeto", "cliente_id", "responsavel", "data_inicio",
                   "data_prevista_fim", "status", "valor_projeto", "horas_totais_estimadas",
                   "horas_totais_realizadas"]
+FAILFAST = {"mode": "FAILFAST"}  # a malformed document fails the load; see ``document_rejects``
+
 PROJECTS_SCHEMA = ("projetos array<struct<" + ",".join(f"{f}:string" for f in PROJECT_FIELDS)
                    + ",tarefas:array<struct<" + ",".join(f"{f}:string" for f in TASK_FIELDS) + ">>>>")
 
@@ -51,10 +53,21 @@ def explode_parsed(df: DataFrame, array_col: str, as_name: str) -> DataFrame:
 def json_array_rows(docs: DataFrame, array_path: str = "projetos",
                     schema: str = PROJECTS_SCHEMA) -> DataFrame:
     """One row per element of the top-level array: (doc_id, pos, element)."""
-    parsed = docs.select("doc_id", F.from_json("conteudo", schema)[array_path].alias("_arr"))
+    parsed = docs.select("doc_id", F.from_json("conteudo", schema, FAILFAST)[array_path].alias("_arr"))
     return explode_parsed(parsed, "_arr", "element")
 
 
+def document_rejects(docs: DataFrame, kind: str) -> DataFrame:
+    """Documents of ``kind`` (``json`` or ``xml``) that their parser would fail on:
+    ``doc_id`` and ``reason`` (``missing`` or ``malformed``)."""
+    corrupt, parse = "_corrupt", {"json": F.from_json, "xml": F.from_xml}[kind]
+    schema = (PROJECTS_SCHEMA if kind == "json" else INVOICES_SCHEMA) + f", {corrupt} string"
+    tried = docs.select("doc_id", F.col("conteudo").isNull().alias("missing"),
+                        parse("conteudo", schema, {"columnNameOfCorruptRecord": corrupt}).alias("parsed"))
+    reason = F.when(F.col("missing"), F.lit("missing")).when(F.col("parsed")[corrupt].isNotNull(), F.lit("malformed"))
+    return tried.select("doc_id", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def project_elements(docs: DataFrame) -> DataFrame:
     """Project objects of JSON project documents, fields as STRING."""
     rows = json_array_rows(docs)
@@ -74,7 +87,7 @@ def task_elements(docs: DataFrame) -> DataFrame:
 
 def invoice_elements(docs: DataFrame) -> DataFrame:
     """``NotaFiscal`` elements of XML invoice documents: (doc_id, pos, fields…)."""
-    parsed = docs.select("doc_id", F.from_xml("conteudo", INVOICES_SCHEMA)["NotaFiscal"].alias("_arr"))
+    parsed = docs.select("doc_id", F.from_xml("conteudo", INVOICES_SCHEMA, FAILFAST)["NotaFiscal"].alias("_arr"))
     el = explode_parsed(parsed, "_arr", "n")
     return el.select("doc_id", "pos", *[F.col("n")[f].alias(f) for f in INVOICE_FIELDS],
                      *[F.col("n")["Impostos"][f].alias(f) for f in TAX_FIELDS],
@@ -87,14 +100,14 @@ def xml_to_json(docs: DataFrame, root: str = "NotasFiscais") -> DataFrame:
 
     Leaves stay text, as in the XML; a repeated element is always an array.
     """
-    tree = F.struct(F.from_xml("conteudo", INVOICES_SCHEMA).alias(root))
+    tree = F.struct(F.from_xml("conteudo", INVOICES_SCHEMA, FAILFAST).alias(root))
     return docs.select("doc_id", F.to_json(tree).alias("conteudo"))
 
 
 def invoice_elements_from_json(json_docs: DataFrame, root: str = "NotasFiscais") -> DataFrame:
     """``NotaFiscal`` elements of invoice documents already converted to JSON
     (the ``xml_to_json`` bronze table): same rows as ``invoice_elements``."""
-    parsed = json_docs.select("doc_id", F.from_json("conteudo", f"{root} struct<{INVOICES_SCHEMA}>")[root]
+    parsed = json_docs.select("doc_id", F.from_json("conteudo", f"{root} struct<{INVOICES_SCHEMA}>", FAILFAST)[root]
                               ["NotaFiscal"].alias("_arr"))
     el = explode_parsed(parsed, "_arr", "n")
     return el.select("doc_id", "pos", *[F.col("n")[f].alias(f) for f in INVOICE_FIELDS],

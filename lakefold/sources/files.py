@@ -20,16 +20,18 @@ def scan_pipe(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return scan_csv(spark, path, schema, sep="|")
 
 
-def scan_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """Documents as one STRING column ``conteudo`` plus their source file.
+def scan_documents(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """Documents: ``doc_id``, ``source_file`` and the text in ``conteudo``.
 
-    ``whole_file=True`` returns one row per file (the reference's landing);
-    a file is then one task, so the default reads one document per line, which
-    splits large files across tasks.
+    A file is a document, and its path the id.  ``by_line`` is for files with one
+    document in each line, which are split over tasks; the id is then the path
+    and the hash of the line, so it does not depend on how files are split.
     """
     from pyspark.sql import functions as F
-    df = spark.read.text(path, wholetext=whole_file)
-    return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("conteudo"))
+    df = spark.read.text(path, wholetext=not by_line)
+    file = F.col("_metadata.file_path")
+    own = F.concat(file, F.lit("|"), F.sha2("value", 256)) if by_line else file
+    return df.select(own.alias("doc_id"), file.alias("source_file"), F.col("value").alias("conteudo"))
 
 
 def scan_xml_records(spark: SparkSession, path: str, row_tag: str, schema: StructType | str) -> DataFrame:

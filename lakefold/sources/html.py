@@ -2,9 +2,10 @@
 
 Flat tables only: the first table's rows are split on ``<tr>``, cells on
 ``<th>``/``<td>``, inner markup is removed, entities are decoded and cell text
-is trimmed (an empty cell is NULL).  The first row that holds ``<th>`` cells is
-the heading; headings are renamed by a map and every mapped heading must be
-present.  Nested tables and ``colspan``/``rowspan`` are outside this contract.
+is trimmed (an empty cell is NULL).  Comments are removed first.  The first row is
+the heading if all its cells are ``<th>``; more such rows right below it are not
+data either, but a later row that starts with a ``<th>`` is.  Headings are renamed
+by a map and every mapped heading must be present.  Nested tables and ``colspan``/``rowspan`` are outside this contract.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from lakefold.functions.text import strip_ws
 _TABLE = r"(?is)<table\b.*?</table>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 _CELL = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"
-_HEAD_ROW = r"(?is)<th\b"
+_COMMENT = r"(?s)<!--.*?-->"
+_HEAD_CELL = r"(?is)<th\b"
+_DATA_CELL = r"(?is)<td\b"
 
 # The named entities decoded in cell text (``&amp;`` last).
 _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
@@ -53,10 +56,12 @@ def html_table_status(pages: DataFrame, heading_map: Mapping[str, str]) -> DataF
     ``status`` is ``ok``, ``missing_table`` or ``missing_columns``;
     ``missing`` lists absent mapped names, sorted.
     """
-    staged = _pin(pages, ["doc_id"], _table=F.nullif(F.regexp_extract("conteudo", _TABLE, 0), F.lit("")))
+    staged = _pin(pages, ["doc_id"], _table=F.nullif(F.regexp_extract(F.regexp_replace("conteudo", _COMMENT, ""), _TABLE, 0),
+                                                       F.lit("")))
     staged = _pin(staged, ["doc_id", "_table"], _rows=F.regexp_extract_all(F.col("_table"), F.lit(_ROW), 1))
-    is_head = lambda r: r.rlike(_HEAD_ROW)
-    head_html = F.get(F.filter("_rows", is_head), 0)
+    is_head = lambda r: r.rlike(_HEAD_CELL) & ~r.rlike(_DATA_CELL)
+    first_data = F.array_position(F.transform("_rows", is_head), False)  # from 1; 0: none
+    head_html = F.when(first_data != 1, F.get("_rows", F.lit(0)))
     headings = F.transform(_cells(head_html), lambda h: F.coalesce(h, F.lit("")))
     renamed = F.transform(headings, lambda h: F.coalesce(
         F.try_element_at(F.create_map(*[x for kv in heading_map.items() for x in map(F.lit, kv)]), h), h))
@@ -71,7 +76,8 @@ def html_table_status(pages: DataFrame, heading_map: Mapping[str, str]) -> DataF
         status.alias("status"),
         F.when(F.col("_table").isNull(), F.array().cast("array<string>")).otherwise(missing).alias("missing"),
         "columns",
-        F.filter("_rows", lambda r: ~is_head(r)).alias("data_rows"),
+        F.when(first_data > 0, F.slice("_rows", first_data.cast("int"), F.size("_rows")))
+         .otherwise(F.array().cast("array<string>")).alias("data_rows"),
     )
 
 

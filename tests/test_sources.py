@@ -130,6 +130,6 @@ def test_scan_csv_keeps_edge_whitespace_and_nulls(spark):
 def test_scan_documents_whole_file(spark):
     path = fresh_path(spark, "t-docs")
     spark.createDataFrame([("line1",), ("line2",)], "v string").coalesce(1).write.text(path)
-    whole = scan_documents(spark, path, whole_file=True).collect()
+    whole = scan_documents(spark, path).collect()
     assert len(whole) == 1 and whole[0].conteudo.splitlines() == ["line1", "line2"]
-    assert scan_documents(spark, path).count() == 2
+    assert scan_documents(spark, path, by_line=True).count() == 2
