@@ -10,7 +10,7 @@ collected whole:
 2. each key gets ``ceil(rows / max_rows)`` parts (the per-key count is another
    combined aggregate; it joins back on the key, where AQE splits a skewed key);
 3. a distinct row's copies are cut into chunks of at most ``max_rows`` and each
-   chunk gets a part from a hash of the whole row and the chunk number;
+   chunk gets a part: a hash of the whole row, plus the chunk number;
 4. chunks are dealt out by key and part, and only there expanded to copies.
 
 Every step is deterministic: a retried task recomputes the same parts.
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.functions.keys import hash_bucket
+from lakefold.functions.keys import hash32
 
 RANGE_BLOCK = 4096
 
@@ -65,7 +65,7 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int, part_col
     chunks = explode_range(sized, F.ceil(F.col("_copies") / F.lit(max_rows)), "_chunk")
     row = F.sha2(F.to_json(F.struct(*cols)), 256)
     chunk_rows = F.least(F.lit(max_rows).cast("bigint"), F.col("_copies") - F.col("_chunk") * max_rows)
-    dealt = chunks.select(*cols, hash_bucket(F.col("_n_parts"), row, "_chunk").alias(part_col),
+    dealt = chunks.select(*cols, F.pmod(hash32(row) + F.col("_chunk"), F.col("_n_parts")).alias(part_col),
                           F.col("_n_parts").alias(f"{part_col}_count"), chunk_rows.cast("int").alias("_rows"))
     return (dealt.repartition(*keys, part_col)
             .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("_rows")))).drop("_copy", "_rows"))

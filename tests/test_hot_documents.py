@@ -3,9 +3,11 @@ copied many times: every document stays bounded and nothing is lost."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from lakefold.plans import silver, standins
+from lakefold.operators import split_hot_groups
+from lakefold.plans import gold, silver, standins
 from lakefold.sources import invoice_elements
 
 LINE = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
@@ -33,10 +35,41 @@ def test_invoice_documents_stay_bounded(spark):
     items = silver.invoice_item(el)
     assert items.count() == lines.count() == 900
     assert items.where("descricao like 'Peça 7 %' or descricao = 'Serviço 7'").count() >= 200
-    per_order = {r.o: r.n for r in el.groupBy(F.regexp_extract("NumeroNota", r"NF(\d+)-", 1).alias("o"))
-                 .count().withColumnRenamed("count", "n").collect()}
-    assert per_order["1"] >= 300 // (2 * standins.MAX_ITEMS_PER_INVOICE)   # the hot order is split
-    assert per_order["0"] == 1                                              # an order without lines: one invoice
+    rows = {r.o: r.n for r in el.groupBy(F.substring("NumeroNota", 3, 9).alias("o")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert rows["1"] >= 300 // (2 * standins.MAX_ITEMS_PER_INVOICE)   # the hot order is stored in several documents
+    assert rows["0"] == 1                                              # an order without lines: one document
+    assert silver.invoice(el).count() == 403                           # and all of them are one invoice each
+    assert items.select("id_item").distinct().count() == 900
+
+
+def totals(spark, n, bound, monkeypatch):
+    monkeypatch.setattr(standins, "MAX_LINES_PER_DOCUMENT", bound)
+    ts = dt.datetime(2000, 1, 1)
+    lines = spark.createDataFrame([(1, p, 1, p, 1.0, 10.0, 0.0, 0.0, "A", "O", ts) for p in range(n)], LINE)
+    orders = spark.createDataFrame([(1, 1, "F", 1000.0, ts, "1-URGENT")], ORDER)
+    el = invoice_elements(standins.invoice_documents(orders, lines))
+    row = gold.invoice_totals(silver.invoice(el), silver.invoice_item(el), silver.invoice_tax(el), exact=True).collect()
+    taxes = sorted((r.tipo_imposto, r.valor) for r in silver.invoice_tax(el).collect())
+    return [tuple(r) for r in row], taxes
+
+
+@pytest.mark.parametrize("n", [60, 64, 65, 200])
+def test_one_invoice_whatever_its_size(spark, monkeypatch, n):
+    rows, taxes = totals(spark, n, 64, monkeypatch)
+    assert len(rows) == 1 and rows[0][4] == 1000.0 and rows[0][6] == 10.0 * n
+    assert (rows, taxes) == totals(spark, n, 7, monkeypatch) == totals(spark, n, 1000, monkeypatch)
+
+
+def test_rows_without_a_key_are_kept(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, 2)], "k long, i long")
+    out = split_hot_groups(df, ["k"], 64)
+    assert sorted(((r.k, r.i) for r in out.collect()), key=str) == sorted([(None, 1), (None, 1), (1, 2)], key=str)
+
+
+def test_equal_identities_do_not_share_a_part(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.lit(7).alias("name"), F.col("id").alias("v"))
+    sizes = [r["count"] for r in split_hot_groups(df, ["k"], 64).groupBy("part").count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) < 3 * 64
 
 
 def test_project_documents_fold_back(spark):

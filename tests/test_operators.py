@@ -13,7 +13,7 @@ def test_split_hot_groups_bounds_every_part(spark):
     # key 1: 2000 distinct rows; key 3: one row copied 1000 times (a hot group of copies)
     rows = [(1, i) for i in range(2000)] + [(2, i) for i in range(5)] + [(3, 7)] * 1000
     df = spark.createDataFrame(rows, "k long, i long")
-    out = split_hot_groups(df, ["k"], 64, ["k", "i"]).collect()
+    out = split_hot_groups(df, ["k"], 64).collect()
     assert Counter((r.k, r.i) for r in out) == Counter(rows)          # nothing dropped or repeated
     sizes = Counter((r.k, r.part) for r in out)
     hot = [n for (k, _), n in sizes.items() if k == 1]

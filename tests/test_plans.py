@@ -5,8 +5,8 @@ import datetime as dt
 
 import pytest
 
-import __spark_entry__ as E
 from lakefold.plans import sinks
+from lakefold.plans.catalog import QUERIES
 from lakefold.plans.layers import Layers
 from lakefold.session import fresh_path
 
@@ -19,9 +19,9 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products_and_no_python(spark, name):
-    plan = physical(E.queries()[name](spark, SF))
+    plan = physical(QUERIES[name](spark, SF))
     assert not [op for op in FORBIDDEN if op in plan], plan[:2000]
 
 

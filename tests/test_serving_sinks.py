@@ -32,7 +32,7 @@ def test_dynamic_partition_overwrite_keeps_other_days(spark):
     a = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "k int, d date")
     sinks.partitioned_write(a, path, "d")
     b = spark.createDataFrame([(3, dt.date(2024, 1, 2))], "k int, d date")
-    out = sinks.partitioned_write(b, path, "d")
+    out = sinks.replace_dates(b, path, "d")
     assert sorted((r.k, str(r.d)) for r in out.collect()) == [(1, "2024-01-01"), (3, "2024-01-02")]
     assert out.where(F.col("d") == dt.date(2024, 1, 1)).count() == 1
 
@@ -112,3 +112,37 @@ def test_cli_lists_views(capsys):
 def test_rows_as_json_nested_decimals(spark):
     df = spark.sql("SELECT named_struct('a', CAST(2 AS DECIMAL(5,1)), 'b', array(CAST(1.5 AS DECIMAL(5,2)))) AS s")
     assert serving.rows_as_json(df).first().json == '{"s":{"a":2,"b":[1.5]}}'
+
+
+def test_partitioned_refresh_replaces_the_whole_table(spark):
+    path = fresh_path(spark, "t-replace")
+    rows = lambda *days: spark.createDataFrame([(k, dt.date(2024, 1, d)) for k, d in enumerate(days)], "k int, d date")
+    assert sinks.partitioned_write(rows(1, 2), path, "d").count() == 2
+    assert [r.d.day for r in sinks.partitioned_write(rows(2), path, "d").collect()] == [2]
+    assert sorted(r.d.day for r in sinks.replace_dates(rows(3, 3), path, "d").collect()) == [2, 3, 3]
+    empty = sinks.partitioned_write(rows(1).limit(0), path, "d")
+    assert empty.columns == ["k", "d"] and empty.count() == 0
+
+
+def test_a_failed_refresh_leaves_the_old_table(spark):
+    path = fresh_path(spark, "t-atomic")
+    sinks.refresh_table(spark.range(3), path)
+    with pytest.raises(Exception):
+        sinks.refresh_table(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_clustered_files_hold_narrow_ranges(spark):
+    path = fresh_path(spark, "t-clustered")
+    df = spark.range(40000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("v"))
+    hot = spark.range(40000, 60000).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("v"))  # one key with a third of the rows
+    out = sinks.clustered_write(df.union(hot), path, ["k"])
+    files = out.groupBy(F.col("_metadata.file_name")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n")).collect()
+    spans = sorted((r.lo, r.hi) for r in files)
+    assert len(files) > 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(r.n for r in files) < 60000 / len(files) * 2
+
+
+def test_json_timestamps_have_a_fraction_only_where_there_is_one(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 12:00:00' AS a, TIMESTAMP_NTZ'2024-01-02 12:00:00.5' AS b, CAST(3 AS DECIMAL(9,2)) AS c")
+    assert serving.rows_as_json(df).first().json == '{"a":"2024-01-02T12:00:00","b":"2024-01-02T12:00:00.500000","c":3}'

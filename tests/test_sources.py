@@ -133,3 +133,24 @@ def test_scan_documents_whole_file(spark):
     whole = scan_documents(spark, path).collect()
     assert len(whole) == 1 and whole[0].conteudo.splitlines() == ["line1", "line2"]
     assert scan_documents(spark, path, by_line=True).count() == 2
+
+
+def test_malformed_documents_fail_and_are_reported(spark):
+    from lakefold.sources.documents import document_rejects
+    json_docs = spark.createDataFrame([("a", '{"projetos": [{"id_projeto": "1"}]}'), ("b", '{"projetos": [{"id_pro'), ("c", None)],
+                                      "doc_id string, conteudo string")
+    xml_docs = spark.createDataFrame([("a", "<NotasFiscais><NotaFiscal><NumeroNota>1</NumeroNota></NotaFiscal></NotasFiscais>"),
+                                      ("b", "<NotasFiscais><NotaFiscal><NumeroNota>1</Num")], "doc_id string, conteudo string")
+    assert {(r.doc_id, r.reason) for r in document_rejects(json_docs, "json").collect()} == {("b", "malformed"), ("c", "missing")}
+    assert {(r.doc_id, r.reason) for r in document_rejects(xml_docs, "xml").collect()} == {("b", "malformed")}
+    for broken in (project_elements(json_docs), invoice_elements(xml_docs)):
+        with pytest.raises(Exception, match="(?i)malformed|failfast"):
+            broken.collect()
+
+
+def test_html_rows_that_start_with_a_header_are_data(spark):
+    page = ("<!-- <table><tr><th>other</th></tr></table> --><table><tr><th>A</th><th>B</th></tr>"
+            "<tr><th>1</th><td>2</td></tr><tr><td>3</td><td>4</td></tr><tr><th>5</th><th>6</th></tr></table>")
+    df = spark.createDataFrame([("p", page)], "doc_id string, conteudo string")
+    got = sorted((r.a, r.b) for r in html_table(df, {"A": "a", "B": "b"}).collect())
+    assert got == [("1", "2"), ("3", "4"), ("5", "6")]
