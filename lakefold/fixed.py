@@ -41,3 +41,24 @@ LOG_HEADINGS = {
     "Resultado": "resultado",
     "IP": "ip",
 }
+
+# The loads of a refresh in their order: operation and bronze table.
+LOADS = [
+    ("load_raw_csv", "clientes"),
+    ("load_raw_txt", "analises_tributarias"),
+    ("load_raw_json", "tarefas_projetos"),
+    ("load_raw_xml", "notas_fiscais"),
+    ("load_raw_html", "logs_sistema"),
+    ("load_formated_xml", "notas_fiscais_json"),
+    ("load_formated_html", "logs_sistema_table"),
+]
+
+# Messages of the load audit.
+AUDIT_MESSAGES = {
+    "ddl_start": "Executando script {}",
+    "ddl_done": "Script {} executado com sucesso",
+    "ddl_failed": "Falha ao executar DDL {}: {}",
+    "load_start": "Lendo {}",
+    "load_done": "{} carregada com sucesso",
+    "load_failed": "Falha ao processar {}: {}",
+}

@@ -13,6 +13,7 @@ from lakefold.functions import (
     clean_ip, digits_only, json_field, lower_trim, period_kind, period_number, period_year, safe_date,
     safe_double, safe_long, strip_ws, surrogate_key, title_case, upper_trim,
 )
+from lakefold.fixed import LOADS
 from lakefold.operators.hot_groups import document_of
 from lakefold.operators.integrity import foreign_key_orphans, primary_key_violations
 from lakefold.plans import oracle, serving, silver, sinks
@@ -385,14 +386,12 @@ def _clustered_write(L: Layers):
     return sinks.clustered_write(L.task, fresh_path(L.spark, "silver-tarefa"), ["id_projeto"])
 
 
-_LOADS = [("load_raw_csv", "clientes", "SELECT count(*) FROM customer_raw"),
-          ("load_raw_txt", "analises_tributarias", "SELECT count(*) FROM analysis_raw"),
-          ("load_raw_json", "tarefas_projetos", "SELECT count(*) FROM orders"),
-          ("load_raw_xml", "notas_fiscais", "SELECT count(*) FROM nf_base"),
-          ("load_raw_html", "logs_sistema", "SELECT count(DISTINCT event_day) FROM log_raw"),
-          ("load_formated_xml", "notas_fiscais_json", "SELECT count(*) FROM nf_base"),
-          ("load_formated_html", "logs_sistema_table", "SELECT count(*) FROM log_raw"),
-          ("load_formated_html", "paginas_web_table", None)]
+_LANDED = {"clientes": "SELECT count(*) FROM customer_raw", "analises_tributarias": "SELECT count(*) FROM analysis_raw",
+           "tarefas_projetos": "SELECT count(*) FROM orders", "notas_fiscais": "SELECT count(*) FROM nf_base",
+           "logs_sistema": "SELECT count(DISTINCT event_day) FROM log_raw",
+           "notas_fiscais_json": "SELECT count(*) FROM nf_base", "logs_sistema_table": "SELECT count(*) FROM log_raw"}
+_LOADS = [(op, table, _LANDED[table]) for op, table in LOADS] + [("load_formated_html", "paginas_web_table", None),
+                                                                ("load_raw_xml", "notas_truncadas", None)]
 
 
 def _audit_sql() -> str:
@@ -412,25 +411,23 @@ def _audit_sql() -> str:
 
 @register("load_audit", _audit_sql())
 def _load_audit(L: Layers):
-    """Schema setup, the seven bronze loads, and one load that must fail (web
-    pages hold no table); each load conforms to its declared schema."""
+    """Schema setup, the seven bronze loads, and two that must fail: web pages
+    without a table, and invoices whose document is cut off."""
+    from lakefold.plans.refresh import loaders as load_list
+    from lakefold.sources.documents import invoice_elements
     root = fresh_path(L.spark, "bronze")
-    schemas = dict(BRONZE_SCHEMAS, paginas_web_table=BRONZE_SCHEMAS["logs_sistema_table"])
+    schemas = dict(BRONZE_SCHEMAS, paginas_web_table=BRONZE_SCHEMAS["logs_sistema_table"],
+                   notas_truncadas="NumeroNota string")
     web = L.table("pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("doc_id"),
                                   F.col("html").alias("conteudo"))
-    builders = {
-        "clientes": lambda: L.customer_raw,
-        "analises_tributarias": lambda: L.analysis_raw,
-        "tarefas_projetos": lambda: L.project_docs,
-        "notas_fiscais": lambda: L.invoice_docs,
-        "logs_sistema": lambda: L.log_pages,
-        "notas_fiscais_json": lambda: xml_to_json(L.invoice_docs),
-        "logs_sistema_table": lambda: L.log_raw,
-        "paginas_web_table": lambda: silver.log_table(web, LOG_HEADINGS),
-    }
-    loaders = [sinks.Loader(op, table, f"stand-in:{table}",
-                            lambda b=builders[table], sc=schemas[table]: sinks.conform(b(), sc))
-               for op, table, _ in _LOADS]
+
+    def cut_off():
+        landed = L.spark.read.parquet(f"{root}/notas_fiscais")
+        return invoice_elements(landed.withColumn("conteudo", F.expr("left(conteudo, length(conteudo) - 9)"))).select("NumeroNota")
+    loaders = [*load_list(L.spark, L, root, "stand-in"),
+               sinks.Loader("load_formated_html", "paginas_web_table", "stand-in:paginas_web_table",
+                            lambda: sinks.conform(silver.log_table(web, LOG_HEADINGS), schemas["paginas_web_table"])),
+               sinks.Loader("load_raw_xml", "notas_truncadas", "stand-in:notas_truncadas", cut_off, after="notas_fiscais")]
     sinks.run_loads(L.spark, loaders, root, f"{root}/_audit",
                     setup=("bronze_schemas", lambda: sinks.setup_tables(L.spark, root, schemas)))
     audit = L.spark.read.schema(sinks.AUDIT_SCHEMA).parquet(f"{root}/_audit")
@@ -443,7 +440,7 @@ def _load_audit(L: Layers):
                         F.when(F.col("n_rows").isNotNull(), F.coalesce("_n", "n_rows")).alias("n_rows"))
 
 
-# -- serving -------------------------------------------------------------------
+# -- refresh and serving --------------------------------------------------------
 def _views(L: Layers):
     return {name: (lambda n=name: L.gold_view(n)) for name in L.GOLD_VIEWS}
 
@@ -453,6 +450,42 @@ def _read_view(L: Layers):
     return serving.read_view(_views(L), "VW_SNT_NOTAS_FISCAIS", 100, order_by=("id_cliente",))
 
 
+@register("serve_views", " UNION ALL ".join(f"SELECT '{v}' AS view, least(1000, count(*)) AS n_rows FROM {v}"
+                                            for v in Layers.GOLD_VIEWS))
+def _serve_views(L: Layers):
+    """Refresh a warehouse, open it again, and read every gold view up to the serving limit
+    from its stored silver tables."""
+    from lakefold.plans.refresh import open_warehouse, refresh_all
+    wh = open_warehouse(L.spark, refresh_all(L.spark, L.sf_dir, as_of=L.as_of).root, L.as_of)
+    views = {name: (lambda n=name: wh.views[n]) for name in L.GOLD_VIEWS}
+    return _union_all([serving.read_view(views, name, 1000).agg(F.count(F.lit(1)).alias("n_rows"))
+                       .select(F.lit(name).alias("view"), "n_rows") for name in views])
+
+
+def write_source_files(L: Layers, folder: str) -> None:
+    """The five kinds of source files, made of the driver tables: one JSON, XML or HTML document in a file."""
+    from lakefold.plans.standins import invoice_nodes
+    _write_delimited(L.customer_raw, f"{folder}/clientes", ",")
+    _write_delimited(L.analysis_raw, f"{folder}/analises", "|")
+    objects = L.project_docs.select(F.regexp_extract("conteudo", r'(?s)^\{"projetos":\[(.*)\]\}$', 1).alias("o"),
+                                    F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("file"), "doc_id")
+    whole = objects.groupBy("file", F.pmod(F.crc32(F.col("doc_id").cast("binary")), F.lit(64))).agg(F.array_join(F.collect_list("o"), ",").alias("o"))
+    (whole.select(F.concat(F.lit('{"projetos": [\n'), "o", F.lit("\n]}")).alias("value"))
+     .repartition(8).write.option("maxRecordsPerFile", 1).text(f"{folder}/projetos"))
+    (invoice_nodes(L.table("orders"), L.table("lineitem")).select("NotaFiscal.*").repartition(8)
+     .write.option("rowTag", "NotaFiscal").option("rootTag", "NotasFiscais").option("declaration", "").xml(f"{folder}/notas"))
+    L.log_pages.select("conteudo").repartition(8).write.option("maxRecordsPerFile", 1).text(f"{folder}/logs")
+
+
+@register("refresh_from_files", "SELECT * FROM vw_snt_notas_fiscais")
+def _refresh_from_files(L: Layers):
+    """The invoice summary of a warehouse that was refreshed from a folder of source files."""
+    from lakefold.plans.refresh import refresh_all
+    folder = fresh_path(L.spark, "source-files")
+    write_source_files(L, folder)
+    return refresh_all(L.spark, files=folder, as_of=L.as_of).views["vw_snt_notas_fiscais"]
+
+
 @register("document_rejects", """SELECT 'prj-doc-' || CAST(o_orderkey AS VARCHAR) AS document, 'malformed' AS reason
     FROM orders WHERE o_orderkey % 97 = 3
     UNION ALL SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR), 'malformed' FROM orders WHERE o_orderkey % 89 = 5""")

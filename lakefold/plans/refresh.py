@@ -3,17 +3,20 @@
 The counterpart of the reference's run (load script, then the silver and view
 scripts), as Spark jobs over a warehouse folder:
 
-* bronze: a schema-setup step (stops the run if it fails), then seven
-  independent, concurrent loads with an audit trail; a failing source is
-  logged and the others continue;
+* bronze: a schema-setup step (stops the run if it fails), then the five raw
+  loads side by side and the two formatted ones from the landed raw tables,
+  with an audit trail; a failing source is logged and the others continue;
 * silver: the invoice and project documents are each parsed once into a
   staging table, from which invoices, taxes and items (and projects and
-  tasks) are derived; the eight tables are written concurrently with the
-  reference's layout (date partitions, clustering);
-* gold and quality: temporary views over the written silver tables, so every
-  read prunes columns and partitions at the Parquet scan.
-
-Each step overwrites its folder, so re-running after a failure converges.
+  tasks) are derived; the tables are written side by side with the
+  reference's layout (date partitions, clustering), and staging is deleted.
+  Tables whose source failed keep their last version;
+* gold and quality: views over the stored silver tables, so every read prunes
+  columns and partitions at the Parquet scan.  ``open_warehouse`` defines them
+  in any later session without building anything.
+
+A table is replaced as a whole once its new version is complete, so re-running
+after a failure ends in the same state.
 """
 
 from __future__ import annotations
@@ -23,21 +26,72 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakefold.fixed import LOADS
 from lakefold.plans import gold, quality, silver, sinks, standins
 from lakefold.plans.layers import Layers
 from lakefold.plans.schemas import BRONZE_SCHEMAS
 from lakefold.session import fresh_path
 from lakefold.sources.documents import invoice_elements, project_elements, xml_to_json
+from lakefold.sources.files import scan_csv, scan_documents, scan_pipe
+
+# Raw loads read a source; formatted loads read a landed raw table.
+_RAW = {"clientes": "customer_raw", "analises_tributarias": "analysis_raw", "tarefas_projetos": "project_docs",
+        "notas_fiscais": "invoice_docs", "logs_sistema": "log_pages"}
+_FORMATTED = {"notas_fiscais_json": ("notas_fiscais", xml_to_json),
+              "logs_sistema_table": ("logs_sistema", lambda pages: silver.log_table(pages, standins.LOG_HEADINGS))}
+
+# Silver table -> the bronze table it is built from.
+_BUILT_FROM = {"cliente": "clientes", "analise_tributaria": "analises_tributarias", "projeto": "tarefas_projetos",
+               "tarefa": "tarefas_projetos", "nota_fiscal": "notas_fiscais", "nota_fiscal_imposto": "notas_fiscais",
+               "nota_fiscal_item": "notas_fiscais", "log_sistema": "logs_sistema_table"}
+
+
+class FileSources:
+    """The five raw sources as files under one folder, read with declared schemas:
+    ``clientes`` (comma-delimited), ``analises`` (pipe-delimited), ``projetos`` (JSON
+    documents), ``notas`` (XML documents) and ``logs`` (HTML pages), a file or a folder
+    of files each.  A JSON, XML or HTML file is one document."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _documents(self, name: str) -> DataFrame:
+        return scan_documents(self.spark, f"{self.folder}/{name}").select("doc_id", "conteudo")
+
+    @property
+    def customer_raw(self) -> DataFrame:
+        return scan_csv(self.spark, f"{self.folder}/clientes", BRONZE_SCHEMAS["clientes"])
+
+    @property
+    def analysis_raw(self) -> DataFrame:
+        return scan_pipe(self.spark, f"{self.folder}/analises", BRONZE_SCHEMAS["analises_tributarias"])
+
+    @property
+    def project_docs(self) -> DataFrame:
+        return self._documents("projetos")
+
+    @property
+    def invoice_docs(self) -> DataFrame:
+        return self._documents("notas")
 
-BRONZE = {
-    "clientes": ("load_raw_csv", lambda L: L.customer_raw),
-    "analises_tributarias": ("load_raw_txt", lambda L: L.analysis_raw),
-    "tarefas_projetos": ("load_raw_json", lambda L: L.project_docs),
-    "notas_fiscais": ("load_raw_xml", lambda L: L.invoice_docs),
-    "logs_sistema": ("load_raw_html", lambda L: L.log_pages),
-    "notas_fiscais_json": ("load_formated_xml", lambda L: xml_to_json(L.invoice_docs)),
-    "logs_sistema_table": ("load_formated_html", lambda L: L.log_raw),
-}
+    @property
+    def log_pages(self) -> DataFrame:
+        return self._documents("logs")
+
+
+def loaders(spark: SparkSession, sources, root: str, source_name: str) -> list[sinks.Loader]:
+    """The seven loads in their order; ``sources`` has the raw frames as attributes."""
+    out = []
+    for operation, table in LOADS:
+        schema = BRONZE_SCHEMAS[table]
+        if table in _RAW:
+            build = lambda t=table, s=schema: sinks.conform(getattr(sources, _RAW[t]), s)
+            out.append(sinks.Loader(operation, table, f"{source_name}:{table}", build))
+        else:
+            raw, make = _FORMATTED[table]
+            build = lambda r=raw, m=make, s=schema: sinks.conform(m(spark.read.schema(BRONZE_SCHEMAS[r]).parquet(f"{root}/{r}")), s)
+            out.append(sinks.Loader(operation, table, f"{source_name}:{table}", build, after=raw))
+    return out
 
 
 def _concurrently(jobs: dict, max_parallel: int = 4) -> dict:
@@ -51,82 +105,76 @@ def _concurrently(jobs: dict, max_parallel: int = 4) -> dict:
 @dataclass
 class Warehouse:
     root: str
-    audit: DataFrame
+    audit: DataFrame | None
     tables: dict[str, DataFrame] = field(default_factory=dict)
     views: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def refresh_all(spark: SparkSession, sf_dir: str, root: str | None = None,
-                as_of: str | None = None) -> Warehouse:
+def views_of(t: dict[str, DataFrame], as_of: str | None = None) -> dict[str, DataFrame]:
+    """The gold and quality views whose silver tables are in ``t``."""
+    cli, ant, pro, trf = (t.get(n) for n in ("cliente", "analise_tributaria", "projeto", "tarefa"))
+    nf, tax, item = (t.get(n) for n in ("nota_fiscal", "nota_fiscal_imposto", "nota_fiscal_item"))
+    totals = gold.invoice_totals(nf, item, tax) if None not in (nf, tax, item) else None
+    makers = {
+        "vw_anl_analise_tributaria": (gold.analysis_detail, ant, cli),
+        "vw_anl_nota_fiscal": (lambda x: x, totals),
+        "vw_anl_projetos": (gold.project_detail, pro, trf, cli),
+        "vw_snt_projetos_performance": (gold.project_task_hours, pro, trf, cli),
+        "vw_snt_analises_tributarias": (gold.analysis_summary, ant, cli),
+        "vw_snt_notas_fiscais": (gold.invoice_summary, totals, cli),
+        **{f"vw_dq_{name}": (lambda x, f=check: f(x, as_of), t.get(name)) for name, check in {
+            "cliente": quality.dq_customer, "analise_tributaria": quality.dq_analysis, "projeto": quality.dq_project,
+            "tarefa": quality.dq_task, "nota_fiscal": quality.dq_invoice, "nota_fiscal_imposto": quality.dq_invoice_tax,
+            "nota_fiscal_item": quality.dq_invoice_item}.items()},
+    }
+    return {name: make(*needs) for name, (make, *needs) in makers.items() if all(x is not None for x in needs)}
+
+
+def open_warehouse(spark: SparkSession, root: str, as_of: str | None = None) -> Warehouse:
+    """The stored silver tables of a refreshed warehouse and the views over them, also in a
+    new session.  Nothing is built; the views are registered for SQL."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = lambda p: (path := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(path)
+    tables = {n: spark.read.parquet(f"{root}/silver/{n}") for n in _BUILT_FROM if there(f"{root}/silver/{n}")}
+    wh = Warehouse(root, None, tables, views_of(tables, as_of))
+    for name, df in wh.views.items():
+        df.createOrReplaceTempView(name)
+    return wh
+
+
+def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
+                as_of: str | None = None, files: str | None = None) -> Warehouse:
+    """Refresh from the driver tables in ``sf_dir``, or from the source files in the folder ``files``."""
     root = root or fresh_path(spark, "warehouse")
-    L = Layers(spark, sf_dir, as_of=as_of)
-    loaders = [sinks.Loader(op, name, f"stand-in:{name}",
-                            (lambda b=build, sc=BRONZE_SCHEMAS[name]: sinks.conform(b(L), sc)))
-               for name, (op, build) in BRONZE.items()]
-    audit = sinks.run_loads(spark, loaders, f"{root}/bronze", f"{root}/audit",
+    sources, name = (FileSources(spark, files), files) if files else (Layers(spark, sf_dir, as_of=as_of), "stand-in")
+    audit = sinks.run_loads(spark, loaders(spark, sources, f"{root}/bronze", name), f"{root}/bronze", f"{root}/audit",
                             setup=("bronze_schemas",
                                    lambda: sinks.setup_tables(spark, f"{root}/bronze", BRONZE_SCHEMAS)))
-    read = lambda p: spark.read.parquet(f"{root}/{p}")
-
     failed = {r.table_id for r in audit.where(F.col("status") == "ERROR").select("table_id").collect()}
-    wh = Warehouse(root, audit)
-    if failed:
-        return wh  # silver would read stale or missing bronze tables
-
-    # silver ------------------------------------------------------------------
-    # Parse each document set once into a staging table; several silver tables
-    # derive from each.  Independent writes run as concurrent jobs.
-    s = "silver"
-    staged = _concurrently({
-        "nf": lambda: sinks.refresh_table(invoice_elements(read("bronze/notas_fiscais")),
-                                          f"{root}/_staging/nf_elements"),
-        "prj": lambda: sinks.refresh_table(project_elements(read("bronze/tarefas_projetos")),
-                                           f"{root}/_staging/prj_elements"),
-    })
-    nf_el, prj_el = staged["nf"], staged["prj"]
-    out = _concurrently({
-        "cliente": lambda: sinks.refresh_table(silver.customer(read("bronze/clientes"), as_of),
-                                               f"{root}/{s}/cliente"),
+    read = lambda n: spark.read.schema(BRONZE_SCHEMAS[n]).parquet(f"{root}/bronze/{n}")
+    staging = f"{root}/_staging"
+    staged = _concurrently({n: (lambda n=n, f=parse: sinks.refresh_table(f(read(n)), f"{staging}/{n}"))
+                            for n, parse in (("notas_fiscais", invoice_elements), ("tarefas_projetos", project_elements))
+                            if n not in failed})
+    nf, prj, s = staged.get("notas_fiscais"), staged.get("tarefas_projetos"), f"{root}/silver"
+    jobs = {
+        "cliente": lambda: sinks.refresh_table(silver.customer(read("clientes"), as_of), f"{s}/cliente"),
         "analise_tributaria": lambda: sinks.refresh_table(
-            silver.tax_analysis(read("bronze/analises_tributarias"), as_of), f"{root}/{s}/analise_tributaria"),
-        "projeto": lambda: sinks.refresh_table(silver.project(prj_el), f"{root}/{s}/projeto"),
-        "tarefa": lambda: sinks.clustered_write(silver.task(prj_el), f"{root}/{s}/tarefa", ["id_projeto"]),
-        "nota_fiscal": lambda: sinks.partitioned_write(silver.invoice(nf_el), f"{root}/{s}/nota_fiscal",
-                                                       "data_emissao"),
-        "nota_fiscal_imposto": lambda: sinks.clustered_write(silver.invoice_tax(nf_el),
-                                                             f"{root}/{s}/nota_fiscal_imposto",
+            silver.tax_analysis(read("analises_tributarias"), as_of), f"{s}/analise_tributaria"),
+        "projeto": lambda: sinks.refresh_table(silver.project(prj), f"{s}/projeto"),
+        "tarefa": lambda: sinks.clustered_write(silver.task(prj), f"{s}/tarefa", ["id_projeto"]),
+        "nota_fiscal": lambda: sinks.partitioned_write(silver.invoice(nf), f"{s}/nota_fiscal", "data_emissao"),
+        "nota_fiscal_imposto": lambda: sinks.clustered_write(silver.invoice_tax(nf), f"{s}/nota_fiscal_imposto",
                                                              ["id_nota", "tipo_imposto"]),
-        "nota_fiscal_item": lambda: sinks.clustered_write(silver.invoice_item(nf_el),
-                                                          f"{root}/{s}/nota_fiscal_item", ["id_nota"]),
-        "log_sistema": lambda: sinks.partitioned_write(silver.system_log(read("bronze/logs_sistema_table"), as_of),
-                                                       f"{root}/{s}/log_sistema", "data_evento",
-                                                       cluster_by=("usuario", "acao")),
-    })
-    wh.tables = out
-
-    # gold and quality views ----------------------------------------------------
-    cli, ant = out["cliente"], out["analise_tributaria"]
-    pro, trf = out["projeto"], out["tarefa"]
-    nf = gold.invoice_totals(out["nota_fiscal"], out["nota_fiscal_item"], out["nota_fiscal_imposto"])
-    views = {
-        "vw_anl_analise_tributaria": gold.analysis_detail(ant, cli),
-        "vw_anl_nota_fiscal": nf,
-        "vw_anl_projetos": gold.project_detail(pro, trf, cli),
-        "vw_snt_projetos_performance": gold.project_task_hours(pro, trf, cli),
-        "vw_snt_analises_tributarias": gold.analysis_summary(ant, cli),
-        "vw_snt_notas_fiscais": gold.invoice_summary(nf, cli),
-        "vw_dq_cliente": quality.dq_customer(cli, as_of),
-        "vw_dq_analise_tributaria": quality.dq_analysis(ant, as_of),
-        "vw_dq_projeto": quality.dq_project(pro, as_of),
-        "vw_dq_tarefa": quality.dq_task(trf, as_of),
-        "vw_dq_nota_fiscal": quality.dq_invoice(out["nota_fiscal"], as_of),
-        "vw_dq_nota_fiscal_imposto": quality.dq_invoice_tax(out["nota_fiscal_imposto"], as_of),
-        "vw_dq_nota_fiscal_item": quality.dq_invoice_item(out["nota_fiscal_item"], as_of),
+        "nota_fiscal_item": lambda: sinks.clustered_write(silver.invoice_item(nf), f"{s}/nota_fiscal_item", ["id_nota"]),
+        "log_sistema": lambda: sinks.partitioned_write(silver.system_log(read("logs_sistema_table"), as_of),
+                                                       f"{s}/log_sistema", "data_evento", cluster_by=("usuario", "acao")),
     }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    wh.views = views
+    _concurrently({n: job for n, job in jobs.items() if _BUILT_FROM[n] not in failed})
+    sinks.drop_folder(spark, staging)
+    wh = open_warehouse(spark, root, as_of)
+    wh.audit = audit
     return wh
 
 
-__all__ = ["refresh_all", "Warehouse", "BRONZE", "standins"]
+__all__ = ["refresh_all", "open_warehouse", "views_of", "loaders", "FileSources", "Warehouse"]

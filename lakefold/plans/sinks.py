@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakefold.fixed import AUDIT_MESSAGES
+
 
 def land_bronze(df: DataFrame, schema: StructType, path: str) -> DataFrame:
     """Write ``df`` as a typed bronze table (full refresh) and return the table.
@@ -23,9 +25,7 @@ def land_bronze(df: DataFrame, schema: StructType, path: str) -> DataFrame:
     Columns are selected and cast to the declared schema, so a source that
     drifts fails here instead of in a downstream view.
     """
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    typed.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return refresh_table(conform(df, schema), path)
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
@@ -63,6 +63,11 @@ def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> No
     fs.delete(folder(old), True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def refresh_table(df: DataFrame, path: str) -> DataFrame:
     """Create-or-replace: the table's folder gets the query result, whole or not at all."""
     _replace(df.sparkSession, path, lambda new: df.write.parquet(new))
@@ -118,6 +123,7 @@ class Loader:
     table_id: str
     source: str
     build: Callable[[], DataFrame]
+    after: str | None = None  # the landed table it reads
 
 
 class SetupFailed(RuntimeError):
@@ -135,6 +141,7 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
 
     Each load is an independent Spark write; up to ``max_parallel`` of them run
     as concurrent jobs (small sources would otherwise leave the cluster idle).
+    Loads that read a landed table run after the others, and fail if that load failed.
     A load's row count is observed during the write itself (no second pass).
     Audit rows keep the order of ``loaders`` (START then SUCCESS/ERROR for
     each), are appended to ``audit_path`` (Parquet, or CSV with a header like
@@ -158,21 +165,23 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
     head: list[tuple] = []
     if setup is not None:
         name, action = setup
-        head.append((1, now(), "run_ddl_script", name, "START", f"Executando script {name}", None))
+        head.append((1, now(), "run_ddl_script", name, "START", AUDIT_MESSAGES["ddl_start"].format(name), None))
         try:
             action()
         except Exception as exc:  # noqa: BLE001 - audited, then the run stops
             head.append((2, now(), "run_ddl_script", name, "ERROR",
-                         f"Falha ao executar DDL {name}: {str(exc).strip() or type(exc).__name__}", None))
+                         AUDIT_MESSAGES["ddl_failed"].format(name, str(exc).strip() or type(exc).__name__), None))
             write_audit(head)
             raise SetupFailed(name) from exc
-        head.append((2, now(), "run_ddl_script", name, "SUCCESS", f"Script {name} executado com sucesso", None))
+        head.append((2, now(), "run_ddl_script", name, "SUCCESS", AUDIT_MESSAGES["ddl_done"].format(name), None))
     offset = len(head)
 
     def run_one(i: int, ld: Loader) -> list[tuple]:
         i = i + offset // 2
-        start = (2 * i + 1, now(), ld.operation, ld.table_id, "START", f"Lendo {ld.source}", None)
+        start = (2 * i + 1, now(), ld.operation, ld.table_id, "START", AUDIT_MESSAGES["load_start"].format(ld.source), None)
         try:
+            if ld.after in broken:
+                raise RuntimeError(f"{ld.after} was not loaded")
             obs = Observation(f"rows_{ld.table_id}_{i}")
             df = ld.build().observe(obs, F.count(F.lit(1)).alias("n"))
             df.write.mode("overwrite").parquet(f"{target_root}/{ld.table_id}")
@@ -180,14 +189,18 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
         except Exception as exc:  # noqa: BLE001 - keep the remaining loads running
             text = str(exc).strip() or type(exc).__name__
             end = (2 * i + 2, now(), ld.operation, ld.table_id, "ERROR",
-                   f"Falha ao processar {ld.source}: {text}", None)
+                   AUDIT_MESSAGES["load_failed"].format(ld.source, text), None)
         else:
-            end = (2 * i + 2, now(), ld.operation, ld.table_id, "SUCCESS", f"{ld.table_id} carregada com sucesso", n)
+            end = (2 * i + 2, now(), ld.operation, ld.table_id, "SUCCESS", AUDIT_MESSAGES["load_done"].format(ld.table_id), n)
         return [start, end]
 
-    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
-        results = list(pool.map(lambda a: run_one(*a), enumerate(loaders)))
-    return write_audit(head + [r for pair in results for r in pair])
+    results: dict[int, list[tuple]] = {}
+    broken: set[str] = set()
+    for wave in ([i for i, ld in enumerate(loaders) if not ld.after], [i for i, ld in enumerate(loaders) if ld.after]):
+        with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+            results.update(zip(wave, pool.map(lambda i: run_one(i, loaders[i]), wave)))
+        broken = {loaders[i].table_id for i in results if results[i][1][4] == "ERROR"}
+    return write_audit(head + [r for i in range(len(loaders)) for r in results[i]])
 
 
 AUDIT_CSV_SCHEMA = "timestamp string, operation string, table_id string, status string, message string"
