@@ -108,6 +108,7 @@ class Warehouse:
     audit: DataFrame | None
     tables: dict[str, DataFrame] = field(default_factory=dict)
     views: dict[str, DataFrame] = field(default_factory=dict)
+    failed: set[str] = field(default_factory=set)  # bronze tables that were not loaded or not readable
 
 
 def views_of(t: dict[str, DataFrame], as_of: str | None = None) -> dict[str, DataFrame]:
@@ -152,11 +153,12 @@ def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None
                                    lambda: sinks.setup_tables(spark, f"{root}/bronze", BRONZE_SCHEMAS)))
     failed = {r.table_id for r in audit.where(F.col("status") == "ERROR").select("table_id").collect()}
     read = lambda n: spark.read.schema(BRONZE_SCHEMAS[n]).parquet(f"{root}/bronze/{n}")
-    staging = f"{root}/_staging"
-    staged = _concurrently({n: (lambda n=n, f=parse: sinks.refresh_table(f(read(n)), f"{staging}/{n}"))
-                            for n, parse in (("notas_fiscais", invoice_elements), ("tarefas_projetos", project_elements))
-                            if n not in failed})
-    nf, prj, s = staged.get("notas_fiscais"), staged.get("tarefas_projetos"), f"{root}/silver"
+    staging, s = f"{root}/_staging", f"{root}/silver"
+    parsers = [(n, p) for n, p in (("notas_fiscais", invoice_elements), ("tarefas_projetos", project_elements)) if n not in failed]
+    parsed = sinks.run_loads(spark, [sinks.Loader("parse_documents", n, f"bronze:{n}", lambda n=n, p=p: p(read(n))) for n, p in parsers],
+                             staging, f"{root}/audit")  # a document that cannot be read fails its tables, not the run
+    failed |= {r.table_id for r in parsed.where(F.col("status") == "ERROR").select("table_id").collect()}
+    nf, prj = (spark.read.parquet(f"{staging}/{n}") if n not in failed else None for n in ("notas_fiscais", "tarefas_projetos"))
     jobs = {
         "cliente": lambda: sinks.refresh_table(silver.customer(read("clientes"), as_of), f"{s}/cliente"),
         "analise_tributaria": lambda: sinks.refresh_table(
@@ -173,7 +175,7 @@ def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None
     _concurrently({n: job for n, job in jobs.items() if _BUILT_FROM[n] not in failed})
     sinks.drop_folder(spark, staging)
     wh = open_warehouse(spark, root, as_of)
-    wh.audit = audit
+    wh.audit, wh.failed = audit, failed
     return wh
 
 

@@ -3,7 +3,7 @@
 from collections import Counter
 
 from lakefold.plans.layers import Layers
-from lakefold.plans.refresh import refresh_all
+from lakefold.plans.refresh import open_warehouse, refresh_all
 from lakefold.session import fresh_path
 from lakefold.streaming import land_delimited, land_documents
 
@@ -23,6 +23,33 @@ def test_refresh_all_matches_lazy_views(spark):
     assert bag(wh.views["vw_snt_projetos_performance"]) == bag(L.project_task_hours)
     assert bag(wh.tables["log_sistema"]) == bag(L.system_log)
     assert spark.table("vw_dq_nota_fiscal_item").first().duplicatas_id_item == 0
+    assert sorted(f.rstrip("/").rsplit("/", 1)[-1] for f in listed(spark, wh.root)) == ["audit", "bronze", "silver"]  # no staging left
+    # a second refresh of the same warehouse replaces everything, and views open without a rebuild
+    again = refresh_all(spark, SF, root=wh.root, as_of=AS_OF)
+    assert bag(again.tables["nota_fiscal"]) == bag(L.invoice)
+    opened = open_warehouse(spark, wh.root, AS_OF).views["vw_snt_notas_fiscais"]
+    assert bag(opened) == bag(L.invoice_summary())
+    assert opened.inputFiles() and all("/silver/" in f for f in opened.inputFiles())
+
+
+def listed(spark, path):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getPath().toString() for f in found]
+
+
+def test_a_failing_source_spares_the_other_tables(spark):
+    from lakefold.plans.catalog import write_source_files
+    folder = fresh_path(spark, "t-files")
+    write_source_files(Layers(spark, SF, as_of=AS_OF), folder)
+    cut = spark.createDataFrame([("<NotasFiscais><NotaFiscal><Num",)], "v string")
+    cut.coalesce(1).write.mode("append").text(f"{folder}/notas")
+    wh = refresh_all(spark, files=folder, as_of=AS_OF)
+    assert wh.failed == {"notas_fiscais", "notas_fiscais_json"}
+    assert "nota_fiscal" not in wh.tables and "vw_snt_notas_fiscais" not in wh.views
+    L = Layers(spark, SF, as_of=AS_OF)
+    assert bag(wh.views["vw_anl_projetos"]) == bag(L.project_detail)
+    assert bag(wh.tables["log_sistema"]) == bag(L.system_log)
 
 
 def test_incremental_landing_is_exactly_once(spark):
@@ -46,14 +73,15 @@ def test_document_landing_one_row_per_file(spark):
     assert len(rows) == 1 and rows[0].conteudo.splitlines() == ["<a>1</a>", "<a>2</a>"]
 
 
-def test_refresh_stops_before_silver_when_a_source_fails(spark, monkeypatch):
+def test_tables_of_a_failing_load_are_not_built(spark, monkeypatch):
     from lakefold.plans import refresh
 
-    def broken(L):
+    def broken(pages):
         raise ValueError("Nenhuma tabela encontrada")
 
-    monkeypatch.setitem(refresh.BRONZE, "logs_sistema_table", ("load_formated_html", broken))
+    monkeypatch.setitem(refresh._FORMATTED, "logs_sistema_table", ("logs_sistema", broken))
     wh = refresh_all(spark, SF, as_of=AS_OF)
     statuses = {(r.table_id, r.status) for r in wh.audit.collect()}
     assert ("logs_sistema_table", "ERROR") in statuses and ("clientes", "SUCCESS") in statuses
-    assert wh.views == {} and wh.tables == {}
+    assert "log_sistema" not in wh.tables and len(wh.tables) == 7
+    assert "vw_snt_notas_fiscais" in wh.views
