@@ -373,11 +373,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         first = staged(_first_order(docs, frequent), "met")
         release(spark)
         found = first.filter("na = 0 AND nb = 0").groupBy(F.col("a").alias("token")).agg((-F.count(F.lit(1))).alias("n"))
-        if len(known) >= MOST_FREQUENT or found.isEmpty():
+        complete = found.isEmpty()
+        if len(known) >= MOST_FREQUENT or complete:
             break
     pairs = first.filter("na > 0")
     large = first.filter("na = 0").select(F.col("a").alias("token"), F.col("b").alias("key"))
     several = large.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("token")
+    if complete:  # only shingles of the bounded list are left
+        several = F.broadcast(several)
     large = staged(large.join(several, "token").distinct(), "large")
 
     wanted = (pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))

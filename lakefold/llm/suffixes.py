@@ -216,7 +216,8 @@ _STRETCH = pa.schema([("stretch", pa.int64()), ("th", pa.int64()), ("root", pa.i
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the stretches of LEAST words around entries: l words before the start, LEAST - l from it on."""
+    """Hashes of the stretches of LEAST words around entries: l words before the start, LEAST - l from
+    it on, for l from lo to hi."""
     for batch in batches:
         open_ = batch.column(7).to_numpy(zero_copy_only=False)
         root, th, at, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 3, 4, 5))
@@ -225,6 +226,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, start = row[keep], start[keep]
         batch = batch.take(pa.array(row))
         root, th, n, at, open_ = root[row], th[row], n[row], start.astype(np.int64), open_[row]
+        lo, hi = batch.column(8).to_numpy(), batch.column(9).to_numpy()
         first = batch.column(4).to_numpy()
         after, before = _unpacked(batch.column(1)).astype(np.uint64), _unpacked(batch.column(2)).astype(np.uint64)
         step = np.uint64(0x9E3779B97F4A7C15)
@@ -233,7 +235,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rights.append(mix(rights[-1] * step + after[:, i]))
             lefts.append(mix(lefts[-1] * step + before[:, i] + np.uint64(1)))
         for l in range(SIDE + 1):
-            use = (at >= l) & (at + LEAST - l <= n)
+            use = (at >= l) & (at + LEAST - l <= n) & (lo <= l) & (l <= hi)
             key = mix(rights[SIDE - l] ^ lefts[l] * np.uint64(2 * l + 1)).view(np.int64)
             if use.any():
                 yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(th[use]), pa.array(root[use]), pa.array(first[use]),
@@ -263,11 +265,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     survey = staged(docs.mapInArrow(_survey, "doc_id bigint, th bigint, v bigint, kind tinyint"), "suffix-survey")
-    rows = survey.filter("kind = 0").select("doc_id", "th", F.col("v").alias("n_words"))
+    rows = staged(survey.filter("kind = 0").select("doc_id", "th", F.col("v").alias("n_words")), "long-texts")
     shared = (survey.filter("kind = 1").groupBy(F.col("v").alias("root")).agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
               .filter("lo <> hi").select("root"))
     bits = spark.sparkContext.broadcast(id_filter(shared, "root", hashed=True))
-    release(spark)
+    release(spark, survey)
     entry = "root bigint, after binary, before binary, th bigint, at int, n int, ats binary"
     entries = staged(docs.select("text").mapInArrow(_entries(bits), entry), "suffixes")
     found = []
@@ -279,12 +281,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     most = [f.filter("start < 0").select("root", "th", "at", *[(F.col("end") if i == k else F.lit(None).cast("int")).alias(c)
                                                              for i, c in enumerate(("right", "left"))]) for k, f in enumerate(found)]
     unsettled = (most[0].unionByName(most[1]).groupBy("root", "th", "at").agg(F.max("right").alias("right"), F.max("left").alias("left"))
-                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}").select("root", "th", "at"))
+                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}")
+                 # so many words before the start can a match have that is not known yet
+                 .select("root", "th", "at", F.coalesce(F.lit(LEAST) - F.col("right"), F.lit(0)).alias("lo"),
+                         F.coalesce("left", F.lit(SIDE)).alias("hi")))
     unsettled = staged(unsettled, "unsettled")
     found = found[0].unionByName(found[1])
-    ask = (entries.join(unsettled.select("root").distinct(), "root")
-           .join(unsettled.withColumn("open", F.lit(True)), ["root", "th", "at"], "left")
-           .select("root", "after", "before", "th", "at", "n", "ats", F.coalesce("open", F.lit(False)).alias("open")))
+    ranges = unsettled.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ask = (entries.join(ranges, "root")
+           .join(unsettled.select("root", "th", "at", F.lit(True).alias("open")), ["root", "th", "at"], "left")
+           .select("root", "after", "before", "th", "at", "n", "ats", F.coalesce("open", F.lit(False)).alias("open"), "lo", "hi"))
     stretches = ask.mapInArrow(_stretches, "stretch bigint, th bigint, root bigint, at int, start int, open boolean")
     twice = (stretches.groupBy("stretch").agg(F.min("th").alias("lo"), F.max("th").alias("hi"), F.max("open").alias("any"))
              .filter("lo <> hi AND any").select("stretch"))
