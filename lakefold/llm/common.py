@@ -106,3 +106,15 @@ def id_filter(ids: DataFrame, column: str, hashed: bool = False) -> np.ndarray:
 def in_filter(bits: np.ndarray, numbers: pa.Array) -> pa.Array:
     at = numbers.to_numpy()
     return pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1)
+
+
+def passing(df: DataFrame, column: str, bits) -> DataFrame:
+    """Rows of `df` whose hash in `column` is in a broadcast filter."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(at).to_numpy() & np.int64(FILTER_BITS - 1)
+            yield batch.filter(in_filter(bits.value, pa.array(numbers)))
+
+    return df.mapInArrow(run, df.schema)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.llm.common import FILTER_BITS, blocks, id_filter, release, shuffle_width, staged
+from lakefold.llm.common import FILTER_BITS, blocks, id_filter, in_filter, passing, release, shuffle_width, staged
 from lakefold.llm.words import Words, mix, run_hashes
 
 LEAST = 50
@@ -212,34 +212,39 @@ def _neighbours(to_right: bool):
     return run
 
 
-_STRETCH = pa.schema([("stretch", pa.int64()), ("th", pa.int64()), ("root", pa.int64()), ("at", pa.int32()), ("start", pa.int32()), ("open", pa.bool_())])
+_STRETCH = pa.schema([("stretch", pa.int64()), ("th", pa.int64()), ("start", pa.int32())])
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the stretches of LEAST words around entries: l words before the start, LEAST - l from
-    it on, for l from lo to hi."""
-    for batch in batches:
-        open_ = batch.column(7).to_numpy(zero_copy_only=False)
-        root, th, at, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 3, 4, 5))
-        row, start = _all_starts(batch.column(6), np.arange(batch.num_rows))  # of open entries all, of others the first
-        keep = open_[row] | (start == at[row])
-        row, start = row[keep], start[keep]
-        batch = batch.take(pa.array(row))
-        root, th, n, at, open_ = root[row], th[row], n[row], start.astype(np.int64), open_[row]
-        lo, hi = batch.column(8).to_numpy(), batch.column(9).to_numpy()
-        first = batch.column(4).to_numpy()
-        after, before = _unpacked(batch.column(1)).astype(np.uint64), _unpacked(batch.column(2)).astype(np.uint64)
+def _stretches(all_starts: bool, roots=None, wanted=None):
+    """Hashes of the stretches of LEAST words around entries: l words before the start, LEAST - l from it
+    on.  With filters, only of entries whose root and of stretches whose hash pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.uint64(0x9E3779B97F4A7C15)
-        rights, lefts = [root.view(np.uint64)], [np.zeros(len(root), np.uint64)]
-        for i in range(SIDE):
-            rights.append(mix(rights[-1] * step + after[:, i]))
-            lefts.append(mix(lefts[-1] * step + before[:, i] + np.uint64(1)))
-        for l in range(SIDE + 1):
-            use = (at >= l) & (at + LEAST - l <= n) & (lo <= l) & (l <= hi)
-            key = mix(rights[SIDE - l] ^ lefts[l] * np.uint64(2 * l + 1)).view(np.int64)
-            if use.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(th[use]), pa.array(root[use]), pa.array(first[use]),
-                                                  pa.array((at[use] - l).astype(np.int32)), pa.array(open_[use])], schema=_STRETCH)
+        for batch in batches:
+            if roots is not None:
+                batch = batch.filter(in_filter(roots.value, pa.array(batch.column(0).to_numpy() & np.int64(FILTER_BITS - 1))))
+            if not batch.num_rows:
+                continue
+            batch = pa.Table.from_batches([batch]).combine_chunks().to_batches()[0]
+            if all_starts:
+                row, start = _all_starts(batch.column(6), np.arange(batch.num_rows))
+            else:
+                row, start = np.arange(batch.num_rows), batch.column(4).to_numpy()
+            root, th, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 3, 5))
+            after, before = _unpacked(batch.column(1)).astype(np.uint64), _unpacked(batch.column(2)).astype(np.uint64)
+            rights, lefts = [root.view(np.uint64)], [np.zeros(len(root), np.uint64)]
+            for i in range(SIDE):
+                rights.append(mix(rights[-1] * step + after[:, i]))
+                lefts.append(mix(lefts[-1] * step + before[:, i] + np.uint64(1)))
+            for l in range(SIDE + 1):
+                key = mix(rights[SIDE - l] ^ lefts[l] * np.uint64(2 * l + 1)).view(np.int64)[row]
+                use = (start >= l) & (start + LEAST - l <= n[row])
+                if wanted is not None:
+                    at = key & np.int64(FILTER_BITS - 1)
+                    use &= (wanted.value[at >> 6] >> (at & 63)) & 1 == 1
+                if use.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(th[row][use]), pa.array((start[use] - l).astype(np.int32))], schema=_STRETCH)
+    return run
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,6 +263,26 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(texts, pa.string())], names=["th", "n_repeated", "spans"])
 
 
+def _settled(entries: DataFrame, unsettled: DataFrame) -> DataFrame:
+    """(th, start, end) of the stretches of LEAST words around unsettled entries that another text has.
+
+    Only their own stretches are listed; of all other entries a stretch is passed
+    on if it is in a fixed-size filter of those, so the texts' suffixes are not
+    shuffled again, and a root with very many of them stays where it is.
+    """
+    sc = entries.sparkSession.sparkContext
+    stretch = "stretch bigint, th bigint, start int"
+    names = entries.columns
+    open_ = (passing(entries.withColumn("id", F.xxhash64("root", "th", "at")), "id", sc.broadcast(id_filter(unsettled, "id", hashed=True)))
+             .join(unsettled, ["root", "th", "at", "id"], "left_semi").select(*names))
+    own = staged(open_.mapInArrow(_stretches(True), stretch).distinct(), "open-stretches")
+    roots, wanted = (sc.broadcast(id_filter(df, c, hashed=True)) for df, c in ((unsettled, "root"), (own, "stretch")))
+    others = entries.mapInArrow(_stretches(False, roots, wanted), stretch)
+    twice = (own.unionByName(others).groupBy("stretch").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
+             .filter("lo <> hi").select("stretch"))
+    return own.join(twice, "stretch").select("th", "start", (F.col("start") + LEAST).alias("end"))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Per document with a passage that another one has as well: doc_id, n_words, n_repeated (words
     in passages), spans (start:end in words, end exclusive, comma-joined) and first_copy, the smallest
@@ -281,20 +306,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     most = [f.filter("start < 0").select("root", "th", "at", *[(F.col("end") if i == k else F.lit(None).cast("int")).alias(c)
                                                              for i, c in enumerate(("right", "left"))]) for k, f in enumerate(found)]
     unsettled = (most[0].unionByName(most[1]).groupBy("root", "th", "at").agg(F.max("right").alias("right"), F.max("left").alias("left"))
-                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}")
-                 # so many words before the start can a match have that is not known yet
-                 .select("root", "th", "at", F.coalesce(F.lit(LEAST) - F.col("right"), F.lit(0)).alias("lo"),
-                         F.coalesce("left", F.lit(SIDE)).alias("hi")))
-    unsettled = staged(unsettled, "unsettled")
+                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}").select("root", "th", "at"))
+    settled = _settled(entries, staged(unsettled.withColumn("id", F.xxhash64("root", "th", "at")), "unsettled"))
     found = found[0].unionByName(found[1])
-    ranges = unsettled.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    ask = (entries.join(ranges, "root")
-           .join(unsettled.select("root", "th", "at", F.lit(True).alias("open")), ["root", "th", "at"], "left")
-           .select("root", "after", "before", "th", "at", "n", "ats", F.coalesce("open", F.lit(False)).alias("open"), "lo", "hi"))
-    stretches = ask.mapInArrow(_stretches, "stretch bigint, th bigint, root bigint, at int, start int, open boolean")
-    twice = (stretches.groupBy("stretch").agg(F.min("th").alias("lo"), F.max("th").alias("hi"), F.max("open").alias("any"))
-             .filter("lo <> hi AND any").select("stretch"))
-    settled = stretches.filter("open").join(twice, "stretch").select("th", "start", (F.col("start") + LEAST).alias("end"))
     copies = rows.groupBy("th").agg(F.min("doc_id").alias("first_copy"), F.count(F.lit(1)).alias("n_copies"), F.first("n_words").alias("n"))
     copies = staged(copies.filter("n_copies > 1"), "copies")
     whole = copies.select("th", F.lit(0).alias("start"), F.col("n").cast("int").alias("end"))
