@@ -35,6 +35,7 @@ SHINGLE = 5
 FRACTION = 1 / 8
 FLOOR = 32
 BUCKETS = 16  # ranges of ids per shuffle partition
+RANGES = 4096  # ranges at most: their bounds are part of the plan, and a range is streamed
 
 
 def threshold(fraction: float = FRACTION) -> np.uint64:
@@ -128,7 +129,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     the range before.  One shuffle of the texts, a row more per range, no window over the table.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    n = BUCKETS * shuffle_width(docs.sparkSession)
+    n = min(RANGES, BUCKETS * shuffle_width(docs.sparkSession))
     bounds = sorted({int(b) for b in docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n))})
     tie = F.xxhash64("text")
     own = docs.withColumn("bucket", _bucket(bounds))
