@@ -217,7 +217,8 @@ _STRETCH = pa.schema([("stretch", pa.int64()), ("th", pa.int64()), ("start", pa.
 
 def _stretches(all_starts: bool, roots=None, wanted=None):
     """Hashes of the stretches of LEAST words around entries: l words before the start, LEAST - l from it
-    on.  With filters, only of entries whose root and of stretches whose hash pass."""
+    on.  With `all_starts`, of every start of an entry, for l from its `lo` to its `hi`; else of the first
+    start, for entries whose root and stretches whose hash pass the filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
@@ -239,6 +240,8 @@ def _stretches(all_starts: bool, roots=None, wanted=None):
             for l in range(SIDE + 1):
                 key = mix(rights[SIDE - l] ^ lefts[l] * np.uint64(2 * l + 1)).view(np.int64)[row]
                 use = (start >= l) & (start + LEAST - l <= n[row])
+                if all_starts:
+                    use &= ((batch.column(7).to_numpy() <= l) & (l <= batch.column(8).to_numpy()))[row]
                 if wanted is not None:
                     at = key & np.int64(FILTER_BITS - 1)
                     use &= (wanted.value[at >> 6] >> (at & 63)) & 1 == 1
@@ -274,8 +277,8 @@ def _settled(entries: DataFrame, unsettled: DataFrame) -> DataFrame:
     stretch = "stretch bigint, th bigint, start int"
     names = entries.columns
     open_ = (passing(entries.withColumn("id", F.xxhash64("root", "th", "at")), "id", sc.broadcast(id_filter(unsettled, "id", hashed=True)))
-             .join(unsettled, ["root", "th", "at", "id"], "left_semi").select(*names))
-    own = staged(open_.mapInArrow(_stretches(True), stretch).distinct(), "open-stretches")
+             .join(unsettled, ["root", "th", "at", "id"]).select(*names, "lo", "hi"))
+    own = staged(open_.mapInArrow(_stretches(True), stretch), "open-stretches")
     roots, wanted = (sc.broadcast(id_filter(df, c, hashed=True)) for df, c in ((unsettled, "root"), (own, "stretch")))
     others = entries.mapInArrow(_stretches(False, roots, wanted), stretch)
     twice = (own.unionByName(others).groupBy("stretch").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
@@ -306,7 +309,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     most = [f.filter("start < 0").select("root", "th", "at", *[(F.col("end") if i == k else F.lit(None).cast("int")).alias(c)
                                                              for i, c in enumerate(("right", "left"))]) for k, f in enumerate(found)]
     unsettled = (most[0].unionByName(most[1]).groupBy("root", "th", "at").agg(F.max("right").alias("right"), F.max("left").alias("left"))
-                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}").select("root", "th", "at"))
+                 .filter(f"right IS NULL OR left IS NULL OR right + left >= {LEAST}")
+                 # so many words before the start a match can have that is not known yet
+                 .select("root", "th", "at", F.greatest(F.lit(0), F.lit(LEAST) - F.coalesce("right", F.lit(LEAST))).cast("int").alias("lo"),
+                         F.coalesce("left", F.lit(SIDE)).cast("int").alias("hi")))
     settled = _settled(entries, staged(unsettled.withColumn("id", F.xxhash64("root", "th", "at")), "unsettled"))
     found = found[0].unionByName(found[1])
     copies = rows.groupBy("th").agg(F.min("doc_id").alias("first_copy"), F.count(F.lit(1)).alias("n_copies"), F.first("n_words").alias("n"))
