@@ -91,14 +91,14 @@ def filter_bit(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
 
-def id_filter(ids: DataFrame, column: str, hashed: bool = False) -> np.ndarray:
+def id_filter(ids: DataFrame, column: str, hashed: bool = False, size: int = FILTER_BITS) -> np.ndarray:
     """A bit set with the bits of all ids (with `hashed`, ids are hashes and their low bits serve).  It spares a shuffle of rows that have no
     partner; what it lets through wrongly has to be removed by a join afterwards."""
-    bit = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1)) if hashed else filter_bit(column)
+    bit = F.col(column).bitwiseAND(F.lit(size - 1)) if hashed else filter_bit(column)
     words = ids.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("w")).agg(
         F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("bits"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    got = words.toArrow()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(size // 64, np.int64)
+    got = words.toArrow()  # at most size / 64 rows
     out[got["w"].to_numpy()] = got["bits"].to_numpy()
     return out
 

@@ -47,6 +47,7 @@ GRAM = 8
 WINDOW = 18
 SIDE = WINDOW - 1                 # words before a kept start that can belong to a passage without an earlier kept start
 ROOT = LEAST - SIDE               # 33
+HASH_BITS = 1 << 28               # bits of the broadcast filters of roots and stretches (32 MB)
 
 
 def kept_starts(hashes: np.ndarray) -> np.ndarray:
@@ -113,7 +114,7 @@ def _entries(bits):
                     continue
                 met.add(th)
                 starts, roots = _roots(hashes)
-                bit = roots & np.int64(FILTER_BITS - 1)
+                bit = roots & np.int64(HASH_BITS - 1)
                 use = (table[bit >> 6] >> (bit & 63)) & 1 == 1
                 starts, roots = starts[use], roots[use]
                 if not len(starts):
@@ -243,7 +244,7 @@ def _stretches(all_starts: bool, roots=None, wanted=None):
                 if all_starts:
                     use &= ((batch.column(7).to_numpy() <= l) & (l <= batch.column(8).to_numpy()))[row]
                 if wanted is not None:
-                    at = key & np.int64(FILTER_BITS - 1)
+                    at = key & np.int64(HASH_BITS - 1)
                     use &= (wanted.value[at >> 6] >> (at & 63)) & 1 == 1
                 if use.any():
                     yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(th[row][use]), pa.array((start[use] - l).astype(np.int32))], schema=_STRETCH)
@@ -279,7 +280,8 @@ def _settled(entries: DataFrame, unsettled: DataFrame) -> DataFrame:
     open_ = (passing(entries.withColumn("id", F.xxhash64("root", "th", "at")), "id", sc.broadcast(id_filter(unsettled, "id", hashed=True)))
              .join(unsettled, ["root", "th", "at", "id"]).select(*names, "lo", "hi"))
     own = staged(open_.mapInArrow(_stretches(True), stretch), "open-stretches")
-    roots, wanted = (sc.broadcast(id_filter(df, c, hashed=True)) for df, c in ((unsettled, "root"), (own, "stretch")))
+    roots = sc.broadcast(id_filter(unsettled, "root", hashed=True))
+    wanted = sc.broadcast(id_filter(own, "stretch", hashed=True, size=HASH_BITS))
     others = entries.mapInArrow(_stretches(False, roots, wanted), stretch)
     twice = (own.unionByName(others).groupBy("stretch").agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
              .filter("lo <> hi").select("stretch"))
@@ -296,7 +298,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     rows = staged(survey.filter("kind = 0").select("doc_id", "th", F.col("v").alias("n_words")), "long-texts")
     shared = (survey.filter("kind = 1").groupBy(F.col("v").alias("root")).agg(F.min("th").alias("lo"), F.max("th").alias("hi"))
               .filter("lo <> hi").select("root"))
-    bits = spark.sparkContext.broadcast(id_filter(shared, "root", hashed=True))
+    bits = spark.sparkContext.broadcast(id_filter(shared, "root", hashed=True, size=HASH_BITS))
     release(spark, survey)
     entry = "root bigint, after binary, before binary, th bigint, at int, n int, ats binary"
     entries = staged(docs.select("text").mapInArrow(_entries(bits), entry), "suffixes")
@@ -318,7 +320,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     copies = rows.groupBy("th").agg(F.min("doc_id").alias("first_copy"), F.count(F.lit(1)).alias("n_copies"), F.first("n_words").alias("n"))
     copies = staged(copies.filter("n_copies > 1"), "copies")
     whole = copies.select("th", F.lit(0).alias("start"), F.col("n").cast("int").alias("end"))
-    spans = found.filter("start >= 0").select("th", "start", "end").unionByName(settled).unionByName(whole).distinct()
+    spans = found.filter("start >= 0").select("th", "start", "end").unionByName(settled).unionByName(whole)
     merged = (spans.groupBy("th").agg(F.collect_list(F.struct("start", "end")).alias("pairs"))  # of one text
               .mapInArrow(_merge, "th bigint, n_repeated bigint, spans string"))
     return (rows.join(merged, "th").join(copies.select("th", "first_copy"), "th", "left")
