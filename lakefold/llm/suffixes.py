@@ -47,7 +47,7 @@ GRAM = 8
 WINDOW = 18
 SIDE = WINDOW - 1                 # words before a kept start that can belong to a passage without an earlier kept start
 ROOT = LEAST - SIDE               # 33
-HASH_BITS = 1 << 28               # bits of the broadcast filters of roots and stretches (32 MB)
+HASH_BITS = 1 << 27               # bits of the broadcast filters of roots and stretches (16 MB)
 
 
 def kept_starts(hashes: np.ndarray) -> np.ndarray:
@@ -302,6 +302,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     release(spark, survey)
     entry = "root bigint, after binary, before binary, th bigint, at int, n int, ats binary"
     entries = staged(docs.select("text").mapInArrow(_entries(bits), entry), "suffixes")
+    bits.unpersist()
     found = []
     for to_right in (True, False):
         order = ["root", "after", "before", "th", "at"] if to_right else ["root", "before", "after", "th", "at"]
