@@ -1,8 +1,9 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is scanned for the base kinds.  Then its encoded parts are unwrapped:
-percent escapes, `\\u` / `\\x` escapes and base64 runs; bytes that are gzip, zlib
-or bzip2 streams are decompressed.  Every new layer goes on the worklist, is
+percent escapes, `\\u` / `\\x` escapes and base64 runs (in one line and wrapped over
+lines, whatever letters come before them); bytes that are gzip, zlib or bzip2
+streams are decompressed.  Every new layer goes on the worklist, is
 scanned, and unwrapped in turn until no new layer appears.  A layer that was
 met before for the same range (by digest) is not entered again, so cycles end.
 Each layer maps its characters to the character ranges of the text it came
@@ -17,13 +18,12 @@ stream holds beyond LAYER_BYTES is scanned in overlapping windows of that size.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,9 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+BREAK = re.compile(r"[ \t]*\r?\n[ \t]*")
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\x78[\x01\x5e\x9c\xda]")
 LAYER_BYTES = 4 << 20
 OVERLAP = 64 << 10
 
@@ -86,6 +89,8 @@ def _inflated(pieces: Iterator[bytes], first: bytes) -> Iterator[bytes]:
                     break
     except errors:
         return
+    if stream.eof and isinstance(pieces, _Whole):
+        pieces.left = len(stream.unused_data)
 
 
 def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -168,28 +173,68 @@ def _escapes(layer: Layer) -> Layer | None:
     return layer.spliced(parts) if parts else None
 
 
+def _runs(text: str) -> Iterator[tuple[int, int, str, np.ndarray | None]]:
+    """(start, end, letters, place of each letter, None if they follow each other) of the base64 runs of a text:
+    those of single lines, and those that go on over line breaks."""
+    for m in BASE64.finditer(text):
+        yield m.start(), m.end(), m.group().rstrip("="), None
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            run = BREAK.sub("", m.group()).rstrip("=")
+            if len(run) >= 16:
+                letter = np.ones(m.end() - m.start(), bool)
+                for gap in BREAK.finditer(text, m.start(), m.end()):
+                    letter[gap.start() - m.start():gap.end() - m.start()] = False
+                yield m.start(), m.end(), run, m.start() + np.flatnonzero(letter)[:len(run)]
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
-    """A layer for each base64 run that decodes to text, or to a compressed stream of text."""
-    for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run.isupper()):
-            continue
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
+    """Layers of the base64 runs.  What comes before the
+    encoded part may belong to the alphabet as well, so a run is decoded from each of its first four characters."""
+    for a, b, run, place in _runs(layer.text):
+        if run.isalpha() and (run.islower() or run.isupper()):
             continue
-        text = _as_text(data)
-        if text is not None:
-            at = np.cumsum([0, *(len(c.encode()) for c in text)])
-            first = m.start() + at[:-1] * 4 // 3
-            last = np.minimum(m.start() + (at[1:] * 4 + 2) // 3, m.start() + len(run))
-            if layer.start is None:
-                yield Layer(text, first, last)
-            else:
-                spans = [layer.origin(a, max(b, a + 1)) for a, b in zip(first.tolist(), last.tolist())]
-                yield Layer(text, np.array([a for a, _ in spans], np.int64), np.array([b for _, b in spans], np.int64))
-        else:
-            yield from _unpacked(iter([data]), *layer.origin(m.start(), m.end()))
+        letters = run.replace("-", "+").replace("_", "/")
+        for skip in range(4):
+            n = len(run) - skip - ((len(run) - skip) % 4 == 1)  # a single last letter is no byte
+            data = base64.b64decode(letters[skip:skip + n] + "=" * (-n % 4))
+            at = np.arange(len(data) + 1)
+
+            def where(at=at, skip=skip, n=n) -> tuple[np.ndarray, np.ndarray]:
+                first, last = skip + at[:-1] * 4 // 3, np.minimum(skip + (at[1:] * 4 + 2) // 3, skip + n) - 1
+                first, last = (a + first, a + last) if place is None else (place[first], place[last])
+                return (first, last + 1) if layer.start is None else (layer.start[first], layer.end[last])
+
+            yield from _opened(data, where, layer.origin(a, b)[1])
+
+
+def _opened(data: bytes, where: Callable[[], tuple[np.ndarray, np.ndarray]], b: int) -> Iterator[Layer]:
+    """Layers of decoded bytes: the bytes themselves, if there may be something in them, and the compressed
+    streams in them.  `where` tells the range of each byte, `b` is the end of all."""
+    text = data.decode("latin-1")  # what is searched for is ASCII, so one character a byte serves for any bytes
+    if base_spans(text) or _encoded(text):
+        yield Layer(text, *where())
+    at, view = 0, memoryview(data)
+    while m := MAGIC.search(data, at):
+        stream = _Whole(view[m.start():])
+        yield from _unpacked(stream, int(where()[0][m.start()]), b)
+        at = m.start() + 1 if stream.left is None else len(data) - stream.left
+
+
+class _Whole:
+    """A stream in one piece; `left` is the number of bytes after its end, None if it has none."""
+
+    def __init__(self, data):
+        self.data, self.left = data, None
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        if self.data is None:
+            raise StopIteration
+        data, self.data = self.data, None
+        return data
 
 
 def _unpacked(pieces: Iterator[bytes], a: int, b: int, met: frozenset = frozenset()) -> Iterator[Layer]:
@@ -210,23 +255,38 @@ def _unpacked(pieces: Iterator[bytes], a: int, b: int, met: frozenset = frozense
                 yield Layer(text, np.full(len(text), a), np.full(len(text), b))
 
 
+def _encoded(text: str) -> bool:
+    """Whether a text may have encoded parts."""
+    return bool(PERCENT.search(text) or ESCAPE.search(text)) or bool(BASE64.search(text)) or "\n" in text and any(
+        len(BREAK.sub("", m.group())) >= 16 for m in WRAPPED.finditer(text))
+
+
+def _unwrapped(layer: Layer) -> Iterator[Layer]:
+    """The layers right below one."""
+    for new in (_percent(layer), _escapes(layer)):
+        if new is not None and new.text:
+            yield new
+    for new in _base64(layer):
+        if new.text:
+            yield new
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, all spans) of a text, each (start, end, kind number) by start, then kind."""
     base = base_spans(text)
-    encoded = "%" in text or "\\" in text or BASE64.search(text)
-    if not encoded:
+    if not _encoded(text):
         return base, base
-    found, met, work = set(base), set(), [Layer(text)]
+    found, met, work = set(base), set(), [_unwrapped(Layer(text))]
     while work:
-        layer = work.pop()
-        if layer.start is not None:
-            found.update((*layer.origin(a, b), kind) for a, b, kind in base_spans(layer.text))
-        for new in (_percent(layer), _escapes(layer), *_base64(layer)):
-            if new is not None and new.text:
-                mark = hashlib.sha256(repr(new.origin(0, len(new.text))).encode() + new.text.encode("utf-8", "replace")).digest()
-                if mark not in met:
-                    met.add(mark)
-                    work.append(new)
+        new = next(work[-1], None)
+        if new is None:
+            work.pop()
+            continue
+        mark = hashlib.sha256(repr(new.origin(0, len(new.text))).encode() + new.text.encode("utf-8", "replace")).digest()
+        if mark not in met:
+            met.add(mark)
+            found.update((*new.origin(a, b), kind) for a, b, kind in base_spans(new.text))
+            work.append(_unwrapped(new))
     return base, sorted(found, key=lambda s: (s[0], s[2], s[1]))
 
 

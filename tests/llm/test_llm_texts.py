@@ -325,6 +325,37 @@ def test_hidden_secrets_map_to_their_place(hide):
     assert a >= 9 and b <= 9 + len(hidden) and b - a > len(hidden) // 2
 
 
+def wrapped(data, width=76, end="\n"):
+    line = b64(data)
+    return end.join(line[i:i + width] for i in range(0, len(line), width))
+
+
+RANDOM_WORDS = " ".join("".join(random.Random(i).choices("abcdefghijklmnop", k=7)) for i in range(200))
+
+
+@pytest.mark.parametrize("hidden", [
+    wrapped("x" * 30 + SECRET), wrapped("x" * 30 + SECRET, 64, "\r\n"), wrapped("x" * 30 + SECRET, 20, "\n    "), wrapped(SECRET, 10),
+    wrapped(gzip.compress((RANDOM_WORDS + SECRET).encode())), wrapped(bz2.compress((RANDOM_WORDS + SECRET).encode()), 64),
+    "-----BEGIN CERTIFICATE-----\n" + wrapped(zlib.compress((RANDOM_WORDS + SECRET).encode()), 64) + "\n-----END CERTIFICATE-----",
+    *("https://h.com/cb/" + "y" * i + "/" + b64(SECRET) for i in range(4)), "auth_" + b64(SECRET), "x-" + b64(SECRET), "/x/" + b64(gzip.compress(SECRET.encode())),
+    "/v1/" + b64(zlib.compress(SECRET.encode())), b64(SECRET).rstrip("=") + "/tail", "ab" + b64(SECRET + "12").rstrip("=") + "abc",
+])
+def test_wrapped_and_glued_base64(hidden):
+    text = "é before " + hidden + " after"
+    _, spans = secrets.scan(text)
+    assert {k for _, _, k in spans} == {0, 2}
+    assert all(9 <= a < b <= 9 + len(hidden) for a, b, _ in spans)
+
+
+def test_wrapped_base64_maps_characters():
+    line = wrapped("x" * 40 + SECRET, 64)
+    _, spans = secrets.scan("> " + line)
+    a, b = next((a, b) for a, b, k in spans if k == 0 and "\n" in line[a - 2:b - 2])
+    joined = line[a - 2:b - 2].replace("\n", "")
+    skip = len(line[:a - 2].replace("\n", "")) % 4
+    assert SECRET[:-1].encode() in base64.b64decode("A" * skip + joined + "A" * (-(skip + len(joined)) % 4))
+
+
 def test_nothing_hidden_nothing_found():
     for text in ("%2525252561 %zz \\u12", "QUJD" * 5000, "%41" * 20000, b64(bytes(range(256)) * 20), b64(gzip.compress(b"plain words only " * 1000))):
         base, spans = secrets.scan(text)
