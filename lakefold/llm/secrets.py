@@ -6,7 +6,7 @@ lines, whatever letters come before them); bytes that are gzip, zlib or bzip2
 streams are decompressed.  Every new layer goes on the worklist, is
 scanned, and unwrapped in turn until no new layer appears.  A layer that was
 met before for the same range (by digest) is not entered again, so cycles end.
-Each layer maps its characters to the character ranges of the text it came
+Decoded bytes are scanned whatever else they hold, also as UTF-16.  Each layer maps its characters to the character ranges of the text it came
 from; a finding is reported by its range in the original text.
 
 Defined results: a null or empty text has no findings; ties (the same kind and
@@ -45,6 +45,7 @@ ESCAPED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 BREAK = re.compile(r"[ \t]*\r?\n[ \t]*")
+WIDE = re.compile(rb"\x00?(?:[\t\n\r\x20-\x7e]\x00){15,}[\t\n\r\x20-\x7e]?")  # ASCII in UTF-16 of either byte order
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\x78[\x01\x5e\x9c\xda]")
 LAYER_BYTES = 4 << 20
 OVERLAP = 64 << 10
@@ -59,16 +60,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2], s[1]))
 
 
-def _as_text(data: bytes) -> str | None:
-    """Decoded bytes as a layer: UTF-8 of mostly printable characters, else none."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    odd = sum(1 for c in text[:4096] if c < " " and c not in "\t\n\r\x0b\f")
-    return text if odd * 10 <= min(len(text), 4096) else None
-
-
 def _inflated(pieces: Iterator[bytes], first: bytes) -> Iterator[bytes]:
     """What a gzip, zlib or bzip2 stream holds, at most LAYER_BYTES at a time; nothing if it is none.
     `first` begins the stream, `pieces` has the rest."""
@@ -209,11 +200,15 @@ def _base64(layer: Layer) -> Iterator[Layer]:
 
 
 def _opened(data: bytes, where: Callable[[], tuple[np.ndarray, np.ndarray]], b: int) -> Iterator[Layer]:
-    """Layers of decoded bytes: the bytes themselves, if there may be something in them, and the compressed
-    streams in them.  `where` tells the range of each byte, `b` is the end of all."""
+    """Layers of decoded bytes: the bytes themselves, if there may be something in them, what is UTF-16 in them
+    and the compressed streams in them.  `where` tells the range of each byte, `b` is the end of all."""
     text = data.decode("latin-1")  # what is searched for is ASCII, so one character a byte serves for any bytes
     if base_spans(text) or _encoded(text):
         yield Layer(text, *where())
+    for m in WIDE.finditer(data):
+        own = m.start() + np.flatnonzero(np.frombuffer(m.group(), np.uint8))
+        first, last = where()
+        yield Layer(m.group().replace(b"\0", b"").decode("ascii"), first[own], last[own])
     at, view = 0, memoryview(data)
     while m := MAGIC.search(data, at):
         stream = _Whole(view[m.start():])
@@ -250,9 +245,10 @@ def _unpacked(pieces: Iterator[bytes], a: int, b: int, met: frozenset = frozense
         yield from _unpacked(itertools.chain([held], inside), a, b, met | {mark})
     elif met:
         for window in _windows(itertools.chain([first], pieces)):
-            text = window.decode("utf-8", "ignore")
-            if _as_text(text.encode()) is not None and len(text) * 2 >= len(window):
-                yield Layer(text, np.full(len(text), a), np.full(len(text), b))
+            for part in [window, *(m.group().replace(b"\0", b"") for m in WIDE.finditer(window))]:
+                text = part.decode("latin-1")
+                if base_spans(text) or _encoded(text):
+                    yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
 
 
 def _encoded(text: str) -> bool:

@@ -4,8 +4,10 @@ import base64
 import bz2
 import gzip
 import hashlib
+import io
 import random
 import re
+import tarfile
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -347,6 +349,28 @@ def test_wrapped_and_glued_base64(hidden):
     assert all(9 <= a < b <= 9 + len(hidden) for a, b, _ in spans)
 
 
+def tar(data):
+    file = io.BytesIO()
+    with tarfile.open(fileobj=file, mode="w") as out:
+        entry = tarfile.TarInfo("settings.ini")
+        entry.size = len(data)
+        out.addfile(entry, io.BytesIO(data))
+    return file.getvalue()
+
+
+@pytest.mark.parametrize("hidden", [
+    b"\xac\xed\x00\x05sr" + SECRET.encode() + b"\x00\xff\x80", bytes(range(128, 256)) * 20 + SECRET.encode(), b"\x00" * 3000 + SECRET.encode(),
+    SECRET.encode("utf-16"), SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"), b"\xff\x01" + SECRET.encode("utf-16-be") + b"\x80",
+    gzip.compress(tar(SECRET.encode())), gzip.compress(SECRET.encode("utf-16")), bz2.compress(b"\xff" * 50 + SECRET.encode()),
+    b64(SECRET).encode("utf-16"), gzip.compress(b"\0" * 5000 + b64(SECRET).encode()),
+])
+def test_secrets_among_other_bytes(hidden):
+    text = "é before " + b64(hidden) + " after"
+    _, spans = secrets.scan(text)
+    assert {k for _, _, k in spans} == {0, 2}
+    assert all(9 <= a < b <= len(text) - 6 for a, b, _ in spans)
+
+
 def test_wrapped_base64_maps_characters():
     line = wrapped("x" * 40 + SECRET, 64)
     _, spans = secrets.scan("> " + line)
