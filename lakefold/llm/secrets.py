@@ -2,8 +2,8 @@
 
 A text is scanned for the base kinds.  Then its encoded parts are unwrapped:
 percent escapes, `\\u` / `\\x` escapes and base64 runs (in one line and wrapped over
-lines, whatever letters come before them); bytes that are gzip, zlib or bzip2
-streams are decompressed.  Every new layer goes on the worklist, is
+lines, whatever letters come before them); bytes of any of them that are
+gzip, zlib or bzip2 streams are decompressed, all members of a stream.  Every new layer goes on the worklist, is
 scanned, and unwrapped in turn until no new layer appears.  A layer that was
 met before for the same range (by digest) is not entered again, so cycles end.
 Decoded bytes are scanned whatever else they hold, also as UTF-16.  Each layer maps its characters to the character ranges of the text it came
@@ -12,7 +12,8 @@ from; a finding is reported by its range in the original text.
 Defined results: a null or empty text has no findings; ties (the same kind and
 range found twice) are one span; texts are scanned whole; repeated rows give
 repeated results; other columns are ignored.  Decompression is streamed: what a
-stream holds beyond LAYER_BYTES is scanned in overlapping windows of that size.
+stream holds beyond LAYER_BYTES is scanned in overlapping windows of that size; an
+encoded run that crosses a border goes whole into the next window, however long.
 """
 
 from __future__ import annotations
@@ -47,6 +48,11 @@ WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]
 BREAK = re.compile(r"[ \t]*\r?\n[ \t]*")
 WIDE = re.compile(rb"\x00?(?:[\t\n\r\x20-\x7e]\x00){15,}[\t\n\r\x20-\x7e]?")  # ASCII in UTF-16 of either byte order
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\x78[\x01\x5e\x9c\xda]")
+PERCENT_BYTE = re.compile(rb"%([0-9A-Fa-f]{2})")
+ESCAPED_BYTE = re.compile(rb"\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnrtv0\\'\"])")
+LETTERS = dict(zip((b"a", b"b", b"f", b"n", b"r", b"t", b"v", b"0", b"\\", b"'", b'"'), (b"\a", b"\b", b"\f", b"\n", b"\r", b"\t", b"\v", b"\0", b"\\", b"'", b'"')))
+BLANK = re.compile(rb"[ \t\r\n]")
+UNFINISHED = re.compile(rb"[ \t]*+(?:[A-Za-z0-9+/_.=%\\-]++|[ \t]*+\n\r?[ \t]*+)*+")  # backwards
 LAYER_BYTES = 4 << 20
 OVERLAP = 64 << 10
 
@@ -60,36 +66,62 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2], s[1]))
 
 
+def _decompressor(head: bytes):
+    """(decompressor, its errors) of a stream that begins so; none if it is none."""
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor(), (OSError, ValueError)
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj(47), (zlib.error,)
+    return None
+
+
 def _inflated(pieces: Iterator[bytes], first: bytes) -> Iterator[bytes]:
-    """What a gzip, zlib or bzip2 stream holds, at most LAYER_BYTES at a time; nothing if it is none.
-    `first` begins the stream, `pieces` has the rest."""
-    if first[:3] == b"BZh":
-        stream, errors = bz2.BZ2Decompressor(), (OSError, ValueError)
-    elif first[:2] == b"\x1f\x8b" or first[:1] == b"\x78" and len(first) > 2 and int.from_bytes(first[:2], "big") % 31 == 0:
-        stream, errors = zlib.decompressobj(47), (zlib.error,)
-    else:
-        return
-    try:
-        for data in itertools.chain([first], pieces):
-            while not stream.eof:
+    """What a gzip, zlib or bzip2 stream and the members that follow it hold, at most LAYER_BYTES at a time;
+    nothing if it is none.  `first` begins the stream, `pieces` has the rest."""
+    data = first
+    while opened := _decompressor(data):
+        stream, errors = opened
+        try:
+            while True:
                 piece = stream.decompress(data, LAYER_BYTES)
                 if piece:
                     yield piece
+                if stream.eof:
+                    break
                 data = getattr(stream, "unconsumed_tail", b"")  # bzip2 keeps its own
                 if not data and (len(piece) < LAYER_BYTES or getattr(stream, "needs_input", False)):
-                    break
-    except errors:
-        return
-    if stream.eof and isinstance(pieces, _Whole):
-        pieces.left = len(stream.unused_data)
+                    data = next(pieces, None)
+                    if data is None:
+                        return
+        except errors:
+            return
+        data = stream.unused_data
+        if isinstance(pieces, _Whole):
+            pieces.left = len(data)
+        data = data.lstrip(b"\0")  # gzip members may be padded
+        while len(data) < 4 and (more := next(pieces, None)) is not None:
+            data = (data + more).lstrip(b"\0")
+
+
+def _open_end(piece: bytes) -> int:
+    """The length of what may be an unfinished encoded run at the end of a piece."""
+    return UNFINISHED.match(piece[::-1]).end()
 
 
 def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """Pieces with the end of the one before in front, so that nothing is cut in two."""
-    tail = b""
+    """Pieces with the end of the one before in front, so that nothing is cut in two: OVERLAP bytes, and
+    before them the whole of an encoded run that goes on."""
+    held, waits = [], False
     for piece in pieces:
-        yield tail + piece
-        tail = piece[-OVERLAP:]
+        held.append(bytes(piece))
+        size = _open_end(held[-1])
+        waits = size == len(piece)
+        if not waits:
+            window = b"".join(held)
+            yield window
+            held = [window[max(0, len(window) - size - OVERLAP):]]
+    if waits:
+        yield b"".join(held)
 
 
 class Layer:
@@ -176,7 +208,26 @@ def _runs(text: str) -> Iterator[tuple[int, int, str, np.ndarray | None]]:
                 letter = np.ones(m.end() - m.start(), bool)
                 for gap in BREAK.finditer(text, m.start(), m.end()):
                     letter[gap.start() - m.start():gap.end() - m.start()] = False
-                yield m.start(), m.end(), run, m.start() + np.flatnonzero(letter)[:len(run)]
+                yield m.start(), m.end(), run, (m.start() + np.flatnonzero(letter)[:len(run)]).astype(np.int32)
+
+
+def _escaped_bytes(layer: Layer, escape: re.Pattern, plain: Callable[[re.Match], bytes]) -> Iterator[Layer]:
+    """Layers of the bytes that escapes stand for, among the bytes that stand for themselves, besides their
+    text: what is UTF-16 or a compressed stream."""
+    data = layer.text.encode("latin-1", "replace")  # a byte for each character
+    raw = escape.sub(plain, data)
+    if not (MAGIC.search(raw) or WIDE.search(raw)):
+        return
+    kept = np.ones(len(data), bool)
+    for m in escape.finditer(data):
+        kept[m.start() + 1:m.end()] = False
+    first = np.flatnonzero(kept)
+    last = np.append(first[1:], len(data)) - 1
+
+    def where(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (first[at], last[at] + 1) if layer.start is None else (layer.start[first[at]], layer.end[last[at]])
+
+    yield from _opened(raw, where, None, False)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -189,30 +240,37 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         for skip in range(4):
             n = len(run) - skip - ((len(run) - skip) % 4 == 1)  # a single last letter is no byte
             data = base64.b64decode(letters[skip:skip + n] + "=" * (-n % 4))
-            at = np.arange(len(data) + 1)
 
-            def where(at=at, skip=skip, n=n) -> tuple[np.ndarray, np.ndarray]:
-                first, last = skip + at[:-1] * 4 // 3, np.minimum(skip + (at[1:] * 4 + 2) // 3, skip + n) - 1
+            def where(at: np.ndarray, skip=skip, n=n) -> tuple[np.ndarray, np.ndarray]:
+                first, last = skip + at * 4 // 3, np.minimum(skip + (at * 4 + 6) // 3, skip + n) - 1
                 first, last = (a + first, a + last) if place is None else (place[first], place[last])
                 return (first, last + 1) if layer.start is None else (layer.start[first], layer.end[last])
 
             yield from _opened(data, where, layer.origin(a, b)[1])
 
 
-def _opened(data: bytes, where: Callable[[], tuple[np.ndarray, np.ndarray]], b: int) -> Iterator[Layer]:
+def _opened(data: bytes, where: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], b: int | None, whole: bool = True) -> Iterator[Layer]:
     """Layers of decoded bytes: the bytes themselves, if there may be something in them, what is UTF-16 in them
-    and the compressed streams in them.  `where` tells the range of each byte, `b` is the end of all."""
-    text = data.decode("latin-1")  # what is searched for is ASCII, so one character a byte serves for any bytes
+    and the compressed streams in them.  `where` tells the ranges of bytes, `b` is where streams end (None: where
+    they do by themselves); without `whole`, only UTF-16 and streams."""
+    text = data.decode("latin-1") if whole else ""  # what is searched for is ASCII, so one character a byte serves for any bytes
     if base_spans(text) or _encoded(text):
-        yield Layer(text, *where())
+        yield Layer(text, *where(np.arange(len(data))))
     for m in WIDE.finditer(data):
         own = m.start() + np.flatnonzero(np.frombuffer(m.group(), np.uint8))
-        first, last = where()
-        yield Layer(m.group().replace(b"\0", b"").decode("ascii"), first[own], last[own])
+        yield Layer(m.group().replace(b"\0", b"").decode("ascii"), *where(own))
     at, view = 0, memoryview(data)
     while m := MAGIC.search(data, at):
         stream = _Whole(view[m.start():])
-        yield from _unpacked(stream, int(where()[0][m.start()]), b)
+        end = b
+        if end is None:
+            for _ in _inflated(stream, next(stream)):
+                pass
+            gap = BLANK.search(data, m.start())
+            end = len(data) - stream.left if stream.left is not None else gap.start() if gap else len(data)
+            end = int(where(np.array([end - 1]))[1][0])
+            stream = _Whole(view[m.start():])
+        yield from _unpacked(stream, int(where(np.array([m.start()]))[0][0]), end)
         at = m.start() + 1 if stream.left is None else len(data) - stream.left
 
 
@@ -238,11 +296,10 @@ def _unpacked(pieces: Iterator[bytes], a: int, b: int, met: frozenset = frozense
     first = next(pieces, None)
     if first is None:
         return
-    mark = hashlib.sha256(first).digest()
     inside = _inflated(pieces, first)
-    held = None if mark in met else next(inside, None)
+    held = None if met and hashlib.sha256(first).digest() in met else next(inside, None)
     if held is not None:
-        yield from _unpacked(itertools.chain([held], inside), a, b, met | {mark})
+        yield from _unpacked(itertools.chain([held], inside), a, b, met | {hashlib.sha256(first).digest()})
     elif met:
         for window in _windows(itertools.chain([first], pieces)):
             for part in [window, *(m.group().replace(b"\0", b"") for m in WIDE.finditer(window))]:
@@ -262,6 +319,10 @@ def _unwrapped(layer: Layer) -> Iterator[Layer]:
     for new in (_percent(layer), _escapes(layer)):
         if new is not None and new.text:
             yield new
+    if PERCENT.search(layer.text):
+        yield from _escaped_bytes(layer, PERCENT_BYTE, lambda m: bytes([int(m[1], 16)]))
+    if ESCAPE.search(layer.text):
+        yield from _escaped_bytes(layer, ESCAPED_BYTE, lambda m: bytes([int(m[1] or m[2], 16)]) if m[1] or m[2] else LETTERS[m[3]])
     for new in _base64(layer):
         if new.text:
             yield new

@@ -371,6 +371,47 @@ def test_secrets_among_other_bytes(hidden):
     assert all(9 <= a < b <= len(text) - 6 for a, b, _ in spans)
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress])
+@pytest.mark.parametrize("escape", [
+    lambda d: "".join(f"%{c:02X}" for c in d), lambda d: urllib.parse.quote(d), lambda d: "".join(f"\\x{c:02x}" for c in d),
+    lambda d: repr(d), lambda d: "".join(f"\\u{c:04x}" for c in d), lambda d: urllib.parse.quote("".join(f"\\x{c:02x}" for c in d)),
+])
+def test_escaped_streams(pack, escape):
+    hidden = escape(pack((RANDOM_WORDS + SECRET).encode()))
+    text = "é before " + hidden + " after"
+    _, spans = secrets.scan(text)
+    assert {k for _, _, k in spans} == {0, 2}
+    assert all(9 <= a < b <= 9 + len(hidden) for a, b, _ in spans)
+
+
+def test_escaped_utf16():
+    assert {k for _, _, k in secrets.scan("".join(f"%{c:02X}" for c in SECRET.encode("utf-16")))[1]} == {0, 2}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress])
+@pytest.mark.parametrize("gap", [b"", b"\0" * 40])
+def test_all_members_of_a_stream(pack, gap):
+    cut = SECRET.encode()[:20], SECRET.encode()[20:]
+    data = pack(b"first ") + gap + pack(b"") + pack(b"second " + cut[0]) + gap + pack(cut[1])
+    text = "see " + b64(data) + " end"
+    assert {s for s in secrets.scan(text)[1]} == {(4, len(text) - 4, 0), (4, len(text) - 4, 2)}
+    inner = b64(zlib.compress(data))
+    assert {k for _, _, k in secrets.scan(inner)[1]} == {0, 2}
+
+
+@pytest.mark.parametrize("encode", [b64, lambda d: wrapped(d, 64), lambda d: "".join(f"%{c:02x}" for c in d)])
+def test_long_runs_in_long_streams(monkeypatch, encode):
+    monkeypatch.setattr(secrets, "LAYER_BYTES", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP", 50)
+    draw = random.Random(5)
+    words = " ".join("".join(draw.choices("ghijklmnop", k=6)) for _ in range(1500))
+    for before in range(0, 900, 101):
+        inner = encode(gzip.compress((words + " " + SECRET + " ").encode()))
+        body = "w " * (before // 2) + "value: " + inner + " end" + " w" * 700
+        assert len(inner) > 4000
+        assert {k for _, _, k in secrets.scan(b64(zlib.compress(body.encode())))[1]} == {0, 2}
+
+
 def test_wrapped_base64_maps_characters():
     line = wrapped("x" * 40 + SECRET, 64)
     _, spans = secrets.scan("> " + line)
