@@ -15,7 +15,8 @@ Training: rows with a lang whose crc32(doc_id as text) mod 3 is not 1.  The
 lexicon counts all their words.  Weights are fitted on a bounded sample: about
 SAMPLE_DOCS documents of each language, chosen by a hash of the id, WINDOWS
 stretches of at most WINDOW words from each, strung together in random order
-into code-switched sequences.  At most LANGUAGES languages, the most frequent.
+into code-switched sequences.  Every lang of the training rows is learned; with
+more than LANGUAGES of them, features share fewer buckets.
 
 Defined results: a text that is null or has no letter is `und` with score 0; so
 is every text if there is nothing to learn from; ties go to the language that
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from lakefold.llm.common import blocks
 from lakefold.llm.words import run_hashes
 
-LANGUAGES = 64
+LANGUAGES = 64      # with more of them, BUCKETS is halved for each doubling
 SAMPLE_DOCS = 400
 WINDOWS = 8
 WINDOW = 16
@@ -47,6 +48,8 @@ BATCH = 64          # sequences in a step
 SEGMENTS = 6        # stretches in a sequence
 RATE = 0.2
 BUCKETS = 1 << 16   # hashed features of each kind: the model's size does not grow with the corpus
+LEAST_BUCKETS = 1 << 10
+SLICE = 1 << 26     # feature weights gathered at a time
 CHUNK = 64          # words of a chunk in forward-backward
 BLOCK_TEXT = 1 << 20
 
@@ -63,10 +66,17 @@ def _hash(x: np.ndarray) -> np.ndarray:
     return ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int32)
 
 
+def n_buckets(languages: int) -> int:
+    n = BUCKETS
+    while n > LEAST_BUCKETS and n * languages > BUCKETS * LANGUAGES:
+        n //= 2
+    return n
+
+
 class Features:
-    """Words of a column of texts and their feature numbers."""
+    """Words of a column of texts and their feature numbers, below `size`."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, size: int = BUCKETS):
         texts = texts.cast(pa.large_string()).fill_null("")
         off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
@@ -105,12 +115,14 @@ class Features:
             affixes += [_hash(head + np.uint64(k << 41)), _hash(tail + np.uint64(k << 44))]
         self.affixes = np.stack(affixes) if affixes else np.zeros((6, 0), np.int32)
         self.words = (run_hashes(wide + np.uint64(1), self.start, self.end) >> np.uint64(48)).astype(np.int32)
+        if size < BUCKETS:
+            self.trigrams, self.affixes, self.words = (x // (BUCKETS // size) for x in (self.trigrams, self.affixes, self.words))
 
 
 @dataclass
 class Model:
     languages: list[str]
-    trigram: np.ndarray  # (BUCKETS, languages)
+    trigram: np.ndarray  # (buckets, languages)
     affix: np.ndarray
     lexicon: np.ndarray
     lexicon_weight: np.ndarray = field(default_factory=lambda: np.ones(1))
@@ -121,7 +133,12 @@ class Model:
         """(words, languages)."""
         if not len(f.start):
             return np.zeros((0, len(self.languages)))
-        out = np.add.reduceat(self.trigram[f.trigrams], f.at, axis=0).astype(np.float64)
+        out = np.empty((len(f.start), len(self.languages)))
+        ends, a = f.at + f.length, 0
+        while a < len(out):  # as many words as their weights allow, one at least
+            b = max(a + 1, int(np.searchsorted(ends, f.at[a] + SLICE // len(self.languages), side="right")))
+            out[a:b] = np.add.reduceat(self.trigram[f.trigrams[f.at[a]:ends[b - 1]]], f.at[a:b] - f.at[a], axis=0)
+            a = b
         for ids in f.affixes:
             out += self.affix[ids]
         return out + self.lexicon_weight * self.lexicon[f.words] + self.bias
@@ -139,6 +156,8 @@ def posteriors(scores: np.ndarray, first: np.ndarray, step: np.ndarray) -> np.nd
     chunks at once.
     """
     n, k = scores.shape
+    if k > LANGUAGES:
+        return _by_words(scores, first, step)
     sizes = np.diff(first)
     chunks = -(-sizes // CHUNK)
     total = int(chunks.sum())
@@ -185,6 +204,30 @@ def posteriors(scores: np.ndarray, first: np.ndarray, step: np.ndarray) -> np.nd
     return out / out.sum(axis=1, keepdims=True)
 
 
+def _by_words(scores: np.ndarray, first: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The same for many languages, where step matrices of chunks would cost more than they spare: word by word,
+    in all texts at once."""
+    sizes = np.diff(first)
+    order = np.argsort(-sizes, kind="stable")
+    sizes, start = sizes[order], first[:-1][order]
+    longest = int(sizes.max()) if len(sizes) else 0
+    on = np.searchsorted(-sizes, -np.arange(longest), side="left")  # texts with more words than that
+    weight = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
+    go = np.exp(step - step.max())
+    out = np.empty_like(weight)
+    state = None
+    for t in range(longest):
+        at = start[:on[t]] + t
+        state = _scaled(weight[at] if t == 0 else (state[:on[t]] @ go) * weight[at], 1)
+        out[at] = state
+    state = np.ones((len(sizes), weight.shape[1]))  # rows of texts that are not yet begun from their end stay 1
+    for t in range(longest - 1, -1, -1):
+        at = start[:on[t]] + t
+        out[at] *= state[:on[t]]
+        state[:on[t]] = _scaled((state[:on[t]] * weight[at]) @ go.T, 1)
+    return out / out.sum(axis=1, keepdims=True)
+
+
 def _held_out():
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
 
@@ -195,24 +238,24 @@ def _training(docs: DataFrame) -> DataFrame:
 
 def _lexicon(train: DataFrame, languages: list[str]) -> np.ndarray:
     """log of each language's share of a word's occurrences, by word bucket, from all training texts."""
-    place = {name: i for i, name in enumerate(languages)}
+    place, size = {name: i for i, name in enumerate(languages)}, n_buckets(len(languages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(place), BUCKETS), np.int64)
+        counts = np.zeros((len(place), size), np.int64)
         for block in blocks(batches, "text"):
-            f = Features(block.column(1))
+            f = Features(block.column(1), size)
             lang = np.array([place[x] for x in block.column(0).to_pylist()], np.int64)
             of = np.repeat(lang, np.diff(f.first))
-            counts += np.bincount(of * BUCKETS + f.words, minlength=counts.size).reshape(counts.shape)
+            counts += np.bincount(of * size + f.words, minlength=counts.size).reshape(counts.shape)
         lang, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(counts[lang, bucket])], names=["l", "w", "n"])
 
-    rows = (train.filter(F.col("lang").isin(languages)).select("lang", "text").mapInArrow(run, "l bigint, w bigint, n bigint")
+    rows = (train.select("lang", "text").mapInArrow(run, "l bigint, w bigint, n bigint")
             .groupBy("l", "w").agg(F.sum("n").alias("n")))
-    counts = np.zeros((BUCKETS, len(languages)))
-    got = rows.toArrow()  # at most BUCKETS rows a language
+    counts = np.zeros((size, len(languages)))
+    got = rows.toArrow()  # at most `size` rows a language
     counts[got["w"].to_numpy(), got["l"].to_numpy()] = got["n"].to_numpy()
-    share = (counts + 0.5) / (counts.sum(axis=0) + 0.5 * BUCKETS)
+    share = (counts + 0.5) / (counts.sum(axis=0) + 0.5 * size)
     return np.log(share / share.sum(axis=1, keepdims=True) + 1e-3).astype(np.float32)
 
 
@@ -231,9 +274,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sample(train: DataFrame, sizes: dict[str, int]) -> pa.Table:
-    rate = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, SAMPLE_DOCS / n))])
+    rates = train.sparkSession.createDataFrame([(name, min(1.0, SAMPLE_DOCS / n)) for name, n in sizes.items()], "lang string, rate double")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    rows = train.filter(F.col("lang").isin(list(sizes)) & (draw < rate[F.col("lang")]))
+    rows = train.join(F.broadcast(rates), "lang").filter(draw < F.col("rate"))  # a row for each language
     most = SAMPLE_DOCS * WINDOWS * len(sizes) * 2  # the expected number is half of that at most
     return rows.select("lang", "text").mapInArrow(_windows, "lang string, text string").limit(most).orderBy("lang", "text").toArrow()
 
@@ -242,19 +285,21 @@ def _fit(model: Model, sample: pa.Table) -> None:
     """Adagrad on the conditional likelihood of code-switched sequences."""
     k = len(model.languages)
     place = {name: i for i, name in enumerate(model.languages)}
-    f = Features(sample["text"].combine_chunks())
+    buckets = len(model.trigram)
+    texts = sample["text"].combine_chunks()
     label = np.array([place[x] for x in sample["lang"].to_pylist()])
     draw = np.random.default_rng(7)
     params = {"trigram": model.trigram, "affix": model.affix, "lexicon_weight": model.lexicon_weight, "bias": model.bias, "step": model.step}
     past = {name: np.full(p.shape, 1e-2) for name, p in params.items()}
-    useful = np.flatnonzero(np.diff(f.first) > 0)
+    useful = np.flatnonzero(np.concatenate([np.zeros(0, bool), *(np.diff(Features(texts[i:i + 4096]).first) > 0 for i in range(0, len(texts), 4096))]))
     for _ in range(EPOCHS):
         order = draw.permutation(useful)
         for b in range(0, len(order), BATCH * SEGMENTS):
             part = order[b:b + BATCH * SEGMENTS]
-            seqs = [part[i:i + SEGMENTS] for i in range(0, len(part), SEGMENTS)]
+            f = Features(texts.take(pa.array(part)), buckets)
+            seqs = [np.arange(i, min(i + SEGMENTS, len(part))) for i in range(0, len(part), SEGMENTS)]
             words = [np.concatenate([np.arange(f.first[s], f.first[s + 1]) for s in seq]) for seq in seqs]
-            truth = [np.concatenate([np.full(f.first[s + 1] - f.first[s], label[s]) for s in seq]) for seq in seqs]
+            truth = [np.concatenate([np.full(f.first[s + 1] - f.first[s], label[part[s]]) for s in seq]) for seq in seqs]
             rows, y = np.concatenate(words), np.concatenate(truth)
             size = f.length[rows]
             of = np.repeat(np.arange(len(rows)), size)
@@ -274,10 +319,12 @@ def _fit(model: Model, sample: pa.Table) -> None:
             inner[first[:-1]] = False
             seen = np.zeros((k, k))
             np.add.at(seen, (y[:-1][inner[1:]], y[1:][inner[1:]]), 1)
-            grads = {"trigram": np.stack([np.bincount(tri, off[of, c], BUCKETS) for c in range(k)], 1),
-                     "affix": np.stack([np.bincount(f.affixes[:, rows].ravel(), np.tile(off[:, c], 6), BUCKETS) for c in range(k)], 1),
-                     "lexicon_weight": (off * lex).sum(axis=0), "bias": off.sum(axis=0), "step": seen - pairs}
-            for name, g in grads.items():
+            for name, ids, values in (("trigram", tri, off[of]), ("affix", f.affixes[:, rows].ravel(), np.tile(off, (6, 1)))):
+                own, ids = np.unique(ids, return_inverse=True)
+                g = np.stack([np.bincount(ids, values[:, c], len(own)) for c in range(k)], 1)
+                past[name][own] += g * g
+                params[name][own] += RATE * g / np.sqrt(past[name][own])
+            for name, g in {"lexicon_weight": (off * lex).sum(axis=0), "bias": off.sum(axis=0), "step": seen - pairs}.items():
                 past[name] += g * g
                 params[name] += RATE * g / np.sqrt(past[name])
 
@@ -302,21 +349,23 @@ def _expectations(scores: np.ndarray, first: np.ndarray, step: np.ndarray) -> tu
         backward[:, t] = np.where(valid[:, t + 1][:, None], _scaled((weight[:, t + 1] * backward[:, t + 1]) @ go.T, 1), 1.0)
     both = forward * backward
     post = both / both.sum(axis=2, keepdims=True)
-    pair = forward[:, :-1, :, None] * go * (weight * backward)[:, 1:, None, :]
-    pair /= np.maximum(pair.sum(axis=(2, 3), keepdims=True), 1e-300)
-    return post[valid], pair[valid[:, 1:]].sum(axis=0)
+    after = (weight * backward)[:, 1:]
+    amount = np.maximum(((forward[:, :-1] @ go) * after).sum(axis=2, keepdims=True), 1e-300)
+    before = np.where(valid[:, 1:, None], forward[:, :-1] / amount, 0.0)
+    return post[valid], go * (before.reshape(-1, k).T @ after.reshape(-1, k))
 
 
 def train(docs: DataFrame) -> Model | None:
     """A model from the training rows of `docs` (doc_id, text, lang); None if there are none."""
     rows = _training(docs)
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return None
     sizes = dict(sorted((r["lang"], r["n"]) for r in counts))
     names = list(sizes)
     k = len(names)
-    model = Model(names, np.zeros((BUCKETS, k)), np.zeros((BUCKETS, k)), _lexicon(rows, names), np.ones(k), np.zeros(k), np.zeros((k, k)))
+    size = n_buckets(k)
+    model = Model(names, np.zeros((size, k)), np.zeros((size, k)), _lexicon(rows, names), np.ones(k), np.zeros(k), np.zeros((k, k)))
     if k > 1:
         _fit(model, _sample(rows, sizes))
     model.trigram, model.affix = model.trigram.astype(np.float32), model.affix.astype(np.float32)
@@ -328,15 +377,16 @@ LABELS = "doc_id bigint, lang_pred string, score double, runs array<struct<lang:
 
 def label(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, and `runs`: the stretches of words (first to last, from 0) of one language."""
-    shared = docs.sparkSession.sparkContext.broadcast(model and vars(model))  # its size is fixed by BUCKETS and LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model and vars(model))  # its size depends on the number of languages alone
     run_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(**shared.value) if shared.value else None
-        for block in blocks(batches, "text", BLOCK_TEXT):
+        limit = BLOCK_TEXT if m is None else BLOCK_TEXT * LANGUAGES // max(LANGUAGES, len(m.languages))
+        for block in blocks(batches, "text", limit):
             langs, scores, runs = [], [], []
             if m is not None:
-                f = Features(block.column(1))
+                f = Features(block.column(1), len(m.trigram))
                 post = posteriors(m.scores(f), f.first, m.step)
                 best = post.argmax(axis=1)
                 weighted = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post * f.length[:, None], axis=0)])

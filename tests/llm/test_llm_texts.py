@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import io
+import itertools
 import random
 import re
 import tarfile
@@ -223,6 +224,37 @@ def test_posteriors():
     assert np.allclose(langid.posteriors(long, first, step), whole)
 
 
+def test_posteriors_of_many_languages(monkeypatch):
+    draw = np.random.default_rng(3)
+    scores, step, first = draw.normal(size=(400, 5)), draw.normal(size=(5, 5)), np.array([0, 0, 7, 200, 201, 201, 400])
+    few = langid.posteriors(scores, first, step)
+    monkeypatch.setattr(langid, "LANGUAGES", 4)
+    assert np.allclose(langid.posteriors(scores, first, step), few)
+
+
+def test_expected_transitions():
+    draw = np.random.default_rng(4)
+    scores, step, first = draw.normal(size=(9, 3)), draw.normal(size=(3, 3)), np.array([0, 4, 5, 9])
+    expected = np.zeros((3, 3))
+    for a, b in zip(first[:-1], first[1:]):
+        paths = list(itertools.product(range(3), repeat=b - a))
+        weights = np.exp([sum(scores[a + i, x] for i, x in enumerate(p)) + sum(step[x, y] for x, y in zip(p, p[1:])) for p in paths])
+        for p, w in zip(paths, weights / weights.sum()):
+            for x, y in zip(p, p[1:]):
+                expected[x, y] += w
+    assert np.allclose(langid._expectations(scores, first, step)[1], expected)
+
+
+def test_more_than_64_languages(spark):
+    rows, draw = [], random.Random(11)
+    for i in range(70):
+        words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(100 * i + j, " ".join(draw.choices(words, k=60)), f"l{i:02d}") for j in range(6 if i < 64 else 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2)
+    found = {r.doc_id: r.lang_pred for r in langid.language_report(docs).collect()}
+    assert len({lang for _, _, lang in rows}) == 70 and all(found[i] == lang for i, _, lang in rows)
+
+
 def test_language_of_held_out_documents(documents):
     found = langid.language_report(documents).join(documents.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in found if r.held_out]
