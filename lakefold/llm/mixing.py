@@ -12,7 +12,8 @@ that the present rates take, solve it.  Each step is a distributed sum.
 Copies: documents of a source are dealt to blocks of about BLOCK rows by a hash
 of their id, and within a block, by size, copies are the whole-number steps of
 the running sum of rates.  What a source then lacks or has too much is mended
-with single documents of its first block, largest first.
+with single documents of its first block, largest first; if the gap is too large
+for one block, all blocks of the source give their part in proportion first.
 
 A size is the number of `[^\\x20\\x09-\\x0D]+` in the text.  Defined results: a
 null or empty text has size 0 and adds nothing; null is a source of its own; a
@@ -92,20 +93,58 @@ def mix(docs: DataFrame) -> DataFrame:
     return _mended(drawn).withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def _mended(drawn: DataFrame) -> DataFrame:
-    """Move single documents of each source's block 0 up or down by one copy, until the gap is smaller than any of them."""
-    lack = (drawn.groupBy("source").agg(F.round(F.max("target") - F.sum(F.col("copies") * F.col("size"))).cast("bigint").alias("lack"))
+def _lack(drawn: DataFrame) -> DataFrame:
+    """The words that each source (`_s`) lacks."""
+    return (drawn.groupBy("source").agg(F.round(F.max("target") - F.sum(F.col("copies") * F.col("size"))).cast("bigint").alias("lack"))
             .withColumnRenamed("source", "_s"))
-    pool = (drawn.filter((F.col("block") == 0) & (F.col("size") > 0)).groupBy("source")  # one block of each source
-            .agg(F.sort_array(F.collect_set(F.struct("size", "doc_id", "copies")), False).alias("pool")))
-    picks = pool.join(lack, F.col("source").eqNullSafe(F.col("_s"))).select("source", F.signum("lack").cast("bigint").alias("by"), F.expr(f"""
-        aggregate(filter(pool, p -> IF(lack > 0, p.copies < {MOST}, p.copies > 0)),
-          named_struct('left', abs(lack), 'ids', CAST(array() AS ARRAY<BIGINT>)),
+
+
+def _moved(drawn: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`drawn` after single documents went up or down by one copy, largest first, as long as they fit into
+    what a block of a source (`_s`, `_b`) is to give (`part`, with its sign)."""
+    here = F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b"))
+    pool = (drawn.join(wanted, here).filter(F.col("size") > 0).groupBy("source", "block")
+            .agg(F.first("part").alias("part"), F.sort_array(F.collect_set(F.struct("size", "doc_id", "copies")), False).alias("pool")))
+    picks = pool.select("source", "block", F.signum("part").cast("bigint").alias("by"), F.expr(f"""
+        aggregate(filter(pool, p -> IF(part > 0, p.copies < {MOST}, p.copies > 0)),
+          named_struct('left', abs(part), 'ids', CAST(array() AS ARRAY<BIGINT>)),
           (a, p) -> IF(p.size <= a.left, named_struct('left', a.left - p.size, 'ids', array_append(a.ids, p.doc_id)), a),
           a -> a.ids)""").alias("ids"))
-    moves = picks.select(F.col("source").alias("_s"), F.explode("ids").alias("_d"), "by").distinct()
-    return (drawn.join(moves, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")), "left")
-            .withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0))).drop("_s", "_d", "by", "block", "n_docs"))
+    moves = picks.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.explode("ids").alias("_d"), "by").distinct()
+    return (drawn.join(moves, F.col("doc_id").eqNullSafe(F.col("_d")) & here, "left")
+            .withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0))).drop("_s", "_b", "_d", "by"))
+
+
+def _shares(drawn: DataFrame, in_turn: bool) -> DataFrame:
+    """What the blocks of a source but the first are to give (`_s`, `_b`, `part`), where half of the first block's
+    documents cannot close its gap: the excess, in proportion to the documents that may move and fit, or (`in_turn`)
+    all of them block by block, up to the excess."""
+    lack = _lack(drawn)
+    movable = (F.col("size") > 0) & (F.col("size") <= F.abs("lack")) & F.when(F.col("lack") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0)
+    rooms = (drawn.join(lack, F.col("source").eqNullSafe(F.col("_s"))).filter(movable)
+             .groupBy("_s", F.col("block").alias("_b")).agg(F.sum("size").alias("room"), F.first("lack").alias("lack")))
+    all_ = rooms.groupBy(F.col("_s").alias("_t")).agg(F.sum(F.when(F.col("_b") == 0, F.col("room")).otherwise(0)).alias("own"),
+                                                      F.sum(F.when(F.col("_b") != 0, F.col("room")).otherwise(0)).alias("others"))
+    excess = F.abs("lack") - F.col("own") / 2
+    if in_turn:
+        earlier = F.coalesce(F.sum("room").over(W.partitionBy("_s").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each block
+        part = F.greatest(F.least(F.floor(excess) - earlier, F.col("room")), F.lit(0)).cast("bigint")
+    else:
+        part = F.floor(F.least(excess / F.col("others"), F.lit(1.0)) * F.col("room")).cast("bigint")
+    return (rooms.join(all_, F.col("_s").eqNullSafe(F.col("_t"))).filter((F.col("_b") != 0) & (excess > 0))
+            .withColumn("part", part).select("_s", "_b", (F.col("part") * F.signum("lack").cast("bigint")).alias("part")).filter("part <> 0"))
+
+
+def _mended(drawn: DataFrame) -> DataFrame:
+    """Move single documents of each source up or down by one copy, until the gap is smaller than any of them: in
+    block 0, and before that in the other blocks, if the gap is too large for one block."""
+    for in_turn in (False, True):  # what is less than a document in each block is left for the second
+        shares = staged(_shares(drawn, in_turn), "shares")
+        if shares.isEmpty():
+            break
+        drawn = staged(_moved(drawn, shares), "drawn")
+    last = _lack(drawn).select("_s", F.lit(0).cast("bigint").alias("_b"), F.col("lack").alias("part"))
+    return _moved(drawn, last).drop("block", "n_docs")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:

@@ -202,6 +202,17 @@ def test_mix_is_native_and_newton_meets_targets(documents, spark):
         assert abs(r.rate * r.source_size - r.target) < 1e-8
 
 
+def test_mix_with_a_giant_document(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 32)
+    rows = [(i, "a " * (20 + i % 30), source) for source, n, k in (("p", 3000, 0), ("q", 1500, 10000), ("r", 1500, 20000)) for i in range(k, k + n)]
+    rows += [(50000, "b " * 9000, "q"), (50001, "b " * 9000, "r")]
+    found = mixing.mix_report(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(2)).collect()
+    for source in "pqr":
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 50
+    assert all(0 <= r.copies <= mixing.MOST and r.taken == r.copies * r["size"] for r in found)
+
+
 # --- op6 ---
 
 def chain_by_force(scores, step):
