@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, secrets, suffixes, warc
+from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, runs, secrets, suffixes, warc
 from lakefold.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sparse_suffixes": op1_sparse_suffixes,
     "op2_scaled_sketch": op2_scaled_sketch,
@@ -61,6 +65,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_secret_scan": op10_secret_scan,
+    "op11_recompression_runs": op11_recompression_runs,
 }
 
 ORACLE = {

@@ -22,11 +22,13 @@ COLUMNS = {
     8: {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     9: {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     10: {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
+    11: {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint",
+         "runs_sha256": "string", "collapsed_sha256": "string"},
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 12))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE) <= set(E.oracle_sql())
 
