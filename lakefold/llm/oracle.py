@@ -84,3 +84,35 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dr
        length(coalesce(left_text, '')) AS n_chars_left, sha256(coalesce(left_text, '')) AS left_sha256
 FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id AND d.text = t.text
 """
+
+
+# crc32 of the decimal id, bit by bit: a byte is taken in, then eight steps are made
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+
+TRIE = rf"""
+WITH own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS k
+             FROM conversations WHERE conv_id IS NOT NULL),
+     convs AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+     parts AS (SELECT c.conv_id, 0 AS part, o.k, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.k < c.h
+               UNION ALL SELECT c.conv_id, 1, o.k, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.k >= c.h),
+     paths AS (SELECT conv_id, row_number() OVER w AS depth, list({{'role': role, 'text': text}}) OVER w AS path, text
+               FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)
+               UNION ALL SELECT conv_id, 0, [], '' FROM convs),
+     lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+     members AS (SELECT p.conv_id, p.depth, min(p.conv_id) OVER (PARTITION BY p.depth, p.path) AS node, p.depth = l.depth AS ends,
+                        len(list_filter(regexp_split_to_array(p.text, '[ 	-]+'), lambda w: w <> '')) AS words
+                 FROM paths p JOIN lengths l ON p.conv_id = l.conv_id),
+     nodes AS (SELECT node, depth, count(*) AS n_convs, max(words) AS words, bool_and(ends) AS leaf,
+                      sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+               FROM members GROUP BY node, depth),
+     above AS (SELECT n.node, n.depth, m.node AS parent FROM nodes n JOIN members m ON m.conv_id = n.node AND m.depth = n.depth - 1),
+     sums AS (SELECT m.node, m.depth, count(*) FILTER (n.leaf) AS n_leaves, count(*) FILTER (n.depth = m.depth + 1) AS n_children,
+                     sum((n.n_convs - 1) * n.words) AS saved_tokens
+              FROM nodes n JOIN members m ON m.conv_id = n.node AND m.depth <= n.depth GROUP BY m.node, m.depth)
+SELECT n.node AS conv_id, CAST(n.depth AS BIGINT) AS depth, a.parent AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node AND s.depth = n.depth LEFT JOIN above a ON a.node = n.node AND a.depth = n.depth
+"""

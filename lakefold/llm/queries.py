@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, runs, secrets, suffixes, warc
+from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, runs, secrets, suffixes, trie, warc
 from lakefold.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_monoid_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_sparse_suffixes": op1_sparse_suffixes,
     "op2_scaled_sketch": op2_scaled_sketch,
@@ -66,10 +70,12 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_secret_scan": op10_secret_scan,
     "op11_recompression_runs": op11_recompression_runs,
+    "op12_monoid_trie": op12_monoid_trie,
 }
 
 ORACLE = {
     "op3_quality_rules": oracle.QUALITY,
     "op4_line_dedup": oracle.LINES,
     "op7_warc": oracle.WARC,
+    "op12_monoid_trie": oracle.TRIE,
 }
