@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, quality, runs, secrets, suffixes, trie, warc
+from lakefold.llm import bpe, fingerprint, jaccard, langid, lines, mixing, oracle, pii, quality, runs, secrets, suffixes, trie, warc
 from lakefold.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op12_monoid_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie_report(table(spark, sf_dir, "conversations"))
 
 
+def op13_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sparse_suffixes": op1_sparse_suffixes,
     "op2_scaled_sketch": op2_scaled_sketch,
@@ -71,6 +75,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_recompression_runs": op11_recompression_runs,
     "op12_monoid_trie": op12_monoid_trie,
+    "op13_skip_chain_pii": op13_skip_chain_pii,
 }
 
 ORACLE = {

@@ -26,11 +26,13 @@ COLUMNS = {
          "runs_sha256": "string", "collapsed_sha256": "string"},
     12: {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint", "n_leaves": "bigint",
          "saved_tokens": "bigint", "ends_sha256": "string"},
+    13: {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string",
+         "spans": "string"},
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 13))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE) <= set(E.oracle_sql())
 
