@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,7 +13,7 @@ from lakefold.functions import (
     clean_ip, digits_only, json_field, lower_trim, period_kind, period_number, period_year, safe_date,
     safe_double, safe_long, strip_ws, surrogate_key, title_case, upper_trim,
 )
-from lakefold.fixed import LOADS
+from lakefold.fixed import LOADS, TAX_TYPES
 from lakefold.operators.hot_groups import document_of
 from lakefold.operators.integrity import foreign_key_orphans, primary_key_violations
 from lakefold.plans import oracle, serving, silver, sinks
@@ -22,10 +22,10 @@ from lakefold.plans.schemas import BRONZE_SCHEMAS, DOCUMENT
 from lakefold.plans.standins import LOG_HEADINGS
 from lakefold.session import fresh_path
 from lakefold.sources import (
-    html_table, html_table_status, scan_csv, scan_documents, scan_pipe, scan_xml_records, strict_timestamp,
-    xml_to_json,
+    html_table, html_table_status, scan_csv, scan_documents, scan_json_documents, scan_pipe, scan_xml_documents, scan_xml_records,
+    strict_timestamp, xml_to_json,
 )
-from lakefold.sources.documents import INVOICE_ELEMENT
+from lakefold.sources.documents import INVOICE_ELEMENT, INVOICE_FIELDS, as_array, invoice_elements, project_elements
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -331,16 +331,33 @@ def _xml_records(L: Layers):
                 .agg(F.sum(F.coalesce(F.size("Itens.Item"), F.lit(0))).alias("n_itens")))
 
 
-@register("xml_to_json", """SELECT 'nf-doc-' || CAST(o_orderkey AS VARCHAR) AS document, 'NF' || CAST(o_orderkey AS VARCHAR) AS numero_nota,
-    CAST(coalesce(i.n, 0) AS BIGINT) AS n_itens
-    FROM nf_base LEFT JOIN (SELECT id_nota AS nid, count(*) AS n FROM nota_fiscal_item GROUP BY id_nota) i
-      ON nf_base.id_nota = i.nid""")
+_XML_LEAVES = """SELECT 'nf-doc-' || CAST(nf.o_orderkey AS VARCHAR) AS document, '2' AS versao, '00A' AS serie,
+    'NF' || CAST(nf.o_orderkey AS VARCHAR) AS numero_nota, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS data_emissao,
+    'CLI' || CAST(o_custkey AS VARCHAR) AS id_cliente, o_totalprice - o_orderkey % 100 AS valor_servico, o_totalprice AS valor_total,
+    iss, pis, cofins, descricao, quantidade, valor_unitario
+    FROM nf_base nf LEFT JOIN (SELECT id_nota AS nid, max(CASE WHEN tipo_imposto = 'ISS' THEN valor END) AS iss,
+        max(CASE WHEN tipo_imposto = 'PIS' THEN valor END) AS pis, max(CASE WHEN tipo_imposto = 'COFINS' THEN valor END) AS cofins
+      FROM nota_fiscal_imposto GROUP BY id_nota) t ON nf.id_nota = t.nid
+    LEFT JOIN nota_fiscal_item i ON nf.id_nota = i.id_nota"""
+
+
+@register("xml_to_json", _XML_LEAVES)
 def _xml_to_json(L: Layers):
-    js = xml_to_json(L.invoice_docs)
-    first = "$.NotasFiscais.NotaFiscal[0]"
-    n_items = F.coalesce(F.json_array_length(F.get_json_object("conteudo", f"{first}.Itens.Item")), F.lit(0))
-    return (js.groupBy(document_of().alias("document"), F.get_json_object("conteudo", f"{first}.NumeroNota").alias("numero_nota"))
-              .agg(F.sum(n_items).alias("n_itens")))
+    """Every leaf of the trees, with an attribute of the root and an element that no schema declares."""
+    extended = F.replace(F.replace("conteudo", F.lit("<NotasFiscais>"), F.lit('<NotasFiscais versao="2">')),
+                         F.lit("<NotaFiscal>"), F.lit("<NotaFiscal><Serie>00A</Serie>"))
+    js = xml_to_json(L.invoice_docs.withColumn("conteudo", extended))
+    note = "struct<Serie:string," + ",".join(f"{f}:string" for f in INVOICE_FIELDS) + ",Impostos:struct<ISS:string,PIS:string,COFINS:string>,Itens:struct<Item:string>>"
+    top = js.select("doc_id", F.from_json("conteudo", f"NotasFiscais struct<`@versao`:string,NotaFiscal:{note}>")["NotasFiscais"].alias("t"))
+    n = F.col("t")["NotaFiscal"]
+    item = F.explode_outer(F.from_json(as_array(n["Itens"]["Item"]), "array<struct<Descricao:string,Quantidade:string,ValorUnitario:string>>"))
+    rows = top.select("doc_id", F.col("t")["@versao"].alias("versao"), n.alias("n"), item.alias("i"))
+    return rows.select(document_of().alias("document"), "versao", F.col("n.Serie").alias("serie"), F.col("n.NumeroNota").alias("numero_nota"),
+                       F.col("n.DataEmissao").alias("data_emissao"), F.col("n.ClienteID").alias("id_cliente"),
+                       F.col("n.ValorServico").cast("double").alias("valor_servico"), F.col("n.ValorTotal").cast("double").alias("valor_total"),
+                       *[F.col(f"n.Impostos.{t}").cast("double").alias(t.lower()) for t in TAX_TYPES],
+                       F.col("i.Descricao").alias("descricao"), F.col("i.Quantidade").cast("bigint").alias("quantidade"),
+                       F.col("i.ValorUnitario").cast("double").alias("valor_unitario"))
 
 
 @register("html_table", """SELECT id_log, CAST(log_time AS VARCHAR) AS log_time, usuario, acao,
@@ -429,7 +446,6 @@ def _load_audit(L: Layers):
     """Schema setup, the seven bronze loads, and two that must fail: web pages
     without a table, and invoices whose document is cut off."""
     from lakefold.plans.refresh import loaders as load_list
-    from lakefold.sources.documents import invoice_elements
     root = fresh_path(L.spark, "bronze")
     schemas = dict(BRONZE_SCHEMAS, paginas_web_table=BRONZE_SCHEMAS["logs_sistema_table"],
                    notas_truncadas="NumeroNota string")
@@ -477,19 +493,60 @@ def _serve_views(L: Layers):
                        .select(F.lit(name).alias("view"), "n_rows") for name in views])
 
 
-def write_source_files(L: Layers, folder: str) -> None:
-    """The five kinds of source files, made of the driver tables: one JSON, XML or HTML document in a file."""
+ELEMENTS_OF_FILE = 20_000  # projects or invoices that a source file is given
+
+
+def _n_files(L: Layers) -> int:
+    return max(1, -(-L.table("orders").count() // ELEMENTS_OF_FILE))
+
+
+def _write_projects(L: Layers, path: str) -> None:
+    """JSON files, each one object with an array of many projects."""
+    n = _n_files(L)
+    along = Window.partitionBy("file").orderBy("doc_id")
+    objects = L.project_docs.select("doc_id", F.regexp_extract("conteudo", r'(?s)^\{"projetos":\[(.*)\]\}$', 1).alias("o"),
+                                    F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("file"))
+    lines = objects.withColumns({"nth": F.row_number().over(along), "last": F.lead("doc_id").over(along).isNull()})
+    text = F.concat(F.when(F.col("nth") == 1, F.lit('{"versao": 2, "projetos": [\n')).otherwise(F.lit(",")), "o", F.when(F.col("last"), F.lit("\n]}")).otherwise(F.lit("")))
+    lines.repartition(n, "file").sortWithinPartitions("file", "nth").select(text.alias("value")).write.text(path)
+
+
+def _write_invoices(L: Layers, path: str) -> None:
+    """XML files, each one root with many invoices."""
     from lakefold.plans.standins import invoice_nodes
+    (invoice_nodes(L.table("orders"), L.table("lineitem")).select("NotaFiscal.*").repartition(_n_files(L))
+     .write.option("rowTag", "NotaFiscal").option("rootTag", "NotasFiscais").option("declaration", "").xml(path))
+
+
+def write_source_files(L: Layers, folder: str) -> None:
+    """The five kinds of source files, made of the driver tables: many projects or invoices in a JSON or XML
+    file, one page in an HTML file."""
     _write_delimited(L.customer_raw, f"{folder}/clientes", ",")
     _write_delimited(L.analysis_raw, f"{folder}/analises", "|")
-    objects = L.project_docs.select(F.regexp_extract("conteudo", r'(?s)^\{"projetos":\[(.*)\]\}$', 1).alias("o"),
-                                    F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("file"), "doc_id")
-    whole = objects.groupBy("file", F.pmod(F.crc32(F.col("doc_id").cast("binary")), F.lit(64))).agg(F.array_join(F.collect_list("o"), ",").alias("o"))
-    (whole.select(F.concat(F.lit('{"projetos": [\n'), "o", F.lit("\n]}")).alias("value"))
-     .repartition(8).write.option("maxRecordsPerFile", 1).text(f"{folder}/projetos"))
-    (invoice_nodes(L.table("orders"), L.table("lineitem")).select("NotaFiscal.*").repartition(8)
-     .write.option("rowTag", "NotaFiscal").option("rootTag", "NotasFiscais").option("declaration", "").xml(f"{folder}/notas"))
-    L.log_pages.select("conteudo").repartition(8).write.option("maxRecordsPerFile", 1).text(f"{folder}/logs")
+    _write_projects(L, f"{folder}/projetos")
+    _write_invoices(L, f"{folder}/notas")
+    L.log_pages.select("conteudo").write.option("maxRecordsPerFile", 1).text(f"{folder}/logs")
+
+
+@register("split_json_file", """SELECT 'PRJ' || CAST(o_orderkey AS VARCHAR) AS id_projeto, CAST(coalesce(p.n, 0) AS BIGINT) AS n_tarefas
+    FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) p ON o.o_orderkey = p.l_orderkey""")
+def _split_json_file(L: Layers):
+    """Projects of large JSON files, read in as many tasks as the files are split into."""
+    path = fresh_path(L.spark, "projects-json")
+    _write_projects(L, path)
+    rows = project_elements(scan_json_documents(L.spark, path, "projetos"))
+    return rows.groupBy("id_projeto").agg(F.sum(F.size("tarefas")).alias("n_tarefas"))
+
+
+@register("split_xml_file", f"SELECT numero_nota, data_emissao, id_cliente, valor_servico, valor_total, n_itens FROM {_NF_DOCS}")
+def _split_xml_file(L: Layers):
+    """Invoices of large XML files, read in as many tasks as the files are split into."""
+    path = fresh_path(L.spark, "invoices-xml-files")
+    _write_invoices(L, path)
+    rows = invoice_elements(scan_xml_documents(L.spark, path, "NotaFiscal"))
+    return (rows.groupBy(F.col("NumeroNota").alias("numero_nota"), F.to_date("DataEmissao").alias("data_emissao"), F.col("ClienteID").alias("id_cliente"),
+                         F.col("ValorServico").cast("double").alias("valor_servico"), F.col("ValorTotal").cast("double").alias("valor_total"))
+                .agg(F.sum(F.coalesce(F.size("Itens"), F.lit(0))).alias("n_itens")))
 
 
 @register("refresh_from_files", "SELECT * FROM vw_snt_notas_fiscais")

@@ -33,6 +33,7 @@ from lakefold.plans.schemas import BRONZE_SCHEMAS
 from lakefold.session import fresh_path
 from lakefold.sources.documents import invoice_elements, project_elements, xml_to_json
 from lakefold.sources.files import scan_csv, scan_documents, scan_pipe
+from lakefold.sources.records import scan_json_documents, scan_xml_documents
 
 # Raw loads read a source; formatted loads read a landed raw table.
 _RAW = {"clientes": "customer_raw", "analises_tributarias": "analysis_raw", "tarefas_projetos": "project_docs",
@@ -50,14 +51,12 @@ class FileSources:
     """The five raw sources as files under one folder, read with declared schemas:
     ``clientes`` (comma-delimited), ``analises`` (pipe-delimited), ``projetos`` (JSON
     documents), ``notas`` (XML documents) and ``logs`` (HTML pages), a file or a folder
-    of files each.  A JSON, XML or HTML file is one document."""
+    of files each.  A JSON or XML file may be large: it is read in several tasks, and each
+    project and invoice in it becomes a document.  An HTML file is one document."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _documents(self, name: str) -> DataFrame:
-        return scan_documents(self.spark, f"{self.folder}/{name}").select("doc_id", "conteudo")
-
     @property
     def customer_raw(self) -> DataFrame:
         return scan_csv(self.spark, f"{self.folder}/clientes", BRONZE_SCHEMAS["clientes"])
@@ -68,15 +67,15 @@ class FileSources:
 
     @property
     def project_docs(self) -> DataFrame:
-        return self._documents("projetos")
+        return scan_json_documents(self.spark, f"{self.folder}/projetos", "projetos").select("doc_id", "conteudo")
 
     @property
     def invoice_docs(self) -> DataFrame:
-        return self._documents("notas")
+        return scan_xml_documents(self.spark, f"{self.folder}/notas", "NotaFiscal").select("doc_id", "conteudo")
 
     @property
     def log_pages(self) -> DataFrame:
-        return self._documents("logs")
+        return scan_documents(self.spark, f"{self.folder}/logs").select("doc_id", "conteudo")
 
 
 def loaders(spark: SparkSession, sources, root: str, source_name: str) -> list[sinks.Loader]:

@@ -4,5 +4,6 @@ from lakefold.sources.files import scan_csv, scan_documents, scan_pipe, scan_xml
 from lakefold.sources.documents import (  # noqa: F401
     invoice_elements, invoice_elements_from_json, json_array_rows, project_elements, task_elements, xml_to_json,
 )
+from lakefold.sources.records import scan_json_documents, scan_xml_documents  # noqa: F401
 from lakefold.sources.html import html_table, html_table_status  # noqa: F401
 from lakefold.sources.gates import strict_timestamp  # noqa: F401

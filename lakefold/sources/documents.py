@@ -15,7 +15,7 @@ twice per document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakefold.fixed import TAX_TYPES
@@ -94,22 +94,51 @@ def invoice_elements(docs: DataFrame) -> DataFrame:
                      F.col("n")["Itens"]["Item"].alias("Itens"))
 
 
-def xml_to_json(docs: DataFrame, root: str = "NotasFiscais") -> DataFrame:
-    """The XML tree re-emitted as JSON text under its root element name:
-    ``{"NotasFiscais": {"NotaFiscal": [...]}}`` (``from_xml`` then ``to_json``).
+# A character of the private use area before every text and attribute value keeps the
+# parser from reading numbers, dates or booleans out of them (`007` must stay `007`).
+_MARK = "\uE000"
+_ROOT = r"(?s)^(?:\s|\uFEFF|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*+<([^\s/>]+)"
+_VARIANT = {"attributePrefix": "@", "valueTag": "#text", **FAILFAST}
 
-    Leaves stay text, as in the XML; a repeated element is always an array.
+
+def xml_tree(xml) -> Column:
+    """The whole tree of an XML document as JSON text under its root's name, without a schema.
+
+    An element that repeats inside its parent is an array, any other a value; attributes
+    are ``@name``, the text beside attributes or elements is ``#text`` (an array if
+    elements part it), an element with nothing in it is null.  Leaves stay text.
     """
-    tree = F.struct(F.from_xml("conteudo", INVOICES_SCHEMA, FAILFAST).alias(root))
-    return docs.select("doc_id", F.to_json(tree).alias("conteudo"))
+    xml = F.col(xml) if isinstance(xml, str) else xml
+    bare = F.regexp_replace(xml, r"(?s)^\s*(?:\uFEFF\s*)?<\?xml\s.*?\?>", "")  # the declaration's values must stay as they are
+    marked = F.regexp_replace(F.regexp_replace(bare, r"(>\s*+)([^<\s])", f"$1{_MARK}$2"), r"""(=\s*["']|<!\[CDATA\[)""", f"$1{_MARK}")
+    body = F.replace(F.coalesce(F.to_json(F.from_xml(marked, "variant", _VARIANT)), F.lit("null")), F.lit(_MARK), F.lit(""))
+    return F.when(xml.isNotNull(), F.concat(F.lit('{"'), F.regexp_extract(xml, _ROOT, 1), F.lit('":'), body, F.lit("}")))
+
+
+def xml_to_json(docs: DataFrame) -> DataFrame:
+    """XML documents as JSON text of their whole trees: (doc_id, conteudo).  A document that is
+    no XML fails the load."""
+    return docs.select("doc_id", xml_tree("conteudo").alias("conteudo"))
+
+
+def as_array(text) -> Column:
+    """JSON text of an array: a lone value becomes an array of one, an absent one an empty array."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(text.isNull(), F.lit("[]")).when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
 
 
 def invoice_elements_from_json(json_docs: DataFrame, root: str = "NotasFiscais") -> DataFrame:
     """``NotaFiscal`` elements of invoice documents already converted to JSON
-    (the ``xml_to_json`` bronze table): same rows as ``invoice_elements``."""
-    parsed = json_docs.select("doc_id", F.from_json("conteudo", f"{root} struct<{INVOICES_SCHEMA}>", FAILFAST)[root]
-                              ["NotaFiscal"].alias("_arr"))
+    (the ``xml_to_json`` bronze table): same rows as ``invoice_elements``.  A lone
+    invoice or item, an object in the tree, is kept."""
+    invoices = "array<struct<" + ",".join(f"{f}:string" for f in (*INVOICE_FIELDS, "Impostos", "Itens")) + ">>"
+    items = "array<struct<" + ",".join(f"{f}:string" for f in ITEM_FIELDS) + ">>"
+    taxes = "struct<" + ",".join(f"{f}:string" for f in TAX_FIELDS) + ">"
+    # a field declared as text holds the JSON text of whatever is below it
+    top = json_docs.select("doc_id", F.from_json("conteudo", f"{root} struct<NotaFiscal:string>", FAILFAST)[root]["NotaFiscal"].alias("_notas"))
+    parsed = top.select("doc_id", F.from_json(as_array("_notas"), invoices, FAILFAST).alias("_arr"))
     el = explode_parsed(parsed, "_arr", "n")
-    return el.select("doc_id", "pos", *[F.col("n")[f].alias(f) for f in INVOICE_FIELDS],
-                     *[F.col("n")["Impostos"][f].alias(f) for f in TAX_FIELDS],
-                     F.col("n")["Itens"]["Item"].alias("Itens"))
+    below = el.select("doc_id", "pos", "n", F.from_json(F.col("n")["Impostos"], taxes, FAILFAST).alias("_taxes"),
+                      F.from_json(F.col("n")["Itens"], "Item string", FAILFAST)["Item"].alias("_item"))
+    return below.select("doc_id", "pos", *[F.col("n")[f].alias(f) for f in INVOICE_FIELDS], *[F.col("_taxes")[f].alias(f) for f in TAX_FIELDS],
+                        F.when(F.col("_item").isNotNull(), F.from_json(as_array("_item"), items, FAILFAST)).alias("Itens"))
