@@ -582,6 +582,24 @@ def _html_row_headers(L: Layers):
     return html_table(L.log_pages.withColumn("conteudo", hidden), LOG_HEADINGS).drop("doc_id", "row_pos")
 
 
+_SPANS = """SELECT id_log, CAST(log_time AS VARCHAR) AS log_time, usuario, acao, entidade_afetada, resultado, ip, id_log AS copia,
+    chr(8364) || ' <' || id_log || '>' AS nota FROM log_raw"""
+
+
+@register("html_table_grid", _SPANS)
+def _html_table_grid(L: Layers):
+    """Pages whose cells span columns and rows, with numeric and named entities, read as the plain pages do."""
+    wide = F.regexp_replace("conteudo", r"<tr><td>([^<]*)</td>", r"<tr><td colspan=2>$1</td><td>&#8364;&#x20;&lt;$1&gt;</td>")
+    wide = F.replace(wide, F.lit("<tr><th>ID Log</th>"), F.lit("<tr><th>ID Log</th><th>Copia</th><th>Nota</th>"))
+    # a page-wide cell that hangs down from the first data row to the last one
+    tall = F.regexp_replace(wide, r"<tbody><tr>", '<tbody><tr><td rowspan="65534">&Aacute;&#0;rea</td>')
+    tall = F.replace(tall, F.lit("<tr><th>ID Log</th>"), F.lit("<tr><th>Area</th><th>ID Log</th>"))
+    cut = F.regexp_replace(tall, r"65534", F.size(F.split("conteudo", "<tr>")) - 2)
+    pages = L.log_pages.withColumn("conteudo", cut)
+    rows = html_table(pages, {"Area": "area", **LOG_HEADINGS, "Copia": "copia", "Nota": "nota"})
+    return rows.where(F.col("area") == "\u00C1\uFFFDrea").drop("doc_id", "row_pos", "area")
+
+
 @register("rows_as_json", """SELECT id_cliente, nome_cliente, qtd_notas, CAST(ultima_emissao AS VARCHAR) AS ultima_emissao,
     valor_total_notas, valor_total_servicos, total_iss, total_pis, total_cofins FROM vw_snt_notas_fiscais""")
 def _rows_as_json(L: Layers):

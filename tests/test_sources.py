@@ -154,3 +154,34 @@ def test_html_rows_that_start_with_a_header_are_data(spark):
     df = spark.createDataFrame([("p", page)], "doc_id string, conteudo string")
     got = sorted((r.a, r.b) for r in html_table(df, {"A": "a", "B": "b"}).collect())
     assert got == [("1", "2"), ("3", "4"), ("5", "6")]
+
+
+def test_html_grid(spark):
+    from lakefold.sources import html_table
+    head = "<tr><th>A</th><th>B</th><th>C</th></tr>"
+    tables = [
+        "<tr><td rowspan=2>1</td><td>2</td><td>3</td></tr><tr><td>4</td><td>5</td></tr><tr><td>6</td><td colspan='2'>7</td></tr>",
+        "<tr><td>1</td><td rowspan=\"3\">2</td><td>3</td></tr><tr><td rowspan=2>4</td><td>5</td></tr><tr><td>6</td></tr>",
+        "<tr><td colspan=2 rowspan=2>1</td><td>3</td></tr><tr><td>4</td></tr><tr><td>5</td><td>6</td><td rowspan=3>7</td></tr>",
+        "<tr><td>1</td><td>2</td><td>3</td></tr>",
+    ]
+    pages = spark.createDataFrame([(str(i), f"<table>{head}{t}</table>") for i, t in enumerate(tables)], "doc_id string, conteudo string")
+    rows = html_table(pages, {"A": "a", "B": "b", "C": "c"}).collect()
+    got = {i: [tuple(r[2:]) for r in sorted((r for r in rows if r.doc_id == str(i)), key=lambda r: r.row_pos)] for i in range(len(tables))}
+    assert got[0] == [("1", "2", "3"), ("1", "4", "5"), ("6", "7", "7")]
+    assert got[1] == [("1", "2", "3"), ("4", "2", "5"), ("4", "2", "6")]
+    assert got[2] == [("1", "1", "3"), ("1", "1", "4"), ("5", "6", "7"), ("7", None, None), ("7", None, None)]
+    assert got[3] == [("1", "2", "3")]
+
+
+def test_html_entities(spark):
+    import html
+
+    from pyspark.sql import functions as F
+
+    from lakefold.sources.html import decode_entities
+    texts = ["plain", "a &amp; b", "&lt;&#60;&#x3C;&#X3c;&gt;", "&euro;&Aacute;&hearts;&nbsp;x", "&#8364;&#128512;", "&unknown; & &; &#; a&b", "&amp;lt;",
+             "&NotEqualTilde;", "&#0;&#xD800;&#1114112;", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(decode_entities(F.col("t"))).collect()]
+    assert got[:-2] == [html.unescape(t).replace(" ", " ") for t in texts[:-2]]
+    assert got[-2:] == ["���", None]
