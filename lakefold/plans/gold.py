@@ -1,8 +1,8 @@
 """Gold: detail and summary datasets over the silver tables.
 
-Money is summed as DECIMAL(18,4) and returned as DOUBLE, so totals do not
-depend on the order in which partitions are combined.  Children are always
-aggregated to one row per parent *before* joining, so no join fans out.
+Amounts are doubles and their sums exact (``functions/sums.py``), so totals do not
+depend on the order in which partitions are combined, and NaN shows.  Children are
+always aggregated to one row per parent *before* joining, so no join fans out.
 """
 
 from __future__ import annotations
@@ -10,21 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakefold.fixed import CANCELLED_STATUS
+from lakefold.fixed import CANCELLED_STATUS, TAX_TYPES
+from lakefold.functions.sums import add_parts, sum_parts, total
 from lakefold.functions.text import title_case
 
-MONEY = "decimal(18,4)"
-
-
-def money_sum(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(MONEY))
-
-
-def _as_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 def analysis_detail(analysis: DataFrame, customer: DataFrame) -> DataFrame:
     cli = customer.select("id_cliente", "razao_social")
     return (analysis.join(cli, "id_cliente")
@@ -46,32 +35,22 @@ def invoice_totals(invoice: DataFrame, item: DataFrame, tax: DataFrame, exact: b
     returns plain totals.  No items -> item total NULL; no taxes -> 0.
     """
     items = (item.groupBy("id_nota")
-                 .agg(money_sum(F.col("quantidade") * F.col("valor_unitario")).alias("_items"),
-                      F.count(F.lit(1)).alias("_n_items")))
+                 .agg(*sum_parts(F.col("quantidade") * F.col("valor_unitario"), "_items"), F.count(F.lit(1)).alias("_n_items")))
 
-    def tax_sum(kind: str) -> Column:
-        return money_sum(F.when(F.col("tipo_imposto") == kind, F.col("valor")).otherwise(F.lit(0.0)))
+    def tax_sum(kind: str) -> list[Column]:
+        return sum_parts(F.when(F.col("tipo_imposto") == kind, F.col("valor")).otherwise(F.lit(0.0)), f"_{kind.lower()}")
 
     taxes = (tax.groupBy("id_nota")
-                .agg(tax_sum("ISS").alias("_iss"), tax_sum("PIS").alias("_pis"), tax_sum("COFINS").alias("_cofins"),
-                     F.count(F.lit(1)).alias("_n_taxes")))
+                .agg(*[c for kind in TAX_TYPES for c in tax_sum(kind)], F.count(F.lit(1)).alias("_n_taxes")))
     joined = invoice.join(items, "id_nota", "left").join(taxes, "id_nota", "left")
-    if exact:
-        item_factor = tax_factor = F.lit(1)
-    else:
-        item_factor = F.greatest(F.coalesce(F.col("_n_taxes"), F.lit(0)), F.lit(1))
-        tax_factor = F.greatest(F.coalesce(F.col("_n_items"), F.lit(0)), F.lit(1))
 
-    def scaled(c: str, factor: Column, zero_if_missing: bool) -> Column:
-        v = F.col(c).cast(MONEY) * factor.cast("decimal(10,0)")
-        return _as_double(F.coalesce(v, F.lit(0)) if zero_if_missing else v)
+    def times(count: str) -> Column | None:
+        return None if exact else F.greatest(F.coalesce(F.col(count), F.lit(0)), F.lit(1))
 
     return joined.select(
         "id_nota", "id_cliente", "numero_nota", "data_emissao", "valor_total", "valor_servico",
-        scaled("_items", item_factor, False).alias("valor_itens"),
-        scaled("_iss", tax_factor, True).alias("valor_iss"),
-        scaled("_pis", tax_factor, True).alias("valor_pis"),
-        scaled("_cofins", tax_factor, True).alias("valor_cofins"))
+        total("_items", times("_n_taxes")).alias("valor_itens"),
+        *[F.coalesce(total(f"_{t.lower()}", times("_n_items")), F.lit(0.0)).alias(f"valor_{t.lower()}") for t in TAX_TYPES])
 
 
 def project_detail(project: DataFrame, task: DataFrame, customer: DataFrame) -> DataFrame:
@@ -156,16 +135,17 @@ def _per_customer(facts: DataFrame, customer: DataFrame, distinct: dict[str, str
     """
     pre = facts.groupBy("id_cliente").agg(
         *[F.count_distinct(c).alias(out) for out, c in distinct.items()],
-        *[money_sum(c).alias(out) for out, c in sums.items()],
+        *[part for out, c in sums.items() for part in sum_parts(c, out)],
         *[F.max(c).alias(out) for out, c in maxes.items()],
         *[F.min(c).alias(out) for out, c in mins.items()])
     cli = customer.select("id_cliente", "razao_social")
     return (pre.join(cli, "id_cliente")
                .groupBy("id_cliente", "razao_social")
                .agg(*[F.max(o).alias(o) for o in distinct],
-                    *[_as_double(F.sum(o)).alias(o) for o in sums],
+                    *[part for o in sums for part in add_parts(o)],
                     *[F.max(o).alias(o) for o in maxes],
-                    *[F.min(o).alias(o) for o in mins]))
+                    *[F.min(o).alias(o) for o in mins])
+               .select("id_cliente", "razao_social", *distinct, *[total(o).alias(o) for o in sums], *maxes, *mins))
 
 
 def analysis_summary(analysis: DataFrame, customer: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 The oracle does not parse documents: it recomputes the records the stand-in
 documents were built from, straight from the driver tables, so a document
 round trip (rows -> JSON/XML/HTML text -> rows) must be the identity for the
-results to match.  Money is summed as DECIMAL(18,4) and cast back to DOUBLE
-on both sides; integer sums are cast back to BIGINT.
+results to match.  Doubles are summed exactly, as whole numbers of 2^-60;
+integer sums are cast back to BIGINT.
 """
 
 from __future__ import annotations
@@ -176,37 +176,34 @@ CTES["log_sistema"] = f"""
     FROM log_raw WHERE id_log IS NOT NULL)"""
 
 # -- gold ---------------------------------------------------------------------
-M = "DECIMAL(18,4)"
 
-CTES["vw_anl_nota_fiscal"] = f"""
-  SELECT nf.id_nota, nf.id_cliente, nf.numero_nota, nf.data_emissao, nf.valor_total, nf.valor_servico,
-    CAST(CAST(it.s AS {M}) * CAST(greatest(coalesce(tx.n, 0), 1) AS DECIMAL(10,0)) AS DOUBLE) AS valor_itens,
-    CAST(coalesce(CAST(tx.iss AS {M}) * CAST(greatest(coalesce(it.n, 0), 1) AS DECIMAL(10,0)), 0) AS DOUBLE) AS valor_iss,
-    CAST(coalesce(CAST(tx.pis AS {M}) * CAST(greatest(coalesce(it.n, 0), 1) AS DECIMAL(10,0)), 0) AS DOUBLE) AS valor_pis,
-    CAST(coalesce(CAST(tx.cofins AS {M}) * CAST(greatest(coalesce(it.n, 0), 1) AS DECIMAL(10,0)), 0) AS DOUBLE)
-      AS valor_cofins
-  FROM nota_fiscal nf
-  LEFT JOIN (SELECT id_nota, sum(CAST(quantidade * valor_unitario AS {M})) AS s, count(*) AS n
-             FROM nota_fiscal_item GROUP BY id_nota) it ON nf.id_nota = it.id_nota
-  LEFT JOIN (SELECT id_nota, count(*) AS n,
-               sum(CAST(CASE WHEN tipo_imposto = 'ISS' THEN valor ELSE 0 END AS {M})) AS iss,
-               sum(CAST(CASE WHEN tipo_imposto = 'PIS' THEN valor ELSE 0 END AS {M})) AS pis,
-               sum(CAST(CASE WHEN tipo_imposto = 'COFINS' THEN valor ELSE 0 END AS {M})) AS cofins
-             FROM nota_fiscal_imposto GROUP BY id_nota) tx ON nf.id_nota = tx.id_nota"""
-
-CTES["invoice_totals_exact"] = f"""
+
+def fsum(x: str) -> str:
+    """The sum of doubles in whole units of 2^-60 (amounts of a cent or more have no lower bits), as a double."""
+    t = f"sum(CAST(({x}) * 1152921504606846976.0 AS HUGEINT))"
+    fraction = f"(abs({t}) % 1152921504606846976)"
+    return (f"(CASE WHEN {t} < 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END * (CAST(abs({t}) // 1152921504606846976 AS DOUBLE)"
+            f" + (CAST({fraction} // 64 AS DOUBLE) / 18014398509481984.0::DOUBLE + CAST({fraction} % 64 AS DOUBLE) / 1152921504606846976.0::DOUBLE)))")
+
+
+def _invoice_totals(children: str, group: str) -> str:
+    taxes = ", ".join(f"{fsum(f"CASE WHEN imp.tipo_imposto = '{t}' THEN imp.valor ELSE 0 END")} AS valor_{t.lower()}" for t in ("ISS", "PIS", "COFINS"))
+    return f"""
   SELECT nf.id_nota, nf.id_cliente, nf.numero_nota, nf.data_emissao, nf.valor_total, nf.valor_servico,
-    CAST(it.s AS DOUBLE) AS valor_itens,
-    CAST(coalesce(tx.iss, 0) AS DOUBLE) AS valor_iss, CAST(coalesce(tx.pis, 0) AS DOUBLE) AS valor_pis,
-    CAST(coalesce(tx.cofins, 0) AS DOUBLE) AS valor_cofins
-  FROM nota_fiscal nf
-  LEFT JOIN (SELECT id_nota, sum(CAST(quantidade * valor_unitario AS {M})) AS s
-             FROM nota_fiscal_item GROUP BY id_nota) it ON nf.id_nota = it.id_nota
-  LEFT JOIN (SELECT id_nota,
-               sum(CAST(CASE WHEN tipo_imposto = 'ISS' THEN valor ELSE 0 END AS {M})) AS iss,
-               sum(CAST(CASE WHEN tipo_imposto = 'PIS' THEN valor ELSE 0 END AS {M})) AS pis,
-               sum(CAST(CASE WHEN tipo_imposto = 'COFINS' THEN valor ELSE 0 END AS {M})) AS cofins
-             FROM nota_fiscal_imposto GROUP BY id_nota) tx ON nf.id_nota = tx.id_nota"""
+    {fsum("it.quantidade * it.valor_unitario")} AS valor_itens, {taxes}
+  FROM nota_fiscal nf {children} GROUP BY {group}"""
+
+
+_NF = "nf.id_nota, nf.id_cliente, nf.numero_nota, nf.data_emissao, nf.valor_total, nf.valor_servico"
+
+# both children are joined before they are summed, so they multiply each other
+CTES["vw_anl_nota_fiscal"] = _invoice_totals("""LEFT JOIN nota_fiscal_item it ON it.id_nota = nf.id_nota
+  LEFT JOIN nota_fiscal_imposto imp ON imp.id_nota = nf.id_nota""", _NF)
+
+# each child is summed by itself: rows of one have nothing of the other
+CTES["invoice_totals_exact"] = _invoice_totals("""LEFT JOIN (
+    SELECT id_nota AS nid, quantidade, valor_unitario, NULL AS tipo_imposto, NULL AS valor FROM nota_fiscal_item
+    UNION ALL SELECT id_nota, NULL, NULL, tipo_imposto, valor FROM nota_fiscal_imposto) it ON it.nid = nf.id_nota""", _NF).replace("imp.", "it.")
 
 CTES["vw_anl_analise_tributaria"] = f"""
   SELECT ant.id_analise, {title('cli.razao_social')} AS cliente, ant.tipo_tributo, ant.ano AS ano_analise,
@@ -249,7 +246,7 @@ CTES["project_longest_task"] = f"""
 CTES["vw_snt_analises_tributarias"] = f"""
   SELECT cli.id_cliente, {title('cli.razao_social')} AS nome_cliente,
     count(DISTINCT ant.id_analise) AS qtd_analises, count(DISTINCT ant.tipo_tributo) AS qtd_tipos_tributos,
-    CAST(sum(CAST(ant.valor_identificado AS {M})) AS DOUBLE) AS valor_total_identificado,
+    {fsum("ant.valor_identificado")} AS valor_total_identificado,
     max(ant.valor_identificado) AS maior_valor_identificado, min(ant.valor_identificado) AS menor_valor_identificado,
     max(ant.ano) AS ultimo_ano_analisado
   FROM analise ant JOIN cliente cli ON ant.id_cliente = cli.id_cliente
@@ -259,11 +256,11 @@ CTES["vw_snt_analises_tributarias"] = f"""
 def _invoice_summary(source: str) -> str:
     return f"""
   SELECT cli.id_cliente, {title('cli.razao_social')} AS nome_cliente, count(DISTINCT nf.id_nota) AS qtd_notas,
-    CAST(sum(CAST(nf.valor_total AS {M})) AS DOUBLE) AS valor_total_notas,
-    CAST(sum(CAST(nf.valor_servico AS {M})) AS DOUBLE) AS valor_total_servicos,
-    CAST(sum(CAST(nf.valor_iss AS {M})) AS DOUBLE) AS total_iss,
-    CAST(sum(CAST(nf.valor_pis AS {M})) AS DOUBLE) AS total_pis,
-    CAST(sum(CAST(nf.valor_cofins AS {M})) AS DOUBLE) AS total_cofins,
+    {fsum("nf.valor_total")} AS valor_total_notas,
+    {fsum("nf.valor_servico")} AS valor_total_servicos,
+    {fsum("nf.valor_iss")} AS total_iss,
+    {fsum("nf.valor_pis")} AS total_pis,
+    {fsum("nf.valor_cofins")} AS total_cofins,
     max(nf.data_emissao) AS ultima_emissao
   FROM {source} nf JOIN cliente cli ON nf.id_cliente = cli.id_cliente
   GROUP BY cli.id_cliente, cli.razao_social"""
