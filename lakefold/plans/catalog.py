@@ -453,7 +453,7 @@ def _load_audit(L: Layers):
                                   F.col("html").alias("conteudo"))
 
     def cut_off():
-        landed = L.spark.read.parquet(f"{root}/notas_fiscais")
+        landed = sinks.read_table(L.spark, f"{root}/notas_fiscais")
         return invoice_elements(landed.withColumn("conteudo", F.expr("left(conteudo, length(conteudo) - 9)"))).select("NumeroNota")
     loaders = [*load_list(L.spark, L, root, "stand-in"),
                sinks.Loader("load_formated_html", "paginas_web_table", "stand-in:paginas_web_table",
@@ -463,7 +463,7 @@ def _load_audit(L: Layers):
                     setup=("bronze_schemas", lambda: sinks.setup_tables(L.spark, root, schemas)))
     audit = L.spark.read.schema(sinks.AUDIT_SCHEMA).parquet(f"{root}/_audit")
     # a large document is stored in several rows: documents are counted, not rows
-    landed = _union_all([L.spark.read.parquet(f"{root}/{t}").select(F.lit(t).alias("_t"), document_of().alias("document"))
+    landed = _union_all([sinks.read_table(L.spark, f"{root}/{t}").select(F.lit(t).alias("_t"), document_of().alias("document"))
                          for t, ddl in BRONZE_SCHEMAS.items() if ddl == DOCUMENT])
     documents = landed.groupBy("_t").agg(F.countDistinct("document").alias("_n"))
     whole = audit.join(documents, F.col("table_id") == F.col("_t"), "left")

@@ -15,8 +15,8 @@ scripts), as Spark jobs over a warehouse folder:
   columns and partitions at the Parquet scan.  ``open_warehouse`` defines them
   in any later session without building anything.
 
-A table is replaced as a whole once its new version is complete, so re-running
-after a failure ends in the same state.
+A table is replaced as a whole once its new version is complete, and readers find the
+old one until then, so re-running after a failure ends in the same state.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ def loaders(spark: SparkSession, sources, root: str, source_name: str) -> list[s
             out.append(sinks.Loader(operation, table, f"{source_name}:{table}", build))
         else:
             raw, make = _FORMATTED[table]
-            build = lambda r=raw, m=make, s=schema: sinks.conform(m(spark.read.schema(BRONZE_SCHEMAS[r]).parquet(f"{root}/{r}")), s)
+            build = lambda r=raw, m=make, s=schema: sinks.conform(m(sinks.read_table(spark, f"{root}/{r}", BRONZE_SCHEMAS[r])), s)
             out.append(sinks.Loader(operation, table, f"{source_name}:{table}", build, after=raw))
     return out
 
@@ -133,9 +133,7 @@ def views_of(t: dict[str, DataFrame], as_of: str | None = None) -> dict[str, Dat
 def open_warehouse(spark: SparkSession, root: str, as_of: str | None = None) -> Warehouse:
     """The stored silver tables of a refreshed warehouse and the views over them, also in a
     new session.  Nothing is built; the views are registered for SQL."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    there = lambda p: (path := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(path)
-    tables = {n: spark.read.parquet(f"{root}/silver/{n}") for n in _BUILT_FROM if there(f"{root}/silver/{n}")}
+    tables = {n: sinks.read_table(spark, f"{root}/silver/{n}") for n in _BUILT_FROM if sinks.current_version(spark, f"{root}/silver/{n}")}
     wh = Warehouse(root, None, tables, views_of(tables, as_of))
     for name, df in wh.views.items():
         df.createOrReplaceTempView(name)
@@ -151,13 +149,13 @@ def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None
                             setup=("bronze_schemas",
                                    lambda: sinks.setup_tables(spark, f"{root}/bronze", BRONZE_SCHEMAS)))
     failed = {r.table_id for r in audit.where(F.col("status") == "ERROR").select("table_id").collect()}
-    read = lambda n: spark.read.schema(BRONZE_SCHEMAS[n]).parquet(f"{root}/bronze/{n}")
+    read = lambda n: sinks.read_table(spark, f"{root}/bronze/{n}", BRONZE_SCHEMAS[n])
     staging, s = f"{root}/_staging", f"{root}/silver"
     parsers = [(n, p) for n, p in (("notas_fiscais", invoice_elements), ("tarefas_projetos", project_elements)) if n not in failed]
     parsed = sinks.run_loads(spark, [sinks.Loader("parse_documents", n, f"bronze:{n}", lambda n=n, p=p: p(read(n))) for n, p in parsers],
                              staging, f"{root}/audit")  # a document that cannot be read fails its tables, not the run
     failed |= {r.table_id for r in parsed.where(F.col("status") == "ERROR").select("table_id").collect()}
-    nf, prj = (spark.read.parquet(f"{staging}/{n}") if n not in failed else None for n in ("notas_fiscais", "tarefas_projetos"))
+    nf, prj = (sinks.read_table(spark, f"{staging}/{n}") if n not in failed else None for n in ("notas_fiscais", "tarefas_projetos"))
     jobs = {
         "cliente": lambda: sinks.refresh_table(silver.customer(read("clientes"), as_of), f"{s}/cliente"),
         "analise_tributaria": lambda: sinks.refresh_table(

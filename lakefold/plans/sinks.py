@@ -1,14 +1,18 @@
 """Sinks and layout: bronze landing, table refresh, date partitioning,
 clustering, and the load audit trail.
 
-All paths are folders under the shared scratch/warehouse location; writes are
-idempotent overwrites, so a retried job (after a lost executor or driver) ends
-in the same state.
+A table is a folder of versions.  A write makes a new version folder beside the others
+and, once that is complete, a marker file that names it; the newest marker is the
+table.  Creating that one small file is the whole switch: readers see the old version
+or the new one at any moment, on file systems and on object stores alike (nothing is
+renamed).  A run that fails leaves no marker, so the old version stays.  The last
+``KEEP`` versions remain, so a reader that began on the one before can finish.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -36,42 +40,65 @@ def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
 
 
 def setup_tables(spark: SparkSession, root: str, schemas: dict[str, str]) -> None:
-    """Create or replace each table as an empty table with its declared schema
-    (the schema-setup step run before the loads)."""
+    """Create each table that is missing, or has other columns than declared, as an empty
+    table with its declared schema (the schema-setup step run before the loads).  A table
+    that is there keeps its last version until its load has succeeded."""
     for name, ddl in schemas.items():
-        spark.createDataFrame([], ddl).write.mode("overwrite").parquet(f"{root}/{name}")
-
-
-def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Write a table's new version beside it and put it in its place when it is
-    complete; until then readers see the old one.  A run that fails on the way
-    leaves the old version, or, between the two renames, its ``.old`` copy."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = folder(path).getFileSystem(conf)
-    new, old = f"{path}.new", f"{path}.old"
-    if fs.exists(folder(old)) and not fs.exists(folder(path)):
-        fs.rename(folder(old), folder(path))
-    fs.delete(folder(new), True)
-    fs.delete(folder(old), True)
-    write(new)
-    fs.mkdirs(folder(path).getParent())
-    if fs.exists(folder(path)):
-        fs.rename(folder(path), folder(old))
-    if not fs.rename(folder(new), folder(path)):
-        raise RuntimeError(f"could not put the new version in place: {path}")
-    fs.delete(folder(old), True)
+        path, empty = f"{root}/{name}", spark.createDataFrame([], ddl)
+        if current_version(spark, path) is None or read_table(spark, path).schema.simpleString() != empty.schema.simpleString():
+            refresh_table(empty, path)
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
+KEEP = 2
+_MARKERS = "_versions"
+
+
+def _fs(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete versions, oldest first: a number, and something unique."""
+    fs, folder = _fs(spark, f"{path}/{_MARKERS}")
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of a table's newest complete version."""
+    found = _versions(spark, path)
+    return f"{path}/{found[-1]}" if found else None
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """A table's newest version; a plain folder of Parquet files is read as it is."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(current_version(spark, path) or path)
+
+
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Write a table's new version and make it the newest; returns its folder."""
+    before = _versions(spark, path)
+    number = int(before[-1].split("-")[0][1:]) + 1 if before else 1
+    name = f"v{number:08d}-{uuid.uuid4().hex}"
+    write(f"{path}/{name}")
+    fs, marker = _fs(spark, f"{path}/{_MARKERS}/{name}")
+    fs.create(marker, False).close()
+    for old in _versions(spark, path)[:-KEEP]:
+        fs.delete(_fs(spark, f"{path}/{_MARKERS}/{old}")[1], False)  # the marker first: no reader begins on it any more
+        drop_folder(spark, f"{path}/{old}")
+    return f"{path}/{name}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _fs(spark, path)
+    fs.delete(folder, True)
 
 
 def refresh_table(df: DataFrame, path: str) -> DataFrame:
-    """Create-or-replace: the table's folder gets the query result, whole or not at all."""
-    _replace(df.sparkSession, path, lambda new: df.write.parquet(new))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Create-or-replace: the table becomes the query result, whole or not at all."""
+    made = _replace(df.sparkSession, path, lambda new: df.write.parquet(new))
+    return df.sparkSession.read.schema(df.schema).parquet(made)
 
 
 def _by_date(df: DataFrame, by: str, cluster_by: Sequence[str]) -> DataFrame:
@@ -88,12 +115,14 @@ def partitioned_write(df: DataFrame, path: str, by: str, cluster_by: Sequence[st
     ``cluster_by`` sorts rows within each file (after the rebalance, so the
     order survives) for row-group skipping on those columns.
     """
-    _replace(df.sparkSession, path, lambda new: _by_date(df, by, cluster_by).write.partitionBy(by).parquet(new))
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    made = _replace(df.sparkSession, path, lambda new: _by_date(df, by, cluster_by).write.partitionBy(by).parquet(new))
+    return df.sparkSession.read.schema(df.schema).parquet(made).select(*df.columns)
 
 
 def replace_dates(df: DataFrame, path: str, by: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Replace only the dates that ``df`` holds, and keep the others."""
+    """Replace only the dates that ``df`` holds, and keep the others.  This changes the newest
+    version itself: dates are switched one by one, as files of the others are not copied."""
+    path = current_version(df.sparkSession, path) or path
     (_by_date(df, by, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(by).parquet(path))
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -108,8 +137,8 @@ def clustered_write(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64(*df.columns)
-    _replace(df.sparkSession, path, lambda new: df.repartitionByRange(n, *by, tie).sortWithinPartitions(*by).write.parquet(new))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = _replace(df.sparkSession, path, lambda new: df.repartitionByRange(n, *by, tie).sortWithinPartitions(*by).write.parquet(new))
+    return df.sparkSession.read.schema(df.schema).parquet(made)
 
 
 # -- load audit -----------------------------------------------------------------
@@ -184,7 +213,7 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
                 raise RuntimeError(f"{ld.after} was not loaded")
             obs = Observation(f"rows_{ld.table_id}_{i}")
             df = ld.build().observe(obs, F.count(F.lit(1)).alias("n"))
-            df.write.mode("overwrite").parquet(f"{target_root}/{ld.table_id}")
+            refresh_table(df, f"{target_root}/{ld.table_id}")
             n = obs.get["n"]
         except Exception as exc:  # noqa: BLE001 - keep the remaining loads running
             text = str(exc).strip() or type(exc).__name__

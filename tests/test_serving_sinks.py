@@ -129,7 +129,42 @@ def test_a_failed_refresh_leaves_the_old_table(spark):
     sinks.refresh_table(spark.range(3), path)
     with pytest.raises(Exception):
         sinks.refresh_table(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), path)
-    assert spark.read.parquet(path).count() == 3
+    assert sinks.read_table(spark, path).count() == 3
+
+
+def test_a_reader_always_finds_a_table(spark):
+    path = fresh_path(spark, "t-switch")
+    assert sinks.current_version(spark, path) is None
+    sinks.refresh_table(spark.range(3), path)
+    seen = []
+
+    def write(new):  # a reader in the middle of a write
+        spark.range(5).write.parquet(new)
+        seen.append(sinks.read_table(spark, path).count())
+
+    sinks._replace(spark, path, write)
+    assert seen == [3] and sinks.read_table(spark, path).count() == 5
+    begun = sinks.read_table(spark, path)  # this reader goes on with its version after the next write
+    sinks.refresh_table(spark.range(7), path)
+    assert begun.count() == 5 and sinks.read_table(spark, path).count() == 7
+    sinks.refresh_table(spark.range(8), path)
+    assert len(sinks._versions(spark, path)) == sinks.KEEP  # older ones have gone
+    folders = [f.getPath().getName() for f in sinks._fs(spark, path)[0].listStatus(sinks._fs(spark, path)[1])]
+    assert len([f for f in folders if f.startswith("v")]) == sinks.KEEP
+    plain = fresh_path(spark, "t-plain")
+    spark.range(2).write.parquet(plain)
+    assert sinks.read_table(spark, plain).count() == 2
+
+
+def test_a_failed_load_keeps_the_last_version(spark):
+    root = fresh_path(spark, "t-load-versions")
+    load = lambda df: sinks.run_loads(spark, [sinks.Loader("load_raw_csv", "t", "src", lambda: df)], root, f"{root}/_audit",
+                                      setup=("ddl", lambda: sinks.setup_tables(spark, root, {"t": "id bigint"})))
+    load(spark.range(4))
+    load(spark.range(2).select((F.col("id") + F.raise_error(F.lit("no")).cast("bigint")).alias("id")))
+    assert sinks.read_table(spark, f"{root}/t").count() == 4
+    sinks.setup_tables(spark, root, {"t": "id bigint, other string"})  # other columns: an empty table
+    assert sinks.read_table(spark, f"{root}/t").columns == ["id", "other"]
 
 
 def test_clustered_files_hold_narrow_ranges(spark):
