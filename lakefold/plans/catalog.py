@@ -22,7 +22,7 @@ from lakefold.plans.schemas import BRONZE_SCHEMAS, DOCUMENT
 from lakefold.plans.standins import LOG_HEADINGS
 from lakefold.session import fresh_path
 from lakefold.sources import (
-    html_table, html_table_status, scan_csv, scan_documents, scan_json_documents, scan_pipe, scan_xml_documents, scan_xml_records,
+    accepted, html_table, html_table_status, rejected, scan_csv, scan_delimited, scan_documents, scan_json_documents, scan_pipe, scan_xml_documents, scan_xml_records,
     strict_timestamp, xml_to_json,
 )
 from lakefold.sources.documents import INVOICE_ELEMENT, INVOICE_FIELDS, as_array, invoice_elements, project_elements
@@ -582,6 +582,26 @@ def _html_row_headers(L: Layers):
     return html_table(L.log_pages.withColumn("conteudo", hidden), LOG_HEADINGS).drop("doc_id", "row_pos")
 
 
+@register("delimited_rejects", """SELECT id_analise, CASE event_id % 83 WHEN 7 THEN 'short' WHEN 11 THEN 'long' WHEN 13 THEN 'ill_typed' END AS reason,
+      CASE WHEN event_id % 83 IN (7, 11, 13) THEN NULL ELSE valor_identificado END AS valor_identificado
+    FROM (SELECT *, CAST(substr(id_analise, 5) AS BIGINT) AS event_id FROM analysis_raw)""")
+def _delimited_rejects(L: Layers):
+    """Lines with a field too few or too many, or a word for an amount, are set aside with a reason; the others load."""
+    path = fresh_path(L.spark, "analyses-misfits")
+    rest = F.substring("id_analise", 5, 30).cast("bigint") % 83
+    value = F.when(rest == 13, F.lit("muito")).otherwise(F.coalesce(F.col("valor_identificado").cast("string"), F.lit("")))
+    fields = [F.coalesce(c, F.lit("")) for c in ("id_analise", "cliente_id", "tipo_tributo", "periodo_analise")] + [value]
+    line = F.concat(F.concat_ws("|", *fields), F.when(rest == 7, F.lit("")).otherwise(F.concat(F.lit("|"), "observacoes")),
+                    F.when(rest == 11, F.lit("|x")).otherwise(F.lit("")))
+    L.analysis_raw.select(F.struct(line.alias("id_analise|cliente_id|tipo_tributo|periodo_analise|valor_identificado|observacoes")).alias("l")).select("l.*") \
+        .write.option("header", True).option("sep", "\u0001").option("quote", "").option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows = scan_delimited(L.spark, path, ANALYSIS_RAW_SCHEMA, "|")
+    good = accepted(rows).select("id_analise", F.lit(None).cast("string").alias("reason"), "valor_identificado")
+    bad = rejected(rows, "|").select(F.substring_index("line", "|", 1).alias("id_analise"), "reason", F.lit(None).cast("double").alias("valor_identificado"))
+    return good.unionByName(bad)
+
+
 _SPANS = """SELECT id_log, CAST(log_time AS VARCHAR) AS log_time, usuario, acao, entidade_afetada, resultado, ip, id_log AS copia,
     chr(8364) || ' <' || id_log || '>' AS nota FROM log_raw"""
 

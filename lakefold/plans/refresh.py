@@ -32,7 +32,7 @@ from lakefold.plans.layers import Layers
 from lakefold.plans.schemas import BRONZE_SCHEMAS
 from lakefold.session import fresh_path
 from lakefold.sources.documents import invoice_elements, project_elements, xml_to_json
-from lakefold.sources.files import scan_csv, scan_documents, scan_pipe
+from lakefold.sources.files import scan_csv, scan_delimited, scan_documents
 from lakefold.sources.records import scan_json_documents, scan_xml_documents
 
 # Raw loads read a source; formatted loads read a landed raw table.
@@ -52,18 +52,25 @@ class FileSources:
     ``clientes`` (comma-delimited), ``analises`` (pipe-delimited), ``projetos`` (JSON
     documents), ``notas`` (XML documents) and ``logs`` (HTML pages), a file or a folder
     of files each.  A JSON or XML file may be large: it is read in several tasks, and each
-    project and invoice in it becomes a document.  An HTML file is one document."""
+    project and invoice in it becomes a document.  An HTML file is one document.  With
+    ``keep_rejects``, rows of delimited files that do not fit the declared columns are set
+    aside in ``<table>_rejects`` and counted in the audit; else they fail the load."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, keep_rejects: bool = False):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.separators = {"clientes": ",", "analises_tributarias": "|"} if keep_rejects else {}
+
+    def _delimited(self, folder: str, table: str, sep: str) -> DataFrame:
+        scan = scan_delimited if self.separators else scan_csv
+        return scan(self.spark, f"{self.folder}/{folder}", BRONZE_SCHEMAS[table], sep)
 
     @property
     def customer_raw(self) -> DataFrame:
-        return scan_csv(self.spark, f"{self.folder}/clientes", BRONZE_SCHEMAS["clientes"])
+        return self._delimited("clientes", "clientes", ",")
 
     @property
     def analysis_raw(self) -> DataFrame:
-        return scan_pipe(self.spark, f"{self.folder}/analises", BRONZE_SCHEMAS["analises_tributarias"])
+        return self._delimited("analises", "analises_tributarias", "|")
 
     @property
     def project_docs(self) -> DataFrame:
@@ -84,8 +91,10 @@ def loaders(spark: SparkSession, sources, root: str, source_name: str) -> list[s
     for operation, table in LOADS:
         schema = BRONZE_SCHEMAS[table]
         if table in _RAW:
-            build = lambda t=table, s=schema: sinks.conform(getattr(sources, _RAW[t]), s)
-            out.append(sinks.Loader(operation, table, f"{source_name}:{table}", build))
+            sep = getattr(sources, "separators", {}).get(table)
+            build = ((lambda t=table: getattr(sources, _RAW[t])) if sep else
+                     (lambda t=table, s=schema: sinks.conform(getattr(sources, _RAW[t]), s)))
+            out.append(sinks.Loader(operation, table, f"{source_name}:{table}", build, sep=sep))
         else:
             raw, make = _FORMATTED[table]
             build = lambda r=raw, m=make, s=schema: sinks.conform(m(sinks.read_table(spark, f"{root}/{r}", BRONZE_SCHEMAS[r])), s)
@@ -141,10 +150,11 @@ def open_warehouse(spark: SparkSession, root: str, as_of: str | None = None) ->
 
 
 def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
-                as_of: str | None = None, files: str | None = None) -> Warehouse:
-    """Refresh from the driver tables in ``sf_dir``, or from the source files in the folder ``files``."""
+                as_of: str | None = None, files: str | None = None, keep_rejects: bool = False) -> Warehouse:
+    """Refresh from the driver tables in ``sf_dir``, or from the source files in the folder ``files``
+    (``keep_rejects``: see ``FileSources``)."""
     root = root or fresh_path(spark, "warehouse")
-    sources, name = (FileSources(spark, files), files) if files else (Layers(spark, sf_dir, as_of=as_of), "stand-in")
+    sources, name = (FileSources(spark, files, keep_rejects), files) if files else (Layers(spark, sf_dir, as_of=as_of), "stand-in")
     audit = sinks.run_loads(spark, loaders(spark, sources, f"{root}/bronze", name), f"{root}/bronze", f"{root}/audit",
                             setup=("bronze_schemas",
                                    lambda: sinks.setup_tables(spark, f"{root}/bronze", BRONZE_SCHEMAS)))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakefold.fixed import AUDIT_MESSAGES
+from lakefold.sources.files import CORRUPT, accepted, rejected
 
 
 def land_bronze(df: DataFrame, schema: StructType, path: str) -> DataFrame:
@@ -143,7 +144,7 @@ def clustered_write(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
 
 # -- load audit -----------------------------------------------------------------
 AUDIT_SCHEMA = ("seq int, logged_at timestamp, operation string, table_id string, status string, "
-                "message string, n_rows long")
+                "message string, n_rows long, n_rejected long")
 
 
 @dataclass
@@ -153,6 +154,7 @@ class Loader:
     source: str
     build: Callable[[], DataFrame]
     after: str | None = None  # the landed table it reads
+    sep: str | None = None    # of a delimited source whose misfits are kept: ``build`` gives ``scan_delimited`` rows
 
 
 class SetupFailed(RuntimeError):
@@ -171,7 +173,9 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
     Each load is an independent Spark write; up to ``max_parallel`` of them run
     as concurrent jobs (small sources would otherwise leave the cluster idle).
     Loads that read a landed table run after the others, and fail if that load failed.
-    A load's row count is observed during the write itself (no second pass).
+    A load's row count is observed during the write itself (no second pass).  A
+    loader with ``sep`` keeps what does not fit its declared columns in the table
+    ``<table>_rejects`` (line, reason) and counts it in ``n_rejected``.
     Audit rows keep the order of ``loaders`` (START then SUCCESS/ERROR for
     each), are appended to ``audit_path`` (Parquet, or CSV with a header like
     the reference's log file) and returned.
@@ -194,33 +198,46 @@ def run_loads(spark: SparkSession, loaders: Sequence[Loader], target_root: str,
     head: list[tuple] = []
     if setup is not None:
         name, action = setup
-        head.append((1, now(), "run_ddl_script", name, "START", AUDIT_MESSAGES["ddl_start"].format(name), None))
+        head.append((1, now(), "run_ddl_script", name, "START", AUDIT_MESSAGES["ddl_start"].format(name), None, None))
         try:
             action()
         except Exception as exc:  # noqa: BLE001 - audited, then the run stops
             head.append((2, now(), "run_ddl_script", name, "ERROR",
-                         AUDIT_MESSAGES["ddl_failed"].format(name, str(exc).strip() or type(exc).__name__), None))
+                         AUDIT_MESSAGES["ddl_failed"].format(name, str(exc).strip() or type(exc).__name__), None, None))
             write_audit(head)
             raise SetupFailed(name) from exc
-        head.append((2, now(), "run_ddl_script", name, "SUCCESS", AUDIT_MESSAGES["ddl_done"].format(name), None))
+        head.append((2, now(), "run_ddl_script", name, "SUCCESS", AUDIT_MESSAGES["ddl_done"].format(name), None, None))
     offset = len(head)
 
+    def land(i: int, ld: Loader) -> tuple[int, int | None]:
+        """Write the table, and count its rows on the way."""
+        obs, path = Observation(f"rows_{ld.table_id}_{i}"), f"{target_root}/{ld.table_id}"
+        if ld.sep is None:
+            refresh_table(ld.build().observe(obs, F.count(F.lit(1)).alias("n")), path)
+            return obs.get["n"], None
+        misfit = F.col(CORRUPT).isNotNull()
+        held = f"{path}_rows-{uuid.uuid4().hex}"  # the source is parsed once, and rows and misfits are read from here
+        rows = ld.build()
+        rows.observe(obs, F.count_if(~misfit).alias("n"), F.count_if(misfit).alias("bad")).write.parquet(held)
+        kept = spark.read.schema(rows.schema).parquet(held)
+        refresh_table(rejected(kept, ld.sep), f"{path}_rejects")
+        refresh_table(accepted(kept), path)
+        drop_folder(spark, held)
+        return obs.get["n"], obs.get["bad"]
+
     def run_one(i: int, ld: Loader) -> list[tuple]:
         i = i + offset // 2
-        start = (2 * i + 1, now(), ld.operation, ld.table_id, "START", AUDIT_MESSAGES["load_start"].format(ld.source), None)
+        start = (2 * i + 1, now(), ld.operation, ld.table_id, "START", AUDIT_MESSAGES["load_start"].format(ld.source), None, None)
         try:
             if ld.after in broken:
                 raise RuntimeError(f"{ld.after} was not loaded")
-            obs = Observation(f"rows_{ld.table_id}_{i}")
-            df = ld.build().observe(obs, F.count(F.lit(1)).alias("n"))
-            refresh_table(df, f"{target_root}/{ld.table_id}")
-            n = obs.get["n"]
+            n, bad = land(i, ld)
         except Exception as exc:  # noqa: BLE001 - keep the remaining loads running
             text = str(exc).strip() or type(exc).__name__
             end = (2 * i + 2, now(), ld.operation, ld.table_id, "ERROR",
-                   AUDIT_MESSAGES["load_failed"].format(ld.source, text), None)
+                   AUDIT_MESSAGES["load_failed"].format(ld.source, text), None, None)
         else:
-            end = (2 * i + 2, now(), ld.operation, ld.table_id, "SUCCESS", AUDIT_MESSAGES["load_done"].format(ld.table_id), n)
+            end = (2 * i + 2, now(), ld.operation, ld.table_id, "SUCCESS", AUDIT_MESSAGES["load_done"].format(ld.table_id), n, bad)
         return [start, end]
 
     results: dict[int, list[tuple]] = {}

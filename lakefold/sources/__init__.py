@@ -1,6 +1,8 @@
 """Sources: delimited files, whole documents, JSON/XML/HTML shredding, load gates."""
 
-from lakefold.sources.files import scan_csv, scan_documents, scan_pipe, scan_xml_records  # noqa: F401
+from lakefold.sources.files import (  # noqa: F401
+    accepted, rejected, scan_csv, scan_delimited, scan_documents, scan_pipe, scan_xml_records,
+)
 from lakefold.sources.documents import (  # noqa: F401
     invoice_elements, invoice_elements_from_json, json_array_rows, project_elements, task_elements, xml_to_json,
 )

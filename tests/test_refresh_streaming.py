@@ -85,3 +85,20 @@ def test_tables_of_a_failing_load_are_not_built(spark, monkeypatch):
     assert ("logs_sistema_table", "ERROR") in statuses and ("clientes", "SUCCESS") in statuses
     assert "log_sistema" not in wh.tables and len(wh.tables) == 7
     assert "vw_snt_notas_fiscais" in wh.views
+
+
+def test_misfits_are_set_aside_and_counted(spark):
+    from lakefold.plans import refresh, sinks
+    folder, root = fresh_path(spark, "t-misfits"), fresh_path(spark, "t-misfits-out")
+    lines = ["id_analise|cliente_id|tipo_tributo|periodo_analise|valor_identificado|observacoes", "A1|C1|ISS|2024-Q1|1.5|ok", "A2|C1|ISS|2024-Q1|2.5",
+             'A3|C1|ISS|2024-Q1|2.5|"a|b"', "A4|C1|ISS|2024-Q1|2.5|x|y", "A5|C1|ISS|2024-Q1|much|z", 'A6|C1|"I|S"|2024-Q1|bad|z', "A7|C1||||"]
+    spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(f"{folder}/analises")
+    loads = [ld for ld in refresh.loaders(spark, refresh.FileSources(spark, folder, keep_rejects=True), root, "t") if ld.table_id == "analises_tributarias"]
+    audit = sinks.run_loads(spark, loads, root, f"{root}/_audit").collect()
+    assert [(r.status, r.n_rows, r.n_rejected) for r in audit] == [("START", None, None), ("SUCCESS", 3, 4)]
+    kept = sorted((r.id_analise, r.valor_identificado, r.observacoes) for r in sinks.read_table(spark, f"{root}/analises_tributarias").collect())
+    assert kept == [("A1", 1.5, "ok"), ("A3", 2.5, "a|b"), ("A7", None, None)]
+    bad = sorted(map(tuple, sinks.read_table(spark, f"{root}/analises_tributarias_rejects").collect()))
+    assert bad == [(lines[2], "short"), (lines[4], "long"), (lines[5], "ill_typed"), (lines[6], "ill_typed")]
+    strict = [ld for ld in refresh.loaders(spark, refresh.FileSources(spark, folder), root, "t") if ld.table_id == "analises_tributarias"]
+    assert [r.status for r in sinks.run_loads(spark, strict, root, f"{root}/_audit2").collect()] == ["START", "ERROR"]
