@@ -9,11 +9,12 @@ scripts), as Spark jobs over a warehouse folder:
 * silver: the invoice and project documents are each parsed once into a
   staging table, from which invoices, taxes and items (and projects and
   tasks) are derived; the tables are written side by side with the
-  reference's layout (date partitions, clustering), and staging is deleted.
+  reference's layout (date partitions, clustering; invoices, taxes and items in
+  buckets of the invoice key), and staging is deleted.
   Tables whose source failed keep their last version;
-* gold and quality: views over the stored silver tables, so every read prunes
-  columns and partitions at the Parquet scan.  ``open_warehouse`` defines them
-  in any later session without building anything.
+* gold and quality: views over the stored silver tables, kept as SQL text beside
+  them (``view_sql.py``), so every read prunes columns and partitions at the Parquet
+  scan.  ``open_warehouse`` defines them in any later session without building anything.
 
 A table is replaced as a whole once its new version is complete, and readers find the
 old one until then, so re-running after a failure ends in the same state.
@@ -21,15 +22,14 @@ old one until then, so re-running after a failure ends in the same state.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakefold.fixed import LOADS
-from lakefold.plans import gold, quality, silver, sinks, standins
+from lakefold.plans import silver, sinks, standins, view_sql
 from lakefold.plans.layers import Layers
 from lakefold.plans.schemas import BRONZE_SCHEMAS
+from lakefold.plans.warehouse import Warehouse, bucketed_write, open_warehouse, store_definitions
 from lakefold.session import fresh_path
 from lakefold.sources.documents import invoice_elements, project_elements, xml_to_json
 from lakefold.sources.files import scan_csv, scan_delimited, scan_documents
@@ -110,49 +110,12 @@ def _concurrently(jobs: dict, max_parallel: int = 4) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
-@dataclass
-class Warehouse:
-    root: str
-    audit: DataFrame | None
-    tables: dict[str, DataFrame] = field(default_factory=dict)
-    views: dict[str, DataFrame] = field(default_factory=dict)
-    failed: set[str] = field(default_factory=set)  # bronze tables that were not loaded or not readable
-
-
-def views_of(t: dict[str, DataFrame], as_of: str | None = None) -> dict[str, DataFrame]:
-    """The gold and quality views whose silver tables are in ``t``."""
-    cli, ant, pro, trf = (t.get(n) for n in ("cliente", "analise_tributaria", "projeto", "tarefa"))
-    nf, tax, item = (t.get(n) for n in ("nota_fiscal", "nota_fiscal_imposto", "nota_fiscal_item"))
-    totals = gold.invoice_totals(nf, item, tax) if None not in (nf, tax, item) else None
-    makers = {
-        "vw_anl_analise_tributaria": (gold.analysis_detail, ant, cli),
-        "vw_anl_nota_fiscal": (lambda x: x, totals),
-        "vw_anl_projetos": (gold.project_detail, pro, trf, cli),
-        "vw_snt_projetos_performance": (gold.project_task_hours, pro, trf, cli),
-        "vw_snt_analises_tributarias": (gold.analysis_summary, ant, cli),
-        "vw_snt_notas_fiscais": (gold.invoice_summary, totals, cli),
-        **{f"vw_dq_{name}": (lambda x, f=check: f(x, as_of), t.get(name)) for name, check in {
-            "cliente": quality.dq_customer, "analise_tributaria": quality.dq_analysis, "projeto": quality.dq_project,
-            "tarefa": quality.dq_task, "nota_fiscal": quality.dq_invoice, "nota_fiscal_imposto": quality.dq_invoice_tax,
-            "nota_fiscal_item": quality.dq_invoice_item}.items()},
-    }
-    return {name: make(*needs) for name, (make, *needs) in makers.items() if all(x is not None for x in needs)}
-
-
-def open_warehouse(spark: SparkSession, root: str, as_of: str | None = None) -> Warehouse:
-    """The stored silver tables of a refreshed warehouse and the views over them, also in a
-    new session.  Nothing is built; the views are registered for SQL."""
-    tables = {n: sinks.read_table(spark, f"{root}/silver/{n}") for n in _BUILT_FROM if sinks.current_version(spark, f"{root}/silver/{n}")}
-    wh = Warehouse(root, None, tables, views_of(tables, as_of))
-    for name, df in wh.views.items():
-        df.createOrReplaceTempView(name)
-    return wh
-
-
 def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
-                as_of: str | None = None, files: str | None = None, keep_rejects: bool = False) -> Warehouse:
+                as_of: str | None = None, files: str | None = None, keep_rejects: bool = False, buckets: int | None = None) -> Warehouse:
     """Refresh from the driver tables in ``sf_dir``, or from the source files in the folder ``files``
-    (``keep_rejects``: see ``FileSources``)."""
+    (``keep_rejects``: see ``FileSources``).  Invoices, taxes and items are stored in ``buckets``
+    (as many as shuffle partitions, unless given) of their key."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     root = root or fresh_path(spark, "warehouse")
     sources, name = (FileSources(spark, files, keep_rejects), files) if files else (Layers(spark, sf_dir, as_of=as_of), "stand-in")
     audit = sinks.run_loads(spark, loaders(spark, sources, f"{root}/bronze", name), f"{root}/bronze", f"{root}/audit",
@@ -172,18 +135,18 @@ def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None
             silver.tax_analysis(read("analises_tributarias"), as_of), f"{s}/analise_tributaria"),
         "projeto": lambda: sinks.refresh_table(silver.project(prj), f"{s}/projeto"),
         "tarefa": lambda: sinks.clustered_write(silver.task(prj), f"{s}/tarefa", ["id_projeto"]),
-        "nota_fiscal": lambda: sinks.partitioned_write(silver.invoice(nf), f"{s}/nota_fiscal", "data_emissao"),
-        "nota_fiscal_imposto": lambda: sinks.clustered_write(silver.invoice_tax(nf), f"{s}/nota_fiscal_imposto",
-                                                             ["id_nota", "tipo_imposto"]),
-        "nota_fiscal_item": lambda: sinks.clustered_write(silver.invoice_item(nf), f"{s}/nota_fiscal_item", ["id_nota"]),
+        "nota_fiscal": lambda: bucketed_write(silver.invoice(nf), f"{s}/nota_fiscal", "id_nota", buckets, partition_by="data_emissao"),
+        "nota_fiscal_imposto": lambda: bucketed_write(silver.invoice_tax(nf), f"{s}/nota_fiscal_imposto", "id_nota", buckets, ["tipo_imposto"]),
+        "nota_fiscal_item": lambda: bucketed_write(silver.invoice_item(nf), f"{s}/nota_fiscal_item", "id_nota", buckets),
         "log_sistema": lambda: sinks.partitioned_write(silver.system_log(read("logs_sistema_table"), as_of),
                                                        f"{s}/log_sistema", "data_evento", cluster_by=("usuario", "acao")),
     }
     _concurrently({n: job for n, job in jobs.items() if _BUILT_FROM[n] not in failed})
     sinks.drop_folder(spark, staging)
+    store_definitions(spark, root, view_sql.FUNCTIONS, view_sql.VIEWS)
     wh = open_warehouse(spark, root, as_of)
     wh.audit, wh.failed = audit, failed
     return wh
 
 
-__all__ = ["refresh_all", "open_warehouse", "views_of", "loaders", "FileSources", "Warehouse"]
+__all__ = ["refresh_all", "open_warehouse", "loaders", "FileSources", "Warehouse"]

@@ -23,7 +23,7 @@ def test_refresh_all_matches_lazy_views(spark):
     assert bag(wh.views["vw_snt_projetos_performance"]) == bag(L.project_task_hours)
     assert bag(wh.tables["log_sistema"]) == bag(L.system_log)
     assert spark.table("vw_dq_nota_fiscal_item").first().duplicatas_id_item == 0
-    assert sorted(f.rstrip("/").rsplit("/", 1)[-1] for f in listed(spark, wh.root)) == ["audit", "bronze", "silver"]  # no staging left
+    assert sorted(f.rstrip("/").rsplit("/", 1)[-1] for f in listed(spark, wh.root)) == ["audit", "bronze", "definitions", "silver"]  # no staging left
     # a second refresh of the same warehouse replaces everything, and views open without a rebuild
     again = refresh_all(spark, SF, root=wh.root, as_of=AS_OF)
     assert bag(again.tables["nota_fiscal"]) == bag(L.invoice)
