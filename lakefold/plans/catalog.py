@@ -481,16 +481,37 @@ def _read_view(L: Layers):
     return serving.read_view(_views(L), "VW_SNT_NOTAS_FISCAIS", 100, order_by=("id_cliente",))
 
 
-@register("serve_views", " UNION ALL ".join(f"SELECT '{v}' AS view, least(1000, count(*)) AS n_rows FROM {v}"
-                                            for v in Layers.GOLD_VIEWS))
+# The columns of the six views; amounts are compared as text with four places.
+_SERVED = {
+    "vw_anl_analise_tributaria": ("id_analise cliente tipo_tributo ano_analise tipo_periodo_analise periodo_valor observacoes", "valor_identificado"),
+    "vw_anl_nota_fiscal": ("id_nota id_cliente numero_nota data_emissao", "valor_total valor_servico valor_itens valor_iss valor_pis valor_cofins"),
+    "vw_anl_projetos": ("id_projeto nome_projeto responsavel nome_cliente status data_inicio data_prevista_fim horas_totais_estimadas "
+                        "horas_totais_realizadas id_tarefa descricao responsavel_tarefa status_tarefa data_inicio_tarefa "
+                        "data_prevista_fim_tarefa horas_estimadas_tarefa horas_realizadas_tarefa", ""),
+    "vw_snt_projetos_performance": ("id_projeto id_cliente nome_cliente responsavel status horas_totais_estimadas horas_totais_realizadas "
+                                    "tarefa_longa hrs_tarefa", ""),
+    "vw_snt_analises_tributarias": ("id_cliente nome_cliente qtd_analises qtd_tipos_tributos ultimo_ano_analisado",
+                                    "valor_total_identificado maior_valor_identificado menor_valor_identificado"),
+    "vw_snt_notas_fiscais": ("id_cliente nome_cliente qtd_notas ultima_emissao",
+                             "valor_total_notas valor_total_servicos total_iss total_pis total_cofins"),
+}
+
+
+def _served_text(view: str, text: str) -> str:
+    """A row as text, in words that both SQL dialects read (``text``: the type of text)."""
+    columns, amounts = (part.split() for part in _SERVED[view])
+    return ", ".join([*[f"coalesce(CAST({c} AS {text}), '')" for c in columns],
+                      *[f"coalesce(CAST(CAST({c} AS DECIMAL(18,4)) AS {text}), '')" for c in amounts]])
+
+
+@register("serve_views", " UNION ALL ".join(f"SELECT '{v}' AS view, concat_ws('|', {_served_text(v, 'VARCHAR')}) AS row_text FROM {v}" for v in _SERVED))
 def _serve_views(L: Layers):
-    """Refresh a warehouse, open it again, and read every gold view up to the serving limit
-    from its stored silver tables."""
+    """Refresh a warehouse, open it again, and read every row of every gold view from its stored tables
+    and definitions."""
     from lakefold.plans.refresh import open_warehouse, refresh_all
     wh = open_warehouse(L.spark, refresh_all(L.spark, L.sf_dir, as_of=L.as_of).root, L.as_of)
-    views = {name: (lambda n=name: wh.views[n]) for name in L.GOLD_VIEWS}
-    return _union_all([serving.read_view(views, name, 1000).agg(F.count(F.lit(1)).alias("n_rows"))
-                       .select(F.lit(name).alias("view"), "n_rows") for name in views])
+    return _union_all([wh.views[v].select(F.lit(v).alias("view"), F.expr(f"concat_ws('|', {_served_text(v, 'STRING')})").alias("row_text"))
+                       for v in _SERVED])
 
 
 ELEMENTS_OF_FILE = 20_000  # projects or invoices that a source file is given
@@ -614,7 +635,7 @@ def _html_table_grid(L: Layers):
     # a page-wide cell that hangs down from the first data row to the last one
     tall = F.regexp_replace(wide, r"<tbody><tr>", '<tbody><tr><td rowspan="65534">&Aacute;&#0;rea</td>')
     tall = F.replace(tall, F.lit("<tr><th>ID Log</th>"), F.lit("<tr><th>Area</th><th>ID Log</th>"))
-    cut = F.regexp_replace(tall, r"65534", F.size(F.split("conteudo", "<tr>")) - 2)
+    cut = F.replace(tall, F.lit('rowspan="65534"'), F.concat(F.lit('rowspan="'), F.size(F.split("conteudo", "<tr>")) - 2, F.lit('"')))
     pages = L.log_pages.withColumn("conteudo", cut)
     rows = html_table(pages, {"Area": "area", **LOG_HEADINGS, "Copia": "copia", "Nota": "nota"})
     return rows.where(F.col("area") == "\u00C1\uFFFDrea").drop("doc_id", "row_pos", "area")

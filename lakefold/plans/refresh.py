@@ -41,6 +41,8 @@ _RAW = {"clientes": "customer_raw", "analises_tributarias": "analysis_raw", "tar
 _FORMATTED = {"notas_fiscais_json": ("notas_fiscais", xml_to_json),
               "logs_sistema_table": ("logs_sistema", lambda pages: silver.log_table(pages, standins.LOG_HEADINGS))}
 
+INVOICES_IN_BUCKET = 100_000
+
 # Silver table -> the bronze table it is built from.
 _BUILT_FROM = {"cliente": "clientes", "analise_tributaria": "analises_tributarias", "projeto": "tarefas_projetos",
                "tarefa": "tarefas_projetos", "nota_fiscal": "notas_fiscais", "nota_fiscal_imposto": "notas_fiscais",
@@ -113,9 +115,8 @@ def _concurrently(jobs: dict, max_parallel: int = 4) -> dict:
 def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
                 as_of: str | None = None, files: str | None = None, keep_rejects: bool = False, buckets: int | None = None) -> Warehouse:
     """Refresh from the driver tables in ``sf_dir``, or from the source files in the folder ``files``
-    (``keep_rejects``: see ``FileSources``).  Invoices, taxes and items are stored in ``buckets``
-    (as many as shuffle partitions, unless given) of their key."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (``keep_rejects``: see ``FileSources``).  Invoices, taxes and items are stored in ``buckets`` of their
+    key: unless given, one for each INVOICES_IN_BUCKET invoices, up to the number of shuffle partitions."""
     root = root or fresh_path(spark, "warehouse")
     sources, name = (FileSources(spark, files, keep_rejects), files) if files else (Layers(spark, sf_dir, as_of=as_of), "stand-in")
     audit = sinks.run_loads(spark, loaders(spark, sources, f"{root}/bronze", name), f"{root}/bronze", f"{root}/audit",
@@ -129,6 +130,8 @@ def refresh_all(spark: SparkSession, sf_dir: str | None = None, root: str | None
                              staging, f"{root}/audit")  # a document that cannot be read fails its tables, not the run
     failed |= {r.table_id for r in parsed.where(F.col("status") == "ERROR").select("table_id").collect()}
     nf, prj = (sinks.read_table(spark, f"{staging}/{n}") if n not in failed else None for n in ("notas_fiscais", "tarefas_projetos"))
+    if nf is not None and not buckets:
+        buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-nf.count() // INVOICES_IN_BUCKET)))
     jobs = {
         "cliente": lambda: sinks.refresh_table(silver.customer(read("clientes"), as_of), f"{s}/cliente"),
         "analise_tributaria": lambda: sinks.refresh_table(

@@ -23,7 +23,7 @@ def bag(df):
 
 @pytest.fixture(scope="module")
 def root(spark):
-    return refresh_all(spark, SF, as_of=AS_OF).root
+    return refresh_all(spark, SF, as_of=AS_OF, buckets=4).root
 
 
 def test_all_views_equal_the_datasets(spark, root):
