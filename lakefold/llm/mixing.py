@@ -10,14 +10,15 @@ The dual is convex; Newton steps l_s += (T_s - M_s) / M_s, with M_s the words
 that the present rates take, solve it.  Each step is a distributed sum.
 
 Copies: documents of a source are dealt to blocks of about BLOCK rows by a hash
-of their id, and within a block, by size, copies are the whole-number steps of
+of their id, text and number among equal rows, and within a block, by size, copies are the whole-number steps of
 the running sum of rates.  What a source then lacks or has too much is mended
 with single documents of its first block, largest first; if the gap is too large
 for one block, all blocks of the source give their part in proportion first.
 
 A size is the number of `[^\\x20\\x09-\\x0D]+` in the text.  Defined results: a
 null or empty text has size 0 and adds nothing; null is a source of its own; a
-null id is kept; rows that repeat count each; without any word all targets are
+null id is kept; rows that repeat, or share an id, are documents of their own
+(equal rows are counted and counted out again, so they need no common task); without any word all targets are
 0; an empty table gives an empty mix; other columns are ignored.
 """
 
@@ -28,10 +29,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakefold.llm.common import ranked, staged
+from lakefold.operators.hot_groups import explode_range
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5    # of all words, for the whole mix
 MOST = 2       # times a source's or a document's own size
+ROW = ("doc_id", "th", "nth")  # what tells rows of a source apart
 BLOCK = 512    # documents in a rounding block, on average
 STEPS = 60     # Newton steps at most; a step is quadratic near the solution
 TOLERANCE = 1e-12
@@ -76,15 +79,18 @@ def balance(goals: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), source, size, source_size, target, rate, copies, taken per row of `docs`."""
-    sized = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th")), "sizes")
+    """doc_id, th (hash of the text), nth (number among equal rows), source, size, source_size, target, rate, copies,
+    taken per row of `docs`."""
+    equal = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("th"))
+             .groupBy("doc_id", "source", "size", "th").agg(F.count(F.lit(1)).alias("n")))
+    sized = staged(explode_range(equal, F.col("n"), "nth").drop("n"), "sizes")
     sources = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")),
                      "sources")
     rates = balance(targets(sources)).withColumnRenamed("source", "_s")
     plan = rates.join(sources.select(F.col("source").alias("_t"), "n_docs"), F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n_docs") / BLOCK))
+    block = F.pmod(F.xxhash64(*ROW), F.ceil(F.col("n_docs") / BLOCK))
     joined = (sized.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("block", block))
-    upto = W.partitionBy("source", "block").orderBy("size", "doc_id").rowsBetween(W.unboundedPreceding, 0)
+    upto = W.partitionBy("source", "block").orderBy("size", *ROW).rowsBetween(W.unboundedPreceding, 0)
     start = F.pmod(F.xxhash64("source", "block"), F.lit(1000)) / 1000.0
     run = start + F.sum("rate").over(upto)
     drawn = staged(joined.withColumn("run", run).withColumn(
@@ -104,14 +110,16 @@ def _moved(drawn: DataFrame, wanted: DataFrame) -> DataFrame:
     what a block of a source (`_s`, `_b`) is to give (`part`, with its sign)."""
     here = F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b"))
     pool = (drawn.join(wanted, here).filter(F.col("size") > 0).groupBy("source", "block")
-            .agg(F.first("part").alias("part"), F.sort_array(F.collect_set(F.struct("size", "doc_id", "copies")), False).alias("pool")))
+            .agg(F.first("part").alias("part"), F.sort_array(F.collect_list(F.struct("size", *ROW, "copies")), False).alias("pool")))
     picks = pool.select("source", "block", F.signum("part").cast("bigint").alias("by"), F.expr(f"""
         aggregate(filter(pool, p -> IF(part > 0, p.copies < {MOST}, p.copies > 0)),
-          named_struct('left', abs(part), 'ids', CAST(array() AS ARRAY<BIGINT>)),
-          (a, p) -> IF(p.size <= a.left, named_struct('left', a.left - p.size, 'ids', array_append(a.ids, p.doc_id)), a),
+          named_struct('left', abs(part), 'ids', CAST(array() AS ARRAY<STRUCT<doc_id: BIGINT, th: BIGINT, nth: BIGINT>>)),
+          (a, p) -> IF(p.size <= a.left, named_struct('left', a.left - p.size, 'ids', array_append(a.ids,
+                       named_struct('doc_id', p.doc_id, 'th', p.th, 'nth', p.nth))), a),
           a -> a.ids)""").alias("ids"))
-    moves = picks.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.explode("ids").alias("_d"), "by").distinct()
-    return (drawn.join(moves, F.col("doc_id").eqNullSafe(F.col("_d")) & here, "left")
+    moves = picks.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.explode("ids").alias("_d"), "by")
+    same = F.col("doc_id").eqNullSafe(F.col("_d.doc_id")) & (F.col("th") == F.col("_d.th")) & (F.col("nth") == F.col("_d.nth"))
+    return (drawn.join(moves, same & here, "left")
             .withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0))).drop("_s", "_b", "_d", "by"))
 
 
