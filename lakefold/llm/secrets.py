@@ -4,8 +4,10 @@ A text is scanned for the base kinds.  Then its encoded parts are unwrapped:
 percent escapes, `\\u` / `\\x` escapes and base64 runs (in one line and wrapped over
 lines, whatever letters come before them); bytes of any of them that are
 gzip, zlib or bzip2 streams are decompressed, all members of a stream.  Every new layer goes on the worklist, is
-scanned, and unwrapped in turn until no new layer appears.  A layer that was
-met before for the same range (by digest) is not entered again, so cycles end.
+scanned, and unwrapped in turn until no new layer appears.  Escapes inside escapes
+are undone one level at a time down to STEPS levels, and besides that to their end in
+one pass, however deep, so a chain of them takes linear time; of the levels between
+those only the last is scanned.  A layer that was met before for the same range (by digest) is not entered again, so cycles end.
 Decoded bytes are scanned whatever else they hold, also as UTF-16.  Each layer maps its characters to the character ranges of the text it came
 from; a finding is reported by its range in the original text.
 
@@ -18,6 +20,7 @@ encoded run that crosses a border goes whole into the next window, however long.
 
 from __future__ import annotations
 
+import array
 import base64
 import bz2
 import hashlib
@@ -53,6 +56,9 @@ ESCAPED_BYTE = re.compile(rb"\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnr
 LETTERS = dict(zip((b"a", b"b", b"f", b"n", b"r", b"t", b"v", b"0", b"\\", b"'", b'"'), (b"\a", b"\b", b"\f", b"\n", b"\r", b"\t", b"\v", b"\0", b"\\", b"'", b'"')))
 BLANK = re.compile(rb"[ \t\r\n]")
 UNFINISHED = re.compile(rb"[ \t]*+(?:[A-Za-z0-9+/_.=%\\-]++|[ \t]*+\n\r?[ \t]*+)*+")  # backwards
+TRIGGER = re.compile(r"[%\\]")
+PARTIAL = re.compile(r"%[0-9A-Fa-f]?|\\(?:x[0-9A-Fa-f]?|u[0-9A-Fa-f]{0,3})?")
+STEPS = 8
 LAYER_BYTES = 4 << 20
 OVERLAP = 64 << 10
 
@@ -125,12 +131,13 @@ def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
 
 
 class Layer:
-    """A text and, per character, the range of the original text it stands for (None: itself)."""
+    """A text and, per character, the range of the original text it stands for (None: itself);
+    `steps` is how many levels of escapes were undone one by one to reach it."""
 
-    __slots__ = ("text", "start", "end")
+    __slots__ = ("text", "start", "end", "steps")
 
-    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None):
-        self.text, self.start, self.end = text, start, end
+    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None, steps: int = 0):
+        self.text, self.start, self.end, self.steps = text, start, end, steps
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
         """The original range of the characters a..b - 1."""
@@ -155,7 +162,7 @@ class Layer:
             ends.append(np.array([y for _, y in mapped], np.int64))
             at = b
         own(at, len(self.text))
-        return Layer("".join(texts), np.concatenate(starts), np.concatenate(ends))
+        return Layer("".join(texts), np.concatenate(starts), np.concatenate(ends), self.steps + 1)
 
 
 def _by_bytes(data: bytes, units: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
@@ -196,6 +203,83 @@ def _escapes(layer: Layer) -> Layer | None:
     return layer.spliced(parts) if parts else None
 
 
+def _peeled(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of a text whose escapes are undone until none is left, and where each of them starts and
+    ends; bytes above 127 that percent escapes stood for are negative.
+
+    One pass: characters that may still become part of an escape wait in `open_`, and what an
+    escape stands for is looked at like a character that was read."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.int32)
+    done = [array.array("i") for _ in range(3)]
+    open_ = [array.array("i") for _ in range(3)]
+
+    def settle():
+        for out, waiting in zip(done, open_):
+            out.extend(waiting)
+            del waiting[:]
+
+    at, n = 0, len(text)
+    while at < n:
+        if not open_[0]:  # up to the next escape nothing changes
+            m = TRIGGER.search(text, at)
+            to = m.start() if m else n
+            for out, part in zip(done, (codes[at:to], np.arange(at, to, dtype=np.int32), np.arange(at + 1, to + 1, dtype=np.int32))):
+                out.frombytes(part.tobytes())
+            at = to
+            if at == n:
+                break
+        code, start, end = int(codes[at]), at, at + 1
+        at += 1
+        while True:
+            for waiting, value in zip(open_, (code, start, end)):
+                waiting.append(value)
+            if code in (0x25, 0x5C):
+                break
+            size = next((k for k in range(2, min(6, len(open_[0])) + 1) if open_[0][-k] in (0x25, 0x5C)), 0)
+            tail = "".join(map(chr, open_[0][-size:])) if size and min(open_[0][-size:]) >= 0 else ""
+            if PERCENT.fullmatch(tail) or ESCAPE.fullmatch(tail):
+                code, start = int(tail[1 + (tail[0] != "%"):], 16), open_[1][-size]
+                if tail[0] == "%" and code > 127:
+                    code = -code
+                for waiting in open_:
+                    del waiting[-size:]
+            else:
+                if not (tail and PARTIAL.fullmatch(tail)):
+                    settle()
+                break
+    settle()
+    return tuple(np.frombuffer(x, np.int32) for x in done)
+
+
+def _to_the_end(layer: Layer) -> Iterator[Layer]:
+    """The layers below all the escapes of a layer, however deep: the text, and what is UTF-16 or a stream in its bytes."""
+    codes, start, end = _peeled(layer.text)
+    bounds = lambda at: (start[at], end[at]) if layer.start is None else (layer.start[start[at]], layer.end[end[at] - 1])
+    texts, own, at = [], [], 0
+    kind = np.where(codes < 0, 1, np.where((codes >= 0xD800) & (codes < 0xE000), 2, 0)).astype(np.uint8)
+    for m in re.finditer(rb"\x01+|\x02+", kind.tobytes()):
+        a, b = m.span()
+        texts.append(codes[at:a].tobytes().decode("utf-32-le"))
+        own.append(np.stack([np.arange(at, a), np.arange(at, a)]))
+        part = codes[a:b]
+        if kind[a] == 2:  # halves of pairs
+            text = part.astype(np.uint16).tobytes().decode("utf-16-le", "replace")
+            after = np.cumsum([2 if ord(c) > 0xFFFF else 1 for c in text]) + a
+            own.append(np.stack([np.concatenate([[a], after[:-1]]), after - 1]))
+        else:
+            text, ranges = _by_bytes((-part).astype(np.uint8).tobytes(), [(i, i + 1) for i in range(a, b)])
+            own.append(np.array(ranges).T - [[0], [1]])
+        texts.append(text)
+        at = b
+    texts.append(codes[at:].tobytes().decode("utf-32-le"))
+    own.append(np.stack([np.arange(at, len(codes)), np.arange(at, len(codes))]))
+    first, last = np.concatenate(own, axis=1)
+    yield Layer("".join(texts), bounds(first)[0], bounds(last)[1], STEPS)
+    raw = np.where(codes < 0, -codes, np.where(codes < 256, codes, 0x3F)).astype(np.uint8).tobytes()
+    if MAGIC.search(raw) or WIDE.search(raw):
+        yield from _opened(raw, bounds, None, False)
+
+
 def _runs(text: str) -> Iterator[tuple[int, int, str, np.ndarray | None]]:
     """(start, end, letters, place of each letter, None if they follow each other) of the base64 runs of a text:
     those of single lines, and those that go on over line breaks."""
@@ -234,8 +318,6 @@ def _base64(layer: Layer) -> Iterator[Layer]:
     """Layers of the base64 runs.  What comes before the
     encoded part may belong to the alphabet as well, so a run is decoded from each of its first four characters."""
     for a, b, run, place in _runs(layer.text):
-        if run.isalpha() and (run.islower() or run.isupper()):
-            continue
         letters = run.replace("-", "+").replace("_", "/")
         for skip in range(4):
             n = len(run) - skip - ((len(run) - skip) % 4 == 1)  # a single last letter is no byte
@@ -316,9 +398,14 @@ def _encoded(text: str) -> bool:
 
 def _unwrapped(layer: Layer) -> Iterator[Layer]:
     """The layers right below one."""
-    for new in (_percent(layer), _escapes(layer)):
-        if new is not None and new.text:
-            yield new
+    if layer.steps < STEPS:
+        nested = False
+        for new in (_percent(layer), _escapes(layer)):
+            if new is not None and new.text:
+                nested = nested or bool(PERCENT.search(new.text) or ESCAPE.search(new.text))
+                yield new
+        if nested and not layer.steps:
+            yield from _to_the_end(layer)
     if PERCENT.search(layer.text):
         yield from _escaped_bytes(layer, PERCENT_BYTE, lambda m: bytes([int(m[1], 16)]))
     if ESCAPE.search(layer.text):

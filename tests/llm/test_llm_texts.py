@@ -9,6 +9,7 @@ import itertools
 import random
 import re
 import tarfile
+import time
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -492,6 +493,60 @@ def test_streams_in_long_streams(monkeypatch):
             assert {k for _, _, k in secrets.scan(b64(outer(pack((noise + " " + SECRET + " " + noise).encode()))))[1]} == {0, 2}
 
 
+def test_base64_of_one_case():
+    assert secrets.scan("see IEFLSUFBQUFBQUFCQUFDQUFEQUFF end")[1] == [(5, 32, 1)]
+
+
+def peeled_by_force(text):
+    while True:
+        before = text
+        for one_level in (secrets._percent, secrets._escapes):
+            text = (one_level(secrets.Layer(text)) or secrets.Layer(text)).text
+        if text == before:
+            return text
+
+
+def test_escapes_of_escapes_to_the_end():
+    draw = random.Random(5)
+    units = ["%", "%", "\\", "x", "u", "2", "5", "4", "1", "0", "0", "c", "%41", "é", "%25", "\\u005c", "\\x25", "\\u0025", " "]
+    for _ in range(20_000):
+        text = "".join(draw.choices(units, k=draw.randint(1, 16)))
+        layer = next(secrets._to_the_end(secrets.Layer(text)))
+        assert layer.text == peeled_by_force(text), text
+        assert len(layer.start) == len(layer.end) == len(layer.text)
+        assert all(a < b for a, b in zip(layer.start, layer.end)) and (np.diff(layer.start) > 0).all()
+
+
+def test_halves_and_bytes_from_deep_escapes():
+    layer = next(secrets._to_the_end(secrets.Layer("a%2525C3%25A9\\u005cud83d\\ude00%FFz")))
+    assert layer.text == "aé😀\ufffdz"
+    assert (layer.start.tolist(), layer.end.tolist()) == ([0, 1, 13, 30, 33], [1, 13, 30, 33, 34])
+
+
+@pytest.mark.parametrize("depth", [3, 40, 400])
+def test_deep_escapes_hide_nothing(depth):
+    hidden = "password%" + "25" * depth + "3DHidden0123456789xyz"
+    text = f"left {hidden} right %{'25' * depth}41KIAABCDEFGHIJKLMNOP end"
+    spans = secrets.scan(text)[1]
+    assert (5, 5 + len(hidden), 0) in spans and (12 + len(hidden), len(text) - 4, 1) in spans
+
+
+@pytest.mark.parametrize("chain", ["%" + "25" * 32_000 + "41", "\\" + "u005c" * 13_000 + "x41", "%5Cu0025" + "5Cu0025" * 9_000, "%" * 64_000 + "41"])
+def test_long_chains_take_linear_time(chain):
+    start = time.process_time()
+    secrets.scan(chain)
+    assert time.process_time() - start < 30
+
+
+def test_nested_base64_takes_linear_time():
+    data = b"password=Hidden0123456789xyz"
+    while len(data) < 64_000:
+        data = base64.b64encode(data)
+    start = time.process_time()
+    assert [kind for *_, kind in secrets.scan(f"see {data.decode()} end")[1]] == [0]
+    assert time.process_time() - start < 30
+
+
 def test_empty_tables(empty):
     assert quality.quality_report(empty).count() == 0 and quality.keep_good(empty).count() == 0
     assert quality.ablation(quality.ledger(empty)).count() == 0
