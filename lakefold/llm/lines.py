@@ -11,8 +11,9 @@ Lines that share (variant, place) differ by one replaced character; a line
 equal to another's variant is one character short of it.  Equal lines are first
 reduced to their earliest occurrence, so a key holds distinct lines only, at
 most one for each character that can stand there, and a line is paired with the
-earliest of its key alone.  The edit distance of those pairs is verified on the
-texts.
+earliest of its key alone.  Those pairs are verified on the texts: behind their
+common prefix and one edit the rest must be equal, which takes n log n steps for n
+characters.
 
 Variants are emitted only for lines that can have a partner: one edit leaves
 one half of a line untouched, so a line whose halves both occur in no other
@@ -104,10 +105,20 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(np.concatenate([r for _, r in made])), *(c.take(at) for c in block.columns[:3])], schema=_VARIANTS)
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
+def _one_edit(a: str, b: str) -> str:
+    """SQL condition: the texts in columns `a` and `b` are equal or one edit apart.  The common prefix is found
+    by halving: a stretch of 2^i characters joins it if it is equal in both."""
+    prefix = f"""aggregate(sequence(length(bin(length({a}))) - 1, 0, -1), 0, (p, i) ->
+        if(p + shiftleft(1, i) <= least(length({a}), length({b}))
+           AND substring({a}, p + 1, shiftleft(1, i)) = substring({b}, p + 1, shiftleft(1, i)), p + shiftleft(1, i), p))"""
+    rest = f"""substring({a}, p + if(length({a}) >= length({b}), 2, 1)) = substring({b}, p + if(length({b}) >= length({a}), 2, 1))"""
+    return f"if(abs(length({a}) - length({b})) <= 1, exists(array({prefix}), p -> {rest}), false)"
+
+
+def _candidates(distinct: DataFrame, least: int) -> DataFrame:
     """AT of the distinct lines that share a half with another, and where they may differ: left or
     right half (as the longer line of a pair or as long), or `whole` (as the shorter one)."""
-    keys = distinct.filter(f"n >= {LEAST}").select("h1", F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("i", "key"))
+    keys = distinct.filter(f"n >= {least}").select("h1", F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("i", "key"))
     shared = (keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min("i").alias("i"))
               .filter("lo <> hi AND i < 2").select("key"))
     found = keys.join(shared, "key").groupBy("h1").agg(
@@ -130,26 +141,27 @@ def _texts_of(places: DataFrame, docs: DataFrame) -> DataFrame:
     return places.join(lines, same).drop(*[f"_{c}" for c in AT])
 
 
-def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
+def _near(distinct: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """`first` of the distinct lines that an earlier line is within one edit of."""
     spark = docs.sparkSession
-    wanted = staged(_candidates(distinct), "line-candidates")
+    wanted = staged(_candidates(distinct, least), "line-candidates")
     release(spark)
     lines = staged(_texts_of(wanted, docs).select(*AT, "line", "left", "right", "whole"), "candidate-lines")
     release(spark, wanted)
     variants = (lines.mapInArrow(_emit, "key bigint, role tinyint, doc_id bigint, th bigint, line_no int")
                 .select("key", "role", F.expr(_AT).alias("at")))
     key = W.partitionBy("key")  # distinct lines that are equal but for one character
-    least = [F.min(F.when(F.col("role") == r, F.col("at"))).over(key) for r in (PLACE, CUT, OWN)]
-    before = F.when(F.col("role") == PLACE, least[PLACE]).when(F.col("role") == CUT, least[OWN]).otherwise(least[CUT])
+    first = [F.min(F.when(F.col("role") == r, F.col("at"))).over(key) for r in (PLACE, CUT, OWN)]
+    before = F.when(F.col("role") == PLACE, first[PLACE]).when(F.col("role") == CUT, first[OWN]).otherwise(first[CUT])
     pairs = variants.withColumn("before", before).filter("before < at").select("at", "before").distinct()
     text = lines.select(F.expr(_AT).alias("at"), "line")
     both = (pairs.join(text, "at").join(text.withColumnsRenamed({"at": "before", "line": "earlier"}), "before"))
-    return staged(both.filter(F.levenshtein("line", "earlier") <= 1).select(F.col("at").alias("first")).distinct(), "near-lines")
+    return staged(both.filter(_one_edit("line", "earlier")).select(F.col("at").alias("first")).distinct(), "near-lines")
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, line_no, near): the occurrences that go; `near` if no earlier line is equal."""
+def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """(doc_id, th, line_no, near): the occurrences that go; `near` if no earlier line is equal.  Lines of
+    `least` characters or more go for an edit as well."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = _lines(docs).withColumn("n", F.length("line")).select(*AT, "n", *_hashes(), *_half_keys())
@@ -157,7 +169,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     distinct = staged(rows.groupBy("h1", "h2").agg(
         F.min(F.struct(*AT)).alias("first"), F.max(F.struct(*AT)).alias("last"), *[F.first(c).alias(c) for c in ("n", *keys)]), "distinct-lines")
     release(spark)
-    near = _near(distinct, docs)
+    near = _near(distinct, docs, least)
     release(spark)
     bad = (distinct.select("h1", "h2", "first", (F.col("first") < F.col("last")).alias("repeats"))
            .join(near.withColumn("near", F.lit(True)), "first", "left").filter("repeats OR near"))
@@ -165,9 +177,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return marked.filter("near OR at <> first").select("at.*", (F.col("at") == F.col("first")).alias("near")).distinct()
 
 
-def _with_rest(docs: DataFrame) -> DataFrame:
+def _with_rest(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(row, rest): each row of `docs`, and the text that is left, n_lines (with a word), n_dropped, n_near."""
-    gone = (repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
+    gone = (repeated_lines(docs, least).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
             .agg(F.collect_list("line_no").alias("gone"), F.count(F.when(F.col("near"), 1)).alias("near")))  # of one document
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.col("text"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
@@ -181,9 +193,9 @@ def _with_rest(docs: DataFrame) -> DataFrame:
         F.coalesce("near", F.lit(0)).alias("n_near")).alias("rest"))
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """`docs` with the text that is left."""
-    return _with_rest(docs).select(*[(F.col("rest.text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return _with_rest(docs, least).select(*[(F.col("rest.text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame) -> DataFrame:
