@@ -27,7 +27,6 @@ empty result; other columns than doc_id, text and lang (training only) are ignor
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -58,7 +57,6 @@ _LETTER[65:91] = _LETTER[97:123] = True
 _LETTER[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_ANY_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _hash(x: np.ndarray) -> np.ndarray:
@@ -393,7 +391,7 @@ def label(docs: DataFrame, model: Model | None) -> DataFrame:
                 amount = np.concatenate([[0], np.cumsum(f.length)])
             for i in range(block.num_rows):
                 text = block.column(1)[i].as_py() or ""
-                if m is None or f.first[i] == f.first[i + 1] or not _ANY_LETTER.search(text):
+                if m is None or f.first[i] == f.first[i + 1] or not any(map(str.isalpha, text)):
                     langs.append("und")
                     scores.append(0.0)
                     runs.append([])
