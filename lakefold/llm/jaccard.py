@@ -108,20 +108,21 @@ SEEDS = (0x51ED270B7F3C1A95, 0xC2B2AE3D27D4EB4F)
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, key, n) of documents, and rows (null, shingle, -count) of shingles that repeat in a stretch of texts."""
+    """Rows (doc_id, th, key, n) of documents, and rows (null, null, shingle, -count) of shingles that repeat in a stretch of texts."""
     held, size = {}, 0
 
     def repeats():
         tokens, counts = np.unique(np.concatenate(list(held.values())), return_counts=True)
         use = counts > 1
-        return pa.RecordBatch.from_arrays([pa.nulls(int(use.sum()), pa.int64()), pa.array(tokens[use].view(np.int64)),
-                                           pa.array(-counts[use].astype(np.int64))], names=["doc_id", "key", "n"])
+        none = pa.nulls(int(use.sum()), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, pa.array(tokens[use].view(np.int64)),
+                                           pa.array(-counts[use].astype(np.int64))], names=["doc_id", "th", "key", "n"])
 
     for block in blocks(batches, "text"):
         sets = sets_of(block.column(1))
         keys = [class_key(s) if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([block.column(0), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                                         names=["doc_id", "key", "n"])
+        yield pa.RecordBatch.from_arrays([block.column(0), block.column(2), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
+                                         names=["doc_id", "th", "key", "n"])
         held.update((k, s) for k, s in zip(keys, sets) if k is not None)
         size += block.column(1).nbytes
         if size >= COUNT_BYTES and held:
@@ -355,11 +356,12 @@ def _first_order(docs: DataFrame, frequent) -> DataFrame:
             .select("a", "b", "na", "nb"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of `docs`."""
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, key, n) per row of `docs`, th being the hash of its text and key its class, and
+    (key, rep, label) per class: its smallest doc_id and its component."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    survey = staged(docs.mapInArrow(_survey, "doc_id bigint, key bigint, n bigint"), "survey")
+    survey = staged(docs.withColumn("th", F.xxhash64("text")).mapInArrow(_survey, "doc_id bigint, th bigint, key bigint, n bigint"), "survey")
     rows = survey.filter("n >= 0")
     classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
     found = (survey.filter("n < 0").groupBy(F.col("key").alias("token")).agg(F.sum("n").alias("n")).filter(f"n <= -{FREQUENT}"))
@@ -398,6 +400,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = staged(links.unionByName(_cluster_links(large, links, sets)), "links")
     labels = components(links).withColumnsRenamed({"node": "key"})
     placed = classes.join(labels, "key", "left").select("key", "rep", F.coalesce("label", "key").alias("label"))
+    return rows, placed
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id per row of `docs`."""
+    rows, placed = _placed(docs)
     ids = placed.groupBy("label").agg(F.min("rep").alias("component_id"))
     of = placed.join(ids, "label").select("key", "component_id")
     joined = rows.join(of, "key", "left")
@@ -406,8 +414,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay: the one with the smallest doc_id of each component, once.
-    Rows with a null id cannot be told apart and stay."""
-    heads = (near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct())
-    named = docs.filter("doc_id IS NOT NULL")
-    return named.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """The rows of `docs` that stay: of each component the one with the smallest (doc_id, hash of the text),
+    null ids last, once (of rows with that id and text the one with the smallest hash of all columns).
+    Rows whose text has no word are linked with nothing and all stay."""
+    rows, placed = _placed(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
+    heads = (rows.filter("n > 0").groupBy("key").agg(least.alias("head")).join(placed.select("key", "label"), "key")
+             .groupBy("label").agg(F.min("head").alias("head"))
+             .select(F.xxhash64("head.doc_id", "head.th").alias("at"), F.col("head.th").alias("th")))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                        F.xxhash64("text").alias("th"), F.col("text").rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    once = (named.filter("worded").select("row", F.xxhash64("id", "th").alias("at"), "th")
+            .groupBy("at", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row")))  # repeats meet in their own tasks first
+    kept = once.join(heads, ["at", "th"], "left_semi").select("row").unionByName(named.filter("worded IS NOT TRUE").select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

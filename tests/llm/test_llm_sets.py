@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lakefold.llm import fingerprint, graph, jaccard, suffixes
 from lakefold.llm.words import Words
@@ -191,14 +192,51 @@ def test_bounds_of_the_filters():
             assert 100 * least >= 75 * (na + nb - least) and 100 * (least - 1) < 75 * (na + nb - least + 1)
 
 
+def heads_by_force(rows):
+    """Rows (doc_id, text, hash of the text) that stay."""
+    whole = components_by_id([(d, t) for d, t, _ in rows])
+    best = {}
+    for row, label in zip(rows, whole):
+        if label is not None:
+            at = (row[0] is None, row[0] or 0, row[2])
+            best[label] = min(best.get(label, (at, row)), (at, row), key=lambda x: x[0])
+    return sorted([row for _, row in best.values()] + [row for row, label in zip(rows, whole) if label is None], key=str)
+
+
+def components_by_id(rows):
+    """A component for each row, none if it has no word."""
+    numbered = components_by_force([(k, t) for k, (_, t) in enumerate(rows)])
+    return [label if n else None for _, n, label in sorted(numbered)]
+
+
+def heads(df):
+    return sorted((tuple(r) for r in jaccard.representatives(df).select("doc_id", "text", F.xxhash64("text")).collect()), key=str)
+
+
 def test_representatives(edge):
     kept = jaccard.representatives(edge)
     assert kept.columns == edge.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
+    rows = [tuple(r) for r in edge.select("doc_id", "text", F.xxhash64("text")).collect()]
+    found = heads(edge)
+    assert found == heads_by_force(rows)
+    ids = [d for d, *_ in found]
+    assert ids.count(14) == 2 and ids.count(13) == 1  # two texts of one id, a repeated row
     assert 0 in ids and 1 not in ids and 17 not in ids and {3, 4, 5} <= set(ids)
 
 
+def test_representatives_of_null_and_shared_ids(spark):
+    text = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(4)]
+    near = text[0].replace(" ", " added ", 1)
+    rows = ([(None, text[0])] * 40 + [(None, near), (None, text[1]), (1, text[2]), (1, text[3]), (1, near + " x"), (2, text[2]), (2, text[3])]
+            + [(7, text[1])] * 30 + [(None, None), (None, ""), (3, " "), (3, " ")])
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, n int").repartition(5)
+    hashed = [tuple(r) for r in df.select("doc_id", "text", F.xxhash64("text")).collect()]
+    assert heads(df) == heads_by_force(hashed)
+    assert len(heads(df)) == 1 + 1 + 2 + 4
+    again = jaccard.representatives(df.repartition(2)).collect()  # the same rows of equal ids and texts on every run
+    assert sorted(map(str, again)) == sorted(map(str, jaccard.representatives(df).collect()))
+
+
 def test_graph_components(spark):
     draw = random.Random(4)
     edges = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(180)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, k) for k in range(4000, 4100)]

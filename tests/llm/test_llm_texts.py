@@ -131,6 +131,36 @@ def test_lines(edge, spark):
     assert bag(lines.line_report(df), "doc_id", "n_lines", "n_dropped", "left_sha256") == left_by_force(hashed(df))
 
 
+def test_one_edit_condition(spark):
+    draw = random.Random(11)
+    pairs = [("", ""), ("", "a"), ("ab", ""), ("é😀x", "é😀y"), ("é😀x", "😀x"), ("aaaa", "aaa"), ("ab", "ba")]
+    for _ in range(1500):
+        a = "".join(draw.choice("ab😀") for _ in range(draw.randint(0, 9)))
+        b = list(a)
+        for _ in range(draw.randint(0, 2)):
+            at = draw.randint(0, len(b))
+            b[at:at + draw.randint(0, 1)] = [draw.choice("abé")] * draw.randint(0, 1)
+        pairs.append((a, "".join(b)))
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.expr(lines._one_edit("a", "b")).alias("near")).collect()
+    assert all(r.near == within_one_edit(r.a, r.b) for r in rows)
+
+
+def test_lines_of_a_million_characters(spark):
+    long = "".join(random.Random(12).choices("abcdefgh ", k=1_000_000))
+    rows = [(1, long), (2, long[:700_000] + "X" + long[700_001:]), (3, long[:10] + long[11:]), (4, long[:10] + "XY" + long[10:])]
+    df = spark.createDataFrame(rows, "a bigint, b string")
+    start = time.monotonic()
+    near = df.join(df.select(F.col("a").alias("c"), F.col("b").alias("d")).filter("c = 1")).select("a", F.expr(lines._one_edit("b", "d")).alias("near"))
+    assert {r.a: r.near for r in near.collect()} == {1: True, 2: True, 3: True, 4: False}
+    assert time.monotonic() - start < 30
+
+
+def test_least_length_of_near_lines(spark):
+    df = spark.createDataFrame([(1, "short line"), (2, "short linf"), (3, "other")], "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in lines.drop_repeated_lines(df).collect()}[2] == "short linf"
+    assert {r.doc_id: r.text for r in lines.drop_repeated_lines(df, least=8).collect()} == {1: "short line", 2: "", 3: "other"}
+
+
 def test_lines_keep_columns(edge):
     left = lines.drop_repeated_lines(edge)
     assert left.columns == edge.columns and left.count() == edge.count()
@@ -292,6 +322,13 @@ def test_language_edge_cases(edge, empty):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_numbers_are_no_letters(documents):
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang").unionByName(documents.sparkSession.createDataFrame(
+        [(-1, "½ ² ① Ⅷ 12 _", None), (-2, "½ ² der", None), (-3, "ª", None)], "doc_id bigint, text string, lang string"))
+    found = {r.doc_id: r.lang_pred for r in langid.language_report(texts).filter("doc_id < 0").collect()}
+    assert found[-1] == "und" and found[-2] != "und" and found[-3] != "und"
+
+
 # --- op8 ---
 
 @pytest.fixture(scope="module")
