@@ -158,6 +158,7 @@ def _seeded(df, condition: str):
     f"FROM (SELECT * FROM {_ORACLE_TABLE[attr]} UNION ALL SELECT * FROM {_ORACLE_TABLE[attr]} WHERE {_TWICE[attr]}) "
     f"GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL" for t, attr, k in PRIMARY_KEYS))
 def _check_primary_key(L: Layers):
+    L.stage_documents()
     return _union_all([primary_key_violations(_seeded(getattr(L, attr), _TWICE[attr]), k, t) for t, attr, k in PRIMARY_KEYS])
 
 
@@ -167,6 +168,7 @@ def _check_primary_key(L: Layers):
     f"AND NOT ({_GONE.get(parent, 'false')})) "
     f"GROUP BY c.{fk}" for rel, child, fk, parent, pk in FOREIGN_KEYS))
 def _check_foreign_key(L: Layers):
+    L.stage_documents()
     return _union_all([foreign_key_orphans(getattr(L, child), fk, getattr(L, parent).where(f"NOT ({_GONE.get(parent, 'false')})"), pk, rel)
                        for rel, child, fk, parent, pk in FOREIGN_KEYS])
 

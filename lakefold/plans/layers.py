@@ -8,6 +8,7 @@ reuses its exchange).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,17 @@ class Layers:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def stage_documents(self) -> "Layers":
+        """For queries that read both document sets: their elements are written side by
+        side, as two jobs, from one written split of the order lines."""
+        if self.stage and not {"project_elements", "invoice_elements"} & self.__dict__.keys():
+            self.__dict__["line_parts"] = self._staged(standins.line_parts(self.table("lineitem")), "line-parts")
+            docs = (self.project_docs, self.invoice_docs)  # plans, made in one thread
+            with ThreadPoolExecutor(max_workers=len(docs)) as pool:
+                for job in [pool.submit(getattr, self, name) for name in ("project_elements", "invoice_elements")]:
+                    job.result()
+        return self
+
     def table(self, name: str) -> DataFrame:
         """The driver table ``name``; one DataFrame per table, so repeated reads
         share a scan node (and its file listing) within a plan."""

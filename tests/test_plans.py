@@ -44,6 +44,15 @@ def _nodes_with(plan: str, needle: str) -> list[str]:
             for line in plan.splitlines() if needle in line]
 
 
+def test_both_document_sets_from_one_written_split(spark):
+    together, apart = Layers(spark, SF).stage_documents(), Layers(spark, SF)
+    assert "line-parts" in physical(together.project_docs) and "line-parts" in physical(together.invoice_docs)
+    assert "line-parts" not in physical(apart.project_docs)
+    for name in ("project", "task", "invoice", "invoice_tax", "invoice_item"):
+        one, other = getattr(together, name), getattr(apart, name)
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty(), name
+
+
 def test_parser_runs_once_per_document(spark):
     # Each parser sits in one projection per input branch (a union of the
     # documents of parents with and without parts) and never in a filter,
