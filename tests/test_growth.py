@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lakefold.operators.hot_groups import attach_groups, hot_keys
 from lakefold.plans import standins
+from lakefold.plans.refresh import bucket_count
+from lakefold.sources.records import scan_xml_documents
 
 
 ROWS = [(k, i) for k in (1, 2) for i in range(5)] + [(3, i) for i in range(200)] + [(None, i) for i in range(90)] + [(9, 0)]
@@ -36,3 +38,17 @@ def test_lines_of_ordinary_orders_move_once(spark):
                                                                 "o_orderdate timestamp_ntz, o_orderpriority string")
     for docs in (standins.project_documents(orders, lines), standins.invoice_documents(orders, lines)):
         assert docs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # lines, orders
+
+
+def test_files_of_a_date_do_not_shrink_with_more_dates():
+    for invoices in (1_000, 600_000, 9_000_000, 54_000_000):
+        buckets = bucket_count(invoices, 2405, 1000)
+        assert buckets == 1 or invoices / (2405 * (buckets - 1)) >= 400
+    assert bucket_count(600_000, 30, 200) == 6 and bucket_count(10**9, 30, 200) == 200 and bucket_count(0, 0, 8) == 1
+
+
+def test_records_are_not_moved_to_their_root(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<R v='1'><N><A>1</A></N>\n<N><A>2</A></N></R>")
+    docs = scan_xml_documents(spark, str(tmp_path), "N")
+    assert sorted(r.conteudo for r in docs.collect()) == ["<R v='1'><N><A>1</A></N></R>", "<R v='1'><N><A>2</A></N></R>"]
+    assert "SortMergeJoin" not in docs._jdf.queryExecution().executedPlan().toString()
