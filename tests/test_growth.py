@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakefold.operators.hot_groups import attach_groups, hot_keys
-from lakefold.plans import standins
+from lakefold.plans import sinks, standins
 from lakefold.plans.refresh import bucket_count
 from lakefold.sources.records import scan_xml_documents
 
@@ -52,3 +52,10 @@ def test_records_are_not_moved_to_their_root(spark, tmp_path):
     docs = scan_xml_documents(spark, str(tmp_path), "N")
     assert sorted(r.conteudo for r in docs.collect()) == ["<R v='1'><N><A>1</A></N></R>", "<R v='1'><N><A>2</A></N></R>"]
     assert "SortMergeJoin" not in docs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_are_stored_in_half_their_digits(spark, tmp_path):
+    n = 20_000
+    keys = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    sinks.refresh_table(keys.coalesce(1), str(tmp_path / "t"))
+    assert sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet")) < 0.75 * 64 * n
