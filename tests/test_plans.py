@@ -5,10 +5,11 @@ import datetime as dt
 
 import pytest
 
+from lakefold import session
 from lakefold.plans import sinks
 from lakefold.plans.catalog import QUERIES
 from lakefold.plans.layers import Layers
-from lakefold.session import fresh_path
+from lakefold.session import fresh_path, scratch_mark
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -67,3 +68,15 @@ def test_parser_runs_once_per_document(spark):
     assert plan.count("(?is)<tr") == 1               # rows split once
     assert plan.count("(?is)<t[hd]") == 2            # heading cells and data cells, once each
     assert not [n for n in _nodes_with(plan, "(?is)<t") if n == "Filter"]
+
+
+@pytest.mark.parametrize("name", ["task", "invoice_tax", "dq_invoice"])
+def test_one_table_is_made_while_its_documents_are_parsed(spark, name):
+    mark = scratch_mark()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [p for p in session._CREATED[mark:] if "staging-" in p]
+    parser = "from_json(" if name == "task" else "from_xml("
+    nodes = _nodes_with(plan, parser)
+    assert nodes and all(n == "Project" for n in nodes) and len(nodes) <= plan.count("Union") + 1
+    if parser == "from_xml(":  # the items of an invoice are not made into values
+        assert "StructField(Quantidade" not in plan

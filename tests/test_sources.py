@@ -7,6 +7,7 @@ from lakefold.session import fresh_path
 from lakefold.sources import (
     html_table, html_table_status, invoice_elements, project_elements, scan_csv, scan_documents, task_elements,
 )
+from lakefold.sources.documents import INVOICE_COLUMNS, INVOICE_FIELDS, TAX_FIELDS
 from lakefold.sources.gates import gate_timestamp
 from lakefold.plans import silver
 
@@ -185,3 +186,25 @@ def test_html_entities(spark):
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(decode_entities(F.col("t"))).collect()]
     assert got[:-2] == [html.unescape(t).replace(" ", " ") for t in texts[:-2]]
     assert got[-2:] == ["���", None]
+
+
+_ITEM = "<Item><Descricao>a</Descricao><Quantidade>2</Quantidade><ValorUnitario>1.5</ValorUnitario></Item>"
+_NOTE = "<NotaFiscal><NumeroNota>1</NumeroNota><Impostos><ISS>2</ISS></Impostos><Itens>%s</Itens></NotaFiscal>"
+
+
+@pytest.mark.parametrize("columns", [INVOICE_FIELDS, TAX_FIELDS, ["Itens"]])
+def test_invoice_elements_of_some_columns_are_those_of_all(spark, columns):
+    bodies = [_NOTE % (_ITEM * 2) + _NOTE % "", "<NotaFiscal/>", "<NotaFiscal><Itens/></NotaFiscal><NotaFiscal><Impostos/></NotaFiscal>", "",
+              "<NotaFiscal><Impostos><ISS/></Impostos><Impostos><PIS>3</PIS></Impostos><Outro><ISS>9</ISS></Outro></NotaFiscal>", "<Outro/>"]
+    docs = spark.createDataFrame([(f"d{i}", f"<NotasFiscais>{b}</NotasFiscais>") for i, b in enumerate(bodies)] + [("none", None)], "doc_id string, conteudo string")
+    some, whole = invoice_elements(docs, columns), invoice_elements(docs).select("doc_id", "pos", *columns)
+    assert some.columns == whole.columns and sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
+
+
+@pytest.mark.parametrize("columns", [INVOICE_FIELDS, TAX_FIELDS])
+@pytest.mark.parametrize("item", ["<Item><Descricao>a</Item>", "<Item><Descricao>a & b</Descricao></Item>", "<Item>&unknown;</Item>", "<Item>\u0001</Item>", "<Item"])
+def test_a_malformed_item_fails_tables_without_items_too(spark, columns, item):
+    docs = spark.createDataFrame([("d", f"<NotasFiscais>{_NOTE % item}</NotasFiscais>")], "doc_id string, conteudo string")
+    for wanted in (columns, INVOICE_COLUMNS):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            invoice_elements(docs, wanted).collect()
