@@ -77,3 +77,13 @@ def test_plain_texts_do_not_fail_as_numbers_first(spark):
     run(docs), run(commented)
     (fast, got), (slow, want) = min(run(docs), run(docs), key=lambda x: x[0]), min(run(commented), run(commented), key=lambda x: x[0])
     assert got == want and fast < 0.8 * slow
+
+
+def test_items_of_groups_are_made_before_the_aggregate(spark):
+    # an aggregate's own input is evaluated row by row, interpreted
+    rows, parents = spark.createDataFrame(ROWS, "k long, i long"), spark.createDataFrame(PARENTS, "p long, v string")
+    item = F.struct((F.col("i") * 2).alias("twice"))
+    for hot in (None, hot_keys(rows, "k", 64)):
+        plan = attach_groups(parents, "p", rows, "k", item, "items", 64, hot)._jdf.queryExecution().optimizedPlan().toString()
+        lists = [line for line in plan.splitlines() if "collect_list(" in line]
+        assert len(lists) == (1 if hot is None else 2) and not [line for line in lists if "named_struct(" in line or "struct(twice" in line]
